@@ -25,13 +25,13 @@ VIEWS = {
     "tags": """tags AS (
   SELECT event_id, CAST(user_id AS INTEGER) AS uid,
          CAST(json_extract_string(props, '$.k') AS INTEGER) AS mid,
-         event_type AS tag, CAST(epoch(ts) AS BIGINT) AS ts
+         event_type AS tag, CAST(floor(epoch(ts)) AS BIGINT) AS ts
   FROM events)""",
     "rating_events": """rating_events AS (
   SELECT event_id, CAST(user_id AS INTEGER) AS uid,
          CAST(json_extract_string(props, '$.k') AS INTEGER) AS mid,
          least(5.0, floor(value / 20 + 0.5) / 2.0) AS score,
-         CAST(epoch(ts) AS BIGINT) AS ts
+         CAST(floor(epoch(ts)) AS BIGINT) AS ts
   FROM events WHERE event_type = 'purchase')""",
     "users": """users AS (
   SELECT CAST(c_custkey AS INTEGER) AS uid, c_name AS username, TRUE AS first,
