@@ -1 +1,170 @@
-"""Registered queries."""
+"""Registered queries: similarity, event scoring, model, blend."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from marquee.operators import scoring as sc
+from marquee.operators import similarity as sim
+from marquee.plans.registry import register
+from marquee.plans.sqlviews import with_views
+from marquee.sources import standin as si
+
+# Fixed values.  The reference keeps pairs with cosine > 0.6; the test
+# embeddings have no pair above 0.6 at sf0.01 (max 0.513), so the queries
+# that need a non-empty similarity table use 0.3.  m5_item_similarity_ref
+# runs the reference threshold itself.
+REF_THRESHOLD = 0.6
+TEST_THRESHOLD = 0.3
+N_RECENT = 20
+N_CAND = 20
+
+
+def r6(c):
+    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+
+
+def _sims(spark, sf, threshold=TEST_THRESHOLD):
+    return sim.item_similarity(si.item_factors(spark, sf), threshold)
+
+
+def _sims_sql(threshold):
+    return f"""sims AS (
+  SELECT a.mid, b.mid AS sim_mid, list_cosine_similarity(a.features, b.features) AS sim
+  FROM factors a JOIN factors b ON a.mid <> b.mid
+  WHERE list_cosine_similarity(a.features, b.features) > {threshold}e0)"""
+
+
+@register("m5_item_similarity", with_views("factors") + ", " + _sims_sql(TEST_THRESHOLD) + """
+SELECT mid, sim_mid, round(sim, 6) AS sim FROM sims""")
+def m5_item_similarity(spark, sf):
+    return _sims(spark, sf).withColumn("sim", r6("sim"))
+
+
+@register("m5_item_similarity_ref", with_views("factors") + ", " + _sims_sql(REF_THRESHOLD) + """
+SELECT mid, sim_mid, round(sim, 6) AS sim FROM sims""")
+def m5_item_similarity_ref(spark, sf):
+    return _sims(spark, sf, REF_THRESHOLD).withColumn("sim", r6("sim"))
+
+
+@register("a7_similar_lists", with_views("factors") + ", " + _sims_sql(TEST_THRESHOLD) + """
+SELECT mid, count(*) AS n_similar,
+       arg_max(sim_mid, sim) AS best_mid, round(max(sim), 6) AS best_sim
+FROM sims GROUP BY mid""")
+def a7_similar_lists(spark, sf):
+    lists = sim.similar_lists(_sims(spark, sf))
+    return lists.select("mid", F.size("recs").cast("bigint").alias("n_similar"),
+                        F.col("recs")[0]["mid"].alias("best_mid"), r6(F.col("recs")[0]["score"]).alias("best_sim"))
+
+
+@register("l5_similar_movies", with_views("factors", "rating_events") + ", " + _sims_sql(TEST_THRESHOLD) + """
+SELECT r.mid, s.rank, s.sim_mid, round(s.sim, 6) AS score
+FROM (SELECT DISTINCT mid FROM rating_events) r
+JOIN (SELECT mid, sim_mid, sim,
+             CAST(row_number() OVER (PARTITION BY mid ORDER BY sim DESC, sim_mid) AS INTEGER) AS rank
+      FROM sims) s ON s.mid = r.mid
+WHERE s.rank <= 5""")
+def l5_similar_movies(spark, sf):
+    from marquee.operators.serving import best_of_lists, explode_recs
+    lists = sim.similar_lists(_sims(spark, sf))
+    req = si.rating_events(spark, sf).select("mid").distinct()
+    out = explode_recs(best_of_lists(lists, req, "mid", 5).withColumnRenamed("mid", "anchor"), ["anchor"])
+    return out.select(F.col("anchor").alias("mid"), "rank", F.col("mid").alias("sim_mid"),
+                      r6("score").alias("score"))
+
+
+# ------------------------------------------------------------ event scoring
+
+_SCORING_VIEWS = with_views("ratings", "rating_events", "factors") + ", " + _sims_sql(TEST_THRESHOLD) + f""",
+recent AS (
+  SELECT e.event_id, h.mid AS r_mid, h.score AS r_score
+  FROM rating_events e JOIN rating_events h
+    ON h.uid = e.uid AND (h.ts < e.ts OR (h.ts = e.ts AND h.event_id <= e.event_id))
+  QUALIFY row_number() OVER (PARTITION BY e.event_id ORDER BY h.ts DESC, h.event_id DESC) <= {N_RECENT}),
+rated AS (
+  SELECT uid, mid, ts, CAST(-1 AS BIGINT) AS event_id FROM ratings
+  UNION ALL SELECT uid, mid, ts, event_id FROM rating_events),
+seen AS (
+  SELECT uid, mid, ts AS f_ts, event_id AS f_id FROM rated
+  QUALIFY row_number() OVER (PARTITION BY uid, mid ORDER BY ts, event_id) = 1),
+cands AS (
+  SELECT e.event_id, e.uid, s.sim_mid AS cand, s.sim AS csim,
+         CAST(row_number() OVER (PARTITION BY e.event_id ORDER BY s.sim DESC, s.sim_mid) AS INTEGER) AS cand_rank
+  FROM rating_events e JOIN sims s ON s.mid = e.mid
+  WHERE NOT EXISTS (SELECT 1 FROM seen x WHERE x.uid = e.uid AND x.mid = s.sim_mid
+                    AND (x.f_ts < e.ts OR (x.f_ts = e.ts AND x.f_id <= e.event_id)))
+  QUALIFY cand_rank <= {N_CAND}),
+scores AS (
+  SELECT c.event_id, c.uid, c.cand AS mid,
+         avg(s.sim * r.r_score)
+           + log2(greatest(count(*) FILTER (WHERE r.r_score > 3), 1))
+           - log2(greatest(count(*) FILTER (WHERE r.r_score <= 3), 1)) AS score
+  FROM cands c JOIN recent r ON r.event_id = c.event_id
+  JOIN sims s ON s.mid = c.cand AND s.sim_mid = r.r_mid
+  WHERE s.sim > {TEST_THRESHOLD}e0
+  GROUP BY c.event_id, c.uid, c.cand)
+"""
+
+
+def _score_events(spark, sf):
+    return sc.score_events(si.rating_events(spark, sf), si.ratings(spark, sf), _sims(spark, sf),
+                           N_RECENT, N_CAND, TEST_THRESHOLD)
+
+
+@register("w2_recent_ratings", with_views("rating_events") + f"""
+SELECT uid, CAST(pos AS INTEGER) AS pos, mid, score FROM (
+  SELECT uid, mid, score, row_number() OVER (PARTITION BY uid ORDER BY ts DESC, event_id DESC) - 1 AS pos
+  FROM rating_events) WHERE pos < {N_RECENT}""")
+def w2_recent_ratings(spark, sf):
+    return sc.recent_queue(si.rating_events(spark, sf), N_RECENT)
+
+
+@register("w3_top_similar", _SCORING_VIEWS + """
+SELECT event_id, uid, cand, round(csim, 6) AS csim, cand_rank FROM cands""")
+def w3_top_similar(spark, sf):
+    ev = si.rating_events(spark, sf)
+    seen = sc.first_rated(si.ratings(spark, sf), ev)
+    return sc.candidates(ev, _sims(spark, sf), seen, N_CAND).withColumn("csim", r6("csim"))
+
+
+@register("t4_score_events", _SCORING_VIEWS + """
+SELECT event_id, uid, mid, round(score, 6) AS score FROM scores""")
+def t4_score_events(spark, sf):
+    return _score_events(spark, sf).withColumn("score", r6("score"))
+
+
+@register("t5_latest_recs", _SCORING_VIEWS + """,
+last AS (SELECT uid, event_id FROM rating_events
+         QUALIFY row_number() OVER (PARTITION BY uid ORDER BY ts DESC, event_id DESC) = 1)
+SELECT l.uid, l.event_id, s.mid, round(s.score, 6) AS score
+FROM last l LEFT JOIN scores s ON s.event_id = l.event_id""")
+def t5_latest_recs(spark, sf):
+    ev = si.rating_events(spark, sf)
+    latest = sc.latest_recs(ev, _score_events(spark, sf))
+    return (latest.select("uid", "event_id", F.explode_outer("recs").alias("r"))
+            .select("uid", "event_id", F.col("r.mid").alias("mid"), r6("r.score").alias("score")))
+
+
+# ------------------------------------------------------------------- model
+
+def _ratings_for_model(spark, sf):
+    return si.ratings(spark, sf)
+
+
+@register("m3_user_recommendations")
+def m3_user_recommendations(spark, sf):
+    """M1 + M3: ALS (rank 50, 5 iterations, lambda 0.01) and the top 10
+    positive predictions of every user over the catalogue.  No oracle: the
+    factorisation is iterative (rows-only check; properties in tests)."""
+    from marquee.operators.model import train_als, user_recommendations
+    model = train_als(_ratings_for_model(spark, sf))
+    return user_recommendations(model, si.movies(spark, sf), 10)
+
+
+@register("m2_predict_pairs")
+def m2_predict_pairs(spark, sf):
+    """Predictions for every (uid, mid) of the rating events;
+    pairs without factors drop out."""
+    from marquee.operators.model import predict_pairs, train_als
+    model = train_als(_ratings_for_model(spark, sf))
+    return predict_pairs(model, si.rating_events(spark, sf).select("uid", "mid").distinct())
