@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.columns import pref_key
+from marquee.operators.search import rank_key
 
 # The weights of the three sources in the hybrid blend.
 SIMILAR_WEIGHT = 0.3
@@ -15,7 +16,7 @@ STREAM_WEIGHT = 0.4
 
 def _cap(long: DataFrame, key: str, n: int) -> DataFrame:
     """The best n rows of each key of a long (key, mid, score) table."""
-    w = Window.partitionBy(key).orderBy(F.col("score").desc(), F.col("mid").asc())
+    w = Window.partitionBy(key).orderBy(rank_key("score").desc(), F.col("mid").asc())
     return long.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n).drop("_r")
 
 
@@ -38,7 +39,7 @@ def hybrid(similar: DataFrame, content: DataFrame, stream: DataFrame,
              .unionByName(req.join(t, "uid").select("uid", "mid", "score")))
     if dedupe:
         parts = parts.groupBy("uid", "mid").agg(F.sum("score").alias("score"))
-    w = Window.partitionBy("uid").orderBy(F.col("score").desc(), F.col("mid").asc())
+    w = Window.partitionBy("uid").orderBy(rank_key("score").desc(), F.col("mid").asc())
     return (parts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
             .select("uid", F.col("rank").cast("int").alias("rank"), "mid", "score"))
 

@@ -78,8 +78,17 @@ def scored_postings(ix: Index) -> DataFrame:
     return p.select("field", "term", "doc", w.alias("w"))
 
 
+# Scores equal to this many decimals are ties, broken by the smaller id, so
+# the ranking does not depend on the order in which partial sums were added.
+RANK_DECIMALS = 9
+
+
+def rank_key(col: str) -> Column:
+    return F.round(F.col(col), RANK_DECIMALS)
+
+
 def _top_n(scores: DataFrame, key: str, n: int) -> DataFrame:
-    w = Window.partitionBy(key).orderBy(F.col("score").desc(), F.col("doc").asc())
+    w = Window.partitionBy(key).orderBy(rank_key("score").desc(), F.col("doc").asc())
     return (scores.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
             .select(key, F.col("rank").cast("int").alias("rank"), "doc", "score"))
 
@@ -121,7 +130,7 @@ def more_like_this(ix: Index, anchors: DataFrame, n: int = 10,
     sel = (a.filter(F.col("tf_all") >= min_term_freq).join(top_field, "term")
            .filter(F.col("df") >= min_doc_freq)
            .withColumn("sel", F.col("tf_all") * F.col("idf")))
-    wsel = Window.partitionBy("anchor").orderBy(F.col("sel").desc(), F.col("term").asc())
+    wsel = Window.partitionBy("anchor").orderBy(rank_key("sel").desc(), F.col("term").asc())
     terms = (sel.withColumn("_r", F.row_number().over(wsel)).filter(F.col("_r") <= max_query_terms)
              .select("anchor", F.col("top_field").alias("field"), "term"))
     w = weights if weights is not None else scored_postings(ix)

@@ -75,7 +75,7 @@ def l5_similar_movies(spark, sf):
 
 # ------------------------------------------------------------ event scoring
 
-_SCORING_VIEWS = with_views("ratings", "rating_events", "factors") + ", " + _sims_sql(TEST_THRESHOLD) + f""",
+SCORING_CTES = _sims_sql(TEST_THRESHOLD) + f""",
 recent AS (
   SELECT e.event_id, h.mid AS r_mid, h.score AS r_score
   FROM rating_events e JOIN rating_events h
@@ -104,6 +104,8 @@ scores AS (
   WHERE s.sim > {TEST_THRESHOLD}e0
   GROUP BY c.event_id, c.uid, c.cand)
 """
+SCORING_VIEWS = ("ratings", "rating_events", "factors")
+_SCORING_VIEWS = with_views(*SCORING_VIEWS) + ", " + SCORING_CTES
 
 
 def _score_events(spark, sf):
