@@ -98,7 +98,7 @@ def score_events(events: DataFrame, ratings: DataFrame, sims: DataFrame,
     """
     hist = events if history is None else history
     recent = recent_per_event(hist, n_recent).join(events.select("event_id"), "event_id", "left_semi")
-    seen = first_rated(ratings, hist)
+    seen = first_rated(ratings.join(hist.select("uid").distinct(), "uid", "left_semi"), hist)
     cands = candidates(events, sims, seen, n_cand)
     return score_candidates(cands, recent, sims, threshold)
 

@@ -95,7 +95,7 @@ def t5_stream_recs(spark, sf):
     """T4 + T5 + T6 + S9 in a stream: the final per-user lists equal the
     batch result (t5_latest_recs)."""
     root = _online_loop_root(spark, sf)
-    recs = pl.VersionedTable(root, "StreamRecs").read(spark, schema=pl.STREAM_RECS_SCHEMA)
+    recs = pl.current_stream_recs(spark, root)
     return (recs.select("uid", "event_id", F.explode_outer("recs").alias("r"))
             .select("uid", "event_id", F.col("r.mid").alias("mid"), r6("r.score").alias("score")))
 
@@ -104,7 +104,7 @@ def t5_stream_recs(spark, sf):
 def t7_stream_ratings(spark, sf):
     """T7 in a stream: the ratings table after every event was upserted."""
     root = _online_loop_root(spark, sf)
-    return pl.VersionedTable(root, "ratings").read(spark).select("uid", "mid", "score", "ts")
+    return pl.current_ratings(spark, root, si.ratings(spark, sf)).select("uid", "mid", "score", "ts")
 
 
 TAG_SCHEMA = T.StructType([

@@ -173,28 +173,34 @@ def recent_ratings_stream(events: DataFrame, cap: int = QUEUE_CAP, read: int = R
 
 # ------------------------------------------------------- versioned tables
 
+def _fs(spark, path):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _complete_versions(spark, path) -> list[int]:
+    jvm, p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            out.append(int(name[2:]))
+    return sorted(out)
+
+
 class VersionedTable:
-    """A table written as numbered versions ``v=<batch_id>``; readers
-    take the newest complete version (one with ``_SUCCESS``)."""
+    """S9 for small tables: whole-table versions ``v=<batch_id>``; readers
+    take the newest complete version (one with ``_SUCCESS``).  Used where a
+    batch rewrites a bounded table (the tag-feed documents)."""
 
     def __init__(self, root: str, name: str):
         self.path = f"{root.rstrip('/')}/{name}"
 
-    def _fs(self, spark):
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path)
-        return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
     def versions(self, spark) -> list[int]:
-        jvm, p, fs = self._fs(spark)
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[2:]))
-        return sorted(out)
+        return _complete_versions(spark, self.path)
 
     def read(self, spark, before: int | None = None, default: DataFrame | None = None,
              schema: T.StructType | None = None) -> DataFrame | None:
@@ -208,6 +214,26 @@ class VersionedTable:
         df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
 
 
+class ChangeLog:
+    """S9 for large tables: each micro-batch writes only its own changes as
+    ``v=<batch_id>`` (overwritten on retry, so idempotent); the current
+    table is merged on read.  A batch costs O(batch), not O(table)."""
+
+    def __init__(self, root: str, name: str):
+        self.path = f"{root.rstrip('/')}/{name}"
+
+    def write(self, df: DataFrame, version: int) -> None:
+        df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
+
+    def read(self, spark, before: int | None = None) -> DataFrame | None:
+        """All complete versions below ``before`` with their number ``v``."""
+        vs = [v for v in _complete_versions(spark, self.path) if before is None or v < before]
+        if not vs:
+            return None
+        return (spark.read.option("basePath", self.path)
+                .parquet(*[f"{self.path}/v={v}" for v in vs]))
+
+
 STREAM_RECS_SCHEMA = T.StructType([
     T.StructField("uid", T.IntegerType()),
     T.StructField("event_id", T.LongType()),
@@ -216,13 +242,30 @@ STREAM_RECS_SCHEMA = T.StructType([
 
 
 def upsert_recs(old: DataFrame | None, new: DataFrame) -> DataFrame:
-    """Replace the rows of every user present in ``new`` (even
-    with an empty list); keep the other users' rows."""
+    """S9 / T5 (whole-table form): replace the rows of every user present
+    in ``new`` (even with an empty list); keep the other users' rows."""
     if old is None:
         return new
     return old.join(new.select("uid"), "uid", "left_anti").unionByName(new)
 
 
+def current_stream_recs(spark, root: str) -> DataFrame | None:
+    """T5: per user, the list written by the newest batch that had an
+    event of that user (an empty list still replaces an older one)."""
+    log = ChangeLog(root, "StreamRecs").read(spark)
+    if log is None:
+        return None
+    newest = F.max_by(F.struct("event_id", "recs"), F.col("v"))
+    return (log.groupBy("uid").agg(newest.alias("x"))
+            .select("uid", "x.event_id", "x.recs"))
+
+
+def current_ratings(spark, root: str, base: DataFrame) -> DataFrame:
+    """The ratings table with every logged rating event applied."""
+    log = ChangeLog(root, "rating_events").read(spark)
+    return base if log is None else upsert_ratings(base, log)
+
+
 # ------------------------------------------------------- the online loop
 
 def score_batch(spark: SparkSession, batch: DataFrame, batch_id: int, ratings_base: DataFrame,
@@ -230,24 +273,27 @@ def score_batch(spark: SparkSession, batch: DataFrame, batch_id: int, ratings_ba
                 threshold: float = 0.6) -> None:
     """T4 + T5 + T7 for one micro-batch of RECENT_OUT rows.
 
-    The seen set is the ratings table as of the previous batch plus the
-    batch's own events (ordered by (ts, event_id)); the ratings table and the
-    per-user list table get a new version each.
+    The seen set is the stored ratings and earlier logged events of the
+    batch's users plus the batch's own events (ordered by (ts, event_id)).
+    The batch's events and its users' new lists are appended as version
+    ``batch_id`` of two change logs.
     """
     batch = batch.persist()
     try:
         events = batch.select("event_id", "uid", "mid", "score", "ts").dropDuplicates(["event_id"])
         recent = batch.filter(F.col("pos") < n_recent).select("event_id", "pos", "r_mid", "r_score")
-        ratings_t = VersionedTable(out_root, "ratings")
-        recs_t = VersionedTable(out_root, "StreamRecs")
-        ratings_now = ratings_t.read(spark, before=batch_id, default=ratings_base)
-        seen = sc.first_rated(ratings_now, events)
+        users = events.select("uid").distinct()
+        ev_log = ChangeLog(out_root, "rating_events")
+        prior = ev_log.read(spark, before=batch_id)
+        hist = ratings_base.join(users, "uid", "left_semi")
+        seen_events = events if prior is None else events.unionByName(
+            prior.join(users, "uid", "left_semi").select(*events.columns))
+        seen = sc.first_rated(hist, seen_events)
         cands = sc.candidates(events, sims, seen, n_cand)
         scores = sc.score_candidates(cands, recent, sims, threshold)
         latest = sc.latest_recs(events, scores)
-        old = recs_t.read(spark, before=batch_id, schema=STREAM_RECS_SCHEMA)
-        recs_t.write(upsert_recs(old, latest), batch_id)
-        ratings_t.write(upsert_ratings(ratings_now, events), batch_id)
+        ChangeLog(out_root, "StreamRecs").write(latest, batch_id)
+        ev_log.write(events, batch_id)
     finally:
         batch.unpersist()
 
