@@ -18,10 +18,14 @@ limit runs before the shuffle).  Texts are tokenised whole.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # BM25 parameters and the more-like-this defaults of the
 # public search-engine documentation.
@@ -134,9 +138,136 @@ def more_like_this(ix: Index, anchors: DataFrame, n: int = 10,
     terms = (sel.withColumn("_r", F.row_number().over(wsel)).filter(F.col("_r") <= max_query_terms)
              .select("anchor", F.col("top_field").alias("field"), "term"))
     w = weights if weights is not None else scored_postings(ix)
-    hits = (terms.join(w, ["field", "term"]).filter(F.col("doc") != F.col("anchor"))
-            .groupBy("anchor", "doc").agg(F.sum("w").alias("score")))
-    return _top_n(hits, "anchor", n)
+    q = terms.select(F.col("anchor").alias("qid"), F.concat_ws("\u0001", "field", "term").alias("key"),
+                     F.lit(1.0).alias("qw"))
+    d = w.select("doc", F.concat_ws("\u0001", "field", "term").alias("key"), "w")
+    return sparse_top_n(q, d, n, exclude_self=True).withColumnRenamed("qid", "anchor")
+
+
+# ------------------------------------------------------- blocked sparse top-n
+
+TOPN_SCHEMA = T.StructType([
+    T.StructField("qid", T.LongType()),
+    T.StructField("doc", T.LongType()),
+    T.StructField("score", T.DoubleType()),
+])
+
+
+def _entry_blocks(df: DataFrame, id_col: str, w_col: str, nblocks: int) -> DataFrame:
+    """One row per block: (blk, ids, keys, ws) -- the flattened sparse rows
+    of the ids hashed to the block."""
+    e = df.select(F.col(id_col).cast("long").alias("id"), "key", F.col(w_col).cast("double").alias("w"))
+    e = e.withColumn("blk", F.pmod(F.xxhash64("id"), F.lit(nblocks)).cast("int"))
+    return (e.groupBy("blk").agg(F.collect_list(F.struct("id", "key", "w")).alias("l"))
+            .select("blk", F.transform("l", lambda x: x["id"]).alias("ids"),
+                    F.transform("l", lambda x: x["key"]).alias("keys"),
+                    F.transform("l", lambda x: x["w"]).alias("ws")))
+
+
+# Above this many (doc, key) cells a block pair merges sparse entries
+# instead of multiplying dense matrices.
+DENSE_LIMIT = 32_000_000
+
+
+def _sparse_top_n(n: int, exclude_self: bool, chunk: int = 512):
+    def run(batches):
+        for pdf in batches:
+            outs = []
+            for r in pdf.itertuples(index=False):
+                qa = pd.DataFrame({"id": np.asarray(r.q_ids, dtype=np.int64), "key": r.q_keys,
+                                   "qw": np.asarray(r.q_ws, dtype=np.float64)})
+                da = pd.DataFrame({"id": np.asarray(r.d_ids, dtype=np.int64), "key": r.d_keys,
+                                   "w": np.asarray(r.d_ws, dtype=np.float64)})
+                da = da[da["key"].isin(set(qa["key"]))]
+                if qa.empty or da.empty:
+                    continue
+                d_ids, d_idx = np.unique(da["id"].to_numpy(), return_inverse=True)
+                q_ids, q_idx = np.unique(qa["id"].to_numpy(), return_inverse=True)
+                keys, k_idx = np.unique(np.concatenate([qa["key"].to_numpy(dtype=object),
+                                                        da["key"].to_numpy(dtype=object)]).astype(str),
+                                        return_inverse=True)
+                qk, dk = k_idx[:len(qa)], k_idx[len(qa):]
+                nd, nk = len(d_ids), len(keys)
+                dense = nk * nd <= DENSE_LIMIT
+                if dense:
+                    wmat = np.zeros((nd, nk))
+                    wmat[d_idx, dk] = da["w"].to_numpy()
+                else:
+                    dpart = pd.DataFrame({"k": dk, "di": d_idx, "w": da["w"].to_numpy()})
+                qw = qa["qw"].to_numpy()
+                for start in range(0, len(q_ids), chunk):
+                    stop = min(start + chunk, len(q_ids))
+                    sel = (q_idx >= start) & (q_idx < stop)
+                    nq = stop - start
+                    if dense:
+                        amat = np.zeros((nq, nk))
+                        amat[q_idx[sel] - start, qk[sel]] = qw[sel]
+                        s = amat @ wmat.T
+                    else:
+                        m = pd.DataFrame({"qi": q_idx[sel] - start, "k": qk[sel], "qw": qw[sel]}) \
+                            .merge(dpart, on="k")
+                        if m.empty:
+                            continue
+                        s = np.bincount(m["qi"].to_numpy() * nd + m["di"].to_numpy(),
+                                        weights=m["qw"].to_numpy() * m["w"].to_numpy(),
+                                        minlength=nq * nd).reshape(nq, nd)
+                    part_ids = q_ids[start:stop]
+                    hit = s > 0
+                    if exclude_self:
+                        hit &= part_ids[:, None] != d_ids[None, :]
+                    if nd > n:
+                        # keep only entries at least as good as each row's
+                        # n-th best (ties included); sort those exactly below
+                        rs = np.where(hit, np.round(s, RANK_DECIMALS), -np.inf)
+                        nth = -np.partition(-rs, n - 1, axis=1)[:, n - 1]
+                        hit &= rs >= nth[:, None]
+                    qq, dd = np.nonzero(hit)
+                    if len(qq) == 0:
+                        continue
+                    sc = s[qq, dd]
+                    # rank: rounded score desc, doc asc; keep n per query
+                    order = np.lexsort((d_ids[dd], -np.round(sc, RANK_DECIMALS), qq))
+                    qq, dd, sc = qq[order], dd[order], sc[order]
+                    first = np.r_[0, np.flatnonzero(np.diff(qq)) + 1]
+                    pos = np.arange(len(qq)) - np.repeat(first, np.diff(np.r_[first, len(qq)]))
+                    keep = pos < n
+                    outs.append(pd.DataFrame({"qid": part_ids[qq[keep]], "doc": d_ids[dd[keep]],
+                                              "score": sc[keep]}))
+            if outs:
+                yield pd.concat(outs, ignore_index=True)
+    return run
+
+
+def sparse_top_n(q: DataFrame, d: DataFrame, n: int, exclude_self: bool = False,
+                 rows_per_block: int = 4096, entries_per_block: int = 1_000_000) -> DataFrame:
+    """Top ``n`` docs per query by sparse dot product -> (qid, rank, doc, score).
+
+    ``q`` has (qid, key, qw) and ``d`` has (doc, key, w).  Queries and docs
+    are hashed into blocks (bounded rows and entries per block); every
+    (query block, doc block) pair is one task that merges the two blocks on
+    ``key`` and sums the products with numpy, keeping n docs per query.  The
+    final ranking sees at most n x doc-blocks rows per query.  The work is
+    the number of (query, doc, shared key) triples, done vectorised; no
+    (query, doc) pair is shuffled unless it is a top-n candidate.
+    """
+    # Both inputs are read three times (sizing, blocks); keep them cached.
+    q, d = q.persist(), d.persist()
+    qn, qe = q.agg(F.countDistinct("qid"), F.count(F.lit(1))).first()
+    dn, de = d.agg(F.countDistinct("doc"), F.count(F.lit(1))).first()
+    bq = max(1, math.ceil(qn / rows_per_block), math.ceil(qe / entries_per_block))
+    bd = max(1, math.ceil(dn / rows_per_block), math.ceil(de / entries_per_block))
+    qb = _entry_blocks(q, "qid", "qw", bq).select(F.col("blk").alias("bi"), F.col("ids").alias("q_ids"),
+                                                 F.col("keys").alias("q_keys"), F.col("ws").alias("q_ws"))
+    db = _entry_blocks(d, "doc", "w", bd).select(F.col("blk").alias("bj"), F.col("ids").alias("d_ids"),
+                                                F.col("keys").alias("d_keys"), F.col("ws").alias("d_ws"))
+    qx = qb.withColumn("bj", F.explode(F.sequence(F.lit(0), F.lit(bd - 1))))
+    dx = db.withColumn("bi", F.explode(F.sequence(F.lit(0), F.lit(bq - 1))))
+    from marquee.operators.similarity import co_partition
+    qx, dx = co_partition(qx, dx, bq * bd)
+    cand = qx.join(dx, ["bi", "bj"]).mapInPandas(_sparse_top_n(n, exclude_self), TOPN_SCHEMA)
+    w = Window.partitionBy("qid").orderBy(rank_key("score").desc(), F.col("doc").asc())
+    return (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+            .select("qid", F.col("rank").cast("int").alias("rank"), "doc", "score"))
 
 
 # ------------------------------------------------------------------ fuzzy

@@ -55,6 +55,20 @@ def to_blocks(factors: DataFrame, id_col: str, feat_col: str, nblocks: int) -> D
                     F.size(F.element_at("items", 1)["v"]).alias("dim")))
 
 
+def pair_partitions(spark, n_pairs: int) -> int:
+    """Partitions for block-pair tasks: one per pair up to 4 x the cluster's
+    cores.  The count is explicit, so AQE does not merge the (byte-small
+    but compute-heavy) pair rows into a few tasks."""
+    return max(1, min(2 * n_pairs, 4 * spark.sparkContext.defaultParallelism))
+
+
+def co_partition(a: DataFrame, b: DataFrame, n_pairs: int):
+    """Hash-partition both join sides on (bi, bj) with the same explicit
+    count; the join then reuses this partitioning (no further exchange)."""
+    p = pair_partitions(a.sparkSession, n_pairs)
+    return a.repartition(p, "bi", "bj"), b.repartition(p, "bi", "bj")
+
+
 def block_pairs(blocks_a: DataFrame, blocks_b: DataFrame, nb_a: int, nb_b: int,
                 upper: bool) -> DataFrame:
     """Join blocks into pair rows keyed by (bi, bj).
@@ -67,6 +81,8 @@ def block_pairs(blocks_a: DataFrame, blocks_b: DataFrame, nb_a: int, nb_b: int,
     b = blocks_b.select(F.explode(F.sequence(F.lit(0), F.col("blk") if upper else F.lit(nb_a - 1))).alias("bi"),
                         F.col("blk").alias("bj"),
                         F.col("ids").alias("ids_b"), F.col("mat").alias("mat_b"), F.col("dim").alias("dim_b"))
+    n_pairs = nb_a * (nb_a + 1) // 2 if upper else nb_a * nb_b
+    a, b = co_partition(a, b, n_pairs)
     return a.join(b, ["bi", "bj"])
 
 
