@@ -46,7 +46,7 @@ def parse_rating_message(df: DataFrame, value: str = "value", keep_bad: bool = F
     output is ``df.filter('bad')`` with ``keep_bad=True``).
     """
     parts = F.split(_c(value), r"\|")
-    fields =[F.trim(F.element_at(parts, i)) for i in range(1, 5)]
+    fields = [F.trim(F.try_element_at(parts, F.lit(i))) for i in range(1, 5)]
     out = df.select(
         "*",
         fields[0].try_cast("int").alias("uid"),
@@ -103,8 +103,8 @@ def load_recent_queue(df: DataFrame, entries: str = "entries", sep: str = ":") -
     e = df.select("uid", F.posexplode(entries).alias("pos", "entry"))
     parts = F.split(F.col("entry"), "\\" + sep if sep in "|.^$*+?()[]{}\\" else sep)
     return (e.select("uid", F.col("pos").cast("int").alias("pos"),
-                     F.trim(F.element_at(parts, 1)).try_cast("int").alias("mid"),
-                     F.trim(F.element_at(parts, 2)).try_cast("double").alias("score"))
+                     F.trim(F.try_element_at(parts, F.lit(1))).try_cast("int").alias("mid"),
+                     F.trim(F.try_element_at(parts, F.lit(2))).try_cast("double").alias("score"))
             .filter(F.col("mid").isNotNull() & F.col("score").isNotNull()))
 
 

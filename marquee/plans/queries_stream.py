@@ -11,6 +11,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The stream queries reuse the oracle SQL of their batch twins, so those
+# modules must register first.
+from marquee.plans import queries_batch, queries_model  # noqa: F401
 from marquee.plans.registry import ORACLE, register
 from marquee.session import scratch_path
 from marquee.sources import standin as si
