@@ -111,9 +111,12 @@ def load_recent_queue(df: DataFrame, entries: str = "entries", sep: str = ":") -
 # --- P8 / P9: rec lists ---------------------------------------------------------------------
 
 def sort_recs(recs) -> Column:
-    """Order a rec list by score desc, then mid asc."""
-    return F.array_sort(_c(recs), lambda l, r: F.when(l["score"] > r["score"], -1)
-                        .when(l["score"] < r["score"], 1)
+    """Order a rec list by score desc, then mid asc (R11); scores equal to
+    9 decimals are ties."""
+    def key(x):
+        return F.round(x["score"], 9)
+    return F.array_sort(_c(recs), lambda l, r: F.when(key(l) > key(r), -1)
+                        .when(key(l) < key(r), 1)
                         .when(l["mid"] < r["mid"], -1)
                         .when(l["mid"] > r["mid"], 1).otherwise(0))
 

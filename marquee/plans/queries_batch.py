@@ -301,3 +301,22 @@ def p9_top_recs(spark, sf):
     return (dec.select("genre", F.posexplode("recs").alias("pos", "r"))
             .select("genre", (F.col("pos") + 1).cast("int").alias("rank"),
                     F.col("r.mid").alias("mid"), r6("r.score").alias("score")))
+
+
+@register("p12_format_rating_log", with_views("rating_events") + """
+SELECT event_id, 'movie_rating:' || CAST(uid AS VARCHAR) || '|' || CAST(mid AS VARCHAR) || '|'
+       || CAST(score AS VARCHAR) || '|' || CAST(ts AS VARCHAR) AS line
+FROM rating_events""")
+def p12_format_rating_log(spark, sf):
+    from marquee.functions.columns import format_rating_log
+    ev = si.rating_events(spark, sf)
+    return ev.select("event_id", format_rating_log("uid", "mid", "score", "ts", si.RATING_MARKER).alias("line"))
+
+
+@register("k3_exists_keys", with_views("movies", "tags") + """
+SELECT r.mid, EXISTS (SELECT 1 FROM movies m WHERE m.mid = r.mid) AS "exists"
+FROM (SELECT DISTINCT mid FROM tags) r""")
+def k3_exists_keys(spark, sf):
+    from marquee.operators.serving import exists_keys
+    req = si.tags(spark, sf).select("mid").distinct()
+    return exists_keys(si.movies(spark, sf), req, "mid")

@@ -223,3 +223,64 @@ def u2_with_fallback(spark, sf):
     top = st.ranked_genres(si.movies(spark, sf), avgs, 10)
     out = with_fallback(_hybrid(spark, sf), si.users(spark, sf), top, 10, seed=None)
     return out.withColumn("score", r6("score"))
+
+
+def _fallback_sql(extra=()):
+    return _hybrid_sql(("ranked_genres", "users", "averages") + tuple(extra)) + """, fb AS (
+  SELECT u.uid, g.rank, g.mid, g.avg AS score, 'genre' AS source
+  FROM users u JOIN ranked_genres g
+    ON g.genre = split_part(u.prefGenres[CAST(u.uid % len(u.prefGenres) AS INTEGER) + 1], ' ', 1)
+  WHERE u.uid NOT IN (SELECT uid FROM hybrid) AND len(u.prefGenres) > 0),
+guess AS (SELECT uid, rank, mid, score, 'recs' AS source FROM hybrid
+          UNION ALL SELECT uid, rank, mid, score, source FROM fb)
+"""
+
+
+@register("j7_guess_movies", _fallback_sql() + """
+SELECT g.uid, g.rank, g.source, g.mid, m.name, round(coalesce(a.avg, 0.0), 6) AS avg_score
+FROM guess g JOIN movies m ON m.mid = g.mid LEFT JOIN averages a ON a.mid = g.mid""")
+def j7_guess_movies(spark, sf):
+    """The guess flow end to end: hybrid (U1) -> fallback (U2) -> movies by
+    id keeping rank and duplicates (J7) -> average score, 0.0 if none (J8)."""
+    from marquee.operators import statistics as st
+    from marquee.operators.blend import with_fallback
+    from marquee.operators.serving import enrich, movies_by_ids
+    avgs = st.average_movies_score(si.ratings(spark, sf))
+    top = st.ranked_genres(si.movies(spark, sf), avgs, 10)
+    recs = with_fallback(_hybrid(spark, sf), si.users(spark, sf), top, 10, seed=None)
+    movies = enrich(si.movies(spark, sf).select("mid", "name"), avgs)
+    out = movies_by_ids(movies, recs.select("uid", "rank", "source", "mid"))
+    return out.select("uid", "rank", "source", "mid", "name", r6("score").alias("avg_score"))
+
+
+@register("l6_wish_movies")
+def l6_wish_movies(spark, sf):
+    """The wish flow: ALS user lists, best 10 (L6) -> fallback for users
+    without a list (U2) -> movies with average score (J7, J8).  Rows only
+    (the factorisation is iterative)."""
+    from marquee.operators import statistics as st
+    from marquee.operators.blend import with_fallback
+    from marquee.operators.model import train_als, user_recommendations
+    from marquee.operators.serving import enrich, movies_by_ids
+    ratings = si.ratings(spark, sf)
+    recs = user_recommendations(train_als(ratings), si.movies(spark, sf), 10)
+    avgs = st.average_movies_score(ratings)
+    top = st.ranked_genres(si.movies(spark, sf), avgs, 10)
+    out = with_fallback(recs, si.users(spark, sf), top, 10, seed=42)
+    movies = enrich(si.movies(spark, sf).select("mid", "name"), avgs)
+    return movies_by_ids(movies, out.select("uid", "rank", "source", "mid"))
+
+
+@register("l7_stream_recs_top", _hybrid_sql() + """
+SELECT uid, CAST(rank AS INTEGER) AS rank, mid, round(score, 6) AS score FROM (
+  SELECT uid, mid, score, row_number() OVER (PARTITION BY uid ORDER BY round(score, 9) DESC, mid) AS rank
+  FROM stream) WHERE rank <= 5""")
+def l7_stream_recs_top(spark, sf):
+    """Best 5 of each user's streaming list (L7 over the T5 table)."""
+    from marquee.operators import scoring as sc
+    from marquee.operators.serving import best_of_lists, explode_recs
+    from marquee.plans.queries_model import _score_events
+    ev = si.rating_events(spark, sf)
+    lists = sc.latest_recs(ev, _score_events(spark, sf))
+    out = explode_recs(best_of_lists(lists.select("uid", "recs"), ev.select("uid").distinct(), "uid", 5), ["uid"])
+    return out.withColumn("score", r6("score"))
