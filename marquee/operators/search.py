@@ -52,15 +52,41 @@ class Index:
     field_stats: DataFrame  # (field, n_docs, avgdl)
 
 
+def _run_starts(sorted_tokens: Column) -> Column:
+    """0-based positions where a new term starts in a sorted token array."""
+    s = sorted_tokens
+    n = F.size(s)
+    return F.when(n > 0, F.filter(F.sequence(F.lit(0), n - 1),
+                                  lambda p: (p == 0) | (F.get(s, p) != F.get(s, p - 1))))\
+        .otherwise(F.array().cast("array<int>"))
+
+
+def _term_counts(s: Column, starts: Column, n: Column) -> Column:
+    """(term, tf) pairs from the sorted tokens and their run starts (both
+    materialised columns, so each is computed once per row)."""
+    return F.transform(starts, lambda p, k: F.struct(
+        F.get(s, p).alias("term"), (F.coalesce(F.get(starts, k + 1), n) - p).cast("long").alias("tf")))
+
+
 def build_postings(docs: DataFrame, id_col: str, fields: tuple[str, ...]) -> Index:
-    """Inverted index over ``fields`` of ``docs``."""
-    rows = None
+    """Inverted index over ``fields`` of ``docs``.
+
+    Term frequencies and document lengths are computed inside each document
+    row (sorted tokens, run lengths), so the postings need no shuffle; only
+    document frequencies (one window on (field, term)) and the per-field
+    statistics (one row per field) aggregate across documents.
+    """
+    base = None
     for f in fields:
         r = docs.select(F.lit(f).alias("field"), F.col(id_col).alias("doc"),
-                        F.explode(tokens(f)).alias("term"))
-        rows = r if rows is None else rows.unionByName(r)
-    postings = rows.groupBy("field", "term", "doc").agg(F.count(F.lit(1)).alias("tf"))
-    doc_len = postings.groupBy("field", "doc").agg(F.sum("tf").alias("dl"))
+                        F.array_sort(tokens(f)).alias("s"))
+        base = r if base is None else base.unionByName(r)
+    base = base.select("field", "doc", "s", F.size("s").cast("long").alias("dl"))
+    runs = base.select("field", "doc", "s", "dl", _run_starts(F.col("s")).alias("starts"))
+    postings = (runs.select("field", "doc", "dl",
+                            F.explode(_term_counts(F.col("s"), F.col("starts"), F.col("dl"))).alias("p"))
+                .select("field", F.col("p.term").alias("term"), "doc", F.col("p.tf").alias("tf"), "dl"))
+    doc_len = base.filter(F.col("dl") > 0).select("field", "doc", "dl")
     term_df = postings.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
     field_stats = doc_len.groupBy("field").agg(F.count(F.lit(1)).alias("n_docs"),
                                                F.avg("dl").alias("avgdl"))
@@ -73,9 +99,11 @@ def _idf(n_docs, df) -> Column:
 
 def scored_postings(ix: Index) -> DataFrame:
     """(field, term, doc, w): the BM25 weight of each posting, computed once
-    and reused by every query."""
-    p = (ix.postings.join(ix.doc_len, ["field", "doc"])
-         .join(ix.term_df, ["field", "term"])
+    and reused by every query.  The document frequency is a window on
+    (field, term), so the result stays partitioned by (field, term) -- the
+    key the query joins use."""
+    df = F.count(F.lit(1)).over(Window.partitionBy("field", "term"))
+    p = (ix.postings.withColumn("df", df)
          .join(F.broadcast(ix.field_stats), "field"))   # one row per field
     norm = F.col("tf") + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("dl") / F.col("avgdl"))
     w = _idf(F.col("n_docs"), F.col("df")) * F.col("tf") / norm
@@ -103,11 +131,10 @@ def search(ix: Index, queries: DataFrame, fields: tuple[str, ...], n: int = 100,
     score wins -> (qid, rank, doc, score).  A query token repeated k times
     counts k times."""
     q = (queries.select("qid", F.explode(tokens("text")).alias("term"))
-         .groupBy("qid", "term").agg(F.count(F.lit(1)).alias("qtf")))
-    fl = queries.sparkSession.createDataFrame([(f,) for f in fields], "field string")
+         .groupBy("qid", "term").agg(F.count(F.lit(1)).alias("qtf"))
+         .withColumn("field", F.explode(F.array(*[F.lit(f) for f in fields]))))
     w = weights if weights is not None else scored_postings(ix)
-    w = w.join(F.broadcast(fl), "field", "left_semi")     # at most len(fields) rows
-    per_field = (q.join(w, "term")
+    per_field = (q.join(w, ["field", "term"])
                  .groupBy("qid", "field", "doc").agg(F.sum(F.col("qtf") * F.col("w")).alias("s")))
     best = per_field.groupBy("qid", "doc").agg(F.max("s").alias("score"))
     return _top_n(best, "qid", n)
@@ -239,7 +266,7 @@ def _sparse_top_n(n: int, exclude_self: bool, chunk: int = 512):
 
 
 def sparse_top_n(q: DataFrame, d: DataFrame, n: int, exclude_self: bool = False,
-                 rows_per_block: int = 4096, entries_per_block: int = 1_000_000) -> DataFrame:
+                 rows_per_block: int = 4096, entries_per_block: int = 250_000) -> DataFrame:
     """Top ``n`` docs per query by sparse dot product -> (qid, rank, doc, score).
 
     ``q`` has (qid, key, qw) and ``d`` has (doc, key, w).  Queries and docs

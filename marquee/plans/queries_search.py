@@ -91,7 +91,7 @@ def _movie_docs(spark, sf):
 SELECT field, term, doc, tf FROM postings""")
 def x1_build_postings(spark, sf):
     ix = se.build_postings(si.documents(spark, sf), "doc_id", ("text",))
-    return ix.postings
+    return ix.postings.select("field", "term", "doc", "tf")
 
 
 @register("x2_search", "WITH " + _index_sql("SELECT doc_id AS doc, text FROM documents", ("text",))[2:]
