@@ -24,8 +24,12 @@ def r6(c):
     return F.round(F.col(c) if isinstance(c, str) else c, 6)
 
 
-def _sims(spark, sf, threshold=TEST_THRESHOLD):
-    return sim.item_similarity(si.item_factors(spark, sf), threshold)
+def _sims(spark, sf, threshold=TEST_THRESHOLD, reused=False):
+    """The similarity table; ``reused=True`` writes it once to the shared
+    checkpoint folder (``checkpoint()``) so plans that read it several times
+    do not repeat the block products."""
+    s = sim.item_similarity(si.item_factors(spark, sf), threshold)
+    return s.checkpoint(eager=True) if reused else s
 
 
 def _sims_sql(threshold):
@@ -109,7 +113,7 @@ _SCORING_VIEWS = with_views(*SCORING_VIEWS) + ", " + SCORING_CTES
 
 
 def _score_events(spark, sf):
-    return sc.score_events(si.rating_events(spark, sf), si.ratings(spark, sf), _sims(spark, sf),
+    return sc.score_events(si.rating_events(spark, sf), si.ratings(spark, sf), _sims(spark, sf, reused=True),
                            N_RECENT, N_CAND, TEST_THRESHOLD)
 
 

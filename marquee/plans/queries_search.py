@@ -159,7 +159,7 @@ def _hybrid_parts(spark, sf):
     w = Window.partitionBy("uid").orderBy(F.col("ts").desc(), F.col("event_id").desc())
     req = (ev.withColumn("_r", F.row_number().over(w)).filter("_r = 1")
            .select("uid", F.col("mid").alias("anchor_mid")))
-    sims = _sims(spark, sf)
+    sims = _sims(spark, sf, reused=True)
     similar = sims.select(F.col("mid").alias("anchor"), F.col("sim_mid").alias("mid"), F.col("sim").alias("score"))
     docs = _movie_docs(spark, sf).withColumnRenamed("mid", "doc")
     ix = se.build_postings(docs, "doc", MOVIE_FIELDS)

@@ -84,11 +84,10 @@ def _online_loop_root(spark, sf):
         return root
     from marquee.plans.queries_model import N_CAND, N_RECENT, TEST_THRESHOLD, _sims
     root, ck = scratch_path(spark, "loop"), scratch_path(spark, "ck-loop")
-    sims = _sims(spark, sf).persist()
+    sims = _sims(spark, sf, reused=True)
     q = pl.run_online_loop(spark, _log_source(spark, sf), si.ratings(spark, sf), sims, root, ck,
                            si.RATING_MARKER, N_RECENT, N_CAND, TEST_THRESHOLD, AVAILABLE_NOW)
     q.awaitTermination()
-    sims.unpersist()
     spark.conf.set(key, root)
     return root
 

@@ -171,6 +171,104 @@ def recent_ratings_stream(events: DataFrame, cap: int = QUEUE_CAP, read: int = R
         outputMode="Append", timeMode="None", initialState=init)
 
 
+# ---------------------------------------------- keyed state of the online loop
+
+LOOP_OUT = T.StructType([
+    T.StructField("event_id", T.LongType()),
+    T.StructField("uid", T.IntegerType()),
+    T.StructField("mid", T.IntegerType()),
+    T.StructField("score", T.DoubleType()),
+    T.StructField("ts", T.LongType()),
+    T.StructField("kind", T.StringType()),      # 'r' recent rating, 'c' candidate
+    T.StructField("pos", T.IntegerType()),
+    T.StructField("x_mid", T.IntegerType()),
+    T.StructField("x_val", T.DoubleType()),
+])
+
+
+class OnlineState(StatefulProcessor):
+    """T3 + J6 + W3 in the state store, keyed by uid.
+
+    State per user: the recent queue (newest ``cap`` ratings) and the set of
+    movies the user has rated (loaded once from the ratings table through
+    ``initialState``, then extended by every event).  Input rows are events
+    already joined with their similar movies (cand, csim).  For each event
+    in (ts, event_id) order it emits the newest ``read`` ratings (kind 'r')
+    and the ``n_cand`` most similar movies not yet rated (kind 'c').  No
+    micro-batch scans the ratings table; a user's state is read only when
+    the user has an event, and the seen set is bounded by the catalogue.
+    """
+
+    def __init__(self, cap: int = QUEUE_CAP, read: int = RECENT_READ, n_cand: int = 20):
+        self.cap, self.read, self.n_cand = cap, read, n_cand
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.queue = handle.getListState("queue", _QUEUE_SCHEMA)
+        self.seen = handle.getListState("seen", "mid int")
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        mids = sorted(set(int(m) for m in initialState["mid"].tolist()))
+        if self.seen.exists():
+            mids = sorted(set(mids) | {int(x[0]) for x in self.seen.get()})
+        self.seen.put([(m,) for m in mids])
+
+    def handleInputRows(self, key, rows, timerValues):
+        uid = int(key[0])
+        pdf = pd.concat(list(rows), ignore_index=True)
+        events = pdf.drop_duplicates("event_id").sort_values(["ts", "event_id"])
+        cands = pdf[pdf["cand"].notna()]
+        by_event = {eid: g.sort_values(["csim", "cand"], ascending=[False, True])
+                    for eid, g in cands.groupby("event_id")}
+        q = [tuple(x) for x in self.queue.get()] if self.queue.exists() else []
+        seen = {int(x[0]) for x in self.seen.get()} if self.seen.exists() else set()
+        new_seen, out = [], []
+        for r in events.itertuples(index=False):
+            eid, mid, sc_, ts = int(r.event_id), int(r.mid), float(r.score), int(r.ts)
+            head = (eid, uid, mid, sc_, ts)
+            q.append((ts, eid, mid, sc_))
+            q.sort()
+            older = [e for e in q if (e[0], e[1]) <= (ts, eid)][-self.read:]
+            for pos, e in enumerate(reversed(older)):
+                out.append(head + ("r", pos, e[2], e[3]))
+            q = q[-self.cap:]
+            if mid not in seen:
+                seen.add(mid)
+                new_seen.append((mid,))
+            g = by_event.get(eid)
+            if g is not None:
+                pos = 0
+                for c in g.itertuples(index=False):
+                    cm = int(c.cand)
+                    if cm in seen:
+                        continue
+                    out.append(head + ("c", pos, cm, float(c.csim)))
+                    pos += 1
+                    if pos >= self.n_cand:
+                        break
+        self.queue.put(q)
+        if new_seen:
+            self.seen.appendList(new_seen)
+        if out:
+            yield pd.DataFrame(out, columns=LOOP_OUT.fieldNames()).astype(
+                {"uid": "int32", "mid": "int32", "pos": "int32", "x_mid": "int32"})
+
+    def close(self) -> None:
+        pass
+
+
+def online_state_stream(events: DataFrame, sims: DataFrame, ratings: DataFrame,
+                        cap: int = QUEUE_CAP, read: int = RECENT_READ, n_cand: int = 20) -> DataFrame:
+    """Events -> stream-static join with the similarity table (the static
+    side is re-read each micro-batch, so new similarities are seen) ->
+    keyed state -> LOOP_OUT rows.  ``ratings`` seeds the seen sets once."""
+    s = sims.select("mid", F.col("sim_mid").alias("cand"), F.col("sim").alias("csim"))
+    joined = events.join(s, "mid", "left")
+    init = ratings.select("uid", "mid").distinct().groupBy("uid")
+    return joined.groupBy("uid").transformWithStateInPandas(
+        statefulProcessor=OnlineState(cap, read, n_cand), outputStructType=LOOP_OUT,
+        outputMode="Append", timeMode="None", initialState=init)
+
+
 # ------------------------------------------------------- versioned tables
 
 def _fs(spark, path):
@@ -268,32 +366,22 @@ def current_ratings(spark, root: str, base: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------- the online loop
 
-def score_batch(spark: SparkSession, batch: DataFrame, batch_id: int, ratings_base: DataFrame,
-                sims: DataFrame, out_root: str, n_recent: int = RECENT_READ, n_cand: int = 20,
-                threshold: float = 0.6) -> None:
-    """T4 + T5 + T7 for one micro-batch of RECENT_OUT rows.
-
-    The seen set is the stored ratings and earlier logged events of the
-    batch's users plus the batch's own events (ordered by (ts, event_id)).
-    The batch's events and its users' new lists are appended as version
-    ``batch_id`` of two change logs.
-    """
+def score_batch(spark: SparkSession, batch: DataFrame, batch_id: int, sims: DataFrame,
+                out_root: str, threshold: float = 0.6) -> None:
+    """T4 + T5 + T7 for one micro-batch of LOOP_OUT rows: score the
+    candidates against the recent ratings (J10 + A8), then append the
+    batch's events and its users' new lists as version ``batch_id`` of two
+    change logs.  The work is proportional to the batch."""
     batch = batch.persist()
     try:
         events = batch.select("event_id", "uid", "mid", "score", "ts").dropDuplicates(["event_id"])
-        recent = batch.filter(F.col("pos") < n_recent).select("event_id", "pos", "r_mid", "r_score")
-        users = events.select("uid").distinct()
-        ev_log = ChangeLog(out_root, "rating_events")
-        prior = ev_log.read(spark, before=batch_id)
-        hist = ratings_base.join(users, "uid", "left_semi")
-        seen_events = events if prior is None else events.unionByName(
-            prior.join(users, "uid", "left_semi").select(*events.columns))
-        seen = sc.first_rated(hist, seen_events)
-        cands = sc.candidates(events, sims, seen, n_cand)
+        recent = batch.filter(F.col("kind") == "r").select(
+            "event_id", "pos", F.col("x_mid").alias("r_mid"), F.col("x_val").alias("r_score"))
+        cands = batch.filter(F.col("kind") == "c").select("event_id", "uid", F.col("x_mid").alias("cand"))
         scores = sc.score_candidates(cands, recent, sims, threshold)
         latest = sc.latest_recs(events, scores)
         ChangeLog(out_root, "StreamRecs").write(latest, batch_id)
-        ev_log.write(events, batch_id)
+        ChangeLog(out_root, "rating_events").write(events, batch_id)
     finally:
         batch.unpersist()
 
@@ -302,14 +390,15 @@ def run_online_loop(spark: SparkSession, source: DataFrame, ratings_base: DataFr
                     sims: DataFrame, out_root: str, checkpoint: str, marker: str,
                     n_recent: int = RECENT_READ, n_cand: int = 20, threshold: float = 0.6,
                     trigger: dict | None = None):
-    """Start the whole loop (T1 -> T2 -> T3 -> foreachBatch T4/T5/T7)."""
+    """Start the whole loop (T1 -> T2 -> T3/J6/W3 state -> foreachBatch
+    T4/T5/T7)."""
     events = rating_message_stream(log_filter_stream(source, marker))
-    recent = recent_ratings_stream(events, QUEUE_CAP, n_recent)
+    state = online_state_stream(events, sims, ratings_base, QUEUE_CAP, n_recent, n_cand)
 
     def each(batch_df, batch_id):
-        score_batch(spark, batch_df, batch_id, ratings_base, sims, out_root, n_recent, n_cand, threshold)
+        score_batch(spark, batch_df, batch_id, sims, out_root, threshold)
 
-    return (recent.writeStream.option("checkpointLocation", checkpoint)
+    return (state.writeStream.option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": TRIGGER_INTERVAL}))
             .foreachBatch(each).start())
 

@@ -19,7 +19,7 @@ def test_online_loop_equals_batch_and_restarts(spark):
     from marquee.plans.registry import QUERIES, load_all
     load_all()
     want = _rows(QUERIES["t5_latest_recs"](spark, SF001))
-    sims = qm._sims(spark, SF001)
+    sims = qm._sims(spark, SF001, reused=True)
     root, ck = scratch_path(spark, "t-loop"), scratch_path(spark, "t-ck")
     src = qs._log_source(spark, SF001)
     q = pl.run_online_loop(spark, src, si.ratings(spark, SF001), sims, root, ck, si.RATING_MARKER,
