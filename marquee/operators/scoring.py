@@ -28,15 +28,50 @@ from marquee.functions.columns import sort_recs
 from marquee.schemas import RECS
 
 
+def user_sequence(events: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Number each user's events 0, 1, 2 ... in (ts, event_id) order
+    without sorting any user's events in a single task.
+
+    Events are range-partitioned on (uid, ts, event_id), so a user with a
+    third of all events spans many partitions; rows are numbered locally
+    per (partition, user) and shifted by the user's row count in earlier
+    partitions (a prefix sum over a table of at most one row per
+    (user, partition)).
+    """
+    n = partitions or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (events.repartitionByRange(n, "uid", "ts", "event_id")
+              .withColumn("_pid", F.spark_partition_id()))
+    local = F.row_number().over(Window.partitionBy("_pid", "uid").orderBy("ts", "event_id")) - 1
+    numbered = ranged.withColumn("_local", local)
+    counts = ranged.groupBy("uid", "_pid").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("uid").orderBy("_pid")
+                              .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select("uid", "_pid", F.coalesce(before, F.lit(0)).alias("_off"))
+    return (numbered.join(offsets, ["uid", "_pid"])
+            .withColumn("seq", (F.col("_local") + F.col("_off")).cast("long"))
+            .drop("_pid", "_local", "_off"))
+
+
 def recent_per_event(events: DataFrame, n_recent: int = 20) -> DataFrame:
     """W2 (per event): rows (event_id, pos, r_mid, r_score); pos 0 is the
-    event itself, higher positions are older ratings of the same user."""
-    w = (Window.partitionBy("uid").orderBy(F.col("ts").asc(), F.col("event_id").asc())
-         .rowsBetween(-(n_recent - 1), 0))
-    lists = events.select("event_id", F.collect_list(F.struct(F.col("mid").alias("r_mid"),
-                                                               F.col("score").alias("r_score"))).over(w).alias("q"))
-    return (lists.select("event_id", F.posexplode(F.reverse("q")).alias("pos", "r"))
-            .select("event_id", F.col("pos").cast("int").alias("pos"), "r.r_mid", "r.r_score"))
+    event itself, higher positions are older ratings of the same user.
+
+    With each user's events numbered by ``user_sequence``, the ratings of
+    event e are the events h with seq(e) - n < seq(h) <= seq(e).  Events are
+    bucketed by floor(seq / n); e joins h on (uid, bucket) for its own and
+    the previous bucket, so every join group holds at most 2n rows however
+    active the user is.
+    """
+    seq = user_sequence(events.select("event_id", "uid", "mid", "score", "ts"))
+    e = seq.select("event_id", "uid", F.col("seq").alias("e_seq"),
+                   F.explode(F.array(F.floor(F.col("seq") / n_recent),
+                                     F.floor(F.col("seq") / n_recent) - 1)).alias("b"))
+    h = seq.select("uid", F.col("seq").alias("h_seq"), F.col("mid").alias("r_mid"),
+                   F.col("score").alias("r_score"), F.floor(F.col("seq") / n_recent).alias("b"))
+    j = (e.join(h, ["uid", "b"])
+         .filter((F.col("h_seq") <= F.col("e_seq")) & (F.col("h_seq") > F.col("e_seq") - n_recent)))
+    return j.select("event_id", (F.col("e_seq") - F.col("h_seq")).cast("int").alias("pos"),
+                    "r_mid", "r_score")
 
 
 def recent_queue(events: DataFrame, n: int = 20) -> DataFrame:

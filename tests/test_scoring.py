@@ -34,3 +34,22 @@ def test_latest_recs_empty_list_replaces(spark):
     scores = spark.createDataFrame([(1, 1, 30, 1.0)], "event_id long, uid int, mid int, score double")
     r = sc.latest_recs(ev, scores).first()
     assert r.event_id == 2 and r.recs == []
+
+
+def test_recent_lists_hot_user_spans_partitions(spark):
+    # user 1 holds most events; sequence numbers must still be exact
+    rows = [(i, 1 if i % 4 else 2 + i % 3, i % 97, float(i % 6), 1000 + i // 3) for i in range(600)]
+    ev = spark.createDataFrame(rows, "event_id long, uid int, mid int, score double, ts long")
+    seq = {r.event_id: r.seq for r in sc.user_sequence(ev, partitions=8).collect()}
+    by_user = {}
+    for eid, uid, mid, score, ts in sorted(rows, key=lambda r: (r[1], r[4], r[0])):
+        by_user.setdefault(uid, []).append((eid, mid, score))
+    for uid, evs in by_user.items():
+        assert [seq[e[0]] for e in evs] == list(range(len(evs)))
+    got = {}
+    for r in sc.recent_per_event(ev, 20).collect():
+        got.setdefault(r.event_id, []).append((r.pos, r.r_mid, r.r_score))
+    for uid, evs in by_user.items():
+        for i, (eid, _, _) in enumerate(evs):
+            want = [(p, evs[i - p][1], evs[i - p][2]) for p in range(min(20, i + 1))]
+            assert sorted(got[eid]) == want
