@@ -77,3 +77,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     machine-local temp folder), unique per call."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def apply_query_defaults(spark: SparkSession) -> None:
+    """Settings every registered query relies on, applied to a session
+    built elsewhere: UTC session zone (epoch and month conversions), the
+    RocksDB state store (keyed streaming state), AQE with skew splitting,
+    and a checkpoint folder (kept if the session names one)."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    for k in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled"):
+        spark.conf.set(k, "true")
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if "RocksDB" not in (spark.conf.get(key, "") or ""):
+        spark.conf.set(key, DEFAULT_CONF[key])
+    checkpoint_dir(spark)
