@@ -277,15 +277,15 @@ def _fs(spark, path):
     return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _complete_versions(spark, path) -> list[int]:
+def _complete_versions(spark, path, prefix: str = "v=") -> list[int]:
     jvm, p, fs = _fs(spark, path)
     if not fs.exists(p):
         return []
     out = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[2:]))
+        if name.startswith(prefix) and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            out.append(int(name[len(prefix):]))
     return sorted(out)
 
 
@@ -315,7 +315,12 @@ class VersionedTable:
 class ChangeLog:
     """S9 for large tables: each micro-batch writes only its own changes as
     ``v=<batch_id>`` (overwritten on retry, so idempotent); the current
-    table is merged on read.  A batch costs O(batch), not O(table)."""
+    table is merged on read.  A batch costs O(batch), not O(table).
+
+    ``compact(upto, reduce)`` writes the merged rows of every version up to
+    ``upto`` as ``c=<upto>``; readers then take the newest compaction plus
+    the versions after it, so reads stay short however long the stream runs.
+    """
 
     def __init__(self, root: str, name: str):
         self.path = f"{root.rstrip('/')}/{name}"
@@ -324,12 +329,31 @@ class ChangeLog:
         df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
 
     def read(self, spark, before: int | None = None) -> DataFrame | None:
-        """All complete versions below ``before`` with their number ``v``."""
-        vs = [v for v in _complete_versions(spark, self.path) if before is None or v < before]
-        if not vs:
+        """Rows of all complete versions below ``before``, with column ``v``."""
+        cs = [c for c in _complete_versions(spark, self.path, "c=") if before is None or c < before]
+        base = cs[-1] if cs else -1
+        vs = [v for v in _complete_versions(spark, self.path)
+              if base < v and (before is None or v < before)]
+        parts = []
+        if base >= 0:
+            parts.append(spark.read.parquet(f"{self.path}/c={base}"))
+        if vs:
+            parts.append(spark.read.option("basePath", self.path)
+                         .parquet(*[f"{self.path}/v={v}" for v in vs]))
+        if not parts:
             return None
-        return (spark.read.option("basePath", self.path)
-                .parquet(*[f"{self.path}/v={v}" for v in vs]))
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+    def compact(self, spark, upto: int, reduce=None) -> None:
+        df = self.read(spark, before=upto + 1)
+        if df is None:
+            return
+        if reduce is not None:
+            df = reduce(df)
+        df.write.mode("overwrite").parquet(f"{self.path}/c={upto}")
 
 
 STREAM_RECS_SCHEMA = T.StructType([
@@ -347,15 +371,20 @@ def upsert_recs(old: DataFrame | None, new: DataFrame) -> DataFrame:
     return old.join(new.select("uid"), "uid", "left_anti").unionByName(new)
 
 
+def newest_per_user(log: DataFrame) -> DataFrame:
+    """Keep, per user, the row of the newest version (column ``v`` kept)."""
+    newest = F.max_by(F.struct("event_id", "recs", "v"), F.col("v"))
+    return (log.groupBy("uid").agg(newest.alias("x"))
+            .select("uid", "x.event_id", "x.recs", "x.v"))
+
+
 def current_stream_recs(spark, root: str) -> DataFrame | None:
     """T5: per user, the list written by the newest batch that had an
     event of that user (an empty list still replaces an older one)."""
     log = ChangeLog(root, "StreamRecs").read(spark)
     if log is None:
         return None
-    newest = F.max_by(F.struct("event_id", "recs"), F.col("v"))
-    return (log.groupBy("uid").agg(newest.alias("x"))
-            .select("uid", "x.event_id", "x.recs"))
+    return newest_per_user(log).drop("v")
 
 
 def current_ratings(spark, root: str, base: DataFrame) -> DataFrame:
@@ -367,7 +396,7 @@ def current_ratings(spark, root: str, base: DataFrame) -> DataFrame:
 # ------------------------------------------------------- the online loop
 
 def score_batch(spark: SparkSession, batch: DataFrame, batch_id: int, sims: DataFrame,
-                out_root: str, threshold: float = 0.6) -> None:
+                out_root: str, threshold: float = 0.6, compact_every: int = 100) -> None:
     """T4 + T5 + T7 for one micro-batch of LOOP_OUT rows: score the
     candidates against the recent ratings (J10 + A8), then append the
     batch's events and its users' new lists as version ``batch_id`` of two
@@ -382,6 +411,9 @@ def score_batch(spark: SparkSession, batch: DataFrame, batch_id: int, sims: Data
         latest = sc.latest_recs(events, scores)
         ChangeLog(out_root, "StreamRecs").write(latest, batch_id)
         ChangeLog(out_root, "rating_events").write(events, batch_id)
+        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            ChangeLog(out_root, "StreamRecs").compact(spark, batch_id, newest_per_user)
+            ChangeLog(out_root, "rating_events").compact(spark, batch_id)
     finally:
         batch.unpersist()
 
@@ -389,14 +421,15 @@ def score_batch(spark: SparkSession, batch: DataFrame, batch_id: int, sims: Data
 def run_online_loop(spark: SparkSession, source: DataFrame, ratings_base: DataFrame,
                     sims: DataFrame, out_root: str, checkpoint: str, marker: str,
                     n_recent: int = RECENT_READ, n_cand: int = 20, threshold: float = 0.6,
-                    trigger: dict | None = None):
+                    trigger: dict | None = None, compact_every: int = 100):
     """Start the whole loop (T1 -> T2 -> T3/J6/W3 state -> foreachBatch
-    T4/T5/T7)."""
+    T4/T5/T7); the change logs are compacted every ``compact_every``
+    batches."""
     events = rating_message_stream(log_filter_stream(source, marker))
     state = online_state_stream(events, sims, ratings_base, QUEUE_CAP, n_recent, n_cand)
 
     def each(batch_df, batch_id):
-        score_batch(spark, batch_df, batch_id, sims, out_root, threshold)
+        score_batch(spark, batch_df, batch_id, sims, out_root, threshold, compact_every)
 
     return (state.writeStream.option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": TRIGGER_INTERVAL}))

@@ -38,3 +38,19 @@ def test_online_loop_equals_batch_and_restarts(spark):
     assert len(pl._complete_versions(spark, f"{root}/StreamRecs")) == n_versions
     assert _rows(pl.current_ratings(spark, root, si.ratings(spark, SF001))) == \
         _rows(QUERIES["t7_upsert_ratings"](spark, SF001))
+
+
+def test_change_log_compaction_keeps_reads(spark):
+    root = scratch_path(spark, "t-log")
+    log = pl.ChangeLog(root, "StreamRecs")
+    schema = "uid int, event_id long, recs array<struct<mid:int,score:double>>"
+    for v, rows in enumerate([[(1, 10, [(5, 1.0)]), (2, 11, [])],
+                              [(1, 12, [(6, 2.0)])],
+                              [(3, 13, [(7, 0.5)]), (2, 14, [(8, 0.1)])]]):
+        log.write(spark.createDataFrame(rows, schema), v)
+    before = _rows(pl.current_stream_recs(spark, root))
+    log.compact(spark, 1, pl.newest_per_user)
+    assert _rows(pl.current_stream_recs(spark, root)) == before
+    assert pl._complete_versions(spark, log.path, "c=") == [1]
+    # compacted rows keep their own version, so newest-wins still works
+    assert sorted((r.uid, r.v) for r in log.read(spark).collect()) == [(1, 1), (2, 0), (2, 2), (3, 2)]
