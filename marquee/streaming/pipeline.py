@@ -207,10 +207,8 @@ class OnlineState(StatefulProcessor):
         self.seen = handle.getListState("seen", "mid int")
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        mids = sorted(set(int(m) for m in initialState["mid"].tolist()))
-        if self.seen.exists():
-            mids = sorted(set(mids) | {int(x[0]) for x in self.seen.get()})
-        self.seen.put([(m,) for m in mids])
+        # called once per user, before any input of the first batch
+        self.seen.put([(m,) for m in sorted(set(int(m) for m in initialState["mid"].tolist()))])
 
     def handleInputRows(self, key, rows, timerValues):
         uid = int(key[0])

@@ -54,3 +54,24 @@ def test_change_log_compaction_keeps_reads(spark):
     assert pl._complete_versions(spark, log.path, "c=") == [1]
     # compacted rows keep their own version, so newest-wins still works
     assert sorted((r.uid, r.v) for r in log.read(spark).collect()) == [(1, 1), (2, 0), (2, 2), (3, 2)]
+
+
+def test_recent_queue_with_initial_state(spark):
+    """P7 dump as the initial state of the T3 queue: the first event of a
+    user sees the dumped entries as its older ratings; the cap holds."""
+    src = scratch_path(spark, "t-src")
+    spark.createDataFrame([(100, 1, 7, 4.0, 1000), (101, 1, 8, 2.0, 1001), (102, 2, 9, 1.0, 1002)],
+                          "event_id long, uid int, mid int, score double, ts long").write.parquet(src)
+    init = spark.createDataFrame([(1, 500, 1, 3, 5.0), (1, 600, 2, 4, 3.0), (1, 400, 3, 5, 1.0)],
+                                 "uid int, ts long, event_id long, mid int, score double")
+    events = spark.readStream.schema("event_id long, uid int, mid int, score double, ts long").parquet(src)
+    out, ck = scratch_path(spark, "t-out"), scratch_path(spark, "t-ck3")
+    q = pl.write_stream(pl.recent_ratings_stream(events, cap=3, read=3, initial=init),
+                        {"format": "parquet", "path": out}, ck, {"availableNow": True})
+    q.awaitTermination()
+    got = {}
+    for r in spark.read.parquet(out).collect():
+        got.setdefault(r.event_id, []).append((r.pos, r.r_mid))
+    assert sorted(got[100]) == [(0, 7), (1, 4), (2, 3)]       # newest 3 incl. the dump
+    assert sorted(got[101]) == [(0, 8), (1, 7), (2, 4)]
+    assert sorted(got[102]) == [(0, 9)]
