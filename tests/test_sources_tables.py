@@ -1,7 +1,6 @@
 """Readers (S1-S3, R14), sinks (S4-S6), maintenance."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from marquee.operators import maintenance as mt
 from marquee.sources import files, tables
