@@ -129,14 +129,23 @@ def search(ix: Index, queries: DataFrame, fields: tuple[str, ...], n: int = 100,
            weights: DataFrame | None = None) -> DataFrame:
     """BM25 of each query (qid, text) over each field; the best field's
     score wins -> (qid, rank, doc, score).  A query token repeated k times
-    counts k times."""
+    counts k times.
+
+    Each field is scored as a blocked sparse product (``sparse_top_n``), so
+    a common term never turns into (query x posting) rows; the overall top n
+    by best field is contained in the union of the per-field top-n lists, so
+    merging those is exact.
+    """
     q = (queries.select("qid", F.explode(tokens("text")).alias("term"))
-         .groupBy("qid", "term").agg(F.count(F.lit(1)).alias("qtf"))
-         .withColumn("field", F.explode(F.array(*[F.lit(f) for f in fields]))))
+         .groupBy("qid", "term").agg(F.count(F.lit(1)).cast("double").alias("qw")))
     w = weights if weights is not None else scored_postings(ix)
-    per_field = (q.join(w, ["field", "term"])
-                 .groupBy("qid", "field", "doc").agg(F.sum(F.col("qtf") * F.col("w")).alias("s")))
-    best = per_field.groupBy("qid", "doc").agg(F.max("s").alias("score"))
+    best = None
+    for f in fields:
+        qf = q.select("qid", F.concat_ws("\u0001", F.lit(f), "term").alias("key"), "qw")
+        wf = w.filter(F.col("field") == f).select("doc", F.concat_ws("\u0001", "field", "term").alias("key"), "w")
+        top = sparse_top_n(qf, wf, n).select("qid", "doc", "score")
+        best = top if best is None else best.unionByName(top)
+    best = best.groupBy("qid", "doc").agg(F.max("score").alias("score"))
     return _top_n(best, "qid", n)
 
 
@@ -183,7 +192,7 @@ TOPN_SCHEMA = T.StructType([
 def _entry_blocks(df: DataFrame, id_col: str, w_col: str, nblocks: int) -> DataFrame:
     """One row per block: (blk, ids, keys, ws) -- the flattened sparse rows
     of the ids hashed to the block."""
-    e = df.select(F.col(id_col).cast("long").alias("id"), "key", F.col(w_col).cast("double").alias("w"))
+    e = df.select(F.col(id_col).alias("id"), "key", F.col(w_col).cast("double").alias("w"))
     e = e.withColumn("blk", F.pmod(F.xxhash64("id"), F.lit(nblocks)).cast("int"))
     return (e.groupBy("blk").agg(F.collect_list(F.struct("id", "key", "w")).alias("l"))
             .select("blk", F.transform("l", lambda x: x["id"]).alias("ids"),
@@ -201,7 +210,7 @@ def _sparse_top_n(n: int, exclude_self: bool, chunk: int = 512):
         for pdf in batches:
             outs = []
             for r in pdf.itertuples(index=False):
-                qa = pd.DataFrame({"id": np.asarray(r.q_ids, dtype=np.int64), "key": r.q_keys,
+                qa = pd.DataFrame({"id": np.asarray(r.q_ids), "key": r.q_keys,
                                    "qw": np.asarray(r.q_ws, dtype=np.float64)})
                 da = pd.DataFrame({"id": np.asarray(r.d_ids, dtype=np.int64), "key": r.d_keys,
                                    "w": np.asarray(r.d_ws, dtype=np.float64)})
@@ -291,7 +300,8 @@ def sparse_top_n(q: DataFrame, d: DataFrame, n: int, exclude_self: bool = False,
     dx = db.withColumn("bi", F.explode(F.sequence(F.lit(0), F.lit(bq - 1))))
     from marquee.operators.similarity import co_partition
     qx, dx = co_partition(qx, dx, bq * bd)
-    cand = qx.join(dx, ["bi", "bj"]).mapInPandas(_sparse_top_n(n, exclude_self), TOPN_SCHEMA)
+    schema = T.StructType([T.StructField("qid", q.schema["qid"].dataType)] + TOPN_SCHEMA.fields[1:])
+    cand = qx.join(dx, ["bi", "bj"]).mapInPandas(_sparse_top_n(n, exclude_self), schema)
     w = Window.partitionBy("qid").orderBy(rank_key("score").desc(), F.col("doc").asc())
     return (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
             .select("qid", F.col("rank").cast("int").alias("rank"), "doc", "score"))
