@@ -46,10 +46,25 @@ def tokens(col) -> Column:
 
 @dataclass
 class Index:
-    postings: DataFrame    # (field, term, doc, tf)
+    postings: DataFrame    # (field, term, doc, tf, dl)
     doc_len: DataFrame     # (field, doc, dl)
     term_df: DataFrame     # (field, term, df)
     field_stats: DataFrame  # (field, n_docs, avgdl)
+    _stats: dict | None = None
+
+    def stats(self) -> dict:
+        """{field: (n_docs, avgdl)} -- one row per indexed field, computed
+        once; used as literals so no plan joins on the field name."""
+        if self._stats is None:
+            self._stats = {r.field: (r.n_docs, r.avgdl) for r in self.field_stats.collect()}
+        return self._stats
+
+    def stat_col(self, which: int) -> Column:
+        expr = None
+        for f, v in self.stats().items():
+            expr = (F.when(F.col("field") == f, F.lit(v[which])) if expr is None
+                    else expr.when(F.col("field") == f, F.lit(v[which])))
+        return expr if expr is not None else F.lit(None)
 
 
 def _run_starts(sorted_tokens: Column) -> Column:
@@ -104,7 +119,7 @@ def scored_postings(ix: Index) -> DataFrame:
     key the query joins use."""
     df = F.count(F.lit(1)).over(Window.partitionBy("field", "term"))
     p = (ix.postings.withColumn("df", df)
-         .join(F.broadcast(ix.field_stats), "field"))   # one row per field
+         .withColumn("n_docs", ix.stat_col(0)).withColumn("avgdl", ix.stat_col(1)))
     norm = F.col("tf") + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("dl") / F.col("avgdl"))
     w = _idf(F.col("n_docs"), F.col("df")) * F.col("tf") / norm
     return p.select("field", "term", "doc", w.alias("w"))
@@ -160,7 +175,7 @@ def more_like_this(ix: Index, anchors: DataFrame, n: int = 10,
     keep the best ``max_query_terms``, and score every other document by
     the BM25 sum of those terms in their field -> (anchor, rank, doc, score).
     """
-    stats = ix.term_df.join(F.broadcast(ix.field_stats), "field")
+    stats = ix.term_df.withColumn("n_docs", ix.stat_col(0))
     wtop = Window.partitionBy("term").orderBy(F.col("df").desc(), F.col("field").asc())
     top_field = (stats.withColumn("_r", F.row_number().over(wtop)).filter("_r = 1")
                  .select("term", F.col("field").alias("top_field"), "df",
