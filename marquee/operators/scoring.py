@@ -110,10 +110,13 @@ def candidates(events: DataFrame, sims: DataFrame, seen: DataFrame, n_cand: int
 def score_candidates(cands: DataFrame, recent: DataFrame, sims: DataFrame,
                      threshold: float = 0.6) -> DataFrame:
     """J10 + A8 + P5: (event_id, uid, mid, score)."""
-    pairs = cands.select("event_id", "uid", "cand").join(recent, "event_id")
-    s = sims.select(F.col("mid").alias("cand"), F.col("sim_mid").alias("r_mid"), "sim")
-    contrib = pairs.join(s, ["cand", "r_mid"]).filter(F.col("sim") > F.lit(float(threshold)))
-    agg = contrib.groupBy("event_id", "uid", "cand").agg(
+    # The small per-event side takes the similarity table's key names, so a
+    # similarity table already partitioned on (mid, sim_mid) is not shuffled.
+    pairs = (cands.select("event_id", "uid", F.col("cand").alias("mid")).join(recent, "event_id")
+             .withColumnRenamed("r_mid", "sim_mid"))
+    contrib = (pairs.join(sims.select("mid", "sim_mid", "sim"), ["mid", "sim_mid"])
+               .filter(F.col("sim") > F.lit(float(threshold))))
+    agg = contrib.groupBy("event_id", "uid", F.col("mid").alias("cand")).agg(
         F.avg(F.col("sim") * F.col("r_score")).alias("base"),
         F.count_if(F.col("r_score") > 3).alias("hi"),
         F.count_if(F.col("r_score") <= 3).alias("lo"))

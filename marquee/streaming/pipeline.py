@@ -256,9 +256,8 @@ class OnlineState(StatefulProcessor):
 
 def online_state_stream(events: DataFrame, sims: DataFrame, ratings: DataFrame,
                         cap: int = QUEUE_CAP, read: int = RECENT_READ, n_cand: int = 20) -> DataFrame:
-    """Events -> stream-static join with the similarity table (the static
-    side is re-read each micro-batch, so new similarities are seen) ->
-    keyed state -> LOOP_OUT rows.  ``ratings`` seeds the seen sets once."""
+    """Events -> stream-static join with the similarity table -> keyed
+    state -> LOOP_OUT rows.  ``ratings`` seeds the seen sets once."""
     s = sims.select("mid", F.col("sim_mid").alias("cand"), F.col("sim").alias("csim"))
     joined = events.join(s, "mid", "left")
     init = ratings.select("uid", "mid").distinct().groupBy("uid")
@@ -416,18 +415,41 @@ def score_batch(spark: SparkSession, batch: DataFrame, batch_id: int, sims: Data
         batch.unpersist()
 
 
+def partitioned_sims(sims: DataFrame, partitions: int | None = None):
+    """The similarity table written once as two bucketed tables in the
+    shared checkpoint folder, bucketed on the keys the loop looks up:
+    ``mid`` (candidates of an event) and (``mid``, ``sim_mid``) (similarity
+    of a candidate to a recent rating).  Bucketed scans keep their hash
+    partitioning, so each micro-batch shuffles only its own small side of
+    these joins, never the similarity table."""
+    import uuid
+    from marquee.session import scratch_path
+    spark = sims.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tag = uuid.uuid4().hex[:12]
+    out = []
+    for keys, name in ((["mid"], f"sims_by_mid_{tag}"), (["mid", "sim_mid"], f"sims_by_pair_{tag}")):
+        (sims.write.mode("overwrite").bucketBy(n, *keys).sortBy(*keys)
+         .option("path", scratch_path(spark, name)).saveAsTable(name))
+        out.append(spark.table(name))
+    return tuple(out)
+
+
 def run_online_loop(spark: SparkSession, source: DataFrame, ratings_base: DataFrame,
                     sims: DataFrame, out_root: str, checkpoint: str, marker: str,
                     n_recent: int = RECENT_READ, n_cand: int = 20, threshold: float = 0.6,
                     trigger: dict | None = None, compact_every: int = 100):
     """Start the whole loop (T1 -> T2 -> T3/J6/W3 state -> foreachBatch
     T4/T5/T7); the change logs are compacted every ``compact_every``
-    batches."""
+    batches.  The similarity table is cached partitioned for the loop's
+    lookups; a new table from the offline job is picked up by restarting
+    the query (its checkpoint keeps the state)."""
+    by_mid, by_pair = partitioned_sims(sims)
     events = rating_message_stream(log_filter_stream(source, marker))
-    state = online_state_stream(events, sims, ratings_base, QUEUE_CAP, n_recent, n_cand)
+    state = online_state_stream(events, by_mid, ratings_base, QUEUE_CAP, n_recent, n_cand)
 
     def each(batch_df, batch_id):
-        score_batch(spark, batch_df, batch_id, sims, out_root, threshold, compact_every)
+        score_batch(spark, batch_df, batch_id, by_pair, out_root, threshold, compact_every)
 
     return (state.writeStream.option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": TRIGGER_INTERVAL}))
