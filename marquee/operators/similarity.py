@@ -163,16 +163,22 @@ def _dot_topk(k: int, positive_only: bool):
                 if len(iu) == 0 or len(ii) == 0:
                     continue
                 s = u @ v.T
-                kk = min(k, s.shape[1])
-                # Per user, the best kk items of this block (ties: lower id
-                # first, so the final per-user ranking is deterministic).
-                order = np.lexsort((np.broadcast_to(ii, s.shape), -s), axis=1)[:, :kk]
-                rows = np.repeat(np.arange(len(iu)), kk)
-                cols = order.reshape(-1)
+                keep = s > 0 if positive_only else np.ones(s.shape, dtype=bool)
+                if s.shape[1] > k:
+                    # entries at least as good as each row's k-th best (ties
+                    # kept), then an exact (score desc, id asc) order below
+                    nth = -np.partition(-s, k - 1, axis=1)[:, k - 1]
+                    keep &= s >= nth[:, None]
+                rows, cols = np.nonzero(keep)
+                if len(rows) == 0:
+                    continue
                 vals = s[rows, cols]
-                keep = vals > 0 if positive_only else np.ones_like(vals, dtype=bool)
-                outs.append(pd.DataFrame({"uid": iu[rows][keep], "mid": ii[cols][keep],
-                                          "score": vals[keep]}))
+                order = np.lexsort((ii[cols], -vals, rows))
+                rows, cols, vals = rows[order], cols[order], vals[order]
+                first = np.r_[0, np.flatnonzero(np.diff(rows)) + 1]
+                pos = np.arange(len(rows)) - np.repeat(first, np.diff(np.r_[first, len(rows)]))
+                sel = pos < k
+                outs.append(pd.DataFrame({"uid": iu[rows[sel]], "mid": ii[cols[sel]], "score": vals[sel]}))
             if outs:
                 yield pd.concat(outs, ignore_index=True).astype(
                     {"uid": "int32", "mid": "int32", "score": "float64"})
@@ -180,7 +186,7 @@ def _dot_topk(k: int, positive_only: bool):
 
 
 def blocked_top_k(user_factors: DataFrame, item_factors: DataFrame, k: int,
-                  positive_only: bool = True, block_rows: int = 2048,
+                  positive_only: bool = True, block_rows: int = 4096,
                   n_users: int | None = None, n_items: int | None = None) -> DataFrame:
     """Top ``k`` items per user by dot product -> (uid, rank, mid, score).
 
