@@ -46,7 +46,7 @@ def _log_source(spark, sf):
                                     "maxFilesPerTrigger": 1})
 
 
-@register("t2_log_stream", ORACLE.get("p2_parse_rating_message"))
+@register("t2_log_stream", ORACLE["p2_parse_rating_message"])
 def t2_log_stream(spark, sf):
     """T1 + T2 + S7 + S8: filter and parse the log stream into a file sink."""
     out, ck = scratch_path(spark, "out-t2"), scratch_path(spark, "ck-t2")
@@ -57,7 +57,7 @@ def t2_log_stream(spark, sf):
             .select(F.col("event_id").alias("offset"), "uid", "mid", "score", "ts"))
 
 
-@register("t3_recent_state_stream", ORACLE.get("p7_load_recent_queue"))
+@register("t3_recent_state_stream", ORACLE["p7_load_recent_queue"])
 def t3_recent_state_stream(spark, sf):
     """The per-user queue state (cap 40) after the whole stream, read
     from the last event of each user."""
@@ -92,7 +92,7 @@ def _online_loop_root(spark, sf):
     return root
 
 
-@register("t5_stream_recs", ORACLE.get("t5_latest_recs"))
+@register("t5_stream_recs", ORACLE["t5_latest_recs"])
 def t5_stream_recs(spark, sf):
     """T4 + T5 + T6 + S9 in a stream: the final per-user lists equal the
     batch result (t5_latest_recs)."""
@@ -102,7 +102,7 @@ def t5_stream_recs(spark, sf):
             .select("uid", "event_id", F.col("r.mid").alias("mid"), r6("r.score").alias("score")))
 
 
-@register("t7_stream_ratings", ORACLE.get("t7_upsert_ratings"))
+@register("t7_stream_ratings", ORACLE["t7_upsert_ratings"])
 def t7_stream_ratings(spark, sf):
     """T7 in a stream: the ratings table after every event was upserted."""
     root = _online_loop_root(spark, sf)
@@ -115,7 +115,7 @@ TAG_SCHEMA = T.StructType([
     T.StructField("ts", T.LongType())])
 
 
-@register("t8_tag_feed_stream", ORACLE.get("t8_apply_new_tags"))
+@register("t8_tag_feed_stream", ORACLE["t8_apply_new_tags"])
 def t8_tag_feed_stream(spark, sf):
     """T8 in a stream: tags from the feed start on arrive as a stream."""
     from marquee.operators.documents import aggregate_tags
