@@ -46,6 +46,7 @@ def get_session(master: str | None = None, app: str = "marquee",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     # Session-level settings also apply when the session already existed.
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
               "spark.sql.adaptive.skewJoin.enabled"):
@@ -91,3 +92,21 @@ def apply_query_defaults(spark: SparkSession) -> None:
     if "RocksDB" not in (spark.conf.get(key, "") or ""):
         spark.conf.set(key, DEFAULT_CONF[key])
     checkpoint_dir(spark)
+    ship_package(spark)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package's code usable in every Python worker, whatever the
+    working directory or path of the calling process.
+
+    ``mapInPandas`` functions and the stateful processors are defined in
+    this package; PySpark's cloudpickle is told to serialise the package's
+    functions and classes by value, so neither executor workers nor the
+    driver-side streaming runner need to import it.
+    """
+    from pyspark import cloudpickle
+
+    import marquee
+    if not getattr(ship_package, "_done", False):
+        cloudpickle.register_pickle_by_value(marquee)
+        ship_package._done = True
