@@ -101,7 +101,13 @@ def build_postings(docs: DataFrame, id_col: str, fields: tuple[str, ...]) -> Ind
     postings = (runs.select("field", "doc", "dl",
                             F.explode(_term_counts(F.col("s"), F.col("starts"), F.col("dl"))).alias("p"))
                 .select("field", F.col("p.term").alias("term"), "doc", F.col("p.tf").alias("tf"), "dl"))
-    doc_len = base.filter(F.col("dl") > 0).select("field", "doc", "dl")
+    # document lengths straight from the token counts (no sort needed)
+    lens = None
+    for f in fields:
+        r = docs.select(F.lit(f).alias("field"), F.col(id_col).alias("doc"),
+                        F.size(tokens(f)).cast("long").alias("dl"))
+        lens = r if lens is None else lens.unionByName(r)
+    doc_len = lens.filter(F.col("dl") > 0)
     term_df = postings.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
     field_stats = doc_len.groupBy("field").agg(F.count(F.lit(1)).alias("n_docs"),
                                                F.avg("dl").alias("avgdl"))
@@ -217,7 +223,7 @@ def _entry_blocks(df: DataFrame, id_col: str, w_col: str, nblocks: int) -> DataF
 
 # Above this many (doc, key) cells a block pair merges sparse entries
 # instead of multiplying dense matrices.
-DENSE_LIMIT = 32_000_000
+DENSE_LIMIT = 4_000_000
 
 
 def _sparse_top_n(n: int, exclude_self: bool, chunk: int = 512):
@@ -234,9 +240,8 @@ def _sparse_top_n(n: int, exclude_self: bool, chunk: int = 512):
                     continue
                 d_ids, d_idx = np.unique(da["id"].to_numpy(), return_inverse=True)
                 q_ids, q_idx = np.unique(qa["id"].to_numpy(), return_inverse=True)
-                keys, k_idx = np.unique(np.concatenate([qa["key"].to_numpy(dtype=object),
-                                                        da["key"].to_numpy(dtype=object)]).astype(str),
-                                        return_inverse=True)
+                k_idx, keys = pd.factorize(np.concatenate([qa["key"].to_numpy(dtype=object),
+                                                           da["key"].to_numpy(dtype=object)]))
                 qk, dk = k_idx[:len(qa)], k_idx[len(qa):]
                 nd, nk = len(d_ids), len(keys)
                 dense = nk * nd <= DENSE_LIMIT
