@@ -104,9 +104,16 @@ def ship_package(spark: SparkSession) -> None:
     functions and classes by value, so neither executor workers nor the
     driver-side streaming runner need to import it.
     """
+    import os
+
     from pyspark import cloudpickle
 
     import marquee
-    if not getattr(ship_package, "_done", False):
-        cloudpickle.register_pickle_by_value(marquee)
-        ship_package._done = True
+    if getattr(ship_package, "_done", False):
+        return
+    ship_package._done = True
+    root = os.path.dirname(os.path.dirname(os.path.abspath(marquee.__file__)))
+    paths = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if os.path.abspath(os.getcwd()) == root or root in paths:
+        return        # workers start in this folder or with it on their path
+    cloudpickle.register_pickle_by_value(marquee)
