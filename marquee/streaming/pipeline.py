@@ -17,6 +17,8 @@ duplicates or loses rows.  Checkpoints go under ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +42,23 @@ LOG_SCHEMA = T.StructType([
 ])
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None = None):
+    """Start streaming queries with ``n`` shuffle (and state-store)
+    partitions: by default ``marquee.state.partitions`` or the cluster's
+    cores.  A streaming query fixes this number when it first starts (it is
+    kept in the checkpoint), so it is sized to the cluster, not to the
+    batch-job setting; the session value is restored afterwards."""
+    n = n or int(spark.conf.get("marquee.state.partitions", None)
+                 or spark.sparkContext.defaultParallelism)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        yield n
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 # ------------------------------------------------------------ sources/sinks
 
 def rating_stream(spark: SparkSession, opts: dict) -> DataFrame:
@@ -70,6 +89,11 @@ def rating_stream(spark: SparkSession, opts: dict) -> DataFrame:
 def write_stream(df: DataFrame, opts: dict, checkpoint: str, trigger: dict | None = None):
     """Write a stream to a topic (key kept) or to files, with a
     checkpoint so the sink is exactly-once across restarts."""
+    with state_partitions(df.sparkSession):
+        return _write_stream(df, opts, checkpoint, trigger)
+
+
+def _write_stream(df: DataFrame, opts: dict, checkpoint: str, trigger: dict | None = None):
     fmt = opts.get("format", "parquet")
     w = df.writeStream.option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"processingTime": TRIGGER_INTERVAL}))
@@ -444,16 +468,17 @@ def run_online_loop(spark: SparkSession, source: DataFrame, ratings_base: DataFr
     batches.  The similarity table is cached partitioned for the loop's
     lookups; a new table from the offline job is picked up by restarting
     the query (its checkpoint keeps the state)."""
-    by_mid, by_pair = partitioned_sims(sims)
-    events = rating_message_stream(log_filter_stream(source, marker))
-    state = online_state_stream(events, by_mid, ratings_base, QUEUE_CAP, n_recent, n_cand)
+    with state_partitions(spark):
+        by_mid, by_pair = partitioned_sims(sims)
+        events = rating_message_stream(log_filter_stream(source, marker))
+        state = online_state_stream(events, by_mid, ratings_base, QUEUE_CAP, n_recent, n_cand)
 
-    def each(batch_df, batch_id):
-        score_batch(spark, batch_df, batch_id, by_pair, out_root, threshold, compact_every)
+        def each(batch_df, batch_id):
+            score_batch(spark, batch_df, batch_id, by_pair, out_root, threshold, compact_every)
 
-    return (state.writeStream.option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"processingTime": TRIGGER_INTERVAL}))
-            .foreachBatch(each).start())
+        return (state.writeStream.option("checkpointLocation", checkpoint)
+                .trigger(**(trigger or {"processingTime": TRIGGER_INTERVAL}))
+                .foreachBatch(each).start())
 
 
 # ------------------------------------------------------------- tag feed
@@ -481,6 +506,7 @@ def run_tag_feed(spark: SparkSession, tag_stream: DataFrame, tags_base: DataFram
         finally:
             b.unpersist()
 
-    return (tag_stream.writeStream.option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"processingTime": TRIGGER_INTERVAL}))
-            .foreachBatch(each).start())
+    with state_partitions(spark):
+        return (tag_stream.writeStream.option("checkpointLocation", checkpoint)
+                .trigger(**(trigger or {"processingTime": TRIGGER_INTERVAL}))
+                .foreachBatch(each).start())
