@@ -53,17 +53,23 @@ def upsert_ratings(base: DataFrame, updates: DataFrame) -> DataFrame:
                     F.coalesce("ts", "new_ts").alias("ts"))
 
 
-def apply_new_tags(tags: DataFrame, docs: DataFrame, updates: DataFrame):
-    """Append tag rows and extend each tagged document's ``tags`` text
-    with ``|tag`` per new tag, in (ts, event_id) order, without dedupe.
-    Returns (new_tags, new_docs)."""
-    new_tags = tags.unionByName(updates.select(*tags.columns))
+def extend_tags(docs: DataFrame, updates: DataFrame) -> DataFrame:
+    """Extend each document's ``tags`` text with ``|tag`` per new tag of
+    ``updates`` (uid, mid, tag, ts, event_id), in (ts, event_id) order,
+    without dedupe; documents without updates are returned unchanged."""
     order = F.struct("ts", "event_id", "tag")
     add = (updates.groupBy("mid").agg(F.array_sort(F.collect_list(order)).alias("l"))
            .select("mid", F.array_join(F.transform("l", lambda x: x["tag"]), "|").alias("add")))
     j = docs.join(add, "mid", "left")
-    new_docs = j.withColumn(
+    return j.withColumn(
         "tags", F.when(F.col("add").isNull(), F.col("tags"))
         .when(F.col("tags").isNull(), F.col("add"))
         .otherwise(F.concat_ws("|", "tags", "add"))).drop("add")
-    return new_tags, new_docs
+
+
+def apply_new_tags(tags: DataFrame, docs: DataFrame, updates: DataFrame):
+    """Append tag rows and extend each tagged document's ``tags`` text
+    with ``|tag`` per new tag, in (ts, event_id) order, without dedupe.
+    Returns (new_tags, new_docs)."""
+    new_tags = tags.unionByName(updates.select(*tags.columns))
+    return new_tags, extend_tags(docs, updates)

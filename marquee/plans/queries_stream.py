@@ -129,4 +129,4 @@ def t8_tag_feed_stream(spark, sf):
     docs = aggregate_tags(old.select("uid", "mid", "tag", "ts"))
     q = pl.run_tag_feed(spark, stream, old, docs, root, ck, AVAILABLE_NOW)
     q.awaitTermination()
-    return pl.VersionedTable(root, "documents").read(spark).select("mid", "tags")
+    return pl.current_documents(spark, root, docs).select("mid", "tags")

@@ -27,7 +27,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from marquee.functions.columns import extract_rating_log, parse_rating_message
 from marquee.operators import scoring as sc
-from marquee.operators.maintenance import apply_new_tags, upsert_ratings
+from marquee.operators.maintenance import extend_tags, upsert_ratings
 from marquee.schemas import RECS
 
 # Fixed values of the reference loop.
@@ -310,29 +310,6 @@ def _complete_versions(spark, path, prefix: str = "v=") -> list[int]:
     return sorted(out)
 
 
-class VersionedTable:
-    """S9 for small tables: whole-table versions ``v=<batch_id>``; readers
-    take the newest complete version (one with ``_SUCCESS``).  Used where a
-    batch rewrites a bounded table (the tag-feed documents)."""
-
-    def __init__(self, root: str, name: str):
-        self.path = f"{root.rstrip('/')}/{name}"
-
-    def versions(self, spark) -> list[int]:
-        return _complete_versions(spark, self.path)
-
-    def read(self, spark, before: int | None = None, default: DataFrame | None = None,
-             schema: T.StructType | None = None) -> DataFrame | None:
-        vs = [v for v in self.versions(spark) if before is None or v < before]
-        if not vs:
-            return default
-        r = spark.read.schema(schema) if schema is not None else spark.read
-        return r.parquet(f"{self.path}/v={vs[-1]}")
-
-    def write(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
-
-
 class ChangeLog:
     """S9 for large tables: each micro-batch writes only its own changes as
     ``v=<batch_id>`` (overwritten on retry, so idempotent); the current
@@ -384,14 +361,6 @@ STREAM_RECS_SCHEMA = T.StructType([
 ])
 
 
-def upsert_recs(old: DataFrame | None, new: DataFrame) -> DataFrame:
-    """S9 / T5 (whole-table form): replace the rows of every user present
-    in ``new`` (even with an empty list); keep the other users' rows."""
-    if old is None:
-        return new
-    return old.join(new.select("uid"), "uid", "left_anti").unionByName(new)
-
-
 def newest_per_user(log: DataFrame) -> DataFrame:
     """Keep, per user, the row of the newest version (column ``v`` kept)."""
     newest = F.max_by(F.struct("event_id", "recs", "v"), F.col("v"))
@@ -483,26 +452,53 @@ def run_online_loop(spark: SparkSession, source: DataFrame, ratings_base: DataFr
 
 # ------------------------------------------------------------- tag feed
 
+def newest_per_movie(log: DataFrame) -> DataFrame:
+    """Keep, per movie, the document row of the newest version (``v`` kept)."""
+    cols = [c for c in log.columns if c not in ("mid", "v")]
+    newest = F.max_by(F.struct(*cols, "v"), F.col("v"))
+    return log.groupBy("mid").agg(newest.alias("x")).select("mid", *[f"x.{c}" for c in cols + ["v"]])
+
+
+def current_documents(spark, root: str, docs_base: DataFrame, before: int | None = None) -> DataFrame:
+    """The base documents, each overridden by its newest logged row."""
+    log = ChangeLog(root, "documents").read(spark, before=before)
+    if log is None:
+        return docs_base
+    newest = newest_per_movie(log).drop("v")
+    return (docs_base.join(newest.select("mid"), "mid", "left_anti")
+            .unionByName(newest, allowMissingColumns=True))
+
+
+def current_tags(spark, root: str, tags_base: DataFrame) -> DataFrame:
+    """The base tags plus every logged tag row."""
+    log = ChangeLog(root, "tags").read(spark)
+    return tags_base if log is None else tags_base.unionByName(log.select(*tags_base.columns))
+
+
 def run_tag_feed(spark: SparkSession, tag_stream: DataFrame, tags_base: DataFrame,
                  docs_base: DataFrame, out_root: str, checkpoint: str,
-                 trigger: dict | None = None):
+                 trigger: dict | None = None, compact_every: int = 100):
     """T8 as a stream: each micro-batch of tags (uid, mid, tag, ts,
-    event_id) is appended to the tags table and extends the documents'
-    ``tags`` text; both tables get a new version per batch."""
-    tags_t = VersionedTable(out_root, "tags")
-    docs_t = VersionedTable(out_root, "documents")
+    event_id) is appended to the tags log, and only the documents it touches
+    are rewritten (their ``tags`` text extended) as that batch's version of
+    the documents log, so a batch costs O(batch)."""
+    tags_log = ChangeLog(out_root, "tags")
+    docs_log = ChangeLog(out_root, "documents")
 
     def each(batch_df, batch_id):
         b = batch_df.persist()
         try:
-            tags_now = tags_t.read(spark, before=batch_id, default=tags_base)
-            docs_now = docs_t.read(spark, before=batch_id, default=docs_base)
-            new_docs_keys = b.select("mid").distinct().join(docs_now.select("mid"), "mid", "left_anti")
-            docs_now = docs_now.unionByName(new_docs_keys.withColumn("tags", F.lit(None).cast("string")),
-                                            allowMissingColumns=True)
-            new_tags, new_docs = apply_new_tags(tags_now, docs_now, b)
-            tags_t.write(new_tags, batch_id)
-            docs_t.write(new_docs, batch_id)
+            touched = b.select("mid").distinct()
+            now = current_documents(spark, out_root, docs_base, before=batch_id)
+            docs = now.join(touched, "mid", "left_semi")
+            fresh = touched.join(docs.select("mid"), "mid", "left_anti")
+            docs = docs.unionByName(fresh.withColumn("tags", F.lit(None).cast("string")),
+                                    allowMissingColumns=True)
+            docs_log.write(extend_tags(docs, b), batch_id)
+            tags_log.write(b.select(*tags_base.columns), batch_id)
+            if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+                docs_log.compact(spark, batch_id, newest_per_movie)
+                tags_log.compact(spark, batch_id)
         finally:
             b.unpersist()
 
