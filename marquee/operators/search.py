@@ -9,11 +9,14 @@
 * X5                    -- every result is (query key, rank, doc, score).
 
 Scoring follows the published BM25 (k1 = 1.2, b = 0.75,
-idf = ln(1 + (N - df + 0.5) / (df + 0.5))).  Every step is a join or an
-aggregate on (field, term) or (query, doc) keys, partially aggregated before
-its shuffle; a very common term is a skewed join key, which AQE's skew-join
-split handles.  Top n per query is ``row_number() <= n`` (a partial group
-limit runs before the shuffle).  Texts are tokenised whole.
+idf = ln(1 + (N - df + 0.5) / (df + 0.5))).  The index is built without
+per-term shuffles (term counts inside each document row, document frequency
+by one window).  Query scoring is a blocked sparse product
+(``sparse_top_n``): queries and documents are hashed into bounded blocks,
+each block pair is one numpy task, and only each query's top-n candidates
+leave the task -- a very common term never becomes (query x posting) rows.
+The final top n per query is ``row_number() <= n`` (a partial group limit
+runs before the shuffle).  Texts are tokenised whole.
 """
 
 from __future__ import annotations
@@ -121,8 +124,7 @@ def _idf(n_docs, df) -> Column:
 def scored_postings(ix: Index) -> DataFrame:
     """(field, term, doc, w): the BM25 weight of each posting, computed once
     and reused by every query.  The document frequency is a window on
-    (field, term), so the result stays partitioned by (field, term) -- the
-    key the query joins use."""
+    (field, term); per-field statistics enter as literals."""
     df = F.count(F.lit(1)).over(Window.partitionBy("field", "term"))
     p = (ix.postings.withColumn("df", df)
          .withColumn("n_docs", ix.stat_col(0)).withColumn("avgdl", ix.stat_col(1)))
@@ -320,7 +322,9 @@ def sparse_top_n(q: DataFrame, d: DataFrame, n: int, exclude_self: bool = False,
     dx = db.withColumn("bi", F.explode(F.sequence(F.lit(0), F.lit(bq - 1))))
     from marquee.operators.similarity import co_partition
     qx, dx = co_partition(qx, dx, bq * bd)
-    schema = T.StructType([T.StructField("qid", q.schema["qid"].dataType)] + TOPN_SCHEMA.fields[1:])
+    schema = T.StructType([T.StructField("qid", q.schema["qid"].dataType),
+                           T.StructField("doc", d.schema["doc"].dataType),
+                           T.StructField("score", T.DoubleType())])
     cand = qx.join(dx, ["bi", "bj"]).mapInPandas(_sparse_top_n(n, exclude_self), schema)
     w = Window.partitionBy("qid").orderBy(rank_key("score").desc(), F.col("doc").asc())
     return (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
