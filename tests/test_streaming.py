@@ -103,3 +103,19 @@ def test_tag_feed_stream_with_compaction_equals_batch(spark):
     got = sorted(tuple(r) for r in pl.current_documents(spark, root, docs).select("mid", "tags").collect())
     assert got == want
     assert pl.current_tags(spark, root, old).count() == te.count()
+
+
+def test_retried_batch_rewrites_not_duplicates(spark):
+    """score_batch run twice with the same batch id (a retry) leaves one
+    version per log and the same current tables."""
+    root = scratch_path(spark, "t-retry")
+    sims = spark.createDataFrame([(20, 11, 0.9), (20, 10, 0.7)], "mid int, sim_mid int, sim double")
+    rows = [(2, 1, 11, 2.0, 200, "r", 0, 11, 2.0), (2, 1, 11, 2.0, 200, "r", 1, 10, 5.0),
+            (2, 1, 11, 2.0, 200, "c", 0, 20, 0.9)]
+    batch = spark.createDataFrame(rows, pl.LOOP_OUT)
+    for _ in range(2):
+        pl.score_batch(spark, batch, 0, sims, root, threshold=0.6)
+    assert pl._complete_versions(spark, f"{root}/StreamRecs") == [0]
+    recs = pl.current_stream_recs(spark, root).collect()
+    assert len(recs) == 1 and [(x.mid, round(x.score, 9)) for x in recs[0].recs] == [(20, round((1.8 + 3.5) / 2, 9))]
+    assert pl.ChangeLog(root, "rating_events").read(spark).count() == 1
