@@ -66,6 +66,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     path = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="marquee-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if sc.getCheckpointDir() is None:
@@ -104,16 +106,7 @@ def ship_package(spark: SparkSession) -> None:
     functions and classes by value, so neither executor workers nor the
     driver-side streaming runner need to import it.
     """
-    import os
-
     from pyspark import cloudpickle
 
     import marquee
-    if getattr(ship_package, "_done", False):
-        return
-    ship_package._done = True
-    root = os.path.dirname(os.path.dirname(os.path.abspath(marquee.__file__)))
-    paths = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if os.path.abspath(os.getcwd()) == root or root in paths:
-        return        # workers start in this folder or with it on their path
     cloudpickle.register_pickle_by_value(marquee)
