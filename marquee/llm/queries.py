@@ -47,3 +47,57 @@ def op9(spark, sf_dir):
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+
+
+@register("op4_maxscore", """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id query_id, c.vec_id vec_id,
+             CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) score
+      FROM e q JOIN e c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 5""")
+def op4(spark, sf_dir):
+    """Five best inner products of every fiftieth vector."""
+    from marquee.llm.topk import top_k
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return top_k(rows, rows.filter(F.col("vec_id") % 50 == 0))
+
+
+_BASE_QUALITY = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') t FROM documents),
+w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') ws FROM d),
+k AS (SELECT doc_id, list_transform(range(1, greatest(len(ws) - 1, 1)), lambda i: ws[i] || ' ' || ws[i+1] || ' ' || ws[i+2]) tri FROM w),
+u AS (SELECT doc_id, unnest(tri) g, unnest(range(1, len(tri) + 1)) p FROM k),
+r AS (SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, g) n FROM u) WHERE n > 1),
+c AS (SELECT doc_id, count(DISTINCT q) n FROM (SELECT doc_id, unnest([p, p+1, p+2]) q FROM r) GROUP BY 1),
+l AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) ls FROM d)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) n_words,
+       CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) word_chars,
+       CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) n_symbols,
+       CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) n_dup_lines,
+       CAST(coalesce(c.n, 0) AS BIGINT) n_repeat_words
+FROM w JOIN l USING (doc_id) LEFT JOIN c USING (doc_id)"""
+
+
+@register("op6_quality_rules")
+def op6(spark, sf_dir):
+    """Base counts of every document, its distances and the verdict."""
+    from marquee.llm.quality import quality
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                                "base_failed", "kept", F.round("char_js", 6).alias("char_js"), F.round("word_js", 6).alias("word_js"))
+
+
+@register("op8_warc")
+def op8(spark, sf_dir):
+    """Write the pages' archives, read them back, assemble transactions."""
+    from marquee.llm.warc import read_records, transactions, write_archive
+    from marquee.session import scratch_path
+    path = scratch_path(spark, "warc")
+    write_archive(table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
+    rows = transactions(read_records(spark, path, payloads=False))
+    return rows.select("capture.page_id", "capture.payload_bytes", "capture.payload_digest",
+                       F.col("capture.type").alias("record_type"), "capture.refers_to",
+                       (F.coalesce("n_request", F.lit(0)) + F.coalesce("n_metadata", F.lit(0))).alias("n_tied"))
