@@ -101,3 +101,25 @@ def op8(spark, sf_dir):
     return rows.select("capture.page_id", "capture.payload_bytes", "capture.payload_digest",
                        F.col("capture.type").alias("record_type"), "capture.refers_to",
                        (F.coalesce("n_request", F.lit(0)) + F.coalesce("n_metadata", F.lit(0))).alias("n_tied"))
+
+
+@register("op7_repair_files")
+def op7(spark, sf_dir):
+    """Write the token files of all documents and read them back."""
+    import zlib
+
+    from marquee.llm.repair import read_token_files, write_token_files
+    from marquee.session import scratch_path
+    path = scratch_path(spark, "token-files")
+    write_token_files(table(spark, sf_dir, "documents").select("doc_id", "text"), path, tokenizer_path())
+    rows = read_token_files(spark, path, lambda ids: zlib.crc32(ids.astype("<u4").tobytes()))
+    return rows.withColumnRenamed("value", "ids_crc32")
+
+
+@register("op10_substring_dedup")
+def op10(spark, sf_dir):
+    """Every document without the words that smaller ids already have."""
+    from marquee.llm.substring import duplicate_spans, without_spans
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = without_spans(docs, duplicate_spans(docs))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept_words", 256).alias("kept_sha256"))
