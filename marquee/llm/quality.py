@@ -47,7 +47,7 @@ def repeat_words(ws: Column) -> Column:
     three = lambda a, i: (F.get(a, i - 1), F.get(a, i), F.get(a, i + 1))
 
     def covered(a: Column) -> Column:
-        rows = F.array_sort(F.transform(F.sequence(F.lit(1), F.size(a) - 2), lambda i: F.struct(
+        rows = F.sort_array(F.transform(F.sequence(F.lit(1), F.size(a) - 2), lambda i: F.struct(
             F.concat_ws(" ", *three(a, i)).alias("w"), i.alias("i"))))
         return once(rows, repeated)
 
@@ -55,7 +55,7 @@ def repeat_words(ws: Column) -> Column:
         near = lambda r, j: F.get(rows, j)["w"].eqNullSafe(r["w"])
         hit = F.filter(F.transform(rows, lambda r, j: F.when(near(r, j - 1) | near(r, j + 1), r["i"])), lambda i: i.isNotNull())
         return F.aggregate(
-            F.array_sort(hit), F.struct(F.lit(0).alias("n"), F.lit(0).alias("to")),
+            F.sort_array(hit), F.struct(F.lit(0).alias("n"), F.lit(0).alias("to")),
             lambda acc, i: F.struct((acc["n"] + i + 3 - F.greatest(i, acc["to"])).alias("n"), (i + 3).alias("to")),
             lambda acc: acc["n"]).cast("long")
 

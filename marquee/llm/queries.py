@@ -123,3 +123,23 @@ def op10(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = without_spans(docs, duplicate_spans(docs))
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept_words", 256).alias("kept_sha256"))
+
+
+@register("op3_ngram_join")
+def op3(spark, sf_dir):
+    """Set size and component of every document."""
+    from marquee.llm.ngram_join import jaccard_components
+    return jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("op5_line_dedup")
+def op5(spark, sf_dir):
+    """Per document: its lines with a word, and the lines that go."""
+    from marquee.llm.line_dedup import BLANK, _row, repeated_lines
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    gone = repeated_lines(docs)
+    count = F.size(F.filter(F.split("text", "\n"), lambda x: ~x.rlike(BLANK)))
+    rows = docs.select("doc_id", _row("doc_id", "text").alias("row"), F.when(F.col("text").isNull(), 0).otherwise(count).cast("long").alias("n_lines"))
+    return rows.join(gone, "row", "left").select(
+        "doc_id", "n_lines", F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce(F.array_join(F.col("removed").cast("array<string>"), ","), F.lit("")).alias("removed"))
