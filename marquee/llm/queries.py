@@ -143,3 +143,17 @@ def op5(spark, sf_dir):
     return rows.join(gone, "row", "left").select(
         "doc_id", "n_lines", F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce(F.array_join(F.col("removed").cast("array<string>"), ","), F.lit("")).alias("removed"))
+
+
+@register("op2_pii")
+def op2(spark, sf_dir):
+    """Personal data of every document: base counts and all spans."""
+    from marquee.llm.pii import KINDS, find_pii, listed
+    rows = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.size(_of_kind("base", k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    return rows.select("doc_id", *counts, F.sha2(listed(F.col("base")), 256).alias("base_sha256"),
+                       listed(F.concat("base", "found")).alias("spans"))
+
+
+def _of_kind(col: str, kind: str):
+    return F.filter(col, lambda s: s["kind"] == kind)
