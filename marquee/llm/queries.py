@@ -86,7 +86,7 @@ def op6(spark, sf_dir):
     """Base counts of every document, its distances and the verdict."""
     from marquee.llm.quality import quality
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return quality(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+    return quality(docs, carry=["doc_id"]).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                                 "base_failed", "kept", F.round("char_js", 6).alias("char_js"), F.round("word_js", 6).alias("word_js"))
 
 
