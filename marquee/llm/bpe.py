@@ -46,6 +46,17 @@ def byte_symbols() -> list[str]:
     return out
 
 
+def token_texts(path: str) -> list[str]:
+    """The text of every id of a tokenizer file."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    named = {**spec["model"]["vocab"], **{t["content"]: t["id"] for t in spec.get("added_tokens", [])}}
+    out = [""] * (max(named.values()) + 1)
+    for text, i in named.items():
+        out[i] = text
+    return out
+
+
 class BpeModel:
     """Pair tables and splitting pattern read from a tokenizer file."""
 
@@ -55,9 +66,6 @@ class BpeModel:
         model = spec["model"]
         vocab = model["vocab"]
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
-        self.tokens = [""] * (max([*vocab.values(), *self.special.values()]) + 1)
-        for text, i in [*vocab.items(), *self.special.items()]:
-            self.tokens[i] = text
         suffix = model["end_of_word_suffix"]
         shown = byte_symbols()
         self.inner = np.array([vocab[c] for c in shown], np.int64)
@@ -197,7 +205,7 @@ def decode(rows: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     at = rows.columns.index(ids_col)
 
     def run(batches):
-        names = kept(f"names:{path}", lambda: BpeModel(path).tokens)
+        names = kept(f"names:{path}", lambda: token_texts(path))
         n = len(names)
         for b in batches:
             out = []

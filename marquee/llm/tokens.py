@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 import numpy as np
 
-KEEP = 1_000_000
+KEEP = 300_000
 
 
 class _Codes(dict):
