@@ -146,8 +146,8 @@ def top_recs(recs, n: int) -> Column:
 def uid_from_username(name) -> Column:
     """P10: the 32-bit string hash ``h = 31*h + c`` (wrapping), per UTF-16
     code unit, as used to derive a user id from the user name."""
-    chars = F.split(_c(name), "")
-    codes = F.transform(F.filter(chars, lambda s: F.length(s) > 0), lambda s: F.ascii(s).cast("bigint"))
+    units = F.regexp_extract_all(F.hex(F.encode(_c(name), "UTF-16BE")), F.lit("[0-9A-F]{4}"), F.lit(0))
+    codes = F.transform(units, lambda u: F.conv(u, 16, 10).cast("bigint"))
     h = F.aggregate(codes, F.lit(0).cast("bigint"),
                     lambda acc, c: F.pmod(acc * 31 + c, F.lit(4294967296)))
     return F.when(h >= F.lit(2147483648), h - F.lit(4294967296)).otherwise(h).cast("int")

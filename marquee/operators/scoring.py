@@ -28,28 +28,32 @@ from marquee.functions.columns import sort_recs
 from marquee.schemas import RECS
 
 
-def user_sequence(events: DataFrame, partitions: int | None = None) -> DataFrame:
+def user_sequence(events: DataFrame, partitions: int | None = None, rows_per_bucket: int = 100_000) -> DataFrame:
     """Number each user's events 0, 1, 2 ... in (ts, event_id) order
     without sorting any user's events in a single task.
 
-    Events are range-partitioned on (uid, ts, event_id), so a user with a
-    third of all events spans many partitions; rows are numbered locally
-    per (partition, user) and shifted by the user's row count in earlier
-    partitions (a prefix sum over a table of at most one row per
-    (user, partition)).
+    The whole time span is cut into equal stretches (``partitions`` of them,
+    by default one per ``rows_per_bucket`` events), so a user with a third
+    of all events spans many groups.  Rows are numbered within (user,
+    stretch) and shifted by the user's row count in earlier stretches (a
+    prefix sum over at most one row per user and stretch).  Groups depend on
+    values only, so every branch of a plan, any partition count and any
+    retry number alike.
     """
-    n = partitions or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (events.repartitionByRange(n, "uid", "ts", "event_id")
-              .withColumn("_pid", F.spark_partition_id()))
-    local = F.row_number().over(Window.partitionBy("_pid", "uid").orderBy("ts", "event_id")) - 1
-    numbered = ranged.withColumn("_local", local)
-    counts = ranged.groupBy("uid", "_pid").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy("uid").orderBy("_pid")
+    b = events.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"), F.count(F.lit(1)).alias("n")).first()
+    pieces = partitions or max(1, -(-b.n // rows_per_bucket))
+    lo, hi = b.lo or 0, b.hi or 0
+    width = max(1, (hi - lo) // pieces + 1)
+    cut = events.withColumn("_b", F.floor((F.col("ts") - F.lit(lo)) / F.lit(width)))
+    local = F.row_number().over(Window.partitionBy("uid", "_b").orderBy("ts", "event_id")) - 1
+    numbered = cut.withColumn("_local", local)
+    counts = cut.groupBy("uid", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("uid").orderBy("_b")
                               .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select("uid", "_pid", F.coalesce(before, F.lit(0)).alias("_off"))
-    return (numbered.join(offsets, ["uid", "_pid"])
+    offsets = counts.select("uid", "_b", F.coalesce(before, F.lit(0)).alias("_off"))
+    return (numbered.join(offsets, ["uid", "_b"])
             .withColumn("seq", (F.col("_local") + F.col("_off")).cast("long"))
-            .drop("_pid", "_local", "_off"))
+            .drop("_b", "_local", "_off"))
 
 
 def recent_per_event(events: DataFrame, n_recent: int = 20) -> DataFrame:

@@ -205,13 +205,6 @@ def more_like_this(ix: Index, anchors: DataFrame, n: int = 10,
 
 # ------------------------------------------------------- blocked sparse top-n
 
-TOPN_SCHEMA = T.StructType([
-    T.StructField("qid", T.LongType()),
-    T.StructField("doc", T.LongType()),
-    T.StructField("score", T.DoubleType()),
-])
-
-
 def _entry_blocks(df: DataFrame, id_col: str, w_col: str, nblocks: int) -> DataFrame:
     """One row per block: (blk, ids, keys, ws) -- the flattened sparse rows
     of the ids hashed to the block."""
@@ -223,11 +216,6 @@ def _entry_blocks(df: DataFrame, id_col: str, w_col: str, nblocks: int) -> DataF
                     F.transform("l", lambda x: x["w"]).alias("ws")))
 
 
-# Above this many (doc, key) cells a block pair merges sparse entries
-# instead of multiplying dense matrices.
-DENSE_LIMIT = 4_000_000
-
-
 def _sparse_top_n(n: int, exclude_self: bool, chunk: int = 512):
     def run(batches):
         for pdf in batches:
@@ -242,33 +230,23 @@ def _sparse_top_n(n: int, exclude_self: bool, chunk: int = 512):
                     continue
                 d_ids, d_idx = np.unique(da["id"].to_numpy(), return_inverse=True)
                 q_ids, q_idx = np.unique(qa["id"].to_numpy(), return_inverse=True)
-                k_idx, keys = pd.factorize(np.concatenate([qa["key"].to_numpy(dtype=object),
+                k_idx, _ = pd.factorize(np.concatenate([qa["key"].to_numpy(dtype=object),
                                                            da["key"].to_numpy(dtype=object)]))
                 qk, dk = k_idx[:len(qa)], k_idx[len(qa):]
-                nd, nk = len(d_ids), len(keys)
-                dense = nk * nd <= DENSE_LIMIT
-                if dense:
-                    wmat = np.zeros((nd, nk))
-                    wmat[d_idx, dk] = da["w"].to_numpy()
-                else:
-                    dpart = pd.DataFrame({"k": dk, "di": d_idx, "w": da["w"].to_numpy()})
+                nd = len(d_ids)
+                dpart = pd.DataFrame({"k": dk, "di": d_idx, "w": da["w"].to_numpy()})
                 qw = qa["qw"].to_numpy()
                 for start in range(0, len(q_ids), chunk):
                     stop = min(start + chunk, len(q_ids))
                     sel = (q_idx >= start) & (q_idx < stop)
                     nq = stop - start
-                    if dense:
-                        amat = np.zeros((nq, nk))
-                        amat[q_idx[sel] - start, qk[sel]] = qw[sel]
-                        s = amat @ wmat.T
-                    else:
-                        m = pd.DataFrame({"qi": q_idx[sel] - start, "k": qk[sel], "qw": qw[sel]}) \
-                            .merge(dpart, on="k")
-                        if m.empty:
-                            continue
-                        s = np.bincount(m["qi"].to_numpy() * nd + m["di"].to_numpy(),
-                                        weights=m["qw"].to_numpy() * m["w"].to_numpy(),
-                                        minlength=nq * nd).reshape(nq, nd)
+                    m = pd.DataFrame({"qi": q_idx[sel] - start, "k": qk[sel], "qw": qw[sel]}) \
+                        .merge(dpart, on="k")
+                    if m.empty:
+                        continue
+                    s = np.bincount(m["qi"].to_numpy() * nd + m["di"].to_numpy(),
+                                    weights=m["qw"].to_numpy() * m["w"].to_numpy(),
+                                    minlength=nq * nd).reshape(nq, nd)
                     part_ids = q_ids[start:stop]
                     hit = s > 0
                     if exclude_self:

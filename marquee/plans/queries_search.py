@@ -128,7 +128,7 @@ def x3_more_like_this(spark, sf):
 
 def _fuzzy_queries_spark(spark, sf):
     vocab = (si.movies(spark, sf).select(F.explode(se.tokens("genres")).alias("t")).distinct())
-    return (vocab.select(F.explode(F.array("t", F.substring("t", 2, 1000), F.concat("t", F.lit("s"))))
+    return (vocab.select(F.explode(F.array("t", F.expr("substr(t, 2)"), F.concat("t", F.lit("s"))))
                          .alias("text")).distinct().select(F.col("text").alias("qid"), "text"))
 
 

@@ -18,7 +18,8 @@ def test_entry_runs(spark):
 def test_every_query_has_oracle_or_is_known_non_sql():
     qs, sql = ent.queries(), ent.oracle_sql()
     assert set(sql) <= set(qs)
-    assert set(qs) - set(sql) == {"m3_user_recommendations", "m2_predict_pairs", "l6_wish_movies"}
+    own = {q for q in set(qs) - set(sql) if not q.startswith("op") and q != "pipeline"}
+    assert own == {"m3_user_recommendations", "m2_predict_pairs", "l6_wish_movies"}
 
 
 def _norm(v):

@@ -9,31 +9,32 @@ from marquee.functions import columns as c
 
 def java_hash(s: str) -> int:
     h = 0
-    for ch in s:
-        h = (31 * h + ord(ch)) & 0xFFFFFFFF
+    raw = s.encode("utf-16-be")
+    for i in range(0, len(raw), 2):
+        h = (31 * h + (raw[i] << 8 | raw[i + 1])) & 0xFFFFFFFF
     return h - (1 << 32) if h >= (1 << 31) else h
 
 
 def test_extract_rating_log(spark):
     df = spark.createDataFrame(
-        [(1, "INFO x movie_rating:1|31|2.5|1260759144 "), (2, "noise"),
+        [(1, "INFO x movie_rating:4|52|3.5|1300000007 "), (2, "noise"),
          (3, "a movie_rating: 2|3|4.0|5 movie_rating:junk"), (4, "only movie_rating:")],
         "offset long, value string")
     out = {r.offset: r.value for r in c.extract_rating_log(df, "movie_rating:").collect()}
-    assert out == {1: "1|31|2.5|1260759144", 3: "2|3|4.0|5"}
+    assert out == {1: "4|52|3.5|1300000007", 3: "2|3|4.0|5"}
 
 
 def test_parse_rating_message_quarantine(spark):
-    df = spark.createDataFrame([("1|31|2.5|1260759144",), ("x|1|2|3",), ("1|2|3",), ("",)], "value string")
+    df = spark.createDataFrame([("4|52|3.5|1300000007",), ("x|1|2|3",), ("1|2|3",), ("",)], "value string")
     rows = c.parse_rating_message(df, keep_bad=True).orderBy("value").collect()
     good = [r for r in rows if not r.bad]
-    assert [(r.uid, r.mid, r.score, r.ts) for r in good] == [(1, 31, 2.5, 1260759144)]
+    assert [(r.uid, r.mid, r.score, r.ts) for r in good] == [(4, 52, 3.5, 1300000007)]
     assert sum(r.bad for r in rows) == 3
     assert c.parse_rating_message(df).count() == 1
 
 
 def test_month_bucket_fixed_case(spark):
-    df = spark.createDataFrame([(1437338391,), (1435708799,), (1435708800,)], "ts long")
+    df = spark.createDataFrame([(1437000123,), (1435708799,), (1435708800,)], "ts long")
     got = [r.m for r in df.select(c.month_bucket("ts").alias("m")).collect()]
     assert got == [201507, 201506, 201507]     # month boundary in UTC
 
@@ -51,9 +52,9 @@ def test_cosine_zero_vector_is_null(spark):
 
 
 def test_recent_queue_dump(spark):
-    df = spark.createDataFrame([(1, ["31:2.5", "7:4.0", "bad"])], "uid int, entries array<string>")
+    df = spark.createDataFrame([(1, ["52:3.5", "7:4.0", "bad"])], "uid int, entries array<string>")
     got = [(r.pos, r.mid, r.score) for r in c.load_recent_queue(df).orderBy("pos").collect()]
-    assert got == [(0, 31, 2.5), (1, 7, 4.0)]
+    assert got == [(0, 52, 3.5), (1, 7, 4.0)]
 
 
 def test_recs_text_round_trip_and_top(spark):
@@ -66,7 +67,7 @@ def test_recs_text_round_trip_and_top(spark):
 
 
 @settings(max_examples=25, deadline=None)
-@given(st.lists(st.text(alphabet=st.characters(min_codepoint=32, max_codepoint=0x2FFF,
+@given(st.lists(st.text(alphabet=st.characters(min_codepoint=32, max_codepoint=0x1FFFF,
                                                 blacklist_categories=("Cs",)), max_size=12),
                 min_size=1, max_size=5))
 def test_uid_from_username_matches_java_hash(spark, names):
@@ -82,6 +83,6 @@ def test_prefs(spark):
 
 
 def test_format_rating_log(spark):
-    df = spark.createDataFrame([(1, 31, 2.5, 1260759144)], "u int, m int, s double, t long")
+    df = spark.createDataFrame([(4, 52, 3.5, 1300000007)], "u int, m int, s double, t long")
     v = df.select(c.format_rating_log("u", "m", "s", "t", "movie_rating:").alias("v")).first().v
-    assert v == "movie_rating:1|31|2.5|1260759144"
+    assert v == "movie_rating:4|52|3.5|1300000007"

@@ -53,3 +53,24 @@ def test_recent_lists_hot_user_spans_partitions(spark):
         for i, (eid, _, _) in enumerate(evs):
             want = [(p, evs[i - p][1], evs[i - p][2]) for p in range(min(20, i + 1))]
             assert sorted(got[eid]) == want
+
+
+def test_user_sequence_same_for_any_partition_count(spark):
+    """More rows than a range sampler looks at, one user holding a third:
+    the numbers may not depend on the shuffle partitions, nor on which
+    columns a caller keeps."""
+    ev = spark.range(60_000).selectExpr(
+        "id as event_id", "cast(if(id % 3 = 0, 1, id % 997) as int) as uid", "cast(id % 89 as int) as mid",
+        "cast(id % 6 as double) as score", "1000 + (id * 7919) % 50000 as ts")
+    ev.createOrReplaceTempView("many_events")
+    want = "row_number() over (partition by uid order by ts, event_id) - 1"
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("2", "5", "16"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            seq = sc.user_sequence(ev, partitions=7).select("event_id", "mid", "seq")
+            exact = spark.sql(f"select event_id, mid, {want} as want from many_events")
+            got = seq.join(exact, ["event_id", "mid"])
+            assert got.count() == 60_000 and got.filter("seq <> want").count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
