@@ -155,7 +155,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     def run(batches):
         from pyspark import TaskContext
         part = TaskContext.get().partitionId()
-        memory = kept(f"library:{tokenizer}", lambda: WordMemory(LibraryWords(tokenizer)))
+        memory = kept(f"library:{tokenizer}", lambda: WordMemory(LibraryWords(tokenizer), 2 * KEEP))
         names, held, total, shard = [], [], 0, 0
         for pdf in batches:
             ids, sizes = memory.batch(pdf["text"].tolist())

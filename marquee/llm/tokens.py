@@ -11,6 +11,7 @@ from __future__ import annotations
 import sys
 import types
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 
@@ -59,7 +60,7 @@ class WordMemory:
         lists = [t.encode("utf-8", "surrogatepass").split() if t else [] for t in texts]
         n_words = np.fromiter(map(len, lists), np.int64, len(lists))
         get = self.codes.__getitem__
-        code = np.fromiter((c for ws in lists for c in map(get, ws)), np.int32, int(n_words.sum()))
+        code = np.fromiter(map(get, chain.from_iterable(lists)), np.int32, int(n_words.sum()))
         if self.codes.new:
             self._learn()
         size = self.size[code].astype(np.int64)
