@@ -39,7 +39,7 @@ def minimizers(h: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.nd
     return sliding_window_view(g, window - gram + 1).min(axis=1), grams(h, window)
 
 
-def duplicate_spans(docs: DataFrame, window: int = 13, gram: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def duplicate_spans(docs: DataFrame, window: int = 13, gram: int = 6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The factors of each document that has any: ``doc_id`` and ``spans``,
     array<struct<start, stop>> of word positions, stop exclusive."""
     small_batches(docs.sparkSession)
@@ -54,7 +54,7 @@ def duplicate_spans(docs: DataFrame, window: int = 13, gram: int = 4, id_col: st
                 yield pd.DataFrame({"g": np.concatenate(found).view(np.int64), "doc_id": np.repeat(pdf["doc_id"].to_numpy(), sizes)})
 
     grown = rows.mapInPandas(seeds, "g long, doc_id long")
-    shared = grown.groupBy("g").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("g")
+    shared = grown.groupBy("g").agg(F.count("*").alias("n")).filter("n > 1").select("g")
     per_doc = grown.join(shared, "g").groupBy("doc_id").agg(F.collect_set("g").alias("gs"))
 
     def windows(batches):
@@ -70,7 +70,7 @@ def duplicate_spans(docs: DataFrame, window: int = 13, gram: int = 4, id_col: st
             yield pd.DataFrame({"w": np.concatenate(keys).view(np.int64), "doc_id": np.concatenate(names), "at": np.concatenate(at)})
 
     cand = rows.join(per_doc, "doc_id").mapInPandas(windows, "w long, doc_id long, at int")
-    index = cand.groupBy("w").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("w", "first")
+    index = cand.groupBy("w").agg(F.min("doc_id").alias("first"))
     hits = cand.join(index, "w").filter("first < doc_id").groupBy("doc_id").agg(F.sort_array(F.collect_set("at")).alias("ats"))
     return hits.select("doc_id", _factors(F.col("ats"), window).alias("spans"))
 
