@@ -17,34 +17,36 @@ from marquee.llm.common import stored
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp) for every node of ``edges`` (a, b): comp is the smallest
     node of its component.  Distributed union-find by contraction: in each
-    round every node joins its neighbour of least hash (hashes change by
-    round, so long chains shrink by a constant factor too), then edges are
-    rewritten to the roots."""
+    round every node joins its neighbour of least hash, and this one's choice
+    in turn (hashes change by round, so long chains shrink by a constant
+    factor too), then edges are rewritten to the roots.  The rounds' choices
+    are put together at the end."""
     e = stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct(), "cc-edges")
-    labels, turn = None, 0
+    chain = []
     while not e.isEmpty():
-        rank = lambda c, t=turn: F.struct(F.xxhash64(F.lit(t), F.col(c)).alias("h"), F.col(c).alias("id"))
+        rank = lambda c, t=len(chain): F.struct(F.xxhash64(F.lit(t), F.col(c)).alias("h"), F.col(c).alias("id"))
         near = e.select(F.col("a").alias("node"), rank("b").alias("r")).union(e.select(F.col("b").alias("node"), rank("a").alias("r")))
-        root = near.groupBy("node").agg(F.min("r").alias("r")) \
+        step = near.groupBy("node").agg(F.min("r").alias("r")) \
             .select("node", F.least(F.col("r"), rank("node")).getField("id").alias("root"))
-        root = stored(root, "cc-roots")
-        if labels is None:
-            labels = root
-        else:
-            labels = labels.join(root.select(F.col("node").alias("root"), F.col("root").alias("up")), "root", "left") \
-                .select("node", F.coalesce("up", "root").alias("root"))
-        labels = stored(labels, "cc-labels")
+        root = stored(_then(step, step), "cc-roots")
+        chain.append(root)
         e = e.join(root.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a") \
             .join(root.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b") \
             .filter("ra <> rb").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()
         e = stored(e, "cc-edges")
-        turn += 1
-    if labels is None:
+    if not chain:
         return e.select(F.col("a").alias("node"), F.col("b").alias("comp"))
+    labels = stored(reduce(_then, chain), "cc-labels")
     least = labels.groupBy("root").agg(F.min("node").alias("low"))
     return stored(labels.join(least, "root").select("node", F.least("root", "low").alias("comp")), "cc-components")
 
 
+def _then(first: DataFrame, second: DataFrame) -> DataFrame:
+    """(node, root): the root under ``second`` of each root under ``first``."""
+    return first.join(second.select(F.col("node").alias("root"), F.col("root").alias("up")), "root", "left") \
+        .select("node", F.coalesce("up", "root").alias("root"))
+
+
 def link_buckets(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], pair_ok: Callable[[str, str], Column],
                  hub_ok: Callable[[str, str], Column] | None = None, rounds: int = 2) -> DataFrame:
     """Components of the links among rows that share a bucket.
