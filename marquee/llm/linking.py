@@ -47,8 +47,21 @@ def _then(first: DataFrame, second: DataFrame) -> DataFrame:
         .select("node", F.coalesce("up", "root").alias("root"))
 
 
+def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``labels`` (node, comp) with the components that ``links`` (x, y) join."""
+    if labels is None:
+        return components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
+    end = lambda c, to: labels.select(F.col("node").alias(c), F.col("comp").alias(to))
+    edges = links.join(end("x", "cx"), "x", "left").join(end("y", "cy"), "y", "left") \
+        .select(F.coalesce("cx", "x").alias("a"), F.coalesce("cy", "y").alias("b"))
+    up = components(edges)
+    old = labels.join(up.select(F.col("node").alias("comp"), F.col("comp").alias("up")), "comp", "left") \
+        .select("node", F.coalesce("up", "comp").alias("comp"))
+    return stored(old.unionByName(up.join(labels.select("node"), "node", "left_anti")), "link-labels")
+
+
 def link_buckets(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], pair_ok: Callable[[str, str], Column],
-                 hub_ok: Callable[[str, str], Column] | None = None, rounds: int = 2) -> DataFrame:
+                 rounds: int = 2) -> DataFrame:
     """Components of the links among rows that share a bucket.
 
     ``buckets``: (bkt, rid, w, ...); ``verify`` keeps the pairs (x, y) that
@@ -58,38 +71,42 @@ def link_buckets(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], p
     Copies of one text form large buckets whose members nearly all link to
     the same row.  So each bucket first compares its members with one hub
     (largest ``w``); members found linked share a component.  Later rounds
-    take a hub outside the bucket's largest component.  Last, every pair of
-    a bucket that is still in two components is checked, which makes the
+    take a hub outside the bucket's largest component.  A hub's own pairs
+    are settled then, so it leaves the bucket, and buckets left with one
+    component leave too; no pair is verified twice.  Last, every pair of a
+    bucket that is still in two components is checked, which makes the
     result exact; only rows outside the largest component start a pair."""
-    hub_ok = hub_ok or pair_ok
-    buckets = stored(buckets, "link-buckets")
-    own = [c for c in buckets.columns if c != "bkt"]
-    links, labels = [], None
+    rest, tried, labels = stored(buckets, "link-buckets"), None, None
+    empty = rest.select(F.col("rid").alias("node"), F.col("rid").alias("comp")).limit(0)
+    own = [c for c in rest.columns if c != "bkt"]
     for turn in range(rounds + 1):
-        b = buckets.withColumn("comp", F.col("rid")) if labels is None else \
-            buckets.join(labels.withColumnRenamed("node", "rid"), "rid", "left").withColumn("comp", F.coalesce("comp", "rid"))
-        b = b.select("bkt", F.struct(*own, "comp").alias("y"))
-        if turn == 0:
-            some = b
-        else:
-            large = b.groupBy("bkt", F.col("y.comp").alias("comp")).agg(F.count("*").alias("n")) \
+        if turn:
+            b = rest.withColumn("comp", F.col("rid")) if labels is None else \
+                rest.join(labels.withColumnRenamed("node", "rid"), "rid", "left").withColumn("comp", F.coalesce("comp", "rid"))
+            large = b.groupBy("bkt", "comp").agg(F.count("*").alias("n")) \
                 .groupBy("bkt").agg(F.max_by("comp", F.struct("n", "comp")).alias("large"), F.count("*").alias("k")).filter("k > 1")
-            some = b.join(large.drop("k"), "bkt").filter("y.comp <> large")
+            rest = stored(b.join(large.drop("k"), "bkt"), "link-rest")
+            if rest.isEmpty():
+                break
+            b = rest.select("bkt", "large", F.struct(*own, "comp").alias("y"))
+            some = rest.filter("comp <> large")
+            rest = rest.drop("comp", "large")
+        else:
+            b = rest.select("bkt", F.lit(None).cast("long").alias("large"), F.struct(*own, F.col("rid").alias("comp")).alias("y"))
+            some = rest
+        hub = some.groupBy("bkt").agg(F.max(F.struct("w", "rid")).getField("rid").alias("hub"))
         if turn < rounds:
-            hub = some.groupBy("bkt").agg(F.max_by("y", F.struct("y.w", "y.rid")).alias("x"))
-            pairs = b.join(hub, "bkt").filter((F.col("x.comp") != F.col("y.comp")) & hub_ok("x", "y"))
+            hubs = b.join(hub, "bkt").filter(F.col("y.rid") == F.col("hub")).select("bkt", F.col("y").alias("x"))
+            pairs = b.join(hubs, "bkt").filter((F.col("x.comp") != F.col("y.comp")) & pair_ok("x", "y"))
+            rest = rest.join(hub, "bkt").filter("rid <> hub").drop("hub")
         else:
-            start = some.withColumnRenamed("y", "x")
+            start = b.filter("y.comp <> large").select("bkt", F.col("y").alias("x"))
             pairs = start.join(b, "bkt").filter((F.col("x.comp") != F.col("y.comp")) & pair_ok("x", "y")
                                                 & ((F.col("y.comp") == F.col("large")) | (F.col("x.rid") < F.col("y.rid"))))
         pairs = pairs.select(F.least("x.rid", "y.rid").alias("x"), F.greatest("x.rid", "y.rid").alias("y")).distinct()
+        pairs = stored(pairs if tried is None else pairs.join(tried, ["x", "y"], "left_anti"), "link-pairs")
+        tried = pairs if tried is None else tried.unionAll(pairs)
         found = stored(verify(pairs), "links")
-        if found.isEmpty():
-            if turn == rounds:
-                break
-            continue
-        links.append(found.select(F.col("x").alias("a"), F.col("y").alias("b")))
-        labels = components(reduce(DataFrame.unionAll, links))
-    if labels is None:
-        return buckets.select(F.col("rid").alias("node"), F.col("rid").alias("comp")).limit(0)
-    return labels
+        if not found.isEmpty():
+            labels = _merged(labels, found)
+    return empty if labels is None else labels
