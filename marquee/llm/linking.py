@@ -61,12 +61,13 @@ def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
 
 
 def link_buckets(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], pair_ok: Callable[[str, str], Column],
-                 rounds: int = 2) -> DataFrame:
+                 hub_ok: Callable[[str, str], Column] | None = None, rounds: int = 2) -> DataFrame:
     """Components of the links among rows that share a bucket.
 
     ``buckets``: (bkt, rid, w, ...); ``verify`` keeps the pairs (x, y) that
-    truly link; ``pair_ok('x', 'y')`` is a cheap necessary condition on the
-    struct columns x and y of two bucket rows.
+    truly link; ``pair_ok('x', 'y')`` is a cheap condition on the struct
+    columns x and y of two bucket rows that every link meets in some bucket;
+    ``hub_ok`` is used instead for pairs with a hub, and may be looser.
 
     Copies of one text form large buckets whose members nearly all link to
     the same row.  So each bucket first compares its members with one hub
@@ -76,6 +77,7 @@ def link_buckets(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], p
     component leave too; no pair is verified twice.  Last, every pair of a
     bucket that is still in two components is checked, which makes the
     result exact; only rows outside the largest component start a pair."""
+    hub_ok = hub_ok or pair_ok
     rest, tried, labels = stored(buckets, "link-buckets"), None, None
     empty = rest.select(F.col("rid").alias("node"), F.col("rid").alias("comp")).limit(0)
     own = [c for c in rest.columns if c != "bkt"]
@@ -97,7 +99,7 @@ def link_buckets(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], p
         hub = some.groupBy("bkt").agg(F.max(F.struct("w", "rid")).getField("rid").alias("hub"))
         if turn < rounds:
             hubs = b.join(hub, "bkt").filter(F.col("y.rid") == F.col("hub")).select("bkt", F.col("y").alias("x"))
-            pairs = b.join(hubs, "bkt").filter((F.col("x.comp") != F.col("y.comp")) & pair_ok("x", "y"))
+            pairs = b.join(hubs, "bkt").filter((F.col("x.comp") != F.col("y.comp")) & hub_ok("x", "y"))
             rest = rest.join(hub, "bkt").filter("rid <> hub").drop("hub")
         else:
             start = b.filter("y.comp <> large").select("bkt", F.col("y").alias("x"))
