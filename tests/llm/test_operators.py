@@ -192,3 +192,18 @@ def test_pii_bootstrap(spark):
     assert got[0] == ("phone:16:33", "") and got[20] == ("", "phone:14:24") and got[21] == ("", "") and got[22] == ("", "")
     assert got[23][0] == "email:0:5,email:5:11,ip:22:29" and got[24][0] == "card:2:21"
     assert find_pii(df.limit(0)).count() == 0
+
+
+def test_line_dedup_of_long_lines(spark):
+    from marquee.llm.line_dedup import dedup_lines
+    r = random.Random(5)
+    def han(n): return "".join(chr(0x4E00 + r.randrange(3000)) for _ in range(n))
+    docs = []
+    for i in range(40):                                     # no spaces, the first characters differ
+        line = han(400)
+        docs += [(2 * i, line), (2 * i + 1, chr(0x3041 + i) + line[i % 2:])]
+    docs += [(100, "|".join(["a"] * 125)), (101, "|" + "|".join(["a"] * 130))]   # periodic, 249 and 260 characters
+    base = han(249)
+    docs += [(102, base), (103, han(3) + base)]             # 249 and 252 characters
+    got = {x.doc_id: x.removed for x in dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert [i for i, x in got.items() if bool(x) != (i % 2 == 1)] == []
