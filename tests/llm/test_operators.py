@@ -207,3 +207,33 @@ def test_line_dedup_of_long_lines(spark):
     docs += [(102, base), (103, han(3) + base)]             # 249 and 252 characters
     got = {x.doc_id: x.removed for x in dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert [i for i, x in got.items() if bool(x) != (i % 2 == 1)] == []
+
+
+def test_repair_of_long_copies():
+    import numpy as np
+
+    from marquee.llm.repair import compress, expand
+    one = np.arange(100, 500)
+    ids, last = np.tile(one, 1000), np.tile(one == 499, 1000)
+    rules, lengths, sym, first = compress(ids, last)
+    assert len(sym) == 1000 and len(rules) == 399 and lengths.max() == 400 and (expand(sym, rules, lengths) == ids).all()
+    assert first.tolist() == list(range(1000))
+    r = np.random.default_rng(3)
+    for k, n in ((2, 5000), (3, 5000), (1, 1000), (40, 60_000), (2000, 60_000)):
+        ids = np.minimum(r.integers(0, k, n), r.integers(0, k, n))
+        last = r.random(n) < 0.01
+        last[-1] = True
+        rules, lengths, sym, first = compress(ids, last)
+        assert (expand(sym, rules) == ids).all() and (expand(sym, rules, lengths) == ids).all()
+        stop = np.append(first[1:], len(sym))
+        docs = [expand(sym[a:b], rules, lengths) for a, b in zip(first, stop)]
+        assert [len(d) for d in docs] == np.diff(np.append(-1, np.flatnonzero(last))).tolist()
+        seen, left = {}, -1                                 # no pair is left that occurs 24 times without overlap
+        for a, b in zip(first, stop):
+            left = -1
+            for i in range(a, b - 1):
+                p = (sym[i], sym[i + 1])
+                if p[0] != p[1] or left != i:
+                    seen[p] = seen.get(p, 0) + 1
+                    left = i + 1 if p[0] == p[1] else -1
+        assert max(seen.values(), default=0) < 24
