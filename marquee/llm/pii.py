@@ -3,13 +3,16 @@
 Base entities come from patterns: e-mail addresses, IPv4 numbers, payment
 cards (Luhn) and phone numbers, leftmost and without overlap per kind.
 They seed the bootstrap.  An entity's lexical pattern is the word before
-it.  Instances are the distinct texts that stand behind a pattern: base
-entities, and other identifier-like words fit for a kind.  Patterns and
-instances form a bipartite graph, scored in rounds: a pattern's confidence
-is the summed score of its instances of a kind over how often the pattern's
-word occurs in the corpus at all, an instance's score is the highest
-confidence of its patterns (seeds stay at 1).  Instances behind a pattern
-of enough confidence and support become new spans.
+it.  Instances are the texts that stand behind a pattern: base entities, and
+other identifier-like words, or runs of several groups of digits, fit for a
+kind (of a run, the longest stretch of whole groups that is fit; a run ends
+before a base entity).  Patterns and instances form a bipartite graph, scored
+in rounds: a pattern's confidence is the summed score of the occurrences of
+its instances of a kind over how often the pattern's word occurs in the corpus
+at all, so copies of texts change neither the one nor the other's share; an
+instance's score is the highest confidence of its patterns (seeds stay at 1).
+Instances behind a pattern of enough confidence and support (distinct seeds)
+become new spans.
 
 Base matching equals plain leftmost matching: the possessive forms below
 only keep Java's engine from backtracking over, or restarting within, a run
@@ -40,6 +43,7 @@ PATTERN = {
 }
 TRIED = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 SPAN = "array<struct<kind:string,start:int,stop:int,text:string>>"
+MORE = "array<struct<start:int,stop:int,text:string,kinds:array<string>,word:string>>"
 
 
 def _valid(kind: str, m: Column) -> Column:
@@ -107,8 +111,13 @@ def _fit(word: Column) -> Column:
     return F.filter(kinds, lambda k: k.isNotNull())
 
 
-_EDGE = r"^[\"'(<\[{]+|[\"')>\]},;.!?]+$"
+# brackets and quotes before an identifier, but not the bracket of its own first group: (030) 12
+_HEAD = r"^[\"'(<\[{]*?(?=\([0-9+][^()]*\).*[0-9])|^[\"'(<\[{]+"
+_EDGE = _HEAD + r"|[\"')>\]},;.!?]+$"
 _HAS = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*"
+# Runs of digits of several groups, by kind: as many digits as ``_fit`` asks for.
+_RUN = {kind: rf"(?<![^\x20\x09-\x0D])[\"'(<\[{{+]{{0,3}}[0-9](?:(?:\.(?=[0-9])|[\x20()/-]){{0,3}}[0-9]){{{low - 1},{high - 1}}}"
+              r"(?=[\"')>\]},;.!?]*(?:[\x20\x09-\x0D]|\z))" for kind, low, high in (("card", 12, 19), ("phone", 6, 15))}
 
 
 def _before(text: Column, start: Column) -> Column:
@@ -122,18 +131,40 @@ def with_context(docs: DataFrame, text_col: str = "text") -> DataFrame:
     identifier-like words, each with the word before it."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.withColumn("__t", text).withColumn("__base", base_spans(F.col("__t")))
-    seen = lambda w: F.exists("__base", lambda s: (s["start"] < w["stop"]) & (w["start"] < s["stop"]))
+    meet = lambda s, w: (s["start"] < w["stop"]) & (w["start"] < s["stop"])
+    seen = lambda w: F.exists("__base", lambda s: meet(s, w))
+
+    def headed(r):
+        """The run up to the first base entity in it, if a whole group ends there."""
+        stop = F.array_min(F.transform(F.filter("__base", lambda s: meet(s, r)), lambda s: s["start"]))
+        head = F.substr(r["text"], F.lit(1), F.greatest(stop - r["start"], F.lit(0)))
+        cut = F.when(head.rlike(r"[0-9)] +$"), F.regexp_replace(head, r"[^0-9)]+$", "")).otherwise(F.lit(""))
+        return once(F.when(stop.isNull(), r["text"]).otherwise(cut), lambda t: F.struct(
+            r["start"].alias("start"), (r["start"] + F.length(t)).alias("stop"), t.alias("text")))
+
+    def trimmed(kinds):
+        def one(w):
+            head = F.length(w["text"]) - F.length(F.regexp_replace(w["text"], _HEAD, ""))
+            core = F.regexp_replace(w["text"], _EDGE, "")
+            return F.struct((w["start"] + head).alias("start"), (w["start"] + head + F.length(core)).alias("stop"), core.alias("text"),
+                            kinds(core).alias("kinds"), _before(F.col("__t"), w["start"]).alias("word"))
+        return one
+
+    for kind, run in _RUN.items():
+        runs = F.transform(F.filter(F.transform(_matches(F.col("__t"), run), headed), lambda r: r["text"] != ""),
+                           trimmed(lambda c, kind=kind: F.filter(_fit(c), lambda k: k == kind)))  # noqa: B023
+        tried = F.regexp_like("__t", F.lit(r"[0-9][\x20()./-]+[0-9]"))
+        rows = rows.withColumn(f"__{kind}", F.when(tried, F.filter(runs, lambda r: F.size(r["kinds"]) > 0)).otherwise(F.array().cast(MORE)))
     other = F.filter(_matches(F.col("__t"), _HAS), lambda w: ~seen(w) & (F.length(F.regexp_replace(w["text"], _EDGE, "")) >= 5))
 
-    def trimmed(w):
-        head = F.length(w["text"]) - F.length(F.regexp_replace(w["text"], r"^[\"'(<\[{]+", ""))
-        core = F.regexp_replace(w["text"], _EDGE, "")
-        return F.struct((w["start"] + head).alias("start"), (w["start"] + head + F.length(core)).alias("stop"), core.alias("text"),
-                        _fit(core).alias("kinds"), _before(F.col("__t"), w["start"]).alias("word"))
+    def left(w):
+        """A word's kinds but those of which a run covers it."""
+        covered = lambda kind: F.exists(f"__{kind}", lambda r: meet(r, w))
+        return F.struct(w["start"].alias("start"), w["stop"].alias("stop"), w["text"].alias("text"), F.filter(
+            w["kinds"], lambda k: ~(((k == "card") & covered("card")) | ((k == "phone") & covered("phone")))).alias("kinds"), w["word"].alias("word"))
 
-    more = F.filter(F.transform(other, trimmed), lambda w: F.size(w["kinds"]) > 0)
-    rows = rows.withColumn("__more", F.when(F.regexp_like("__t", F.lit("[0-9@]")), more).otherwise(F.array().cast(
-        "array<struct<start:int,stop:int,text:string,kinds:array<string>,word:string>>")))
+    more = F.concat("__card", "__phone", F.filter(F.transform(F.transform(other, trimmed(_fit)), left), lambda w: F.size(w["kinds"]) > 0))
+    rows = rows.withColumn("__more", F.when(F.regexp_like("__t", F.lit("[0-9@]")), more).otherwise(F.array().cast(MORE))).drop("__card", "__phone")
     return rows.withColumn("__base", F.transform("__base", lambda s: F.struct(
         s["kind"].alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"), s["text"].alias("text"),
         _before(F.col("__t"), s["start"]).alias("word"))))
@@ -142,10 +173,10 @@ def with_context(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def patterns(narrow: DataFrame, texts: DataFrame, text_col: str = "text", rounds: int = 3,
              confidence: float = 0.5, support: int = 5) -> DataFrame:
     """(kind, word, conf) of the patterns that may discover."""
-    seeds = narrow.select(F.explode("__base").alias("s")).select("s.kind", "s.word", "s.text").distinct().withColumn("seed", F.lit(True))
-    more = narrow.select(F.explode("__more").alias("m")).select(F.explode("m.kinds").alias("kind"), "m.word", "m.text").distinct() \
+    seeds = narrow.select(F.explode("__base").alias("s")).select("s.kind", "s.word", "s.text").withColumn("seed", F.lit(True))
+    more = narrow.select(F.explode("__more").alias("m")).select(F.explode("m.kinds").alias("kind"), "m.word", "m.text") \
         .withColumn("seed", F.lit(False))
-    graph = seeds.unionByName(more).filter("word <> ''")
+    graph = seeds.unionByName(more).filter("word <> ''").groupBy("kind", "word", "text", "seed").agg(F.count("*").alias("times"))
     lexical = graph.filter("seed").groupBy("kind", "word").agg(F.count("*").alias("seeds")).filter(F.col("seeds") >= support)
     # how often a pattern's word occurs at all, over every text
     total = texts.select(F.explode(words(F.lower(F.coalesce(F.col(text_col), F.lit(""))))).alias("word")) \
@@ -155,7 +186,7 @@ def patterns(narrow: DataFrame, texts: DataFrame, text_col: str = "text", rounds
     score = graph.select("kind", "text", F.when(F.col("seed"), 1.0).otherwise(0.0).alias("score")).groupBy("kind", "text").agg(F.max("score").alias("score"))
     scored = None
     for _ in range(rounds):
-        scored = graph.join(score, ["kind", "text"]).groupBy("kind", "word").agg(F.sum("score").alias("mass"), F.count("*").alias("n")) \
+        scored = graph.join(score, ["kind", "text"]).groupBy("kind", "word").agg(F.sum(F.col("score") * F.col("times")).alias("mass"), F.sum("times").alias("n")) \
             .join(lexical, ["kind", "word"]).withColumn("conf", F.col("mass") / F.greatest("n", "total"))
         scored = stored(scored.select("kind", "word", "conf"), "pii-scores")
         score = graph.join(scored, ["kind", "word"]).groupBy("kind", "text") \
@@ -173,8 +204,8 @@ def find_pii(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     narrow = stored(rows.select("__row", "__base", "__more").filter((F.size("__base") > 0) | (F.size("__more") > 0)), "pii-spans")
     good = patterns(narrow, docs, text_col, **options)
     new = narrow.select("__row", F.explode("__more").alias("m")).select("__row", "m.*").withColumn("kind", F.explode("kinds")) \
-        .join(good, ["kind", "word"]).groupBy("__row", "start", "stop", "text").agg(F.max_by("kind", F.struct("conf", "kind")).alias("kind")) \
-        .groupBy("__row").agg(F.sort_array(F.collect_set(F.struct("kind", "start", "stop", "text"))).alias("found"))
+        .join(good, ["kind", "word"]).groupBy("__row", "start").agg(F.max_by(F.struct("kind", "stop", "text"), F.struct("conf", "kind", "stop")).alias("s")) \
+        .select("__row", "start", "s.*").groupBy("__row").agg(F.sort_array(F.collect_set(F.struct("kind", "start", "stop", "text"))).alias("found"))
     plain = F.transform("__base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"), s["text"].alias("text")))
     out = rows.drop("__more").join(new, "__row", "left")
     return out.withColumn("base", plain.cast(SPAN)).withColumn("found", F.coalesce("found", F.array().cast(SPAN))) \

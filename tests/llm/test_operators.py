@@ -237,3 +237,16 @@ def test_repair_of_long_copies():
                     seen[p] = seen.get(p, 0) + 1
                     left = i + 1 if p[0] == p[1] else -1
         assert max(seen.values(), default=0) < 24
+
+
+def test_pii_of_a_copied_corpus(spark):
+    from marquee.llm.pii import find_pii, listed
+    rows = [f"mail: user{i}@host{i}.org and hotline: +1 (456) 555-2{i}86 and more words here" for i in range(8)]
+    some = {"ask mail: root@localhost now": "email:10:24", "call hotline: (030) 123 45 67, again": "phone:14:29",
+            "call hotline: 030 123456. 5 more": "phone:14:24", "call hotline: 030 1234 10.0.0.1 next": "phone:14:22",
+            "the hotline is 030 123 45 67": "", "call hotline: 12 34 56 78 90 12 34 56 78 90": "phone:14:34"}
+    for copies in (1, 3, 20):
+        df = spark.createDataFrame([(t,) for t in [*rows, *some] * copies], "text string")
+        got = find_pii(df).select("text", listed("found").alias("f")).collect()
+        assert len(got) == copies * len([*rows, *some])
+        assert {(r.text, r.f) for r in got} == {*some.items(), *((t, "") for t in rows)}
