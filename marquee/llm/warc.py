@@ -5,7 +5,8 @@ response (or a revisit of the page whose payload is equal) and a metadata
 record per capture, tied by ``WARC-Concurrent-To`` -- and Spark's text
 writer stores them: a record ends in CRLF CRLF, whose last byte is the
 writer's line end.  ``read_records`` parses the archives by
-``Content-Length``; ``transactions`` joins request and metadata to their
+``Content-Length`` and compares each response's payload with its digest;
+``transactions`` joins request and metadata to their
 capture through the concurrent-to ids, one nested row per capture.
 
 Of pages with equal payloads of at least ``min_bytes`` bytes, the largest
@@ -21,6 +22,8 @@ records.
 from __future__ import annotations
 
 import re
+from base64 import b32encode
+from hashlib import sha1
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,10 +70,23 @@ def _field(name: str, value: Column) -> Column:
 
 
 def write_archive(pages: DataFrame, path: str, min_bytes: int = 0, when: str = "2020-01-01T00:00:00Z",
-                  rows_per_file: int = 2000) -> None:
+                  rows_per_file: int = 2000, file_bytes: int = 1 << 26) -> None:
     """Write the archives of ``pages`` (page_id, url, html) under ``path``.
-    Files hold at most ``rows_per_file`` captures, so each can be read as a
-    whole by one task."""
+    Files hold at most ``rows_per_file`` captures and ``file_bytes`` bytes
+    (or one capture), so each can be read as a whole by one task.  For this,
+    pages are written by classes of payload size, each twice the one below;
+    equal payloads are of one class."""
+    size = F.coalesce(F.octet_length("html"), F.lit(0))
+    level = F.greatest(F.ceil(F.log2(F.greatest(size, F.lit(1)) / F.lit(1 << 15))), F.lit(0)).cast("int")
+    most = F.max(size.cast("long") + 12 * F.coalesce(F.octet_length(F.col("url").cast("string")), F.lit(0)) + 2048)
+    levels = pages.groupBy(level.alias("level")).agg(most.alias("bytes")).collect()    # 17 rows at most
+    for k, one in enumerate(levels or [None]):
+        some = pages if len(levels) < 2 else pages.filter(level == one["level"])
+        _write_class(some, path, min_bytes, when, min(rows_per_file, max(1, file_bytes // one["bytes"])) if one else rows_per_file,
+                     "append" if k else "error")
+
+
+def _write_class(pages: DataFrame, path: str, min_bytes: int, when: str, rows_per_file: int, mode: str) -> None:
     rows = judged(pages, min_bytes)
     uri = F.coalesce(F.regexp_replace("url", r"[\r\n]", "%0A"), F.lit("urn:none"))
     part = F.sha1(F.concat_ws("|", F.coalesce(F.col("page_id").cast("string"), F.lit("-")), "digest",
@@ -95,7 +111,7 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = 0, when: str = "
                    [*about, *tie, F.lit(f"Content-Type: application/warc-fields{CRLF}")],
                    F.concat(F.lit("payloadBytes: "), F.col("size").cast("string"), F.lit(CRLF)))
     rows.select(F.explode(F.array(request, capture, meta)).alias("value")) \
-        .write.option("lineSep", "\n").option("maxRecordsPerFile", 3 * rows_per_file).text(path)
+        .write.mode(mode).option("lineSep", "\n").option("maxRecordsPerFile", 3 * rows_per_file).text(path)
 
 
 _HEAD = re.compile(rb"([^:\r\n]+):[ \t]*([^\r\n]*)\r\n")
@@ -133,6 +149,8 @@ def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataF
                         size = int(re.search(rb"(?i)^content-length:\s*(\d+)", head, re.M)[1])
                         if f["warc-type"] == "response" and size != len(body):
                             raise ValueError("payload length differs from its header")
+                        if f["warc-type"] == "response" and "sha1:" + b32encode(sha1(body).digest()).decode() != f.get("warc-payload-digest"):
+                            raise ValueError("payload differs from its digest")
                     out.append((f["warc-type"], f["warc-record-id"], f.get("warc-concurrent-to"), _number(f.get("warc-page-id")),
                                 _number(f.get("warc-refers-to")), f.get("warc-target-uri"),
                                 (f.get("warc-payload-digest") or "").removeprefix("sha1:") or None, size,

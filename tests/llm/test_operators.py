@@ -250,3 +250,23 @@ def test_pii_of_a_copied_corpus(spark):
         got = find_pii(df).select("text", listed("found").alias("f")).collect()
         assert len(got) == copies * len([*rows, *some])
         assert {(r.text, r.f) for r in got} == {*some.items(), *((t, "") for t in rows)}
+
+
+def test_warc_payloads_and_file_sizes(spark, tmp_path):
+    from marquee.llm.warc import read_records, transactions, write_archive
+    pages = [(i, f"http://a/{i}", chr(97 + i % 7) * (50_000 * (i % 5) + 10)) for i in range(60)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    write_archive(df, str(tmp_path / "w"), file_bytes=400_000)
+    files = list((tmp_path / "w").glob("part-*"))
+    assert max(f.stat().st_size for f in files) <= 400_000
+    rows = {r.capture.page_id: r for r in transactions(read_records(spark, str(tmp_path / "w"))).collect()}
+    assert len(rows) == 60 and all(r.n_request == r.n_metadata == 1 for r in rows.values())
+    text = {i: t for i, _, t in pages}
+    for i, r in rows.items():
+        assert text[r.capture.refers_to if r.capture.type == "revisit" else i] == text[i]
+        assert r.capture.type == "revisit" or bytes(r.capture.payload).decode() == text[i]
+    (tmp_path / "bad").mkdir()
+    for f in files:
+        (tmp_path / "bad" / f.name).write_bytes(f.read_bytes().replace(b"aaaa", b"aaab", 1))
+    with pytest.raises(Exception, match="payload differs from its digest"):
+        read_records(spark, str(tmp_path / "bad"), payloads=False).collect()
