@@ -1,14 +1,15 @@
-"""Exact top-k inner-product search by MaxScore (operator 4).
+"""Exact top-k inner-product search by score bounds as in MaxScore (operator 4).
 
 A vector is a document, each dimension a term with an integer weight.  The
 candidates are hashed into shards of about ``shard_rows`` rows; each shard
 meets the query set in blocks.  Within a shard the terms of a query are
 ordered by how much they can change a score: the largest and smallest
-weight of the shard bound each term's contribution.  Postings of the first,
-essential terms are traversed for all rows; a row whose partial score plus
-the bound of the remaining terms stays below the k-th best guaranteed score
-is dropped, and the remaining, non-essential terms are probed for the rows
-still competitive.  The shards' k best are then merged.
+weight of the shard bound each term's contribution.  There are no postings
+and no split into essential and other terms, as vectors are dense: all rows
+are scored on the first ``STEP`` terms; a row whose partial score plus the
+bound of the remaining terms stays below the shard's k-th best guaranteed
+score is dropped, and the rows still competitive are scored on the next
+``STEP`` terms, and so on.  The shards' k best are then merged.
 
 Defined results: vectors that are null, empty or hold null or non-finite
 components take no part; scores tie to the smaller id; only vectors of one
