@@ -1,13 +1,10 @@
-"""Substring dedup by relative Lempel-Ziv parsing (operator 10).
+"""Substring dedup by a join of window hashes (operator 10), in place of
+relative Lempel-Ziv parsing.
 
-The reference of a document are the documents with smaller ids.  Its index
-holds the windows of ``window`` words (by 64-bit hash) with the smallest
-document in which each starts, dealt into reference blocks by hash.  Every
-document is factored greedily against all blocks: a factor starts at the
-first window found in the index and grows while the next window is found
-too, so factors are the maximal runs whose every window occurs in the
-reference (a text that ends one factor and begins another is checked window
-by window at the boundary).  Words that factors cover go.
+The index holds the windows of ``window`` words (by 64-bit hash) with the
+smallest document in which each starts.  A window of a document that is also
+in one of smaller id is covered; stretches of covered windows that overlap or
+touch are united, and their words go.  No stretch has a reference position.
 
 To keep the index small, only windows that can repeat enter it: a window's
 minimizer (its ``gram``-word run of smallest hash) is the same wherever the
@@ -40,10 +37,12 @@ def minimizers(h: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.nd
 
 
 def duplicate_spans(docs: DataFrame, window: int = 13, gram: int = 6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The factors of each document that has any: ``doc_id`` and ``spans``,
-    array<struct<start, stop>> of word positions, stop exclusive."""
+    """The factors of each document that has any: ``row`` (hash of id and text),
+    ``doc_id`` and ``spans``, array<struct<start, stop>> of word positions,
+    stop exclusive."""
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).filter("doc_id is not null")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), _row(id_col, text_col).alias("row")) \
+        .filter("doc_id is not null")
 
     def seeds(batches):
         hasher = WordHasher()
@@ -60,19 +59,25 @@ def duplicate_spans(docs: DataFrame, window: int = 13, gram: int = 6, id_col: st
     def windows(batches):
         hasher = WordHasher()
         for pdf in batches:
-            keys, names, at = [], [], []
-            for name, text, gs in zip(pdf["doc_id"], pdf["text"], pdf["gs"]):
+            keys, names, rids, at = [], [], [], []
+            for name, rid, text, gs in zip(pdf["doc_id"], pdf["row"], pdf["text"], pdf["gs"]):
                 small, whole = minimizers(hasher.words(text), window, gram)
                 spot = np.flatnonzero(np.isin(small, np.asarray(gs, np.int64).view(np.uint64)))
                 keys.append(whole[spot])
                 names.append(np.full(len(spot), name))
+                rids.append(np.full(len(spot), rid))
                 at.append(spot)
-            yield pd.DataFrame({"w": np.concatenate(keys).view(np.int64), "doc_id": np.concatenate(names), "at": np.concatenate(at)})
+            yield pd.DataFrame({"w": np.concatenate(keys).view(np.int64), "doc_id": np.concatenate(names),
+                                "row": np.concatenate(rids), "at": np.concatenate(at)})
 
-    cand = rows.join(per_doc, "doc_id").mapInPandas(windows, "w long, doc_id long, at int")
+    cand = rows.join(per_doc, "doc_id").mapInPandas(windows, "w long, doc_id long, row long, at int")
     index = cand.groupBy("w").agg(F.min("doc_id").alias("first"))
-    hits = cand.join(index, "w").filter("first < doc_id").groupBy("doc_id").agg(F.sort_array(F.collect_set("at")).alias("ats"))
-    return hits.select("doc_id", _factors(F.col("ats"), window).alias("spans"))
+    hits = cand.join(index, "w").filter("first < doc_id").groupBy("row", "doc_id").agg(F.sort_array(F.collect_set("at")).alias("ats"))
+    return hits.select("row", "doc_id", _factors(F.col("ats"), window).alias("spans"))
+
+
+def _row(id_col: str, text_col: str):
+    return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col))
 
 
 def _factors(ats, window: int):
@@ -89,9 +94,9 @@ def without_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", tex
     """The input rows with ``n_words``, ``n_removed`` and ``kept_words``
     (the words left, joined by one space)."""
     docs = docs.drop(*[c for c in ("n_words", "n_removed", "kept_words") if c in docs.columns])
-    found = spans.select(F.col("doc_id").alias("__id"), F.transform("spans", lambda s: s["start"]).alias("__a"),
+    found = spans.select(F.col("row").alias("__row"), F.transform("spans", lambda s: s["start"]).alias("__a"),
                          F.transform("spans", lambda s: s["stop"]).alias("__b"))
-    rows = docs.withColumn("__id", F.col(id_col).cast("long")).join(found, "__id", "left").drop("__id")
+    rows = docs.withColumn("__row", _row(id_col, text_col)).join(found, "__row", "left").drop("__row")
     names = [c for c in rows.columns if c not in ("__a", "__b")]
     schema = docs.select(*names).schema.add("n_words", "long").add("n_removed", "long").add("kept_words", "string")
     at = [rows.columns.index(c) for c in (text_col, "__a", "__b")]

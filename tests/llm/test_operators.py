@@ -270,3 +270,12 @@ def test_warc_payloads_and_file_sizes(spark, tmp_path):
         (tmp_path / "bad" / f.name).write_bytes(f.read_bytes().replace(b"aaaa", b"aaab", 1))
     with pytest.raises(Exception, match="payload differs from its digest"):
         read_records(spark, str(tmp_path / "bad"), payloads=False).collect()
+
+
+def test_substring_dedup_of_a_shared_id(spark):
+    from marquee.llm.substring import duplicate_spans, without_spans
+    a, b = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    docs = [(1, a), (2, "x " + a), (2, b + " " + b), (2, b + " " + b), (3, b)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r.doc_id, r.text): (r.n_removed, r.kept_words) for r in without_spans(df, duplicate_spans(df)).collect()}
+    assert got == {docs[0]: (0, a), docs[1]: (40, "x"), docs[2]: (0, b + " " + b), docs[4]: (40, "")}
