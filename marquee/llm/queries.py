@@ -157,3 +157,10 @@ def op2(spark, sf_dir):
 
 def _of_kind(col: str, kind: str):
     return F.filter(col, lambda s: s["kind"] == kind)
+
+
+@register("op13_prefix_trie")
+def op13(spark, sf_dir):
+    """The nodes of the prefix trie of the rebuilt conversations."""
+    from marquee.llm.prefix_trie import numbered_turns, prefix_trie, rebuilt
+    return prefix_trie(rebuilt(numbered_turns(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))))
