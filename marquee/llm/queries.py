@@ -159,6 +159,28 @@ def _of_kind(col: str, kind: str):
     return F.filter(col, lambda s: s["kind"] == kind)
 
 
+@register("op12_hard_negatives", """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) v FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id anchor, c.vec_id vec, a.label = c.label AS same,
+             CAST(list_sum(list_transform(list_zip(a.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) score
+      FROM e a JOIN e c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id AND len(a.v) = len(c.v)),
+p AS (SELECT anchor, vec, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec) <= 5)
+SELECT p.anchor AS anchor_id, p.vec AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor, p.vec ORDER BY n.score DESC, n.vec) AS INTEGER) AS rank,
+       n.vec AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.anchor = p.anchor AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY rank <= 3""")
+def op12(spark, sf_dir):
+    """Three hard negatives of each positive of every fiftieth vector."""
+    from marquee.llm.hard_negatives import hard_negatives
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows, label, F.col("vec_id") % 50 == 0)
+
+
 @register("op13_prefix_trie")
 def op13(spark, sf_dir):
     """The nodes of the prefix trie of the rebuilt conversations."""
