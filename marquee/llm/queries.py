@@ -181,8 +181,33 @@ def op12(spark, sf_dir):
     return hard_negatives(rows, label, F.col("vec_id") % 50 == 0)
 
 
-@register("op13_prefix_trie")
+@register("op13_prefix_trie", r"""
+WITH t AS (SELECT conv_id c, coalesce(role, '') r, coalesce(text, '') x,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) p
+           FROM conversations WHERE conv_id IS NOT NULL),
+k AS (SELECT c, own, CAST(xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(c AS VARCHAR), ''), lambda z: CAST(ascii(z) AS BIGINT))),
+               lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]),
+                                        lambda u, o: CASE WHEN u % 2 = 1 THEN xor(u // 2, 3988292384) ELSE u // 2 END)), 4294967295) % 4 AS BIGINT) h
+      FROM (SELECT c, count(*) own FROM t GROUP BY c)),
+j AS (SELECT k.c, t.p d, t.r, t.x FROM k JOIN t ON t.c = k.c - k.c % 20 AND t.p <= k.h
+      UNION ALL
+      SELECT k.c, t.p - k.h + least(k.h, coalesce(b.own, 0)), t.r, t.x FROM k JOIN t ON t.c = k.c AND t.p > k.h LEFT JOIN k b ON b.c = k.c - k.c % 20),
+m AS (SELECT k.c, coalesce(max(j.d), 0) n FROM k LEFT JOIN j ON j.c = k.c GROUP BY k.c),
+f AS (SELECT c, d, sha256(string_agg(sha256(r) || sha256(x), '') OVER (PARTITION BY c ORDER BY d)) s,
+             len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) w FROM j
+      UNION ALL SELECT c, 0, '', 0 FROM k),
+g AS (SELECT d, s, min(f.c) conv_id, count(*) n_convs, max(w) w, sha256(coalesce(string_agg(CAST(f.c AS VARCHAR), ',' ORDER BY f.c) FILTER (WHERE m.n = d), '')) ends
+      FROM f JOIN m USING (c) GROUP BY d, s),
+a AS (SELECT g.*, up.s ps, pg.conv_id parent FROM g LEFT JOIN f up ON up.c = g.conv_id AND up.d = g.d - 1 LEFT JOIN g pg ON pg.d = g.d - 1 AND pg.s = up.s),
+kids AS (SELECT parent, d - 1 d, count(*) n FROM a WHERE parent IS NOT NULL GROUP BY ALL),
+b AS (SELECT a.*, coalesce(kids.n, 0) n_children FROM a LEFT JOIN kids ON kids.parent = a.conv_id AND kids.d = a.d),
+subs AS (SELECT f.d, f.s, sum((b.n_convs - 1) * b.w) saved, count(*) FILTER (WHERE b.n_children = 0) leaves
+         FROM b JOIN f ON f.c = b.conv_id AND f.d <= b.d GROUP BY f.d, f.s)
+SELECT conv_id, CAST(b.d AS BIGINT) AS depth, parent AS parent_conv_id, n_convs, n_children, leaves AS n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, ends AS ends_sha256
+FROM b JOIN subs ON subs.d = b.d AND subs.s = b.s""")
 def op13(spark, sf_dir):
     """The nodes of the prefix trie of the rebuilt conversations."""
     from marquee.llm.prefix_trie import numbered_turns, prefix_trie, rebuilt
-    return prefix_trie(rebuilt(numbered_turns(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return prefix_trie(rebuilt(numbered_turns(rows))).drop("enter", "leave")
