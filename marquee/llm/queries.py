@@ -211,3 +211,14 @@ def op13(spark, sf_dir):
     from marquee.llm.prefix_trie import numbered_turns, prefix_trie, rebuilt
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return prefix_trie(rebuilt(numbered_turns(rows))).drop("enter", "leave")
+
+
+@register("op11_language_id")
+def op11(spark, sf_dir):
+    """The language of every text, learned from four fifths of the ids."""
+    from marquee.llm.lang_id import identify, train
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    model = train(docs, learn=fold != 0, keep=fold == 1)
+    rows = docs.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "text")
+    return identify(rows, model).select("doc_id", "held_out", "lang_pred", F.round("score", 9).alias("score"), "accepted")
