@@ -132,15 +132,17 @@ def with_context(docs: DataFrame, text_col: str = "text") -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.withColumn("__t", text).withColumn("__base", base_spans(F.col("__t")))
     meet = lambda s, w: (s["start"] < w["stop"]) & (w["start"] < s["stop"])
-    seen = lambda w: F.exists("__base", lambda s: meet(s, w))
+    none = F.array().cast(MORE)
 
-    def headed(r):
+    def headed(base):
         """The run up to the first base entity in it, if a whole group ends there."""
-        stop = F.array_min(F.transform(F.filter("__base", lambda s: meet(s, r)), lambda s: s["start"]))
-        head = F.substr(r["text"], F.lit(1), F.greatest(stop - r["start"], F.lit(0)))
-        cut = F.when(head.rlike(r"[0-9)] +$"), F.regexp_replace(head, r"[^0-9)]+$", "")).otherwise(F.lit(""))
-        return once(F.when(stop.isNull(), r["text"]).otherwise(cut), lambda t: F.struct(
-            r["start"].alias("start"), (r["start"] + F.length(t)).alias("stop"), t.alias("text")))
+        def one(r):
+            stop = F.array_min(F.transform(F.filter(base, lambda s: meet(s, r)), lambda s: s["start"]))
+            head = F.substr(r["text"], F.lit(1), F.greatest(stop - r["start"], F.lit(0)))
+            cut = F.when(head.rlike(r"[0-9)] +$"), F.regexp_replace(head, r"[^0-9)]+$", "")).otherwise(F.lit(""))
+            return once(F.when(stop.isNull(), r["text"]).otherwise(cut), lambda t: F.struct(
+                r["start"].alias("start"), (r["start"] + F.length(t)).alias("stop"), t.alias("text")))
+        return one
 
     def trimmed(kinds):
         def one(w):
@@ -150,21 +152,30 @@ def with_context(docs: DataFrame, text_col: str = "text") -> DataFrame:
                             kinds(core).alias("kinds"), _before(F.col("__t"), w["start"]).alias("word"))
         return one
 
-    for kind, run in _RUN.items():
-        runs = F.transform(F.filter(F.transform(_matches(F.col("__t"), run), headed), lambda r: r["text"] != ""),
-                           trimmed(lambda c, kind=kind: F.filter(_fit(c), lambda k: k == kind)))  # noqa: B023
+    def runs(kind, base):
+        found = F.transform(F.filter(F.transform(_matches(F.col("__t"), _RUN[kind]), headed(base)), lambda r: r["text"] != ""),
+                            trimmed(lambda c: F.filter(_fit(c), lambda k: k == kind)))
         tried = F.regexp_like("__t", F.lit(r"[0-9][\x20()./-]+[0-9]"))
-        rows = rows.withColumn(f"__{kind}", F.when(tried, F.filter(runs, lambda r: F.size(r["kinds"]) > 0)).otherwise(F.array().cast(MORE)))
-    other = F.filter(_matches(F.col("__t"), _HAS), lambda w: ~seen(w) & (F.length(F.regexp_replace(w["text"], _EDGE, "")) >= 5))
+        return F.when(tried, F.filter(found, lambda r: F.size(r["kinds"]) > 0)).otherwise(none)
 
-    def left(w):
+    def left(held):
         """A word's kinds but those of which a run covers it."""
-        covered = lambda kind: F.exists(f"__{kind}", lambda r: meet(r, w))
-        return F.struct(w["start"].alias("start"), w["stop"].alias("stop"), w["text"].alias("text"), F.filter(
-            w["kinds"], lambda k: ~(((k == "card") & covered("card")) | ((k == "phone") & covered("phone")))).alias("kinds"), w["word"].alias("word"))
+        def one(w):
+            covered = lambda kind: F.exists(held[kind], lambda r: meet(r, w))
+            return F.struct(w["start"].alias("start"), w["stop"].alias("stop"), w["text"].alias("text"), F.filter(
+                w["kinds"], lambda k: ~(((k == "card") & covered("card")) | ((k == "phone") & covered("phone")))).alias("kinds"), w["word"].alias("word"))
+        return one
+
+    # every array is bound once: a column used within a lambda may else be
+    # computed again for each element
+    def more(base, held):
+        seen = lambda w: F.exists(base, lambda s: meet(s, w))
+        other = F.filter(_matches(F.col("__t"), _HAS), lambda w: ~seen(w) & (F.length(F.regexp_replace(w["text"], _EDGE, "")) >= 5))
+        words_ = F.filter(F.transform(F.transform(other, trimmed(_fit)), left(held)), lambda w: F.size(w["kinds"]) > 0)
+        return F.concat(held["card"], held["phone"], words_)
 
-    more = F.concat("__card", "__phone", F.filter(F.transform(F.transform(other, trimmed(_fit)), left), lambda w: F.size(w["kinds"]) > 0))
-    rows = rows.withColumn("__more", F.when(F.regexp_like("__t", F.lit("[0-9@]")), more).otherwise(F.array().cast(MORE))).drop("__card", "__phone")
+    every = once(F.col("__base"), lambda base: once(F.struct(*[runs(k, base).alias(k) for k in _RUN]), lambda held: more(base, held)))
+    rows = rows.withColumn("__more", F.when(F.regexp_like("__t", F.lit("[0-9@]")), every).otherwise(none))
     return rows.withColumn("__base", F.transform("__base", lambda s: F.struct(
         s["kind"].alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"), s["text"].alias("text"),
         _before(F.col("__t"), s["start"]).alias("word"))))
