@@ -1,7 +1,5 @@
-"""Content search as Spark jobs over a postings table.
+"""Content search over the stored index of ``text_index``.
 
-* X1 ``build_postings`` -- inverted index rows (field, term, doc, tf), the
-  document lengths and per-term document frequencies;
 * X2 ``search``         -- BM25 over chosen fields, best field wins, top n;
 * X3 ``more_like_this`` -- an anchor's most distinctive terms, scored with
   BM25 against all documents, anchor excluded, top n;
@@ -9,308 +7,57 @@
 * X5                    -- every result is (query key, rank, doc, score).
 
 Scoring follows the published BM25 (k1 = 1.2, b = 0.75,
-idf = ln(1 + (N - df + 0.5) / (df + 0.5))).  The index is built without
-per-term shuffles (term counts inside each document row, document frequency
-by one window).  Query scoring is a blocked sparse product
-(``sparse_top_n``): queries and documents are hashed into bounded blocks,
-each block pair is one numpy task, and only each query's top-n candidates
-leave the task -- a very common term never becomes (query x posting) rows.
-The final top n per query is ``row_number() <= n`` (a partial group limit
-runs before the shuffle).  Texts are tokenised whole.
+idf = ln(1 + (N - df + 0.5) / (df + 0.5))).  Texts are tokenised whole.
 """
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# BM25 parameters and the more-like-this defaults of the
-# public search-engine documentation.
-K1 = 1.2
-B = 0.75
+from marquee.operators.text_index import B, K1, Index, idf, rank_key, scored_top, tokens, top_n  # noqa: F401
+
+# The more-like-this defaults of the public search-engine
+# documentation.
 MLT_MAX_QUERY_TERMS = 25
 MLT_MIN_TERM_FREQ = 2
 MLT_MIN_DOC_FREQ = 5
 
-TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
-
-
-def tokens(col) -> Column:
-    """Lower-case word tokens of a whole text (letters and digits)."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.filter(F.split(F.lower(c), TOKEN_SPLIT), lambda t: F.length(t) > 0)
-
-
-@dataclass
-class Index:
-    postings: DataFrame    # (field, term, doc, tf, dl)
-    doc_len: DataFrame     # (field, doc, dl)
-    term_df: DataFrame     # (field, term, df)
-    field_stats: DataFrame  # (field, n_docs, avgdl)
-    _stats: dict | None = None
-
-    def stats(self) -> dict:
-        """{field: (n_docs, avgdl)} -- one row per indexed field, computed
-        once; used as literals so no plan joins on the field name."""
-        if self._stats is None:
-            self._stats = {r.field: (r.n_docs, r.avgdl) for r in self.field_stats.collect()}
-        return self._stats
-
-    def stat_col(self, which: int) -> Column:
-        expr = None
-        for f, v in self.stats().items():
-            expr = (F.when(F.col("field") == f, F.lit(v[which])) if expr is None
-                    else expr.when(F.col("field") == f, F.lit(v[which])))
-        return expr if expr is not None else F.lit(None)
-
-
-def _run_starts(sorted_tokens: Column) -> Column:
-    """0-based positions where a new term starts in a sorted token array."""
-    s = sorted_tokens
-    n = F.size(s)
-    return F.when(n > 0, F.filter(F.sequence(F.lit(0), n - 1),
-                                  lambda p: (p == 0) | (F.get(s, p) != F.get(s, p - 1))))\
-        .otherwise(F.array().cast("array<int>"))
-
-
-def _term_counts(s: Column, starts: Column, n: Column) -> Column:
-    """(term, tf) pairs from the sorted tokens and their run starts (both
-    materialised columns, so each is computed once per row)."""
-    return F.transform(starts, lambda p, k: F.struct(
-        F.get(s, p).alias("term"), (F.coalesce(F.get(starts, k + 1), n) - p).cast("long").alias("tf")))
-
-
-def build_postings(docs: DataFrame, id_col: str, fields: tuple[str, ...]) -> Index:
-    """Inverted index over ``fields`` of ``docs``.
-
-    Term frequencies and document lengths are computed inside each document
-    row (sorted tokens, run lengths), so the postings need no shuffle; only
-    document frequencies (one window on (field, term)) and the per-field
-    statistics (one row per field) aggregate across documents.
-    """
-    base = None
-    for f in fields:
-        r = docs.select(F.lit(f).alias("field"), F.col(id_col).alias("doc"),
-                        F.array_sort(tokens(f)).alias("s"))
-        base = r if base is None else base.unionByName(r)
-    base = base.select("field", "doc", "s", F.size("s").cast("long").alias("dl"))
-    runs = base.select("field", "doc", "s", "dl", _run_starts(F.col("s")).alias("starts"))
-    postings = (runs.select("field", "doc", "dl",
-                            F.explode(_term_counts(F.col("s"), F.col("starts"), F.col("dl"))).alias("p"))
-                .select("field", F.col("p.term").alias("term"), "doc", F.col("p.tf").alias("tf"), "dl"))
-    # document lengths straight from the token counts (no sort needed)
-    lens = None
-    for f in fields:
-        r = docs.select(F.lit(f).alias("field"), F.col(id_col).alias("doc"),
-                        F.size(tokens(f)).cast("long").alias("dl"))
-        lens = r if lens is None else lens.unionByName(r)
-    doc_len = lens.filter(F.col("dl") > 0)
-    term_df = postings.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
-    field_stats = doc_len.groupBy("field").agg(F.count(F.lit(1)).alias("n_docs"),
-                                               F.avg("dl").alias("avgdl"))
-    return Index(postings, doc_len, term_df, field_stats)
-
-
-def _idf(n_docs, df) -> Column:
-    return F.log(F.lit(1.0) + (n_docs - df + F.lit(0.5)) / (df + F.lit(0.5)))
-
 
-def scored_postings(ix: Index) -> DataFrame:
-    """(field, term, doc, w): the BM25 weight of each posting, computed once
-    and reused by every query.  The document frequency is a window on
-    (field, term); per-field statistics enter as literals."""
-    df = F.count(F.lit(1)).over(Window.partitionBy("field", "term"))
-    p = (ix.postings.withColumn("df", df)
-         .withColumn("n_docs", ix.stat_col(0)).withColumn("avgdl", ix.stat_col(1)))
-    norm = F.col("tf") + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("dl") / F.col("avgdl"))
-    w = _idf(F.col("n_docs"), F.col("df")) * F.col("tf") / norm
-    return p.select("field", "term", "doc", w.alias("w"))
-
-
-# Scores equal to this many decimals are ties, broken by the smaller id, so
-# the ranking does not depend on the order in which partial sums were added.
-RANK_DECIMALS = 9
-
-
-def rank_key(col: str) -> Column:
-    return F.round(F.col(col), RANK_DECIMALS)
-
-
-def _top_n(scores: DataFrame, key: str, n: int) -> DataFrame:
-    w = Window.partitionBy(key).orderBy(rank_key("score").desc(), F.col("doc").asc())
-    return (scores.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
-            .select(key, F.col("rank").cast("int").alias("rank"), "doc", "score"))
-
-
-def search(ix: Index, queries: DataFrame, fields: tuple[str, ...], n: int = 100,
-           weights: DataFrame | None = None) -> DataFrame:
+def search(ix: Index, queries: DataFrame, fields: tuple[str, ...], n: int = 100) -> DataFrame:
     """BM25 of each query (qid, text) over each field; the best field's
     score wins -> (qid, rank, doc, score).  A query token repeated k times
-    counts k times.
-
-    Each field is scored as a blocked sparse product (``sparse_top_n``), so
-    a common term never turns into (query x posting) rows; the overall top n
-    by best field is contained in the union of the per-field top-n lists, so
-    merging those is exact.
-    """
+    counts k times."""
     q = (queries.select("qid", F.explode(tokens("text")).alias("term"))
          .groupBy("qid", "term").agg(F.count(F.lit(1)).cast("double").alias("qw")))
-    w = weights if weights is not None else scored_postings(ix)
-    best = None
-    for f in fields:
-        qf = q.select("qid", F.concat_ws("\u0001", F.lit(f), "term").alias("key"), "qw")
-        wf = w.filter(F.col("field") == f).select("doc", F.concat_ws("\u0001", "field", "term").alias("key"), "w")
-        top = sparse_top_n(qf, wf, n).select("qid", "doc", "score")
-        best = top if best is None else best.unionByName(top)
-    best = best.groupBy("qid", "doc").agg(F.max("score").alias("score"))
-    return _top_n(best, "qid", n)
+    asked = q.withColumn("field", F.explode(F.array(*[F.lit(f) for f in fields])))
+    return scored_top(ix, asked, n, best_field=True)
 
 
 def more_like_this(ix: Index, anchors: DataFrame, n: int = 10,
                    max_query_terms: int = MLT_MAX_QUERY_TERMS,
                    min_term_freq: int = MLT_MIN_TERM_FREQ,
-                   min_doc_freq: int = MLT_MIN_DOC_FREQ,
-                   weights: DataFrame | None = None) -> DataFrame:
+                   min_doc_freq: int = MLT_MIN_DOC_FREQ) -> DataFrame:
     """For each anchor doc (column ``anchor``), pick its terms with
     total tf >= min_term_freq over the indexed fields and df >= min_doc_freq
     (df: the field where the term is most common), rank them by tf x idf,
     keep the best ``max_query_terms``, and score every other document by
     the BM25 sum of those terms in their field -> (anchor, rank, doc, score).
     """
-    stats = ix.term_df.withColumn("n_docs", ix.stat_col(0))
-    wtop = Window.partitionBy("term").orderBy(F.col("df").desc(), F.col("field").asc())
-    top_field = (stats.withColumn("_r", F.row_number().over(wtop)).filter("_r = 1")
-                 .select("term", F.col("field").alias("top_field"), "df",
-                         _idf(F.col("n_docs"), F.col("df")).alias("idf")))
-    a = (ix.postings.join(anchors.select(F.col("anchor").alias("doc")), "doc", "left_semi")
-         .groupBy(F.col("doc").alias("anchor"), "term").agg(F.sum("tf").alias("tf_all")))
-    sel = (a.filter(F.col("tf_all") >= min_term_freq).join(top_field, "term")
-           .filter(F.col("df") >= min_doc_freq)
-           .withColumn("sel", F.col("tf_all") * F.col("idf")))
+    order = F.struct((-F.col("df")).alias("less"), "field")
+    top_field = ix.terms.groupBy("term").agg(F.min(order).alias("t")) \
+        .select("term", F.col("t.field").alias("field"), (-F.col("t.less")).alias("df")).filter(F.col("df") >= min_doc_freq)
+    top_field = top_field.withColumn("idf", idf(ix.of_field(0), F.col("df")))
+    own = anchors.select(F.col("anchor").cast("long").alias("doc"), ix.shard_of(F.col("anchor")).alias("shard"))
+    here = ix.blocks.join(own.select("shard").distinct(), "shard", "left_semi") \
+        .select("term", F.explode(F.arrays_zip("docs", "tfs")).alias("p")).select("term", F.col("p.docs").alias("doc"), F.col("p.tfs").alias("tf"))
+    a = here.join(own.select("doc"), "doc", "left_semi").groupBy(F.col("doc").alias("anchor"), "term").agg(F.sum("tf").alias("tf_all"))
+    sel = a.filter(F.col("tf_all") >= min_term_freq).join(top_field, "term").withColumn("sel", F.col("tf_all") * F.col("idf"))
     wsel = Window.partitionBy("anchor").orderBy(rank_key("sel").desc(), F.col("term").asc())
-    terms = (sel.withColumn("_r", F.row_number().over(wsel)).filter(F.col("_r") <= max_query_terms)
-             .select("anchor", F.col("top_field").alias("field"), "term"))
-    w = weights if weights is not None else scored_postings(ix)
-    q = terms.select(F.col("anchor").alias("qid"), F.concat_ws("\u0001", "field", "term").alias("key"),
-                     F.lit(1.0).alias("qw"))
-    d = w.select("doc", F.concat_ws("\u0001", "field", "term").alias("key"), "w")
-    return sparse_top_n(q, d, n, exclude_self=True).withColumnRenamed("qid", "anchor")
-
-
-# ------------------------------------------------------- blocked sparse top-n
-
-def _entry_blocks(df: DataFrame, id_col: str, w_col: str, nblocks: int) -> DataFrame:
-    """One row per block: (blk, ids, keys, ws) -- the flattened sparse rows
-    of the ids hashed to the block."""
-    e = df.select(F.col(id_col).alias("id"), "key", F.col(w_col).cast("double").alias("w"))
-    e = e.withColumn("blk", F.pmod(F.xxhash64("id"), F.lit(nblocks)).cast("int"))
-    return (e.groupBy("blk").agg(F.collect_list(F.struct("id", "key", "w")).alias("l"))
-            .select("blk", F.transform("l", lambda x: x["id"]).alias("ids"),
-                    F.transform("l", lambda x: x["key"]).alias("keys"),
-                    F.transform("l", lambda x: x["w"]).alias("ws")))
-
-
-def _sparse_top_n(n: int, exclude_self: bool, chunk: int = 512):
-    def run(batches):
-        for pdf in batches:
-            outs = []
-            for r in pdf.itertuples(index=False):
-                qa = pd.DataFrame({"id": np.asarray(r.q_ids), "key": r.q_keys,
-                                   "qw": np.asarray(r.q_ws, dtype=np.float64)})
-                da = pd.DataFrame({"id": np.asarray(r.d_ids, dtype=np.int64), "key": r.d_keys,
-                                   "w": np.asarray(r.d_ws, dtype=np.float64)})
-                da = da[da["key"].isin(set(qa["key"]))]
-                if qa.empty or da.empty:
-                    continue
-                d_ids, d_idx = np.unique(da["id"].to_numpy(), return_inverse=True)
-                q_ids, q_idx = np.unique(qa["id"].to_numpy(), return_inverse=True)
-                k_idx, _ = pd.factorize(np.concatenate([qa["key"].to_numpy(dtype=object),
-                                                           da["key"].to_numpy(dtype=object)]))
-                qk, dk = k_idx[:len(qa)], k_idx[len(qa):]
-                nd = len(d_ids)
-                dpart = pd.DataFrame({"k": dk, "di": d_idx, "w": da["w"].to_numpy()})
-                qw = qa["qw"].to_numpy()
-                for start in range(0, len(q_ids), chunk):
-                    stop = min(start + chunk, len(q_ids))
-                    sel = (q_idx >= start) & (q_idx < stop)
-                    nq = stop - start
-                    m = pd.DataFrame({"qi": q_idx[sel] - start, "k": qk[sel], "qw": qw[sel]}) \
-                        .merge(dpart, on="k")
-                    if m.empty:
-                        continue
-                    s = np.bincount(m["qi"].to_numpy() * nd + m["di"].to_numpy(),
-                                    weights=m["qw"].to_numpy() * m["w"].to_numpy(),
-                                    minlength=nq * nd).reshape(nq, nd)
-                    part_ids = q_ids[start:stop]
-                    hit = s > 0
-                    if exclude_self:
-                        hit &= part_ids[:, None] != d_ids[None, :]
-                    if nd > n:
-                        # keep only entries at least as good as each row's
-                        # n-th best (ties included); sort those exactly below
-                        rs = np.where(hit, np.round(s, RANK_DECIMALS), -np.inf)
-                        nth = -np.partition(-rs, n - 1, axis=1)[:, n - 1]
-                        hit &= rs >= nth[:, None]
-                    qq, dd = np.nonzero(hit)
-                    if len(qq) == 0:
-                        continue
-                    sc = s[qq, dd]
-                    # rank: rounded score desc, doc asc; keep n per query
-                    order = np.lexsort((d_ids[dd], -np.round(sc, RANK_DECIMALS), qq))
-                    qq, dd, sc = qq[order], dd[order], sc[order]
-                    first = np.r_[0, np.flatnonzero(np.diff(qq)) + 1]
-                    pos = np.arange(len(qq)) - np.repeat(first, np.diff(np.r_[first, len(qq)]))
-                    keep = pos < n
-                    outs.append(pd.DataFrame({"qid": part_ids[qq[keep]], "doc": d_ids[dd[keep]],
-                                              "score": sc[keep]}))
-            if outs:
-                yield pd.concat(outs, ignore_index=True)
-    return run
-
-
-def sparse_top_n(q: DataFrame, d: DataFrame, n: int, exclude_self: bool = False,
-                 rows_per_block: int = 4096, entries_per_block: int = 250_000) -> DataFrame:
-    """Top ``n`` docs per query by sparse dot product -> (qid, rank, doc, score).
-
-    ``q`` has (qid, key, qw) and ``d`` has (doc, key, w).  Queries and docs
-    are hashed into blocks (bounded rows and entries per block); every
-    (query block, doc block) pair is one task that merges the two blocks on
-    ``key`` and sums the products with numpy, keeping n docs per query.  The
-    final ranking sees at most n x doc-blocks rows per query.  The work is
-    the number of (query, doc, shared key) triples, done vectorised; no
-    (query, doc) pair is shuffled unless it is a top-n candidate.
-    """
-    # Both inputs are read three times (sizing, blocks); keep them cached
-    # (memory and disk).  They stay cached for the session because the result
-    # is lazy: long-running sessions running many searches release them with
-    # spark.catalog.clearCache().  (A reliable checkpoint here measured ~1.5x
-    # slower at sf0.1.)
-    q, d = q.persist(), d.persist()
-    qn, qe = q.agg(F.countDistinct("qid"), F.count(F.lit(1))).first()
-    dn, de = d.agg(F.countDistinct("doc"), F.count(F.lit(1))).first()
-    bq = max(1, math.ceil(qn / rows_per_block), math.ceil(qe / entries_per_block))
-    bd = max(1, math.ceil(dn / rows_per_block), math.ceil(de / entries_per_block))
-    qb = _entry_blocks(q, "qid", "qw", bq).select(F.col("blk").alias("bi"), F.col("ids").alias("q_ids"),
-                                                 F.col("keys").alias("q_keys"), F.col("ws").alias("q_ws"))
-    db = _entry_blocks(d, "doc", "w", bd).select(F.col("blk").alias("bj"), F.col("ids").alias("d_ids"),
-                                                F.col("keys").alias("d_keys"), F.col("ws").alias("d_ws"))
-    qx = qb.withColumn("bj", F.explode(F.sequence(F.lit(0), F.lit(bd - 1))))
-    dx = db.withColumn("bi", F.explode(F.sequence(F.lit(0), F.lit(bq - 1))))
-    from marquee.operators.similarity import co_partition
-    qx, dx = co_partition(qx, dx, bq * bd)
-    schema = T.StructType([T.StructField("qid", q.schema["qid"].dataType),
-                           T.StructField("doc", d.schema["doc"].dataType),
-                           T.StructField("score", T.DoubleType())])
-    cand = qx.join(dx, ["bi", "bj"]).mapInPandas(_sparse_top_n(n, exclude_self), schema)
-    w = Window.partitionBy("qid").orderBy(rank_key("score").desc(), F.col("doc").asc())
-    return (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
-            .select("qid", F.col("rank").cast("int").alias("rank"), "doc", "score"))
+    terms = sel.withColumn("_r", F.row_number().over(wsel)).filter(F.col("_r") <= max_query_terms)
+    asked = terms.select(F.col("anchor").alias("qid"), "field", "term", F.lit(1.0).alias("qw"))
+    kind = anchors.schema["anchor"].dataType
+    return scored_top(ix, asked, n, exclude_self=True).select(F.col("qid").cast(kind).alias("anchor"), "rank", "doc", "score")
 
 
 # ------------------------------------------------------------------ fuzzy
@@ -357,4 +104,4 @@ def fuzzy_genre(movies: DataFrame, queries: DataFrame, n: int = 100) -> DataFram
     scored = (match.join(vocab_docs, "token")
               .groupBy("qid", "doc")
               .agg(F.max(F.lit(1.0) - F.col("dist") / F.length("q")).alias("score")))
-    return _top_n(scored, "qid", n)
+    return top_n(scored, "qid", n)

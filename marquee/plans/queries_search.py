@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marquee.operators import search as se
+from marquee.operators.text_index import built_index
 from marquee.plans.registry import register
 from marquee.plans.sqlviews import with_views
 from marquee.sources import standin as si
@@ -90,7 +91,7 @@ def _movie_docs(spark, sf):
           + """
 SELECT field, term, doc, tf FROM postings""")
 def x1_build_postings(spark, sf):
-    ix = se.build_postings(si.documents(spark, sf), "doc_id", ("text",))
+    ix = built_index(si.documents(spark, sf), "doc_id", ("text",))
     return ix.postings.select("field", "term", "doc", "tf")
 
 
@@ -98,7 +99,7 @@ def x1_build_postings(spark, sf):
           + _search_sql("SELECT item_id AS qid, text FROM benchmark", ("text",), 100))
 def x2_search(spark, sf):
     """Every benchmark passage searched (whole text) over every document."""
-    ix = se.build_postings(si.documents(spark, sf), "doc_id", ("text",))
+    ix = built_index(si.documents(spark, sf), "doc_id", ("text",))
     return se.search(ix, si.benchmark_queries(spark, sf), ("text",), 100).withColumn("score", r6("score"))
 
 
@@ -109,7 +110,7 @@ def x2_movie_search(spark, sf):
     """Multi-field search over name and descri, best field wins; every
     distinct movie title is a query."""
     docs = _movie_docs(spark, sf).withColumnRenamed("mid", "doc")
-    ix = se.build_postings(docs, "doc", SEARCH_FIELDS)
+    ix = built_index(docs, "doc", SEARCH_FIELDS)
     q = si.movies(spark, sf).select(F.col("name").alias("qid"), F.col("name").alias("text")).distinct()
     return se.search(ix, q, SEARCH_FIELDS, 100).withColumn("score", r6("score"))
 
@@ -121,7 +122,7 @@ SELECT anchor, rank, doc, round(score, 6) AS score FROM mlt""")
 def x3_more_like_this(spark, sf):
     """More-like-this for every movie over all six text fields."""
     docs = _movie_docs(spark, sf).withColumnRenamed("mid", "doc")
-    ix = se.build_postings(docs, "doc", MOVIE_FIELDS)
+    ix = built_index(docs, "doc", MOVIE_FIELDS)
     anchors = si.movies(spark, sf).select(F.col("mid").alias("anchor"))
     return se.more_like_this(ix, anchors, 10).withColumn("score", r6("score"))
 
@@ -162,7 +163,7 @@ def _hybrid_parts(spark, sf):
     sims = _sims(spark, sf, reused=True)
     similar = sims.select(F.col("mid").alias("anchor"), F.col("sim_mid").alias("mid"), F.col("sim").alias("score"))
     docs = _movie_docs(spark, sf).withColumnRenamed("mid", "doc")
-    ix = se.build_postings(docs, "doc", MOVIE_FIELDS)
+    ix = built_index(docs, "doc", MOVIE_FIELDS)
     content = (se.more_like_this(ix, req.select(F.col("anchor_mid").alias("anchor")).distinct(), 10)
                .select("anchor", F.col("doc").alias("mid"), "score"))
     scores = sc.score_events(ev, si.ratings(spark, sf), sims, N_RECENT, N_CAND, TEST_THRESHOLD)

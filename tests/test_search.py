@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from marquee.operators import search as se
+from marquee.operators.text_index import built_index
 
 DOCS = [(1, "red apple pie", "fruit"), (2, "green apple", "fruit fruit"), (3, "blue car", "car"),
         (4, "apple apple apple", "")]
@@ -44,7 +45,7 @@ def bm25(docs, field_idx, q):
 
 def test_bm25_best_field(spark):
     docs = spark.createDataFrame(DOCS, "doc long, name string, descri string")
-    ix = se.build_postings(docs, "doc", ("name", "descri"))
+    ix = built_index(docs, "doc", ("name", "descri"))
     q = spark.createDataFrame([(1, "apple fruit")], "qid long, text string")
     got = {r.doc: r.score for r in se.search(ix, q, ("name", "descri"), 10).collect()}
     a, b = bm25(DOCS, 1, "apple fruit"), bm25(DOCS, 2, "apple fruit")
@@ -55,7 +56,7 @@ def test_bm25_best_field(spark):
 def test_more_like_this_excludes_anchor(spark):
     docs = spark.createDataFrame([(i, "apple pie " * (1 + i % 2), "x") for i in range(8)],
                                  "doc long, name string, descri string")
-    ix = se.build_postings(docs, "doc", ("name",))
+    ix = built_index(docs, "doc", ("name",))
     out = se.more_like_this(ix, spark.createDataFrame([(0,), (1,)], "anchor long"), 3,
                             min_term_freq=1, min_doc_freq=1).collect()
     assert out and all(r.doc != r.anchor for r in out)
@@ -81,23 +82,82 @@ def test_fuzzy_genre(spark):
     assert got == [("q1", 1), ("q1", 3), ("q2", 1)]
 
 
-def test_sparse_top_n_brute_force(spark):
+def _corpus(n=300, seed=4):
     import random
-    rnd = random.Random(1)
-    qrows = [(q, f"k{rnd.randrange(12)}", 1.0 + rnd.random()) for q in range(40) for _ in range(3)]
-    drows = [(d, f"k{rnd.randrange(12)}", rnd.random()) for d in range(60) for _ in range(4)]
-    qdf = spark.createDataFrame(qrows, "qid long, key string, qw double").dropDuplicates(["qid", "key"])
-    ddf = spark.createDataFrame(drows, "doc long, key string, w double").dropDuplicates(["doc", "key"])
-    qs = {}
-    for r in qdf.collect():
-        qs.setdefault(r.qid, {})[r.key] = r.qw
-    ds = {}
-    for r in ddf.collect():
-        ds.setdefault(r.doc, {})[r.key] = r.w
-    got = {}
-    for r in se.sparse_top_n(qdf, ddf, 5, exclude_self=True, rows_per_block=16, entries_per_block=50).collect():
-        got.setdefault(r.qid, []).append((r.rank, r.doc))
-    for q, qv in qs.items():
-        sc = [(-round(sum(w * dv.get(k, 0) for k, w in qv.items()), 9), d) for d, dv in ds.items() if d != q]
-        want = [d for s, d in sorted(sc) if s < 0][:5]
-        assert [d for _, d in sorted(got.get(q, []))] == want
+    rnd = random.Random(seed)
+    vocab = [f"w{i}" for i in range(40)]
+    rows = []
+    for d in range(n):
+        k = min(39, int(rnd.expovariate(0.1)))
+        rows.append((d, "every " * rnd.randint(1, 3) + " ".join(rnd.choice(vocab[:k + 1]) for _ in range(rnd.randint(1, 30))), f"title w{d % 7}" if d % 5 else None))
+    return rows
+
+
+def _expected(rows, queries, n):
+    docs = [(d, a or "", b or "") for d, a, b in rows]
+    out = {}
+    for qid, text in queries:
+        parts = [bm25(docs, i, text) for i in (1, 2)]
+        scores = {d: max(p.get(d, 0) for p in parts) for d in set(parts[0]) | set(parts[1])}
+        out[qid] = [d for _, d in sorted((-round(s, 9), d) for d, s in scores.items())][:n]
+    return out
+
+
+def test_stored_index_equals_brute_force_with_and_without_bounds(spark):
+    from marquee.operators import text_index as ti
+    rows = _corpus()
+    queries = [(i, f"w{i} every w{i % 5} w{i % 3}") for i in range(20)] + [(77, "nothing here"), (78, ""), (79, None)]
+    docs = spark.createDataFrame(rows, "doc long, name string, descri string")
+    built = built_index(docs, "doc", ("name", "descri"), shard_docs=20, bucket_tokens=200)
+    ix = ti.open_index(spark, built.path)
+    assert ix.shards >= 15 and ix.buckets > 1 and ix.stats == built.stats
+    blocks = ix.blocks.filter("term = 'every'")
+    assert blocks.count() == ix.shards                       # a hot term is a block per shard
+    assert {r.df for r in ix.terms.filter("term = 'every'").collect()} == {300}
+    want = _expected(rows, [q for q in queries if q[1]], 5)
+    asked = spark.createDataFrame(queries, "qid long, text string") \
+        .select("qid", F.explode(se.tokens("text")).alias("term")).groupBy("qid", "term").agg(F.count("*").cast("double").alias("qw")) \
+        .withColumn("field", F.explode(F.array(F.lit("name"), F.lit("descri"))))
+    for prune in (10**9, 1):
+        got = {}
+        for r in ti.scored_top(ix, asked, 5, best_field=True, prune_shards=prune).collect():
+            got.setdefault(r.qid, []).append((r["rank"], r.doc))
+        assert {q: [d for _, d in sorted(v)] for q, v in got.items()} == {q: v for q, v in want.items() if v}
+    visits = ti._visits(ix, ti.weighted(ix, asked))
+    assert 0 < visits.count() <= 20 * ix.shards
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0      # nothing stays cached
+
+
+def test_search_reads_only_its_buckets(spark):
+    from marquee.operators import text_index as ti
+    docs = spark.createDataFrame(_corpus(), "doc long, name string, descri string")
+    ix = built_index(docs, "doc", ("name",), shard_docs=50, bucket_tokens=100)
+    asked = ti.weighted(ix, spark.createDataFrame([(1, "name", "w1", 1.0)], "qid long, field string, term string, qw double"))
+    files = {f.split("bucket=")[1].split("/")[0] for f in ti._of_terms(ix, asked).inputFiles() if "bucket=" in f}
+    plan = ti._of_terms(ix, asked)._jdf.queryExecution().executedPlan().toString()
+    assert ix.buckets > 5 and "PartitionFilters: [" in plan and "bucket" in plan.split("PartitionFilters: [")[1][:60] and files
+
+
+def test_products_dense_and_by_term_agree():
+    import numpy as np
+    from marquee.operators import text_index as ti
+    rng = np.random.default_rng(2)
+    for nq, nd, terms, per in ((30, 50, 6, 4), (5, 400, 900, 3)):
+        q = {(int(a), int(t)) for a in range(nq) for t in rng.integers(0, terms, per)}
+        d = {(int(a), int(t)) for a in range(nd) for t in rng.integers(0, terms, per)}
+        q_at, q_t = map(np.array, zip(*sorted(q)))
+        d_at, d_t = map(np.array, zip(*sorted(d)))
+        q_w, d_w = rng.random(len(q_at)), rng.random(len(d_at))
+        want = np.zeros((nq, nd))
+        for i, (a, t) in enumerate(zip(q_at, q_t)):
+            for j, (b, u) in enumerate(zip(d_at, d_t)):
+                if t == u:
+                    want[a, b] += q_w[i] * d_w[j]
+        assert np.allclose(ti.products(q_at, q_t, q_w, d_at, d_t, d_w, nq, nd), want)
+
+
+def test_empty_index(spark):
+    docs = spark.createDataFrame([], "doc long, name string")
+    ix = built_index(docs, "doc", ("name",))
+    q = spark.createDataFrame([(1, "apple")], "qid long, text string")
+    assert ix.postings.count() == 0 and se.search(ix, q, ("name",), 10).count() == 0
