@@ -1,9 +1,9 @@
 """Registered streaming queries.
 
-Each one stages a stream source derived from the test tables (files written
-in time order, one file per six-day chunk), runs the streaming query with
-``availableNow`` over all of it, and returns the final result table, which
-must equal the batch result of the same operator (same oracle SQL).
+Each one stages a log derived from the test tables (one job; chunks of six
+days, several files each), streams it chunk by chunk until all of it is
+processed, and returns the final result table, which must equal the batch
+result of the same operator (same oracle SQL).
 """
 
 from __future__ import annotations
@@ -17,42 +17,40 @@ from marquee.plans import queries_batch, queries_model  # noqa: F401
 from marquee.plans.registry import ORACLE, register
 from marquee.session import scratch_path
 from marquee.sources import standin as si
+from marquee.sources.log_source import read_log, write_log
 from marquee.streaming import pipeline as pl
 
 CHUNK_SECONDS = 6 * 86400
-AVAILABLE_NOW = {"availableNow": True}
+AT_ONCE = {"processingTime": "0 seconds"}
 
 
 def r6(c):
     return F.round(F.col(c) if isinstance(c, str) else c, 6)
 
 
-def stage_in_chunks(spark, df, ts_col: str, name: str) -> str:
-    """Write ``df`` as a stream source: one file per time chunk, in time
-    order, so that files arrive (by modification time) in event order."""
-    path = scratch_path(spark, name)
-    chunk = F.floor(F.col(ts_col) / CHUNK_SECONDS)
-    ids = sorted(r[0] for r in df.select(chunk.alias("c")).distinct().collect())
-    for c in ids:
-        df.filter(chunk == c).drop(ts_col).coalesce(1).write.mode("append").parquet(path)
-    return path
+def _log_source(spark, sf, checkpoint):
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
+    ev = si.table(spark, sf, "events").select(F.col("event_id").alias("offset"), seconds.alias("_t"))
+    lines = si.log_lines(spark, sf).join(ev, "offset")
+    path = write_log(lines, scratch_path(spark, "src-log"), F.col("_t"), F.col("key"), CHUNK_SECONDS)
+    return read_log(spark, path, pl.LOG_SCHEMA, checkpoint)
 
 
-def _log_source(spark, sf):
-    ev = si.table(spark, sf, "events").select("event_id", F.unix_seconds(F.col("ts").cast("timestamp")).alias("_t"))
-    lines = si.log_lines(spark, sf).join(ev.withColumnRenamed("event_id", "offset"), "offset")
-    path = stage_in_chunks(spark, lines, "_t", "src-log")
-    return pl.rating_stream(spark, {"format": "parquet", "path": path, "schema": pl.LOG_SCHEMA,
-                                    "maxFilesPerTrigger": 1})
+def _finish(query):
+    """Wait until everything staged is processed."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
 
 
 @register("t2_log_stream", ORACLE["p2_parse_rating_message"])
 def t2_log_stream(spark, sf):
     """T1 + T2 + S7 + S8: filter and parse the log stream into a file sink."""
     out, ck = scratch_path(spark, "out-t2"), scratch_path(spark, "ck-t2")
-    parsed = pl.rating_message_stream(pl.log_filter_stream(_log_source(spark, sf), si.RATING_MARKER))
-    q = pl.write_stream(parsed, {"format": "parquet", "path": out}, ck, AVAILABLE_NOW)
-    q.awaitTermination()
+    parsed = pl.rating_message_stream(pl.log_filter_stream(_log_source(spark, sf, ck), si.RATING_MARKER))
+    q = pl.write_stream(parsed, {"format": "parquet", "path": out}, ck, AT_ONCE)
+    _finish(q)
     return (spark.read.parquet(out)
             .select(F.col("event_id").alias("offset"), "uid", "mid", "score", "ts"))
 
@@ -62,10 +60,10 @@ def t3_recent_state_stream(spark, sf):
     """The per-user queue state (cap 40) after the whole stream, read
     from the last event of each user."""
     out, ck = scratch_path(spark, "out-t3"), scratch_path(spark, "ck-t3")
-    events = pl.rating_message_stream(pl.log_filter_stream(_log_source(spark, sf), si.RATING_MARKER))
+    events = pl.rating_message_stream(pl.log_filter_stream(_log_source(spark, sf, ck), si.RATING_MARKER))
     recent = pl.recent_ratings_stream(events, cap=40, read=40)
-    q = pl.write_stream(recent, {"format": "parquet", "path": out}, ck, AVAILABLE_NOW)
-    q.awaitTermination()
+    q = pl.write_stream(recent, {"format": "parquet", "path": out}, ck, AT_ONCE)
+    _finish(q)
     rows = spark.read.parquet(out)
     from pyspark.sql import Window
     w = Window.partitionBy("uid").orderBy(F.col("ts").desc(), F.col("event_id").desc())
@@ -75,28 +73,16 @@ def t3_recent_state_stream(spark, sf):
             .select("uid", "pos", F.col("r_mid").alias("mid"), F.col("r_score").alias("score")))
 
 
-def _online_loop_root(spark, sf):
-    """Run the whole online loop once per (session, sf) and return its
-    output root (the two queries below read different tables of it)."""
-    key = "marquee.loop." + sf.rstrip("/").replace("/", "_")
-    root = spark.conf.get(key, None)
-    if root:
-        return root
-    from marquee.plans.queries_model import N_CAND, N_RECENT, TEST_THRESHOLD, _sims
-    root, ck = scratch_path(spark, "loop"), scratch_path(spark, "ck-loop")
-    sims = _sims(spark, sf, reused=True)
-    q = pl.run_online_loop(spark, _log_source(spark, sf), si.ratings(spark, sf), sims, root, ck,
-                           si.RATING_MARKER, N_RECENT, N_CAND, TEST_THRESHOLD, AVAILABLE_NOW)
-    q.awaitTermination()
-    spark.conf.set(key, root)
-    return root
-
-
 @register("t5_stream_recs", ORACLE["t5_latest_recs"])
 def t5_stream_recs(spark, sf):
     """T4 + T5 + T6 + S9 in a stream: the final per-user lists equal the
     batch result (t5_latest_recs)."""
-    root = _online_loop_root(spark, sf)
+    from marquee.plans.queries_model import N_CAND, N_RECENT, TEST_THRESHOLD, _sims
+    root, ck = scratch_path(spark, "loop"), scratch_path(spark, "ck-loop")
+    sims = _sims(spark, sf, reused=True)
+    q = pl.run_online_loop(spark, _log_source(spark, sf, ck), si.ratings(spark, sf), sims, root, ck,
+                           si.RATING_MARKER, N_RECENT, N_CAND, TEST_THRESHOLD, AT_ONCE)
+    _finish(q)
     recs = pl.current_stream_recs(spark, root)
     return (recs.select("uid", "event_id", F.explode_outer("recs").alias("r"))
             .select("uid", "event_id", F.col("r.mid").alias("mid"), r6("r.score").alias("score")))
@@ -105,7 +91,8 @@ def t5_stream_recs(spark, sf):
 @register("t7_stream_ratings", ORACLE["t7_upsert_ratings"])
 def t7_stream_ratings(spark, sf):
     """T7 in a stream: the ratings table after every event was upserted."""
-    root = _online_loop_root(spark, sf)
+    root, ck = scratch_path(spark, "ratings-log"), scratch_path(spark, "ck-ratings")
+    _finish(pl.run_rating_log(_log_source(spark, sf, ck), root, ck, si.RATING_MARKER, AT_ONCE))
     return pl.current_ratings(spark, root, si.ratings(spark, sf)).select("uid", "mid", "score", "ts")
 
 
@@ -122,11 +109,11 @@ def t8_tag_feed_stream(spark, sf):
     from marquee.plans.queries_batch import TAG_FEED_START
     te = si.tag_events(spark, sf)
     old = te.filter(F.col("ts") < TAG_FEED_START)
-    new = te.filter(F.col("ts") >= TAG_FEED_START).withColumn("_t", F.col("ts"))
-    path = stage_in_chunks(spark, new, "_t", "src-tags")
-    stream = (spark.readStream.schema(TAG_SCHEMA).option("maxFilesPerTrigger", 1).parquet(path))
+    new = te.filter(F.col("ts") >= TAG_FEED_START)
+    path = write_log(new, scratch_path(spark, "src-tags"), F.col("ts"), F.col("mid"), CHUNK_SECONDS)
     root, ck = scratch_path(spark, "tagfeed"), scratch_path(spark, "ck-tags")
+    stream = read_log(spark, path, TAG_SCHEMA, ck)
     docs = aggregate_tags(old.select("uid", "mid", "tag", "ts"))
-    q = pl.run_tag_feed(spark, stream, old, docs, root, ck, AVAILABLE_NOW)
-    q.awaitTermination()
+    q = pl.run_tag_feed(spark, stream, old, docs, root, ck, AT_ONCE)
+    _finish(q)
     return pl.current_documents(spark, root, docs).select("mid", "tags")

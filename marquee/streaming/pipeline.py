@@ -29,6 +29,7 @@ from marquee.functions.columns import extract_rating_log, parse_rating_message
 from marquee.operators import scoring as sc
 from marquee.operators.maintenance import extend_tags, upsert_ratings
 from marquee.schemas import RECS
+from marquee.sources.log_source import FORMAT, read_log
 
 # Fixed values of the reference loop.
 QUEUE_CAP = 40          # recent ratings kept per user
@@ -66,8 +67,9 @@ def rating_stream(spark: SparkSession, opts: dict) -> DataFrame:
 
     ``opts['format'] == 'kafka'`` subscribes to ``opts['topic']`` from the
     latest offsets (the reference's setting) with the given bootstrap
-    servers; the Kafka connector must be on the classpath.  Any file format
-    reads ``opts['path']`` (``maxFilesPerTrigger`` per batch).
+    servers; the Kafka connector must be on the classpath.  ``'marquee_log'``
+    reads a stored log by chunks (``chunksPerTrigger``), several tasks a
+    batch (see ``sources.log_source``).  Any file format reads ``opts['path']`` (``maxFilesPerTrigger`` per batch).
     """
     fmt = opts.get("format", "parquet")
     if fmt == "kafka":
@@ -81,6 +83,8 @@ def rating_stream(spark: SparkSession, opts: dict) -> DataFrame:
         return df.select(F.col("offset").cast("bigint").alias("offset"),
                          F.col("key").cast("string").alias("key"),
                          F.col("value").cast("string").alias("value"))
+    if fmt == FORMAT:
+        return read_log(spark, opts["path"], opts.get("schema", LOG_SCHEMA), opts.get("checkpoint"), int(opts.get("chunksPerTrigger", 1)))
     return (spark.readStream.schema(opts.get("schema", LOG_SCHEMA)).format(fmt)
             .option("maxFilesPerTrigger", int(opts.get("maxFilesPerTrigger", 1)))
             .load(opts["path"]))
@@ -450,6 +454,22 @@ def run_online_loop(spark: SparkSession, source: DataFrame, ratings_base: DataFr
                 .foreachBatch(each).start())
 
 
+def run_rating_log(source: DataFrame, out_root: str, checkpoint: str, marker: str,
+                   trigger: dict | None = None, compact_every: int = 100):
+    """T1 -> T2 -> T7 alone: append every batch's rating events to the
+    ``rating_events`` log, which ``current_ratings`` applies on reading."""
+    spark, log = source.sparkSession, ChangeLog(out_root, "rating_events")
+    events = rating_message_stream(log_filter_stream(source, marker))
+
+    def each(batch_df, batch_id):
+        log.write(batch_df.select("event_id", "uid", "mid", "score", "ts").dropDuplicates(["event_id"]), batch_id)
+        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            log.compact(spark, batch_id)
+
+    return (events.writeStream.option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": TRIGGER_INTERVAL})).foreachBatch(each).start())
+
+
 # ------------------------------------------------------------- tag feed
 
 def newest_per_movie(log: DataFrame) -> DataFrame:

@@ -57,17 +57,17 @@ def test_stream_equals_batch_for_another_split(spark):
     from tests.conftest import SF001
     load_all()
     want = sorted(tuple(r) for r in QUERIES["t5_latest_recs"](spark, SF001).collect())
+    root, ck = scratch_path(spark, "t-split"), scratch_path(spark, "t-split-ck")
     old = qs.CHUNK_SECONDS
     qs.CHUNK_SECONDS = 3 * 86400
     try:
-        src = qs._log_source(spark, SF001)
+        src = qs._log_source(spark, SF001, ck)
     finally:
         qs.CHUNK_SECONDS = old
-    root, ck = scratch_path(spark, "t-split"), scratch_path(spark, "t-split-ck")
     q = pl.run_online_loop(spark, src, si.ratings(spark, SF001), qm._sims(spark, SF001, reused=True), root, ck,
-                           si.RATING_MARKER, qm.N_RECENT, qm.N_CAND, qm.TEST_THRESHOLD, {"availableNow": True},
+                           si.RATING_MARKER, qm.N_RECENT, qm.N_CAND, qm.TEST_THRESHOLD, qs.AT_ONCE,
                            compact_every=3)
-    q.awaitTermination()
+    qs._finish(q)
     assert len(q.recentProgress) >= 8                  # many micro-batches, compactions included
     recs = pl.current_stream_recs(spark, root)
     got = sorted(tuple(r) for r in recs.select("uid", "event_id", F.explode_outer("recs").alias("r"))

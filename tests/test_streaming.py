@@ -7,6 +7,7 @@ from marquee.plans import queries_model as qm
 from marquee.plans import queries_stream as qs
 from marquee.session import scratch_path
 from marquee.sources import standin as si
+from marquee.sources.log_source import LogReader, _listed, read_log, write_log
 from marquee.streaming import pipeline as pl
 from tests.conftest import SF001
 
@@ -21,14 +22,15 @@ def test_online_loop_equals_batch_and_restarts(spark):
     want = _rows(QUERIES["t5_latest_recs"](spark, SF001))
     sims = qm._sims(spark, SF001, reused=True)
     root, ck = scratch_path(spark, "t-loop"), scratch_path(spark, "t-ck")
-    src = qs._log_source(spark, SF001)
+    src = qs._log_source(spark, SF001, ck)
     q = pl.run_online_loop(spark, src, si.ratings(spark, SF001), sims, root, ck, si.RATING_MARKER,
-                           qm.N_RECENT, qm.N_CAND, qm.TEST_THRESHOLD, {"availableNow": True})
-    q.awaitTermination()
+                           qm.N_RECENT, qm.N_CAND, qm.TEST_THRESHOLD, qs.AT_ONCE)
+    qs._finish(q)
     recs = pl.current_stream_recs(spark, root)
     got = _rows(recs.select("uid", "event_id", F.explode_outer("recs").alias("r"))
                 .select("uid", "event_id", F.col("r.mid").alias("mid"), F.round("r.score", 6).alias("score")))
     assert got == want
+    assert len([p for p in q.recentProgress if p["numInputRows"]]) >= 3
     n_versions = len(pl._complete_versions(spark, f"{root}/StreamRecs"))
     # restart on the same checkpoint: nothing new to process, nothing changes
     q2 = pl.run_online_loop(spark, src,
@@ -87,18 +89,13 @@ def test_tag_feed_stream_with_compaction_equals_batch(spark):
     want = sorted(tuple(r) for r in QUERIES["t8_apply_new_tags"](spark, SF001).collect())
     te = si.tag_events(spark, SF001)
     old = te.filter(F.col("ts") < TAG_FEED_START)
-    new = te.filter(F.col("ts") >= TAG_FEED_START).withColumn("_t", F.col("ts"))
-    keep = qs.CHUNK_SECONDS
-    qs.CHUNK_SECONDS = 3 * 86400
-    try:
-        path = qs.stage_in_chunks(spark, new, "_t", "t-tags-src")
-    finally:
-        qs.CHUNK_SECONDS = keep
-    stream = spark.readStream.schema(qs.TAG_SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)
+    new = te.filter(F.col("ts") >= TAG_FEED_START)
+    path = write_log(new, scratch_path(spark, "t-tags-src"), F.col("ts"), F.col("mid"), 3 * 86400)
     root, ck = scratch_path(spark, "t-tags"), scratch_path(spark, "t-tags-ck")
+    stream = read_log(spark, path, qs.TAG_SCHEMA, ck)
     docs = aggregate_tags(old.select("uid", "mid", "tag", "ts"))
-    q = pl.run_tag_feed(spark, stream, old, docs, root, ck, {"availableNow": True}, compact_every=1)
-    q.awaitTermination()
+    q = pl.run_tag_feed(spark, stream, old, docs, root, ck, qs.AT_ONCE, compact_every=1)
+    qs._finish(q)
     assert len(q.recentProgress) >= 3
     got = sorted(tuple(r) for r in pl.current_documents(spark, root, docs).select("mid", "tags").collect())
     assert got == want
@@ -119,3 +116,105 @@ def test_retried_batch_rewrites_not_duplicates(spark):
     recs = pl.current_stream_recs(spark, root).collect()
     assert len(recs) == 1 and [(x.mid, round(x.score, 9)) for x in recs[0].recs] == [(20, round((1.8 + 3.5) / 2, 9))]
     assert pl.ChangeLog(root, "rating_events").read(spark).count() == 1
+
+
+EVENT = "id long, k int, t long"
+
+
+def _events(spark, lo, hi):
+    return spark.range(lo, hi).select("id", (F.col("id") % 7).cast("int").alias("k"), F.col("id").alias("t"))
+
+
+def test_log_source_batches_partitions_and_restart(spark):
+    from pyspark.sql.types import _parse_datatype_string
+    path, out, ck = (scratch_path(spark, n) for n in ("t-log-src", "t-log-out", "t-log-ck"))
+    kind = _parse_datatype_string(EVENT)
+    write_log(_events(spark, 0, 1000), path, F.col("t"), F.col("k"), 250, files=3)
+    chunks = _listed(path)
+    assert sorted(chunks) == [0, 1, 2, 3] and all(len(v) > 1 for v in chunks.values())
+    seen = []
+
+    def each(df, batch_id):
+        seen.append((batch_id, df.rdd.getNumPartitions(), df.count()))
+        df.write.mode("append").parquet(out)
+
+    def go():
+        q = read_log(spark, path, kind, ck).writeStream.option("checkpointLocation", ck).foreachBatch(each).start()
+        q.processAllAvailable()
+        q.stop()
+
+    go()
+    assert [n for _, _, n in seen] == [250] * 4 and all(p > 1 for _, p, _ in seen)
+    go()                                                   # nothing new
+    assert len(seen) == 4
+    import os
+    later = write_log(_events(spark, 1000, 1600), scratch_path(spark, "t-log-later"), F.col("t"), F.col("k"), 250, files=2)
+    base, more = (p.removeprefix("file:") for p in (path, later))
+    for d in os.listdir(more):
+        if d.startswith("chunk="):
+            os.symlink(os.path.join(more, d), os.path.join(base, d))
+    go()                                                   # goes on behind its offsets
+    ids = sorted(r.id for r in spark.read.schema(kind).parquet(out).collect())
+    assert ids == list(range(1600))
+    # a key's rows of a chunk are in one file
+    for files in chunks.values():
+        keys = [{r.k for r in spark.read.parquet(f).collect()} for f in files]
+        assert sum(map(len, keys)) == len(set().union(*keys))
+
+
+def test_log_reader_never_steps_back(spark):
+    path = scratch_path(spark, "t-log-offsets")
+    write_log(_events(spark, 0, 500), path, F.col("t"), F.col("k"), 100, files=2)
+    new = LogReader(path, None, 2, scratch_path(spark, "t-no-ck"))
+    assert new.initialOffset() == {"chunk": 0} and new.latestOffset() == {"chunk": 2} == new.latestOffset()
+    assert {p.path.rsplit("/", 2)[-2] for p in new.partitions({"chunk": 0}, {"chunk": 2})} == {"chunk=0", "chunk=1"}
+    assert new.latestOffset() == {"chunk": 4}
+    restarted = LogReader(path, None, 2)
+    assert restarted.latestOffset() == {"chunk": 5}        # not before what may be committed
+    restarted.commit({"chunk": 5})
+    assert restarted.latestOffset() == {"chunk": 5}
+    empty = LogReader(scratch_path(spark, "t-none"), None, 1)
+    assert empty.initialOffset() == empty.latestOffset() == {"chunk": 0}
+
+
+def test_trigger_runs_timed_batches(spark):
+    """A processing-time trigger, watched by a query listener."""
+    import threading
+    import time
+
+    from pyspark.sql.streaming import StreamingQueryListener
+    from pyspark.sql.types import _parse_datatype_string
+    path, out, ck = (scratch_path(spark, n) for n in ("t-trig-src", "t-trig-out", "t-trig-ck"))
+    write_log(_events(spark, 0, 300), path, F.col("t"), F.col("k"), 100, files=2)
+    batches, enough = [], threading.Event()
+
+    class Watch(StreamingQueryListener):
+        def onQueryStarted(self, event):
+            pass
+
+        def onQueryProgress(self, event):
+            if event.progress.numInputRows:
+                batches.append((event.progress.batchId, event.progress.timestamp, event.progress.numInputRows))
+            if len(batches) >= 3:
+                enough.set()
+
+        def onQueryIdle(self, event):
+            pass
+
+        def onQueryTerminated(self, event):
+            pass
+
+    watch = Watch()
+    spark.streams.addListener(watch)
+    try:
+        q = pl.write_stream(read_log(spark, path, _parse_datatype_string(EVENT), ck), {"format": "parquet", "path": out}, ck)
+        assert enough.wait(90)
+        q.stop()
+        time.sleep(0.5)
+    finally:
+        spark.streams.removeListener(watch)
+    from datetime import datetime
+    at = [datetime.fromisoformat(t.replace("Z", "+00:00")).timestamp() for _, t, _ in batches[:3]]
+    assert [n for _, _, n in batches[:3]] == [100] * 3
+    # batches start on the interval of two seconds, or later where one took longer
+    assert all(b - a >= 1.0 for a, b in zip(at, at[1:])) and all(abs(x - 2 * round(x / 2)) < 1.0 for x in at[1:])
