@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.functions.columns import sort_recs
+from marquee.operators.factor_blocks import similar_pairs, top_products, usable
 from marquee.schemas import RECS
 
 SIM_SCHEMA = T.StructType([
@@ -129,9 +130,11 @@ def item_similarity(factors: DataFrame, threshold: float = 0.6, id_col: str = "m
     """M5: ordered pairs (mid, sim_mid, sim) with cosine ``sim > threshold``,
     self pairs removed (P17 strict threshold, R6 zero vectors dropped)."""
     n = n_items if n_items is not None else factors.count()
-    nb = num_blocks(n, block_rows)
-    blocks = to_blocks(factors, id_col, feat_col, nb)
-    pairs = block_pairs(blocks, blocks, nb, nb, upper=True)
+    if n > block_rows:
+        # several blocks: gather alike vectors, skip block pairs too far apart
+        return similar_pairs(usable(factors, id_col, feat_col), float(threshold), block_rows, n)
+    blocks = to_blocks(factors, id_col, feat_col, 1)
+    pairs = block_pairs(blocks, blocks, 1, 1, upper=True)
     return pairs.mapInPandas(_cosine_pairs(float(threshold)), SIM_SCHEMA)
 
 
@@ -190,14 +193,17 @@ def blocked_top_k(user_factors: DataFrame, item_factors: DataFrame, k: int,
                   n_users: int | None = None, n_items: int | None = None) -> DataFrame:
     """Top ``k`` items per user by dot product -> (uid, rank, mid, score).
 
-    Each (user block, item block) task keeps k candidates per user; the
-    final ranking sees at most k x item-blocks rows per user.
+    Up to one block of items: every user block meets it.  More: items lie in
+    blocks by falling norm, and a user meets only blocks whose norm can still
+    reach its k-th best score (``factor_blocks.top_products``).
     """
+    ni = n_items if n_items is not None else item_factors.count()
+    if ni > block_rows:
+        return top_products(usable(user_factors, "id", "features"), usable(item_factors, "id", "features"), k, positive_only, block_rows)
     nu = num_blocks(n_users if n_users is not None else user_factors.count(), block_rows)
-    ni = num_blocks(n_items if n_items is not None else item_factors.count(), block_rows)
     ub = to_blocks(user_factors, "id", "features", nu)
-    ib = to_blocks(item_factors, "id", "features", ni)
-    cand = block_pairs(ub, ib, nu, ni, upper=False).mapInPandas(_dot_topk(k, positive_only), TOPK_SCHEMA)
+    ib = to_blocks(item_factors, "id", "features", 1)
+    cand = block_pairs(ub, ib, nu, 1, upper=False).mapInPandas(_dot_topk(k, positive_only), TOPK_SCHEMA)
     w = Window.partitionBy("uid").orderBy(F.col("score").desc(), F.col("mid").asc())
     return (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
             .select("uid", F.col("rank").cast("int").alias("rank"), "mid", "score"))

@@ -174,3 +174,67 @@ def m2_predict_pairs(spark, sf):
     from marquee.operators.model import predict_pairs, train_als
     model = train_als(_ratings_for_model(spark, sf))
     return predict_pairs(model, si.rating_events(spark, sf).select("uid", "mid").distinct())
+
+
+# ------------------------------------------------------- model on fixed factors
+
+# The factorisation itself is iterative, but what follows it is not: these
+# queries run the model's operators on factors taken from the embeddings.
+_FIXED_SQL = """uf AS (SELECT CAST(vec_id AS INTEGER) AS uid, list_transform(embedding, lambda x: CAST(x AS DOUBLE) * (1 + vec_id % 3)) AS f FROM embeddings),
+itf AS (SELECT CAST(vec_id AS INTEGER) AS mid, list_transform(embedding, lambda x: CAST(x AS DOUBLE) * (1 + vec_id % 5)) AS f FROM embeddings)"""
+
+
+def fixed_factors(spark, sf):
+    """(users, items): factors (id, features) of whole tables."""
+    e = si.table(spark, sf, "embeddings").select(F.col("vec_id").cast("int").alias("id"), F.col("vec_id").alias("n"), "embedding")
+    scaled = lambda m: F.transform("embedding", lambda x: x.cast("double") * (1 + F.col("n") % m))
+    return e.select("id", scaled(3).alias("features")), e.select("id", scaled(5).alias("features"))
+
+
+FIXED_TOP_SQL = "fixed AS (" + """SELECT uid, CAST(rank AS INTEGER) AS rank, mid, score FROM (
+  SELECT u.uid, i.mid, list_inner_product(u.f, i.f) AS score,
+         row_number() OVER (PARTITION BY u.uid ORDER BY list_inner_product(u.f, i.f) DESC, i.mid) AS rank
+  FROM uf u, itf i WHERE list_inner_product(u.f, i.f) > 0 AND i.mid IN (SELECT mid FROM movies)) WHERE rank <= 10)"""
+
+
+def fixed_top(spark, sf, k=10, block_rows=256):
+    """The users' best catalogue movies; blocks small enough for the test
+    tables to have several."""
+    from marquee.operators.similarity import blocked_top_k
+    users, items = fixed_factors(spark, sf)
+    catalogue = si.movies(spark, sf).select(F.col("mid").alias("id"))
+    return blocked_top_k(users, items.join(catalogue, "id", "left_semi"), k, True, block_rows)
+
+
+@register("m3_factor_top_k", with_views("movies") + ", " + _FIXED_SQL + ", " + FIXED_TOP_SQL + """
+SELECT uid, rank, mid, round(score, 6) AS score FROM fixed""")
+def m3_factor_top_k(spark, sf):
+    """M3 / A6 / J3 / P16 on fixed factors: ten best positive products of
+    every user over catalogue movies."""
+    return fixed_top(spark, sf).withColumn("score", r6("score"))
+
+
+@register("m2_factor_scores", with_views("rating_events") + ", " + _FIXED_SQL + """
+SELECT p.uid, p.mid, round(list_inner_product(u.f, i.f), 6) AS score
+FROM (SELECT DISTINCT uid, mid FROM rating_events) p JOIN uf u ON u.uid = p.uid JOIN itf i ON i.mid = p.mid""")
+def m2_factor_scores(spark, sf):
+    """M2 / J11 on fixed factors: the product for every rated pair; pairs
+    whose user or movie has no factors drop out."""
+    from marquee.operators.model import factor_scores
+    users, items = fixed_factors(spark, sf)
+    return factor_scores(users, items, si.rating_events(spark, sf).select("uid", "mid").distinct()).withColumn("score", r6("score"))
+
+
+@register("m4_item_factors", with_views("factors") + """
+SELECT mid, unnest(range(1, len(features) + 1)) AS pos, round(unnest(features), 6) AS value FROM factors""")
+def m4_item_factors(spark, sf):
+    """M4: the item factors in the model's shape (mid, features), listed."""
+    f = si.item_factors(spark, sf)
+    return f.select("mid", F.posexplode("features").alias("pos", "value")) \
+        .select("mid", (F.col("pos") + 1).cast("long").alias("pos"), r6("value").alias("value"))
+
+
+@register("a11_distinct_users", with_views("ratings") + "SELECT DISTINCT uid FROM ratings")
+def a11_distinct_users(spark, sf):
+    from marquee.operators.model import distinct_users
+    return distinct_users(si.ratings(spark, sf))

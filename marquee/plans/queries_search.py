@@ -272,6 +272,38 @@ def l6_wish_movies(spark, sf):
     return movies_by_ids(movies, out.select("uid", "rank", "source", "mid"))
 
 
+def _wish_sql():
+    from marquee.plans.queries_model import _FIXED_SQL, FIXED_TOP_SQL
+    return with_views("movies", "ratings", "ranked_genres", "users", "averages") + ", " + _FIXED_SQL + ", " + FIXED_TOP_SQL + """, fb AS (
+  SELECT u.uid, g.rank, g.mid, 'genre' AS source
+  FROM users u JOIN ranked_genres g
+    ON g.genre = split_part(u.prefGenres[CAST(u.uid % len(u.prefGenres) AS INTEGER) + 1], ' ', 1)
+  WHERE u.uid NOT IN (SELECT uid FROM fixed) AND len(u.prefGenres) > 0),
+wish AS (SELECT f.uid, f.rank, f.mid, 'recs' AS source FROM fixed f JOIN users u ON u.uid = f.uid
+         UNION ALL SELECT uid, rank, mid, source FROM fb)
+SELECT w.uid, w.rank, w.source, w.mid, m.name, round(coalesce(a.avg, 0.0), 6) AS avg_score
+FROM wish w JOIN movies m ON m.mid = w.mid LEFT JOIN averages a ON a.mid = w.mid"""
+
+
+@register("l6_wish_from_factors", _wish_sql())
+def l6_wish_from_factors(spark, sf):
+    """The wish flow (L6, U2, J7, J8) on fixed factors: users' lists, best
+    10, a preference genre's list for users without one, with movies and
+    average scores."""
+    from marquee.operators import statistics as st
+    from marquee.operators.blend import with_fallback
+    from marquee.operators.serving import enrich, movies_by_ids
+    from marquee.plans.queries_model import fixed_top
+    avgs = st.average_movies_score(si.ratings(spark, sf))
+    top = st.ranked_genres(si.movies(spark, sf), avgs, 10)
+    users = si.users(spark, sf)
+    recs = fixed_top(spark, sf).join(users.select("uid"), "uid", "left_semi")
+    out = with_fallback(recs, users, top, 10, seed=None)
+    movies = enrich(si.movies(spark, sf).select("mid", "name"), avgs)
+    return movies_by_ids(movies, out.select("uid", "rank", "source", "mid")) \
+        .select("uid", "rank", "source", "mid", "name", r6("score").alias("avg_score"))
+
+
 @register("l7_stream_recs_top", _hybrid_sql() + """
 SELECT uid, CAST(rank AS INTEGER) AS rank, mid, round(score, 6) AS score FROM (
   SELECT uid, mid, score, row_number() OVER (PARTITION BY uid ORDER BY round(score, 9) DESC, mid) AS rank
