@@ -26,34 +26,36 @@ from pyspark.sql import functions as F
 
 from marquee.functions.columns import sort_recs
 from marquee.schemas import RECS
+from marquee.session import scratch_path
 
 
 def user_sequence(events: DataFrame, partitions: int | None = None, rows_per_bucket: int = 100_000) -> DataFrame:
     """Number each user's events 0, 1, 2 ... in (ts, event_id) order
-    without sorting any user's events in a single task.
-
-    The whole time span is cut into equal stretches (``partitions`` of them,
-    by default one per ``rows_per_bucket`` events), so a user with a third
-    of all events spans many groups.  Rows are numbered within (user,
-    stretch) and shifted by the user's row count in earlier stretches (a
-    prefix sum over at most one row per user and stretch).  Groups depend on
-    values only, so every branch of a plan, any partition count and any
-    retry number alike.
+    without sorting any user's events in a single task; a null time is the
+    earliest.
+
+    Rows are cut at order statistics of (uid, ts, event_id) into pieces of
+    about ``rows_per_bucket`` rows, so neither a user with a third of all
+    events nor a stray time makes a piece larger than another.  Pieces are
+    written down once, as every branch of a plan must see the same cuts.
+    Rows are numbered within (user, piece) and shifted by the user's row
+    count in earlier pieces (a prefix sum over one row per user and piece).
     """
-    b = events.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    pieces = partitions or max(1, -(-b.n // rows_per_bucket))
-    lo, hi = b.lo or 0, b.hi or 0
-    width = max(1, (hi - lo) // pieces + 1)
-    cut = events.withColumn("_b", F.floor((F.col("ts") - F.lit(lo)) / F.lit(width)))
-    local = F.row_number().over(Window.partitionBy("uid", "_b").orderBy("ts", "event_id")) - 1
+    pieces = partitions or max(1, -(-events.count() // rows_per_bucket))
+    path = scratch_path(events.sparkSession, "user-sequence")
+    dealt = events.repartitionByRange(pieces, "uid", "ts", "event_id", *[c for c in events.columns if c not in ("uid", "ts", "event_id")])
+    dealt.withColumn("_b", F.spark_partition_id()).write.parquet(path)
+    cut = events.sparkSession.read.schema(dealt.withColumn("_b", F.spark_partition_id()).schema).parquet(path)
+    rest = [c for c in events.columns if c not in ("uid", "ts", "event_id")]
+    local = F.row_number().over(Window.partitionBy("uid", "_b").orderBy("ts", "event_id", *rest)) - 1
     numbered = cut.withColumn("_local", local)
-    counts = cut.groupBy("uid", "_b").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy("uid").orderBy("_b")
+    counts = cut.groupBy(F.col("uid").alias("_u"), F.col("_b").alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("_u").orderBy("_p")
                               .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select("uid", "_b", F.coalesce(before, F.lit(0)).alias("_off"))
-    return (numbered.join(offsets, ["uid", "_b"])
+    offsets = counts.select("_u", "_p", F.coalesce(before, F.lit(0)).alias("_off"))
+    return (numbered.join(offsets, F.col("uid").eqNullSafe(F.col("_u")) & (F.col("_b") == F.col("_p")))
             .withColumn("seq", (F.col("_local") + F.col("_off")).cast("long"))
-            .drop("_b", "_local", "_off"))
+            .select(*events.columns, "seq"))
 
 
 def recent_per_event(events: DataFrame, n_recent: int = 20) -> DataFrame:
@@ -98,10 +100,28 @@ def first_rated(ratings: DataFrame, events: DataFrame) -> DataFrame:
             .select("uid", "mid", F.col("f.ts").alias("f_ts"), F.col("f.event_id").alias("f_id")))
 
 
+def ranked_sims(sims: DataFrame, per_bucket: int = 20) -> DataFrame:
+    """The similarity table by rank: (mid, cand, csim, bucket), where
+    bucket 0 holds a movie's ``per_bucket`` most similar movies, and so on."""
+    w = Window.partitionBy("mid").orderBy(F.col("sim").desc(), F.col("sim_mid").asc())
+    return sims.select("mid", F.col("sim_mid").alias("cand"), F.col("sim").alias("csim"),
+                       F.floor((F.row_number().over(w) - 1) / per_bucket).cast("int").alias("bucket"))
+
+
 def candidates(events: DataFrame, sims: DataFrame, seen: DataFrame, n_cand: int = 20) -> DataFrame:
-    """J5 + J6 + W3: (event_id, uid, cand, csim, cand_rank)."""
-    s = sims.select(F.col("mid"), F.col("sim_mid").alias("cand"), F.col("sim").alias("csim"))
-    c = events.select("event_id", "uid", "mid", "ts").join(s, "mid")
+    """J5 + J6 + W3: (event_id, uid, cand, csim, cand_rank).
+
+    A user who has rated s movies finds ``n_cand`` unseen ones among the
+    first n_cand + s ranks, so an event reads only the rank buckets up to
+    there, however long the movie's list is.
+    """
+    s = ranked_sims(sims, n_cand)
+    buckets = sims.groupBy("mid").agg(F.floor((F.count(F.lit(1)) - 1) / n_cand).cast("int").alias("_last"))
+    known = seen.groupBy("uid").agg(F.count(F.lit(1)).alias("_seen"))
+    e = events.select("event_id", "uid", "mid", "ts").join(buckets, "mid").join(known, "uid", "left")
+    need = F.floor((F.lit(n_cand - 1) + F.coalesce("_seen", F.lit(0))) / n_cand).cast("int")
+    e = e.select("event_id", "uid", "mid", "ts", F.explode(F.sequence(F.lit(0), F.least("_last", need))).alias("bucket"))
+    c = e.join(s, ["mid", "bucket"]).drop("bucket")
     seen_ = seen.select(F.col("uid").alias("s_uid"), F.col("mid").alias("s_mid"), "f_ts", "f_id")
     rated_before = ((c.uid == seen_.s_uid) & (c.cand == seen_.s_mid)
                     & ((seen_.f_ts < c.ts) | ((seen_.f_ts == c.ts) & (seen_.f_id <= c.event_id))))

@@ -51,6 +51,20 @@ def m5_item_similarity_ref(spark, sf):
     return _sims(spark, sf, REF_THRESHOLD).withColumn("sim", r6("sim"))
 
 
+_LEANING = "CAST(x AS DOUBLE) + 0.1"
+
+
+@register("m5_similarity_ref_threshold", "WITH factors AS (SELECT CAST(vec_id AS INTEGER) AS mid, list_transform(embedding, lambda x: "
+          + _LEANING + ") AS features FROM embeddings), " + _sims_sql(REF_THRESHOLD) + """
+SELECT mid, sim_mid, round(sim, 6) AS sim FROM sims""")
+def m5_similarity_ref_threshold(spark, sf):
+    """M5 / P17 at the reference's threshold, on factors that lean one way
+    (so that pairs reach it), in several blocks."""
+    e = si.table(spark, sf, "embeddings")
+    f = e.select(F.col("vec_id").cast("int").alias("mid"), F.transform("embedding", lambda x: x.cast("double") + F.lit(0.1)).alias("features"))
+    return sim.item_similarity(f, REF_THRESHOLD, block_rows=128).withColumn("sim", r6("sim"))
+
+
 @register("a7_similar_lists", with_views("factors") + ", " + _sims_sql(TEST_THRESHOLD) + """
 SELECT mid, count(*) AS n_similar,
        arg_max(sim_mid, sim) AS best_mid, round(max(sim), 6) AS best_sim

@@ -30,6 +30,7 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import the modules that register queries."""
     from marquee.plans import queries_batch  # noqa: F401
+    from marquee.plans import queries_load  # noqa: F401
     from marquee.plans import queries_model  # noqa: F401
     from marquee.plans import queries_search  # noqa: F401
     from marquee.plans import queries_stream  # noqa: F401

@@ -2,6 +2,9 @@
 
 import math
 
+
+from pyspark.sql import functions as F
+
 from marquee.operators import scoring as sc
 
 
@@ -74,3 +77,29 @@ def test_user_sequence_same_for_any_partition_count(spark):
             assert got.count() == 60_000 and got.filter("seq <> want").count() == 0
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_user_sequence_stray_and_null_times(spark):
+    """One event far from all others, events without a time, a hot user:
+    numbers equal a plain sort, and no piece is much larger than asked for."""
+    rows = [(i, 7 if i % 3 else i % 50, i % 9, 1.0, None if i % 500 == 0 else (10**14 if i == 41 else i // 4)) for i in range(6000)]
+    df = spark.createDataFrame(rows, "event_id long, uid int, mid int, score double, ts long").repartition(5)
+    got = sc.user_sequence(df, rows_per_bucket=300).collect()
+    assert len(got) == len(rows)
+    by = {}
+    for r in got:
+        by.setdefault(r.uid, []).append(((r.ts is not None, r.ts or 0, r.event_id), r.seq))
+    for v in by.values():
+        assert [s for _, s in sorted(v)] == list(range(len(v)))
+    assert sc.user_sequence(df.limit(0)).count() == 0
+
+
+def test_pieces_are_bounded(spark, monkeypatch):
+    seen = []
+    real = sc.scratch_path
+    monkeypatch.setattr(sc, "scratch_path", lambda s, n: seen.append(real(s, n)) or seen[-1])
+    df = spark.range(20_000).select(F.col("id").alias("event_id"), F.lit(1).alias("uid"), F.lit(2).alias("mid"), F.lit(1.0).alias("score"),
+                                    F.when(F.col("id") == 5, 10**15).otherwise(F.col("id")).alias("ts"))
+    sc.user_sequence(df, rows_per_bucket=1000).count()
+    sizes = [r["count"] for r in spark.read.parquet(seen[0]).groupBy("_b").count().collect()]
+    assert len(sizes) >= 15 and max(sizes) <= 3000
