@@ -112,7 +112,7 @@ class Index:
 def write_index(docs: DataFrame, id_col: str, fields: tuple[str, ...], path: str, shard_docs: int = SHARD_DOCS,
                 shard_tokens: int = SHARD_TOKENS, bucket_tokens: int = BUCKET_TOKENS) -> Index:
     """Index ``fields`` of ``docs`` (whole texts; ids are unique whole
-    numbers) into a new folder ``path``."""
+    numbers) into the folder ``path``, replacing an index there."""
     spark = docs.sparkSession
     cores = spark.sparkContext.defaultParallelism
     size = docs.agg(F.count("*").alias("n"), *[F.sum(F.length(f)).alias(f) for f in fields]).first()
@@ -135,12 +135,12 @@ def write_index(docs: DataFrame, id_col: str, fields: tuple[str, ...], path: str
                            "n", "max_tf", "min_dl", "tokens", "share", ix.bucket_of().alias("bucket"))
     files = ix.buckets * -(-ix.shards // SLOT_SHARDS)
     blocks.repartition(max(files, min(cores, ix.shards)), "bucket", F.floor(F.col("shard") / SLOT_SHARDS), F.pmod(F.xxhash64("term"), F.lit(max(1, cores // files)))) \
-        .sortWithinPartitions("bucket", "field", "term", "shard").write.partitionBy("bucket").parquet(f"{ix.path}/postings")
+        .sortWithinPartitions("bucket", "field", "term", "shard").write.mode("overwrite").partitionBy("bucket").parquet(f"{ix.path}/postings")
     terms = ix.blocks.groupBy("bucket", "field", "term").agg(F.sum("n").alias("df"))
-    terms.repartition(max(1, min(ix.buckets, 4 * cores)), "bucket").sortWithinPartitions("bucket", "field", "term").write.partitionBy("bucket").parquet(f"{ix.path}/terms")
+    terms.repartition(max(1, min(ix.buckets, 4 * cores)), "bucket").sortWithinPartitions("bucket", "field", "term").write.mode("overwrite").partitionBy("bucket").parquet(f"{ix.path}/terms")
     per_shard = ix.blocks.groupBy("shard", "field").agg(F.round(F.sum("share")).cast("long").alias("n_docs"), F.sum("tokens").alias("tokens"))
     per_shard.groupBy("field").agg(F.sum("n_docs").alias("n_docs"), F.sum("tokens").alias("tokens")) \
-        .withColumns({"shards": F.lit(ix.shards), "buckets": F.lit(ix.buckets), "id_type": F.lit(ix.id_type)}).coalesce(1).write.parquet(f"{ix.path}/stats")
+        .withColumns({"shards": F.lit(ix.shards), "buckets": F.lit(ix.buckets), "id_type": F.lit(ix.id_type)}).coalesce(1).write.mode("overwrite").parquet(f"{ix.path}/stats")
     return open_index(spark, path, ix)
 
 

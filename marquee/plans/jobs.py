@@ -1,7 +1,8 @@
 """The four jobs of the reference as Spark plans over named tables.
 
     load        S1-S3 (or the stand-in views) -> movies, ratings, tags,
-                users; A4 + J1 + P13 -> documents (S4, S6)
+                users; A4 + J1 + P13 -> documents (S4, S6) and their stored
+                search index (X1)
     statistics  A1, A2 (partitioned by month), A3, A5 -> result tables
     offline     M1 ALS -> UserRecs (M3) ; embeddings or ALS item factors
                 -> MovieRecs (M5 + A7)
@@ -21,10 +22,15 @@ from marquee.operators import documents as docs_ops
 from marquee.operators import model as mdl
 from marquee.operators import similarity as sim
 from marquee.operators import statistics as st
+from marquee.operators.text_index import write_index
 from marquee.schemas import RATINGS
 from marquee.sources import files, standin, tables
 
 
+# The document fields that searches read.
+INDEX_FIELDS = ("name", "descri", "genres", "actors", "directors", "tags")
+
+
 def load_job(spark: SparkSession, out: str, sf: str | None = None, movies_path: str | None = None,
              ratings_path: str | None = None, tags_path: str | None = None, mode: str = "strict") -> None:
     """Load the three sources (files, or the stand-in views of ``sf``) and
@@ -44,6 +50,7 @@ def load_job(spark: SparkSession, out: str, sf: str | None = None, movies_path:
     m = tables.load_table(spark, out, "movies")
     t = tables.load_table(spark, out, "tags")
     tables.save_documents(docs_ops.movie_documents(m, t), out, "documents", key="mid")
+    write_index(tables.load_table(spark, out, "documents"), "mid", INDEX_FIELDS, f"{out.rstrip('/')}/index")
 
 
 def statistics_job(spark: SparkSession, out: str, k: int = 10) -> None:
@@ -89,7 +96,7 @@ def streaming_job(spark: SparkSession, out: str, source_opts: dict, checkpoint:
     from marquee.streaming.pipeline import run_online_loop
     sims = tables.load_table(spark, out, "MovieSims")
     ratings = tables.load_table(spark, out, "ratings", RATINGS)
-    return run_online_loop(spark, files_source(spark, source_opts), ratings, sims,
+    return run_online_loop(spark, files_source(spark, {**source_opts, "checkpoint": checkpoint}), ratings, sims,
                            f"{out.rstrip('/')}/stream", checkpoint, marker, threshold=threshold,
                            trigger=trigger)
 

@@ -24,6 +24,13 @@ def test_jobs_end_to_end(spark):
     assert "month" in monthly.columns and monthly.count() == QUERIES["a2_rate_more_movies_recently"](spark, SF001).count()
     docs = tables.load_table(spark, out, "documents")
     assert docs.count() == si.movies(spark, SF001).count()
+    # the load job's index answers searches without the documents
+    from marquee.operators import search as se
+    from marquee.operators.text_index import open_index
+    ix = open_index(spark, f"{out}/index")
+    asked = docs.select(F.col("mid").alias("qid"), F.col("name").alias("text"))
+    best = se.search(ix, asked, ("name",), 1)
+    assert best.count() == docs.count() and ix.stats["name"][0] == docs.count()
     jobs.offline_job(spark, out, rank=8, iters=3, threshold=0.3, item_factors_sf=SF001)
     sims = tables.load_table(spark, out, "MovieSims")
     assert sims.count() == QUERIES["m5_item_similarity"](spark, SF001).count()
@@ -31,11 +38,12 @@ def test_jobs_end_to_end(spark):
     assert lists.filter(F.size("recs") > 10).count() == 0 and lists.count() > 0
     # streaming job over a staged log source
     from marquee.plans import queries_stream as qs
-    ev = si.table(spark, SF001, "events").select("event_id", F.unix_seconds(F.col("ts").cast("timestamp")).alias("_t"))
-    lines = si.log_lines(spark, SF001).join(ev.withColumnRenamed("event_id", "offset"), "offset")
-    src_path = qs.stage_in_chunks(spark, lines, "_t", "t-jobs-src")
-    q = jobs.streaming_job(spark, out, {"format": "parquet", "path": src_path}, scratch_path(spark, "t-jobs-ck"),
-                           threshold=0.3, trigger={"availableNow": True})
-    q.awaitTermination()
+    from marquee.sources.log_source import FORMAT, write_log
+    ev = si.table(spark, SF001, "events").select(F.col("event_id").alias("offset"), F.unix_seconds(F.col("ts").cast("timestamp")).alias("_t"))
+    lines = si.log_lines(spark, SF001).join(ev, "offset")
+    src_path = write_log(lines, scratch_path(spark, "t-jobs-src"), F.col("_t"), F.col("key"), qs.CHUNK_SECONDS)
+    q = jobs.streaming_job(spark, out, {"format": FORMAT, "path": src_path}, scratch_path(spark, "t-jobs-ck"),
+                           threshold=0.3, trigger=qs.AT_ONCE)
+    qs._finish(q)
     from marquee.streaming import pipeline as pl
     assert pl.current_stream_recs(spark, f"{out}/stream").count() > 0
