@@ -2,6 +2,9 @@
 
 from pyspark.sql import types as T
 
+# The names, order and types of the columns of the data model
+# that files and tables are exchanged in.
+
 MOVIE_TEXT_FIELDS = ("name", "descri", "timelong", "issue", "shoot",
                      "language", "genres", "actors", "directors")
 

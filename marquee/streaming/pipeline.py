@@ -9,10 +9,9 @@ queue -> score -> replace the user's list) is one streaming query here:
 
 The only shuffle inside the stream is the state operator's repartition by
 ``uid``; scoring inside ``foreachBatch`` is an ordinary batch job on the
-micro-batch.  Result tables are written as numbered versions
-(``<root>/<name>/v=<batch_id>``): a retried batch rewrites the same version
-from the same inputs, so a lost executor or a restarted query never
-duplicates or loses rows.  Checkpoints go under ``spark.checkpoint.dir``.
+micro-batch.  Result tables are change logs (``streaming.change_log``): a
+retried batch replaces its own version, so a lost executor or a restarted
+query never duplicates or loses rows.  Checkpoints go under ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -30,6 +29,7 @@ from marquee.operators import scoring as sc
 from marquee.operators.maintenance import extend_tags, upsert_ratings
 from marquee.schemas import RECS
 from marquee.sources.log_source import FORMAT, read_log
+from marquee.streaming.change_log import FAN, ChangeLog
 
 # Fixed values of the reference loop.
 QUEUE_CAP = 40          # recent ratings kept per user
@@ -294,69 +294,7 @@ def online_state_stream(events: DataFrame, sims: DataFrame, ratings: DataFrame,
         outputMode="Append", timeMode="None", initialState=init)
 
 
-# ------------------------------------------------------- versioned tables
-
-def _fs(spark, path):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def _complete_versions(spark, path, prefix: str = "v=") -> list[int]:
-    jvm, p, fs = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith(prefix) and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[len(prefix):]))
-    return sorted(out)
-
-
-class ChangeLog:
-    """S9 for large tables: each micro-batch writes only its own changes as
-    ``v=<batch_id>`` (overwritten on retry, so idempotent); the current
-    table is merged on read.  A batch costs O(batch), not O(table).
-
-    ``compact(upto, reduce)`` writes the merged rows of every version up to
-    ``upto`` as ``c=<upto>``; readers then take the newest compaction plus
-    the versions after it, so reads stay short however long the stream runs.
-    """
-
-    def __init__(self, root: str, name: str):
-        self.path = f"{root.rstrip('/')}/{name}"
-
-    def write(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
-
-    def read(self, spark, before: int | None = None) -> DataFrame | None:
-        """Rows of all complete versions below ``before``, with column ``v``."""
-        cs = [c for c in _complete_versions(spark, self.path, "c=") if before is None or c < before]
-        base = cs[-1] if cs else -1
-        vs = [v for v in _complete_versions(spark, self.path)
-              if base < v and (before is None or v < before)]
-        parts = []
-        if base >= 0:
-            parts.append(spark.read.parquet(f"{self.path}/c={base}"))
-        if vs:
-            parts.append(spark.read.option("basePath", self.path)
-                         .parquet(*[f"{self.path}/v={v}" for v in vs]))
-        if not parts:
-            return None
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
-
-    def compact(self, spark, upto: int, reduce=None) -> None:
-        df = self.read(spark, before=upto + 1)
-        if df is None:
-            return
-        if reduce is not None:
-            df = reduce(df)
-        df.write.mode("overwrite").parquet(f"{self.path}/c={upto}")
-
+# ------------------------------------------------------- current tables
 
 STREAM_RECS_SCHEMA = T.StructType([
     T.StructField("uid", T.IntegerType()),
@@ -390,7 +328,7 @@ def current_ratings(spark, root: str, base: DataFrame) -> DataFrame:
 # ------------------------------------------------------- the online loop
 
 def score_batch(spark: SparkSession, batch: DataFrame, batch_id: int, sims: DataFrame,
-                out_root: str, threshold: float = 0.6, compact_every: int = 100) -> None:
+                out_root: str, threshold: float = 0.6, fan: int = FAN) -> None:
     """T4 + T5 + T7 for one micro-batch of LOOP_OUT rows: score the
     candidates against the recent ratings (J10 + A8), then append the
     batch's events and its users' new lists as version ``batch_id`` of two
@@ -403,11 +341,8 @@ def score_batch(spark: SparkSession, batch: DataFrame, batch_id: int, sims: Data
         cands = batch.filter(F.col("kind") == "c").select("event_id", "uid", F.col("x_mid").alias("cand"))
         scores = sc.score_candidates(cands, recent, sims, threshold)
         latest = sc.latest_recs(events, scores)
-        ChangeLog(out_root, "StreamRecs").write(latest, batch_id)
-        ChangeLog(out_root, "rating_events").write(events, batch_id)
-        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-            ChangeLog(out_root, "StreamRecs").compact(spark, batch_id, newest_per_user)
-            ChangeLog(out_root, "rating_events").compact(spark, batch_id)
+        ChangeLog(out_root, "StreamRecs", fan).write(latest, batch_id, newest_per_user)
+        ChangeLog(out_root, "rating_events", fan).write(events, batch_id)
     finally:
         batch.unpersist()
 
@@ -435,10 +370,9 @@ def partitioned_sims(sims: DataFrame, partitions: int | None = None):
 def run_online_loop(spark: SparkSession, source: DataFrame, ratings_base: DataFrame,
                     sims: DataFrame, out_root: str, checkpoint: str, marker: str,
                     n_recent: int = RECENT_READ, n_cand: int = 20, threshold: float = 0.6,
-                    trigger: dict | None = None, compact_every: int = 100):
+                    trigger: dict | None = None, fan: int = FAN):
     """Start the whole loop (T1 -> T2 -> T3/J6/W3 state -> foreachBatch
-    T4/T5/T7); the change logs are compacted every ``compact_every``
-    batches.  The similarity table is cached partitioned for the loop's
+    T4/T5/T7); ``fan`` is that of the change logs.  The similarity table is cached partitioned for the loop's
     lookups; a new table from the offline job is picked up by restarting
     the query (its checkpoint keeps the state)."""
     with state_partitions(spark):
@@ -447,7 +381,7 @@ def run_online_loop(spark: SparkSession, source: DataFrame, ratings_base: DataFr
         state = online_state_stream(events, by_mid, ratings_base, QUEUE_CAP, n_recent, n_cand)
 
         def each(batch_df, batch_id):
-            score_batch(spark, batch_df, batch_id, by_pair, out_root, threshold, compact_every)
+            score_batch(spark, batch_df, batch_id, by_pair, out_root, threshold, fan)
 
         return (state.writeStream.option("checkpointLocation", checkpoint)
                 .trigger(**(trigger or {"processingTime": TRIGGER_INTERVAL}))
@@ -455,16 +389,14 @@ def run_online_loop(spark: SparkSession, source: DataFrame, ratings_base: DataFr
 
 
 def run_rating_log(source: DataFrame, out_root: str, checkpoint: str, marker: str,
-                   trigger: dict | None = None, compact_every: int = 100):
+                   trigger: dict | None = None, fan: int = FAN):
     """T1 -> T2 -> T7 alone: append every batch's rating events to the
     ``rating_events`` log, which ``current_ratings`` applies on reading."""
-    spark, log = source.sparkSession, ChangeLog(out_root, "rating_events")
+    log = ChangeLog(out_root, "rating_events", fan)
     events = rating_message_stream(log_filter_stream(source, marker))
 
     def each(batch_df, batch_id):
         log.write(batch_df.select("event_id", "uid", "mid", "score", "ts").dropDuplicates(["event_id"]), batch_id)
-        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-            log.compact(spark, batch_id)
 
     return (events.writeStream.option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": TRIGGER_INTERVAL})).foreachBatch(each).start())
@@ -497,13 +429,13 @@ def current_tags(spark, root: str, tags_base: DataFrame) -> DataFrame:
 
 def run_tag_feed(spark: SparkSession, tag_stream: DataFrame, tags_base: DataFrame,
                  docs_base: DataFrame, out_root: str, checkpoint: str,
-                 trigger: dict | None = None, compact_every: int = 100):
+                 trigger: dict | None = None, fan: int = FAN):
     """T8 as a stream: each micro-batch of tags (uid, mid, tag, ts,
     event_id) is appended to the tags log, and only the documents it touches
     are rewritten (their ``tags`` text extended) as that batch's version of
     the documents log, so a batch costs O(batch)."""
-    tags_log = ChangeLog(out_root, "tags")
-    docs_log = ChangeLog(out_root, "documents")
+    tags_log = ChangeLog(out_root, "tags", fan)
+    docs_log = ChangeLog(out_root, "documents", fan)
 
     def each(batch_df, batch_id):
         b = batch_df.persist()
@@ -514,11 +446,8 @@ def run_tag_feed(spark: SparkSession, tag_stream: DataFrame, tags_base: DataFram
             fresh = touched.join(docs.select("mid"), "mid", "left_anti")
             docs = docs.unionByName(fresh.withColumn("tags", F.lit(None).cast("string")),
                                     allowMissingColumns=True)
-            docs_log.write(extend_tags(docs, b), batch_id)
+            docs_log.write(extend_tags(docs, b), batch_id, newest_per_movie)
             tags_log.write(b.select(*tags_base.columns), batch_id)
-            if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-                docs_log.compact(spark, batch_id, newest_per_movie)
-                tags_log.compact(spark, batch_id)
         finally:
             b.unpersist()
 

@@ -66,7 +66,7 @@ def test_stream_equals_batch_for_another_split(spark):
         qs.CHUNK_SECONDS = old
     q = pl.run_online_loop(spark, src, si.ratings(spark, SF001), qm._sims(spark, SF001, reused=True), root, ck,
                            si.RATING_MARKER, qm.N_RECENT, qm.N_CAND, qm.TEST_THRESHOLD, qs.AT_ONCE,
-                           compact_every=3)
+                           fan=3)
     qs._finish(q)
     assert len(q.recentProgress) >= 8                  # many micro-batches, compactions included
     recs = pl.current_stream_recs(spark, root)

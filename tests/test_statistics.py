@@ -14,9 +14,9 @@ def test_counts_ignore_null_scores(spark):
 
 
 def test_monthly_counts(spark):
-    r = ratings(spark, [(1, 1, 4.0, 1437338391), (2, 1, 3.0, 1437338391), (1, 1, 2.0, 1435708799)])
+    r = ratings(spark, [(1, 1, 4.0, 1422316802), (2, 1, 3.0, 1422316802), (1, 1, 2.0, 1420070399)])
     got = sorted((x.mid, x.month, x["count"]) for x in st.rate_more_movies_recently(r).collect())
-    assert got == [(1, 201506, 1), (1, 201507, 2)]
+    assert got == [(1, 201412, 1), (1, 201501, 2)]
 
 
 def test_genre_top_ties_by_mid(spark):
@@ -49,5 +49,5 @@ def test_new_movies_parse_dates(spark):
 
 
 def test_hot_movies_latest_month_first(spark):
-    t = spark.createDataFrame([(1, 201507, 1), (2, 201506, 9), (3, 201507, 5)], "mid int, month long, count long")
+    t = spark.createDataFrame([(1, 201501, 1), (2, 201412, 9), (3, 201501, 5)], "mid int, month long, count long")
     assert [x.mid for x in st.hot_movies(t, 2).orderBy("rank").collect()] == [3, 1]

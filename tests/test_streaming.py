@@ -31,31 +31,58 @@ def test_online_loop_equals_batch_and_restarts(spark):
                 .select("uid", "event_id", F.col("r.mid").alias("mid"), F.round("r.score", 6).alias("score")))
     assert got == want
     assert len([p for p in q.recentProgress if p["numInputRows"]]) >= 3
-    n_versions = len(pl._complete_versions(spark, f"{root}/StreamRecs"))
+    newest = pl.ChangeLog(root, "StreamRecs").versions(spark)[-1]
     # restart on the same checkpoint: nothing new to process, nothing changes
     q2 = pl.run_online_loop(spark, src,
                             si.ratings(spark, SF001), sims, root, ck, si.RATING_MARKER,
                             qm.N_RECENT, qm.N_CAND, qm.TEST_THRESHOLD, {"availableNow": True})
     q2.awaitTermination()
-    assert len(pl._complete_versions(spark, f"{root}/StreamRecs")) == n_versions
+    assert pl.ChangeLog(root, "StreamRecs").versions(spark)[-1] == newest
     assert _rows(pl.current_ratings(spark, root, si.ratings(spark, SF001))) == \
         _rows(QUERIES["t7_upsert_ratings"](spark, SF001))
 
 
-def test_change_log_compaction_keeps_reads(spark):
+RECS_KIND = "uid int, event_id long, recs array<struct<mid:int,score:double>>"
+
+
+def test_change_log_merges_keep_reads(spark):
     root = scratch_path(spark, "t-log")
-    log = pl.ChangeLog(root, "StreamRecs")
-    schema = "uid int, event_id long, recs array<struct<mid:int,score:double>>"
-    for v, rows in enumerate([[(1, 10, [(5, 1.0)]), (2, 11, [])],
-                              [(1, 12, [(6, 2.0)])],
-                              [(3, 13, [(7, 0.5)]), (2, 14, [(8, 0.1)])]]):
-        log.write(spark.createDataFrame(rows, schema), v)
-    before = _rows(pl.current_stream_recs(spark, root))
-    log.compact(spark, 1, pl.newest_per_user)
-    assert _rows(pl.current_stream_recs(spark, root)) == before
-    assert pl._complete_versions(spark, log.path, "c=") == [1]
-    # compacted rows keep their own version, so newest-wins still works
+    log = pl.ChangeLog(root, "StreamRecs", fan=2)
+    batches = [[(1, 10, [(5, 1.0)]), (2, 11, [])], [(1, 12, [(6, 2.0)])], [(3, 13, [(7, 0.5)]), (2, 14, [(8, 0.1)])]]
+    for v, rows in enumerate(batches):
+        log.write(spark.createDataFrame(rows, RECS_KIND), v, pl.newest_per_user)
+    assert {r[0]: r[1] for r in _rows(pl.current_stream_recs(spark, root).select("uid", "event_id"))} == {1: 12, 2: 14, 3: 13}
+    # merged rows keep their own version, so newest-wins still works
     assert sorted((r.uid, r.v) for r in log.read(spark).collect()) == [(1, 1), (2, 0), (2, 2), (3, 2)]
+    assert [p[:3] for p in log.pieces(spark, 2)] == [[0, 1, 1], [2, 2, 0]]
+    # batch 2 again (after a merge could have come): what it wrote is replaced
+    log.write(spark.createDataFrame([(3, 15, [])], RECS_KIND), 2, pl.newest_per_user)
+    assert {r[0]: r[1] for r in _rows(pl.current_stream_recs(spark, root).select("uid", "event_id"))} == {1: 12, 2: 11, 3: 15}
+    assert sorted(r.v for r in log.read(spark, before=2).collect()) == [0, 1]
+
+
+def test_change_log_stays_flat(spark):
+    """Many batches: few pieces, two manifests, few files, each row written a
+    few times; the batch at a merge retried leaves the same table."""
+    import os
+    root = scratch_path(spark, "t-flat")
+    log = pl.ChangeLog(root, "rows", fan=3)
+    one = spark.range(1).selectExpr("cast(id as int) as uid", "id as event_id").coalesce(1)
+    written = []
+    keep = log._write
+    log._write = lambda df, a, b, t: written.append((a, b)) or keep(df, a, b, t)
+    most = 0
+    for v in range(60):
+        rows = one.withColumn("event_id", F.lit(v).cast("long"))
+        log.write(rows, v)
+        if v in (26, 53):                      # several tiers merge here
+            log.write(rows, v)
+        most = max(most, len(log.pieces(spark, v)))
+    assert sorted(r.event_id for r in log.read(spark).collect()) == list(range(60))
+    assert most <= 2 * 4 + 1 and log.versions(spark) == [58, 59]
+    folder = log.path.removeprefix("file:")
+    assert len([n for n in os.listdir(folder) if n[0].isdigit()]) <= 2 * most + 8
+    assert sum(b - a + 1 for a, b in written) <= 62 * 5
 
 
 def test_recent_queue_with_initial_state(spark):
@@ -94,7 +121,7 @@ def test_tag_feed_stream_with_compaction_equals_batch(spark):
     root, ck = scratch_path(spark, "t-tags"), scratch_path(spark, "t-tags-ck")
     stream = read_log(spark, path, qs.TAG_SCHEMA, ck)
     docs = aggregate_tags(old.select("uid", "mid", "tag", "ts"))
-    q = pl.run_tag_feed(spark, stream, old, docs, root, ck, qs.AT_ONCE, compact_every=1)
+    q = pl.run_tag_feed(spark, stream, old, docs, root, ck, qs.AT_ONCE, fan=2)
     qs._finish(q)
     assert len(q.recentProgress) >= 3
     got = sorted(tuple(r) for r in pl.current_documents(spark, root, docs).select("mid", "tags").collect())
@@ -112,7 +139,7 @@ def test_retried_batch_rewrites_not_duplicates(spark):
     batch = spark.createDataFrame(rows, pl.LOOP_OUT)
     for _ in range(2):
         pl.score_batch(spark, batch, 0, sims, root, threshold=0.6)
-    assert pl._complete_versions(spark, f"{root}/StreamRecs") == [0]
+    assert pl.ChangeLog(root, "StreamRecs").versions(spark) == [0]
     recs = pl.current_stream_recs(spark, root).collect()
     assert len(recs) == 1 and [(x.mid, round(x.score, 9)) for x in recs[0].recs] == [(20, round((1.8 + 3.5) / 2, 9))]
     assert pl.ChangeLog(root, "rating_events").read(spark).count() == 1
