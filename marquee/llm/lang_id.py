@@ -8,8 +8,7 @@ and a softmax over the languages.
 
 Embeddings and layer are trained by stochastic gradient descent in numpy, in
 one task, on a bounded sample of labelled rows: per language the ``per_lang``
-of smallest id hash (of those whose hash is small enough that about four
-times as many pass), ``sample`` rows in all, languages in turn.  A fifth of
+of smallest id hash, ``sample`` rows in all, languages in turn.  A fifth of
 the sample (by id) is kept from training; on it a temperature is fitted to
 the scores, and the lowest score at which accepted texts are right in
 ``precision`` of cases is the limit below which a text is rejected.
@@ -195,12 +194,12 @@ def train(docs: DataFrame, learn: Column, keep: Column, id_col: str = "doc_id",
     rows = rows.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"),
                        F.coalesce(keep, F.lit(False)).alias("keep"))
     chance = F.xxhash64(F.lit(seed), F.col("doc_id"))
-    # of a common language only about 4 * per_lang ids come to be ranked
-    common = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    part = F.shiftrightunsigned(chance, 11) / F.lit(2.0**53)
-    few = rows.select("doc_id", "lang").join(common, "lang").filter(part * F.col("n") < 4 * per_lang)
-    inner = Window.partitionBy("lang").orderBy(chance, "doc_id")
-    picked = few.withColumn("r", F.row_number().over(inner)).filter(F.col("r") <= per_lang)
+    # a common language is ranked in 64 parts first, each of which keeps few
+    inner = Window.partitionBy("lang", "part").orderBy("chance", "doc_id")
+    part = rows.select("doc_id", "lang", chance.alias("chance"), F.pmod(chance, F.lit(64)).alias("part"))
+    part = part.withColumn("p", F.row_number().over(inner)).filter(F.col("p") <= per_lang)
+    whole = Window.partitionBy("lang").orderBy("chance", "doc_id")
+    picked = part.withColumn("r", F.row_number().over(whole)).filter(F.col("r") <= per_lang)
     picked = picked.orderBy("r", "lang").limit(sample).select("doc_id", "lang").distinct()      # at most ``sample`` rows
     chosen = rows.join(F.broadcast(picked), ["doc_id", "lang"]).filter(has_letter(F.col("text"))).dropDuplicates(["doc_id", "lang"])
 
