@@ -3,7 +3,9 @@
 Base entities come from patterns: e-mail addresses, IPv4 numbers, payment
 cards (Luhn) and phone numbers, leftmost and without overlap per kind.
 They seed the bootstrap.  An entity's lexical pattern is the word before
-it.  Instances are the texts that stand behind a pattern: base entities, and
+it (the last word of the stretch from the previous match of the same
+expression, itself included, to the entity, of any length; none if that
+stretch has no word).  Instances are the texts that stand behind a pattern: base entities, and
 other identifier-like words, or runs of several groups of digits, fit for a
 kind (of a run, the longest stretch of whole groups that is fit; a run ends
 before a base entity).  Patterns and instances form a bipartite graph, scored
@@ -21,7 +23,8 @@ of characters where that can change nothing.
 Defined results: a null text counts as empty; positions are code points,
 end exclusive; new spans never overlap base spans of the same row and are
 never base spans; repeated rows get the same spans; no rows, no output.
-Work within a text grows with the square of its number of spans only.
+Overlaps are found by sweeps over sorted spans, positions by prefix sums, so
+work within a text of n spans grows as n^(4/3) array moves at most.
 """
 
 from __future__ import annotations
@@ -43,6 +46,7 @@ PATTERN = {
 }
 TRIED = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 SPAN = "array<struct<kind:string,start:int,stop:int,text:string>>"
+_FAR = 2**31 - 1
 MORE = "array<struct<start:int,stop:int,text:string,kinds:array<string>,word:string>>"
 
 
@@ -65,39 +69,80 @@ def _valid(kind: str, m: Column) -> Column:
     return once(digits, lambda d: F.when(F.length(d).between(16, 19), luhn(d)).otherwise(F.lit(False)))
 
 
-def _matches(text: Column, pattern: str) -> Column:
-    """array<struct<start, stop, text>> of all matches: the pieces between
-    them give the positions."""
-    def place(s):
-        zipped = F.zip_with(F.slice(s["gaps"], F.lit(1), F.size(s["found"])), s["found"],
-                            lambda g, m: F.struct(F.length(g).alias("gap"), m.alias("m")))
-        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,stop:int,text:string>>").alias("out"))
+def _scan(values: Column, kind: str, unit: int, op) -> Column:
+    """What ``op`` makes of all values before each one (``unit`` before the
+    first): within short stretches, over the stretches, then together, since
+    an array grows by copying."""
+    def fold(v):
+        none = F.struct(F.lit(unit).cast(kind).alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
+        return F.aggregate(v, none, lambda acc, x: F.struct(op(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")))
 
-        def step(acc, x):
-            a = acc["at"] + x["gap"]
-            z = a + F.length(x["m"])
-            return F.struct(z.alias("at"), F.concat(acc["out"], F.array(F.struct(
-                a.alias("start"), z.alias("stop"), x["m"].alias("text")))).alias("out"))
+    def run(v):
+        side = F.ceil(F.cbrt(F.size(v))).cast("int")
+        local = F.transform(F.sequence(F.lit(0), F.ceil(F.size(v) / side).cast("int") - 1), lambda k: fold(F.slice(v, k * side + 1, side)))
+        return once(local, lambda w: F.flatten(F.zip_with(w, fold(F.transform(w, lambda s: s["at"]))["out"],
+                                                          lambda s, o: F.transform(s["out"], lambda x: op(o, x)))))
 
-        return F.aggregate(zipped, start, step, lambda acc: acc["out"])
+    return once(values, lambda v: F.when(F.size(v) > 0, run(v)).otherwise(F.array().cast(f"array<{kind}>")))
 
-    return once(F.struct(F.split(text, pattern, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found")), place)
 
+def _around(spans: Column, others: Column) -> Column:
+    """Per span (sorted by start): ``reach``, the last end of the others that
+    start no later, and ``next``, the first start of the others after it."""
+    marks = F.array_sort(F.concat(
+        F.transform(others, lambda s: F.struct(s["start"].alias("start"), F.lit(False).alias("own"), s["stop"].alias("stop"))),
+        F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(True).alias("own"), s["stop"].alias("stop")))))
 
-def base_spans(text: Column) -> Column:
-    """All base entities of a text, by kind as listed, then by start."""
-    none = F.array().cast(SPAN)
-    out = []
-    for kind in KINDS:
-        tried = F.contains(text, F.lit(TRIED[kind])) if TRIED[kind] else F.regexp_like(text, F.lit("[0-9](?:[ -]?[0-9]){15}"))
-        out.append(F.when(tried, _checked(text, kind)).otherwise(none))
-    return F.concat(*out)
+    def swept(m):
+        reach = _scan(F.transform(m, lambda x: F.when(x["own"], 0).otherwise(x["stop"])), "int", 0, F.greatest)
+        after = F.reverse(_scan(F.reverse(F.transform(m, lambda x: F.when(x["own"], _FAR).otherwise(x["start"]))), "int", _FAR, F.least))
+        rows = F.zip_with(F.zip_with(reach, after, lambda r, n: F.struct(r.alias("reach"), n.alias("next"))), m,
+                          lambda x, y: F.struct(x["reach"].alias("reach"), x["next"].alias("next"), y["own"].alias("own")))
+        return F.filter(rows, lambda x: x["own"])
 
+    return once(marks, swept)
 
-def _checked(text: Column, kind: str) -> Column:
-    def named(s):
-        return F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"), s["text"].alias("text"))
-    return F.transform(F.filter(_matches(text, PATTERN[kind]), lambda s: _valid(kind, s["text"])), named)
+
+def _matches(text: Column, tried: Column, pattern: str) -> Column:
+    """All matches, and the pieces before each (to be placed)."""
+    found = F.struct(F.split(text, pattern, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"))
+    return F.when(tried, found).otherwise(F.struct(F.array().cast("array<string>").alias("gaps"), F.array().cast("array<string>").alias("found")))
+
+
+def _placed(s: Column) -> Column:
+    """array<struct<start, stop, text, word>> of matches: the pieces between
+    them give the positions, a match and the piece after it the word before
+    the next match."""
+    gaps = F.slice(s["gaps"], F.lit(1), F.size(s["found"]))
+    size = F.zip_with(gaps, s["found"], lambda g, m: F.length(g) + F.length(m))
+    last = F.slice(F.concat(F.array(F.lit("")), s["found"]), F.lit(1), F.size(s["found"]))
+    parts = F.arrays_zip(_scan(size, "int", 0, lambda x, y: x + y).alias("at"), gaps.alias("gap"), last.alias("last"), s["found"].alias("m"))
+
+    def one(x):
+        a = x["at"] + F.length(x["gap"])
+        return F.struct(a.alias("start"), (a + F.length(x["m"])).alias("stop"), x["m"].alias("text"),
+                        _last_word(F.concat(x["last"], x["gap"])).alias("word"))
+
+    return F.transform(parts, one)
+
+
+def _last_word(text: Column) -> Column:
+    return F.lower(F.substring_index(F.rtrim(F.regexp_replace(text, GAP, " ")), " ", -1))
+
+
+def with_base(rows: DataFrame) -> DataFrame:
+    """The rows with ``__base``: all base entities of ``__t``, by kind as
+    listed, then by start."""
+    digits = F.regexp_like("__t", F.lit("[0-9](?:[ -]?[0-9]){15}"))
+    tried = {k: digits if TRIED[k] is None else F.contains("__t", F.lit(TRIED[k])) for k in KINDS}
+    rows = rows.withColumn("__all", F.array(*[_matches(F.col("__t"), tried[k], PATTERN[k]) for k in KINDS]))
+    rows = rows.withColumn("__all", F.transform("__all", _placed))
+
+    def checked(kind, found):
+        return F.transform(F.filter(found, lambda s: _valid(kind, s["text"])), lambda s: F.struct(
+            F.lit(kind).alias("kind"), *[s[c].alias(c) for c in ("start", "stop", "text", "word")]))
+
+    return rows.withColumn("__base", F.concat(*[checked(k, F.get("__all", F.lit(i))) for i, k in enumerate(KINDS)])).drop("__all")
 
 
 def _fit(word: Column) -> Column:
@@ -120,65 +165,59 @@ _RUN = {kind: rf"(?<![^\x20\x09-\x0D])[\"'(<\[{{+]{{0,3}}[0-9](?:(?:\.(?=[0-9])|
               r"(?=[\"')>\]},;.!?]*(?:[\x20\x09-\x0D]|\z))" for kind, low, high in (("card", 12, 19), ("phone", 6, 15))}
 
 
-def _before(text: Column, start: Column) -> Column:
-    """The word before a position (of the 64 characters before it)."""
-    left = F.regexp_replace(F.substr(text, F.greatest(start - 63, F.lit(1)), F.least(start, F.lit(64))), GAP, " ")
-    return F.lower(F.substring_index(F.rtrim(left), " ", -1))
-
-
 def with_context(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows with ``__base`` and ``__more``: base spans and other
     identifier-like words, each with the word before it."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.withColumn("__t", text).withColumn("__base", base_spans(F.col("__t")))
-    meet = lambda s, w: (s["start"] < w["stop"]) & (w["start"] < s["stop"])
-    none = F.array().cast(MORE)
+    rows = with_base(docs.withColumn("__t", text))
 
-    def headed(base):
+    def headed(r, x):
         """The run up to the first base entity in it, if a whole group ends there."""
-        def one(r):
-            stop = F.array_min(F.transform(F.filter(base, lambda s: meet(s, r)), lambda s: s["start"]))
-            head = F.substr(r["text"], F.lit(1), F.greatest(stop - r["start"], F.lit(0)))
-            cut = F.when(head.rlike(r"[0-9)] +$"), F.regexp_replace(head, r"[^0-9)]+$", "")).otherwise(F.lit(""))
-            return once(F.when(stop.isNull(), r["text"]).otherwise(cut), lambda t: F.struct(
-                r["start"].alias("start"), (r["start"] + F.length(t)).alias("stop"), t.alias("text")))
-        return one
+        stop = F.when(x["reach"] > r["start"], r["start"]).when(x["next"] < r["stop"], x["next"])
+        head = F.substr(r["text"], F.lit(1), F.greatest(stop - r["start"], F.lit(0)))
+        cut = F.when(head.rlike(r"[0-9)] +$"), F.regexp_replace(head, r"[^0-9)]+$", "")).otherwise(F.lit(""))
+        return F.struct(r["start"].alias("start"), F.when(stop.isNull(), r["text"]).otherwise(cut).alias("text"), r["word"].alias("word"))
 
     def trimmed(kinds):
         def one(w):
             head = F.length(w["text"]) - F.length(F.regexp_replace(w["text"], _HEAD, ""))
-            core = F.regexp_replace(w["text"], _EDGE, "")
-            return F.struct((w["start"] + head).alias("start"), (w["start"] + head + F.length(core)).alias("stop"), core.alias("text"),
-                            kinds(core).alias("kinds"), _before(F.col("__t"), w["start"]).alias("word"))
+            parts = F.struct((w["start"] + head).alias("start"), F.regexp_replace(w["text"], _EDGE, "").alias("core"))
+            return once(parts, lambda p: F.struct(p["start"].alias("start"), (p["start"] + F.length(p["core"])).alias("stop"),
+                                                  p["core"].alias("text"), kinds(p["core"]).alias("kinds"), w["word"].alias("word")))
         return one
 
-    def runs(kind, base):
-        found = F.transform(F.filter(F.transform(_matches(F.col("__t"), _RUN[kind]), headed(base)), lambda r: r["text"] != ""),
-                            trimmed(lambda c: F.filter(_fit(c), lambda k: k == kind)))
-        tried = F.regexp_like("__t", F.lit(r"[0-9][\x20()./-]+[0-9]"))
-        return F.when(tried, F.filter(found, lambda r: F.size(r["kinds"]) > 0)).otherwise(none)
+    def only(kind):
+        return lambda core: F.filter(_fit(core), lambda k: k == kind)
 
-    def left(held):
-        """A word's kinds but those of which a run covers it."""
-        def one(w):
-            covered = lambda kind: F.exists(held[kind], lambda r: meet(r, w))
-            return F.struct(w["start"].alias("start"), w["stop"].alias("stop"), w["text"].alias("text"), F.filter(
-                w["kinds"], lambda k: ~(((k == "card") & covered("card")) | ((k == "phone") & covered("phone")))).alias("kinds"), w["word"].alias("word"))
+    def without(kind):
+        """A word's kinds but the one of which a run covers it."""
+        def one(w, x):
+            free = (x["reach"] <= w["start"]) & (x["next"] >= w["stop"])
+            return F.struct(w["start"].alias("start"), w["stop"].alias("stop"), w["text"].alias("text"),
+                            F.filter(w["kinds"], lambda k: free | (k != kind)).alias("kinds"), w["word"].alias("word"))
         return one
 
-    # every array is bound once: a column used within a lambda may else be
-    # computed again for each element
-    def more(base, held):
-        seen = lambda w: F.exists(base, lambda s: meet(s, w))
-        other = F.filter(_matches(F.col("__t"), _HAS), lambda w: ~seen(w) & (F.length(F.regexp_replace(w["text"], _EDGE, "")) >= 5))
-        words_ = F.filter(F.transform(F.transform(other, trimmed(_fit)), left(held)), lambda w: F.size(w["kinds"]) > 0)
-        return F.concat(held["card"], held["phone"], words_)
-
-    every = once(F.col("__base"), lambda base: once(F.struct(*[runs(k, base).alias(k) for k in _RUN]), lambda held: more(base, held)))
-    rows = rows.withColumn("__more", F.when(F.regexp_like("__t", F.lit("[0-9@]")), every).otherwise(none))
-    return rows.withColumn("__base", F.transform("__base", lambda s: F.struct(
-        s["kind"].alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"), s["text"].alias("text"),
-        _before(F.col("__t"), s["start"]).alias("word"))))
+    def apart(w, x):
+        return F.when((x["reach"] <= w["start"]) & (x["next"] >= w["stop"]) & (F.length(F.regexp_replace(w["text"], _EDGE, "")) >= 5), w)
+
+    # one column per step: no lambda names a column that would be computed
+    # again, and the analyzer's rounds grow with the depth of an expression
+    t = F.col("__t")
+    some = F.regexp_like(t, F.lit(r"[0-9][\x20()./-]+[0-9]"))
+    found = [_matches(t, some, _RUN[k]) for k in _RUN] + [_matches(t, F.regexp_like(t, F.lit("[0-9@]")), _HAS)]
+    rows = rows.withColumn("__all", F.array(*found)).withColumn("__all", F.transform("__all", _placed))
+    rows = rows.withColumn("__near", F.transform("__all", lambda f: _around(f, F.col("__base"))))
+    pair = lambda i, use: F.zip_with(F.get("__all", F.lit(i)), F.get("__near", F.lit(i)), use)
+    for i, kind in enumerate(_RUN):
+        run = F.transform(F.filter(pair(i, headed), lambda r: r["text"] != ""), trimmed(only(kind)))
+        rows = rows.withColumn(f"__{kind}", F.filter(run, lambda r: F.size(r["kinds"]) > 0))
+    rows = rows.withColumn("__f", F.transform(F.filter(pair(2, apart), lambda w: w.isNotNull()), trimmed(_fit)))
+    rows = rows.withColumn("__near", F.transform(F.array(*[f"__{k}" for k in _RUN]), lambda r: _around(F.col("__f"), r)))
+    left = F.col("__f")
+    for i, kind in enumerate(_RUN):
+        left = F.zip_with(left, F.get("__near", F.lit(i)), without(kind))
+    rows = rows.withColumn("__more", F.concat("__card", "__phone", F.filter(left, lambda w: F.size(w["kinds"]) > 0)).cast(MORE))
+    return rows.drop("__all", "__near", "__f", *[f"__{kind}" for kind in _RUN])
 
 
 def patterns(narrow: DataFrame, texts: DataFrame, text_col: str = "text", rounds: int = 3,
@@ -189,9 +228,10 @@ def patterns(narrow: DataFrame, texts: DataFrame, text_col: str = "text", rounds
         .withColumn("seed", F.lit(False))
     graph = seeds.unionByName(more).filter("word <> ''").groupBy("kind", "word", "text", "seed").agg(F.count("*").alias("times"))
     lexical = graph.filter("seed").groupBy("kind", "word").agg(F.count("*").alias("seeds")).filter(F.col("seeds") >= support)
-    # how often a pattern's word occurs at all, over every text
+    # how often a pattern's word occurs at all: counted per word first, over
+    # every text, so that no word is shuffled once for each occurrence
     total = texts.select(F.explode(words(F.lower(F.coalesce(F.col(text_col), F.lit(""))))).alias("word")) \
-        .join(lexical.select("word").distinct(), "word", "left_semi").groupBy("word").agg(F.count("*").alias("total"))
+        .groupBy("word").agg(F.count("*").alias("total"))
     lexical = stored(lexical.join(total, "word"), "pii-patterns")
     graph = stored(graph.join(lexical, ["kind", "word"], "left_semi"), "pii-graph")
     score = graph.select("kind", "text", F.when(F.col("seed"), 1.0).otherwise(0.0).alias("score")).groupBy("kind", "text").agg(F.max("score").alias("score"))

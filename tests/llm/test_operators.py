@@ -279,3 +279,50 @@ def test_substring_dedup_of_a_shared_id(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string")
     got = {(r.doc_id, r.text): (r.n_removed, r.kept_words) for r in without_spans(df, duplicate_spans(df)).collect()}
     assert got == {docs[0]: (0, a), docs[1]: (40, "x"), docs[2]: (0, b + " " + b), docs[4]: (40, "")}
+
+
+def brute_spans(text):
+    """Base spans by plain leftmost matching."""
+    out = []
+    for kind, pattern in (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+                          ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]")):
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            if kind == "ip":
+                good = all(int(p) <= 255 for p in m[0].split("."))
+            elif kind == "card":
+                two = [int(d) * (1 + i % 2) for i, d in enumerate(reversed(digits))]
+                good = 16 <= len(digits) <= 19 and sum(d - 9 if d > 9 else d for d in two) % 10 == 0
+            else:
+                good = kind == "email" or 8 <= len(digits) <= 15
+            if good:
+                out.append(f"{kind}:{m.start()}:{m.end()}")
+    return ",".join(out)
+
+
+def test_pii_base_spans_equal_brute_force(spark, edge, none):
+    from marquee.llm.pii import find_pii, listed
+    r = random.Random(9)
+    parts = ["a@b.org", "x.y@h-1.co.uk", "@", "4111 1111 1111 1111", "4111-1111-1111-1112", "10.0.0.1", "1.2.3.400", "1.2.3.4.5", "+1 (456) 555-2386",
+             "+49", "12", "é", "😀", " ", " ", "\n", "\u00a0", "-", ".", "(", "call", "id:", "0000000000000000"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randrange(1, 40))) for _ in range(400)] + [None, ""]
+    df = spark.createDataFrame([(i, t, "kept", t) for i, t in enumerate(texts)], "doc_id long, text string, base string, word string")
+    rows = find_pii(df).select("doc_id", "word", listed("base").alias("b")).collect()
+    assert len(rows) == len(texts)
+    assert [(x.doc_id, x.b) for x in rows if x.b != brute_spans(texts[x.doc_id]) or x.word != texts[x.doc_id]] == []
+    got = find_pii(edge).select("doc_id", "text", "size", listed("base").alias("b"), listed("found").alias("f")).collect()
+    assert len(got) == len(EDGE) and all(x.b == brute_spans(x.text) and x.f == "" for x in got)
+
+
+def test_pii_of_texts_full_of_numbers(spark):
+    from marquee.llm.pii import find_pii, listed
+    seeds = [(i, f"code{'x' * 90}: +1 (456) 555-2{i}86 end") for i in range(9)]      # a context word of 95 characters
+    many = " ".join(str(100_000 + 7 * i) for i in range(20_000))
+    mails = ", ".join(f"u{i}@h.org 4111 1111 1111 1111" for i in range(4_000))
+    more = [(20, many), (21, mails), (22, f"code{'x' * 90}:{' ' * 100}555-238671 now")]
+    got = {x.doc_id: x for x in find_pii(spark.createDataFrame(seeds + more, "doc_id long, text string"))
+           .select("doc_id", "text", listed("base").alias("b"), listed("found").alias("f")).collect()}
+    assert all(x.b == brute_spans(x.text) for x in got.values())
+    assert got[21].b.count(":") == 16_000 and got[20].f == got[21].f == ""
+    at = 95 + 100
+    assert got[22].f == f"phone:{at}:{at + 10}"
