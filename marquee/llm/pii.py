@@ -250,15 +250,14 @@ def find_pii(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The input rows with ``base`` and ``found``: base spans, and the spans
     that high-confidence patterns add (kind, start, stop, text)."""
     docs = docs.drop(*[c for c in ("base", "found") if c in docs.columns])
-    row = F.xxhash64(F.col(text_col))
-    rows = with_context(docs.withColumn("__row", row), text_col).drop("__t")
-    narrow = stored(rows.select("__row", "__base", "__more").filter((F.size("__base") > 0) | (F.size("__more") > 0)), "pii-spans")
+    keyed = docs.withColumn("__row", F.xxhash64(F.col(text_col)))
+    narrow = stored(with_context(keyed, text_col).select("__row", "__base", "__more").filter((F.size("__base") > 0) | (F.size("__more") > 0)), "pii-spans")
     good = patterns(narrow, docs, text_col, **options)
     new = narrow.select("__row", F.explode("__more").alias("m")).select("__row", "m.*").withColumn("kind", F.explode("kinds")) \
         .join(good, ["kind", "word"]).groupBy("__row", "start").agg(F.max_by(F.struct("kind", "stop", "text"), F.struct("conf", "kind", "stop")).alias("s")) \
         .select("__row", "start", "s.*").groupBy("__row").agg(F.sort_array(F.collect_set(F.struct("kind", "start", "stop", "text"))).alias("found"))
     plain = F.transform("__base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"), s["text"].alias("text")))
-    out = rows.drop("__more").join(new, "__row", "left")
+    out = with_base(keyed.withColumn("__t", F.coalesce(F.col(text_col), F.lit("")))).join(new, "__row", "left")
     return out.withColumn("base", plain.cast(SPAN)).withColumn("found", F.coalesce("found", F.array().cast(SPAN))) \
         .select(*docs.columns, "base", "found")
 
