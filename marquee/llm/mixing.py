@@ -217,6 +217,7 @@ def mix(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """One row per draw: the input columns, ``pass``, ``shard`` and ``pos``
     (the order inside a shard).  A document cut at its source's target holds
     its first words, joined by one space."""
+    docs = docs.drop("pass", "shard", "pos")
     rows = plan_mix(docs, text_col=text_col, **options)
     rows = rows.select("*", F.explode("draws").alias("__d"))
     cut = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(WORD), F.lit(0)), F.lit(1), F.col("__d.words").cast("int")), " ")

@@ -326,3 +326,11 @@ def test_pii_of_texts_full_of_numbers(spark):
     assert got[21].b.count(":") == 16_000 and got[20].f == got[21].f == ""
     at = 95 + 100
     assert got[22].f == f"phone:{at}:{at + 10}"
+
+
+def test_mix_replaces_clashing_columns(spark):
+    from marquee.llm.mixing import mix
+    df = spark.createDataFrame([(i, "one two three", "a", "p", "s", "x") for i in range(4)],
+                               "doc_id long, text string, source string, pass string, shard string, pos string")
+    rows = mix(df).select("doc_id", "pass", "shard", "pos").collect()
+    assert len(rows) == 6 and all(isinstance(r["pass"], int) and isinstance(r.shard, int) and isinstance(r.pos, int) for r in rows)
