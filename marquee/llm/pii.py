@@ -251,7 +251,10 @@ def find_pii(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     that high-confidence patterns add (kind, start, stop, text)."""
     docs = docs.drop(*[c for c in ("base", "found") if c in docs.columns])
     keyed = docs.withColumn("__row", F.xxhash64(F.col(text_col)))
-    narrow = stored(with_context(keyed, text_col).select("__row", "__base", "__more").filter((F.size("__base") > 0) | (F.size("__more") > 0)), "pii-spans")
+    # the filter comes after the write: Catalyst would move it below the steps
+    # that make its columns, and compute them many times over
+    narrow = stored(with_context(keyed, text_col).select("__row", "__base", "__more"), "pii-spans") \
+        .filter((F.size("__base") > 0) | (F.size("__more") > 0))
     good = patterns(narrow, docs, text_col, **options)
     new = narrow.select("__row", F.explode("__more").alias("m")).select("__row", "m.*").withColumn("kind", F.explode("kinds")) \
         .join(good, ["kind", "word"]).groupBy("__row", "start").agg(F.max_by(F.struct("kind", "stop", "text"), F.struct("conf", "kind", "stop")).alias("s")) \
