@@ -3,7 +3,7 @@
 ``write_archive`` turns pages into WARC 1.1 records -- a request, a
 response (or a revisit of the page whose payload is equal) and a metadata
 record per capture, tied by ``WARC-Concurrent-To`` -- and Spark's text
-writer stores them: a record ends in CRLF CRLF, whose last byte is the
+writer stores them in gzip files: a record ends in CRLF CRLF, whose last byte is the
 writer's line end.  ``read_records`` parses the archives by
 ``Content-Length`` and compares each response's payload with its digest;
 ``transactions`` joins request and metadata to their
@@ -21,12 +21,13 @@ records.
 
 from __future__ import annotations
 
+import gzip
 import re
 from base64 import b32encode
 from hashlib import sha1
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 CRLF = "\r\n"
@@ -111,7 +112,8 @@ def _write_class(pages: DataFrame, path: str, min_bytes: int, when: str, rows_pe
                    [*about, *tie, F.lit(f"Content-Type: application/warc-fields{CRLF}")],
                    F.concat(F.lit("payloadBytes: "), F.col("size").cast("string"), F.lit(CRLF)))
     rows.select(F.explode(F.array(request, capture, meta)).alias("value")) \
-        .write.mode(mode).option("lineSep", "\n").option("maxRecordsPerFile", 3 * rows_per_file).text(path)
+        .write.mode(mode).option("lineSep", "\n").option("maxRecordsPerFile", 3 * rows_per_file) \
+        .option("compression", "gzip").text(path)
 
 
 _HEAD = re.compile(rb"([^:\r\n]+):[ \t]*([^\r\n]*)\r\n")
@@ -135,14 +137,14 @@ def _number(value: str | None) -> int | None:
 
 def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """One row per record.  ``payload`` is the HTTP body of responses (left
-    null with ``payloads=False``)."""
+    null with ``payloads=False``).  Plain files are read as well as gzip ones."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
 
     def run(batches):
         for b in batches:
             for data in b["content"]:
                 out = []
-                for f, block in parse(data):
+                for f, block in parse(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data):
                     size = body = None
                     if f["warc-type"] in ("response", "revisit"):
                         head, _, body = block.partition(b"\r\n\r\n")
@@ -173,12 +175,17 @@ def _frame(rows: list) -> pd.DataFrame:
 def transactions(records: DataFrame) -> DataFrame:
     """One nested row per capture: ``capture`` and the ``request`` and
     ``metadata`` recorded with it (the first by record id, should an archive
-    hold more; null if none), with how many there were."""
+    hold more; null if none), with how many there were.  One window over the
+    concurrent-to ids, so the archives are parsed once."""
+    is_capture = F.col("type").isin("response", "revisit")
+    rows = records.withColumn("to", F.when(is_capture, F.col("id")).otherwise(F.col("concurrent_to"))) \
+        .filter(is_capture | F.col("to").isNotNull())
+    group = Window.partitionBy("to")
+
     def tied(kind):
-        one = F.struct("id", "uri", "concurrent_to")
-        return records.filter(F.col("type") == kind).groupBy(F.col("concurrent_to").alias("to")) \
-            .agg(F.min(one).alias(kind), F.count("*").alias(f"n_{kind}"))
-    captures = records.filter(F.col("type").isin("response", "revisit")) \
-        .select(F.struct("type", "id", "page_id", "refers_to", "uri", "payload_digest", "payload_bytes", "payload").alias("capture"),
-                F.col("id").alias("to"))
-    return captures.join(tied("request"), "to", "left").join(tied("metadata"), "to", "left").drop("to")
+        one = F.when(F.col("type") == kind, F.struct("id", "uri", "concurrent_to"))
+        return [F.min(one).over(group).alias(kind), F.nullif(F.count(one).over(group), F.lit(0)).alias(f"n_{kind}")]
+
+    capture = F.struct("type", "id", "page_id", "refers_to", "uri", "payload_digest", "payload_bytes", "payload")
+    return rows.select(is_capture.alias("main"), capture.alias("capture"), *tied("request"), *tied("metadata")) \
+        .filter("main").drop("main")
