@@ -155,7 +155,7 @@ def quality(docs: DataFrame, char_limit: float = 0.25, word_limit: float = 0.3,
     shared folder and read again when the references are known."""
     carry = docs.columns if carry is None else carry
     measured = measure(docs, text_col, lang_col)
-    mine = [c for c in carry if c in measured.columns and c not in COUNTS]
+    mine = [c for c in carry if c in measured.columns and c not in (*COUNTS, "base_failed")]
     measured = stored(measured.select(*mine, F.col(lang_col).alias("__l"), *COUNTS, "base_failed", "__chars", "__common"), "quality-measures")
     refs = references(measured, "__l")
     rows = measured.join(refs, measured["__l"].eqNullSafe(refs["__lang"]), "left")
