@@ -96,7 +96,7 @@ def op8(spark, sf_dir):
     from marquee.llm.warc import read_records, transactions, write_archive
     from marquee.session import scratch_path
     path = scratch_path(spark, "warc")
-    write_archive(table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
+    write_archive(table(spark, sf_dir, "pages").select("page_id", "url", "html"), path, compression="gzip")
     rows = transactions(read_records(spark, path, payloads=False))
     return rows.select("capture.page_id", "capture.payload_bytes", "capture.payload_digest",
                        F.col("capture.type").alias("record_type"), "capture.refers_to",

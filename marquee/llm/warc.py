@@ -3,8 +3,8 @@
 ``write_archive`` turns pages into WARC 1.1 records -- a request, a
 response (or a revisit of the page whose payload is equal) and a metadata
 record per capture, tied by ``WARC-Concurrent-To`` -- and Spark's text
-writer stores them in gzip files: a record ends in CRLF CRLF, whose last byte is the
-writer's line end.  ``read_records`` parses the archives by
+writer stores them, as gzip files if asked: a record ends in CRLF CRLF, whose
+last byte is the writer's line end.  ``read_records`` parses the archives by
 ``Content-Length`` and compares each response's payload with its digest;
 ``transactions`` joins request and metadata to their
 capture through the concurrent-to ids, one nested row per capture.
@@ -71,10 +71,10 @@ def _field(name: str, value: Column) -> Column:
 
 
 def write_archive(pages: DataFrame, path: str, min_bytes: int = 0, when: str = "2020-01-01T00:00:00Z",
-                  rows_per_file: int = 2000, file_bytes: int = 1 << 26) -> None:
+                  rows_per_file: int = 2000, file_bytes: int = 1 << 26, compression: str = "none") -> None:
     """Write the archives of ``pages`` (page_id, url, html) under ``path``.
     Files hold at most ``rows_per_file`` captures and ``file_bytes`` bytes
-    (or one capture), so each can be read as a whole by one task.  For this,
+    (or one capture) before compression ("none" or "gzip"), so each can be read as a whole by one task.  For this,
     pages are written by classes of payload size, each twice the one below;
     equal payloads are of one class."""
     size = F.coalesce(F.octet_length("html"), F.lit(0))
@@ -84,10 +84,11 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = 0, when: str = "
     for k, one in enumerate(levels or [None]):
         some = pages if len(levels) < 2 else pages.filter(level == one["level"])
         _write_class(some, path, min_bytes, when, min(rows_per_file, max(1, file_bytes // one["bytes"])) if one else rows_per_file,
-                     "append" if k else "error")
+                     "append" if k else "error", compression)
 
 
-def _write_class(pages: DataFrame, path: str, min_bytes: int, when: str, rows_per_file: int, mode: str) -> None:
+def _write_class(pages: DataFrame, path: str, min_bytes: int, when: str, rows_per_file: int, mode: str,
+                 compression: str) -> None:
     rows = judged(pages, min_bytes)
     uri = F.coalesce(F.regexp_replace("url", r"[\r\n]", "%0A"), F.lit("urn:none"))
     part = F.sha1(F.concat_ws("|", F.coalesce(F.col("page_id").cast("string"), F.lit("-")), "digest",
@@ -113,7 +114,7 @@ def _write_class(pages: DataFrame, path: str, min_bytes: int, when: str, rows_pe
                    F.concat(F.lit("payloadBytes: "), F.col("size").cast("string"), F.lit(CRLF)))
     rows.select(F.explode(F.array(request, capture, meta)).alias("value")) \
         .write.mode(mode).option("lineSep", "\n").option("maxRecordsPerFile", 3 * rows_per_file) \
-        .option("compression", "gzip").text(path)
+        .option("compression", compression).text(path)
 
 
 _HEAD = re.compile(rb"([^:\r\n]+):[ \t]*([^\r\n]*)\r\n")
@@ -137,7 +138,8 @@ def _number(value: str | None) -> int | None:
 
 def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """One row per record.  ``payload`` is the HTTP body of responses (left
-    null with ``payloads=False``).  Plain files are read as well as gzip ones."""
+    null with ``payloads=False``).  A row of the input is a whole file; Spark
+    bounds the bytes of an Arrow batch.  Plain and gzip files are read alike."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
 
     def run(batches):
@@ -162,7 +164,6 @@ def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataF
                         out = []
                 yield _frame(out)
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")   # a row is a whole file
     return files.mapInPandas(run, RECORD)
 
 
