@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marquee.operators import tag_text
+
 
 def delete_keys(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     """K1: drop every row whose key is in ``keys``."""
@@ -57,14 +59,8 @@ def extend_tags(docs: DataFrame, updates: DataFrame) -> DataFrame:
     """Extend each document's ``tags`` text with ``|tag`` per new tag of
     ``updates`` (uid, mid, tag, ts, event_id), in (ts, event_id) order,
     without dedupe; documents without updates are returned unchanged."""
-    order = F.struct("ts", "event_id", "tag")
-    add = (updates.groupBy("mid").agg(F.array_sort(F.collect_list(order)).alias("l"))
-           .select("mid", F.array_join(F.transform("l", lambda x: x["tag"]), "|").alias("add")))
-    j = docs.join(add, "mid", "left")
-    return j.withColumn(
-        "tags", F.when(F.col("add").isNull(), F.col("tags"))
-        .when(F.col("tags").isNull(), F.col("add"))
-        .otherwise(F.concat_ws("|", "tags", "add"))).drop("add")
+    add = tag_text.joined(tag_text.tag_chunks(updates))
+    return docs.join(add, "mid", "left").withColumn("tags", tag_text.extended(F.col("tags"), F.col("add"))).drop("add")
 
 
 def apply_new_tags(tags: DataFrame, docs: DataFrame, updates: DataFrame):

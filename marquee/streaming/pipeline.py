@@ -26,7 +26,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from marquee.functions.columns import extract_rating_log, parse_rating_message
 from marquee.operators import scoring as sc
-from marquee.operators.maintenance import extend_tags, upsert_ratings
+from marquee.operators import tag_text
+from marquee.operators.maintenance import upsert_ratings
 from marquee.schemas import RECS
 from marquee.sources.log_source import FORMAT, read_log
 from marquee.streaming.change_log import FAN, ChangeLog
@@ -404,21 +405,15 @@ def run_rating_log(source: DataFrame, out_root: str, checkpoint: str, marker: st
 
 # ------------------------------------------------------------- tag feed
 
-def newest_per_movie(log: DataFrame) -> DataFrame:
-    """Keep, per movie, the document row of the newest version (``v`` kept)."""
-    cols = [c for c in log.columns if c not in ("mid", "v")]
-    newest = F.max_by(F.struct(*cols, "v"), F.col("v"))
-    return log.groupBy("mid").agg(newest.alias("x")).select("mid", *[f"x.{c}" for c in cols + ["v"]])
-
-
-def current_documents(spark, root: str, docs_base: DataFrame, before: int | None = None) -> DataFrame:
-    """The base documents, each overridden by its newest logged row."""
-    log = ChangeLog(root, "documents").read(spark, before=before)
+def current_documents(spark, root: str, docs_base: DataFrame) -> DataFrame:
+    """The base documents, each with its logged tag text behind its own;
+    movies first tagged by the feed get a row too."""
+    log = ChangeLog(root, "tag_chunks").read(spark)
     if log is None:
         return docs_base
-    newest = newest_per_movie(log).drop("v")
-    return (docs_base.join(newest.select("mid"), "mid", "left_anti")
-            .unionByName(newest, allowMissingColumns=True))
+    add = tag_text.joined(log, ("v", "part", "chunk"))
+    both = docs_base.join(add, "mid", "full_outer").withColumn("tags", tag_text.extended(F.col("tags"), F.col("add")))
+    return both.select(*docs_base.columns)
 
 
 def current_tags(spark, root: str, tags_base: DataFrame) -> DataFrame:
@@ -431,22 +426,17 @@ def run_tag_feed(spark: SparkSession, tag_stream: DataFrame, tags_base: DataFram
                  docs_base: DataFrame, out_root: str, checkpoint: str,
                  trigger: dict | None = None, fan: int = FAN):
     """T8 as a stream: each micro-batch of tags (uid, mid, tag, ts,
-    event_id) is appended to the tags log, and only the documents it touches
-    are rewritten (their ``tags`` text extended) as that batch's version of
-    the documents log, so a batch costs O(batch)."""
+    event_id) is appended to the tags log, and as chunks of text to the log
+    of tag chunks.  A batch reads and rewrites no document, so it costs
+    O(batch) even if one movie gets all tags; ``docs_base`` stays as it is,
+    and ``current_documents`` puts the chunks behind it."""
     tags_log = ChangeLog(out_root, "tags", fan)
-    docs_log = ChangeLog(out_root, "documents", fan)
+    chunk_log = ChangeLog(out_root, "tag_chunks", fan)
 
     def each(batch_df, batch_id):
         b = batch_df.persist()
         try:
-            touched = b.select("mid").distinct()
-            now = current_documents(spark, out_root, docs_base, before=batch_id)
-            docs = now.join(touched, "mid", "left_semi")
-            fresh = touched.join(docs.select("mid"), "mid", "left_anti")
-            docs = docs.unionByName(fresh.withColumn("tags", F.lit(None).cast("string")),
-                                    allowMissingColumns=True)
-            docs_log.write(extend_tags(docs, b), batch_id, newest_per_movie)
+            chunk_log.write(tag_text.tag_chunks(b), batch_id, tag_text.merged)
             tags_log.write(b.select(*tags_base.columns), batch_id)
         finally:
             b.unpersist()
