@@ -1,22 +1,28 @@
-"""Exact top-k inner-product search by score bounds as in MaxScore (operator 4).
+"""Exact top-k inner-product search by MaxScore (operator 4).
 
 A vector is a document, each dimension a term with an integer weight.  The
-candidates are hashed into shards of about ``shard_rows`` rows; each shard
-meets the query set in blocks.  Within a shard the terms of a query are
-ordered by how much they can change a score: the largest and smallest
-weight of the shard bound each term's contribution.  There are no postings
-and no split into essential and other terms, as vectors are dense: all rows
-are scored on the first ``STEP`` terms; a row whose partial score plus the
-bound of the remaining terms stays below the shard's k-th best guaranteed
-score is dropped, and the rows still competitive are scored on the next
-``STEP`` terms, and so on.  The shards' k best are then merged.
+candidates are hashed into shards of about ``shard_rows`` rows.  A shard's
+postings hold, per term and sign, the rows whose weight has that sign, by
+falling impact; the first entry bounds the list.  A query reads the list of
+each term whose sign is that of its own weight, so every posting adds to a
+score, and weights of the other sign only lower it.
+
+Per query and shard: the heads of its strongest lists, scored in full, give
+a threshold (the k-th best of them, or of an earlier shard in the task).  In
+order of rising bound, the terms whose bounds together stay below the
+threshold are non-essential: a row in none of the other lists cannot reach
+it.  The essential postings are traversed and summed; rows whose sum plus
+the non-essential bounds stays below the threshold leave, and for the rest
+the other terms and signs are probed in steps while they stay competitive.
+If no threshold above 0 is known, every row is a candidate.  The shards' k
+best are then merged.
 
 Defined results: vectors that are null, empty or hold null or non-finite
 components take no part; scores tie to the smaller id; only vectors of one
 length are compared; a row with a null id can be no query but a candidate
 (sorted last on ties); where rows share an id, one of them (the smallest
-vector hash) is the query and none is its candidate.  Scores beyond 64 bits
-are held at the limits.  No rows, no output.
+vector hash) is the query and none is its candidate.  A result's score beyond 64
+bits raises.  No rows, no output.
 """
 
 from __future__ import annotations
@@ -26,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-STEP = 16
+STEP, HEADS, GROUPS = 16, 8, 64
 LONG = 2**63 - 1
 
 
@@ -45,36 +51,90 @@ def _floor(x):
     return F.when(F.abs(x) < 2.0**52, F.floor(x).cast("double")).otherwise(x)
 
 
-def best_of_shard(queries: np.ndarray, own: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int):
+class Postings:
+    """Rows of a shard per term and sign, by falling size of their weight."""
+
+    def __init__(self, rows: np.ndarray):
+        self.rows = rows
+        self.lists = {}
+        for term in range(rows.shape[1]):
+            w = rows[:, term]
+            for sign, own in ((1, w > 0), (-1, w < 0)):
+                at = np.flatnonzero(own)
+                size = np.abs(w[at])
+                fall = np.argsort(-size, kind="stable")
+                self.lists[term, sign] = (at[fall], size[fall])
+
+    def of(self, weight: np.ndarray) -> list:
+        """(bound, term, rows, sizes of their weights) of the lists that a query
+        reads, by rising bound."""
+        out = []
+        for term, w in enumerate(weight):
+            at, size = self.lists[term, 1 if w > 0 else -1]
+            if w != 0 and len(at):
+                out.append((abs(w) * size[0], term, at, size))
+        return sorted(out, key=lambda x: x[:2])
+
+
+def best_of_query(post: Postings, weight: np.ndarray, apart: np.ndarray, k: int, floor=None):
+    """(rows, scores) that hold the query's k best of the shard, but rows
+    below ``floor``.  ``apart``: rows that are no candidates."""
+    rows, lists = post.rows, post.of(weight)
+    heads = np.unique(np.concatenate([at[:k + 1] for _, _, at, _ in lists[-HEADS:]] + [np.zeros(0, np.int64)]))
+    heads = heads[~apart[heads]]
+    known = sorted(rows[heads] @ weight, reverse=True)
+    limit = known[k - 1] if len(known) >= k else None
+    if floor is not None and (limit is None or floor > limit):
+        limit = floor
+    bound = np.cumsum(np.array([x[0] for x in lists], rows.dtype))
+    if limit is None or limit <= 0:
+        live = np.flatnonzero(~apart)
+        return live, rows[live] @ weight
+    split = int(np.searchsorted(bound, limit, side="left"))      # lists before it are non-essential
+    rest = bound[split - 1] if split else 0
+    total = np.zeros(len(rows), rows.dtype)
+    for _, term, at, size in lists[split:]:
+        total[at] += size * abs(weight[term])
+    total[apart] = 0
+    live = np.flatnonzero((total > 0) & (total + rest >= limit))
+    # most that a candidate can reach: non-essential terms first give up
+    # their bound for what they truly add, then weights of the other sign
+    reach = total[live] + rest
+    spare = {term: top for top, term, _, _ in lists[:split]}
+    probe = [term for _, term, _, _ in reversed(lists[:split])]
+    probe += [term for term in np.argsort(-np.abs(weight).astype(float), kind="stable") if term not in spare and weight[term] != 0]
+    for at in range(0, len(probe), STEP):
+        use = np.array(probe[at:at + STEP])
+        add = rows[np.ix_(live, use)] * weight[use]
+        lower = np.array([term not in spare for term in use])
+        add[:, lower] = np.minimum(add[:, lower], 0)             # what is above 0 is in the sum already
+        reach = reach + add.sum(axis=1) - sum(spare.get(term, 0) for term in use)
+        stay = reach >= limit
+        live, reach = live[stay], reach[stay]
+    return live, reach
+
+
+def best_of_shard(queries: np.ndarray, own: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int, floors: dict | None = None):
     """The k best of the shard for every query: (query, row, score) arrays.
-    ``own``/``ids``: ids of queries and rows; equal ids are never paired."""
+    ``own``/``ids``: ids of queries and rows; equal ids are never paired.
+    ``floors``: the k-th best score known of each query, kept up to date."""
     out_q, out_r, out_s = [], [], []
-    lo, hi = rows.min(axis=0), rows.max(axis=0)
+    floors = {} if floors is None else floors
     safe = np.abs(queries).max(initial=0) * np.abs(rows).max(initial=0) * rows.shape[1] < 2.0**52
     if not safe:
-        rows, queries, lo, hi = (np.array([int(x) for x in a.ravel()], object).reshape(a.shape) for a in (rows, queries, lo, hi))
+        rows, queries = (np.array([int(x) for x in a.ravel()], object).reshape(a.shape) for a in (rows, queries))
+    post = Postings(rows)
     for q, weight in enumerate(queries):
-        up, down = np.maximum(weight * lo, weight * hi), np.minimum(weight * lo, weight * hi)
-        term = np.argsort(-(up - down).astype(float), kind="stable")
-        more = np.append(np.cumsum(up[term][::-1])[::-1], 0)        # bounds of the terms not yet read
-        less = np.append(np.cumsum(down[term][::-1])[::-1], 0)
-        live = np.flatnonzero(ids != own[q])
-        score = np.zeros(len(live), rows.dtype)
-        for at in range(0, len(term), STEP):
-            use = term[at:at + STEP]
-            score = score + rows[np.ix_(live, use)] @ weight[use]
-            to = min(at + STEP, len(term))
-            if len(live) > k and to < len(term):
-                least = np.partition(score.astype(float), len(score) - k)[len(score) - k] + float(less[to])
-                stay = score.astype(float) + float(more[to]) >= least - abs(least) * 1e-12
-                live, score = live[stay], score[stay]
+        live, score = best_of_query(post, weight, ids == own[q], k, floors.get(q))
         if not len(live):
             continue
-        best = np.lexsort((ids[live], -score.astype(float)))[:k] if safe else \
+        best = np.lexsort((ids[live], -score))[:k] if safe else \
             np.array(sorted(range(len(live)), key=lambda i: (-score[i], ids[live[i]]))[:k])
+        if len(best) == k and (q not in floors or score[best[-1]] > floors[q]):
+            floors[q] = score[best[-1]]
         out_q.append(np.full(len(best), q))
         out_r.append(live[best])
-        out_s.append(np.array([max(-LONG - 1, min(LONG, int(s))) for s in score[best]], np.int64))
+        out_s.append(np.array([int(s) for s in score[best]], object))
     join = lambda x: np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64)
     return join(out_q), join(out_r), join(out_s)
 
@@ -99,25 +159,28 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256,
 
     block = lambda n: F.pmod(F.xxhash64("id", "v"), F.lit(n))
     kind = "b long, d int, ids binary, known binary, mat binary"
-    held = rows.withColumn("b", block(shards)).groupBy("b", "d").applyInPandas(pack, kind)
+    # a shard stays where it was packed; the queries, far fewer, go to every shard
+    tasks = max(2 * rows.sparkSession.sparkContext.defaultParallelism, shards // 8)
+    held = rows.withColumn("b", block(shards)).repartition(tasks, "b", "d").groupBy("b", "d").applyInPandas(pack, kind)
     sets = asked.withColumn("b", block(groups)).groupBy("b", "d").applyInPandas(pack, kind) \
         .select(F.col("b").alias("g"), "d", F.col("ids").alias("q_ids"), F.col("mat").alias("q_mat"))
-    pairs = held.withColumn("g", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long")))) \
-        .join(sets, ["g", "d"])
+    pairs = held.join(sets.withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))), ["b", "d"])
 
     def search(batches):
+        floors = {}
         for pdf in batches:
             for r in pdf.itertuples():
                 ids, known = np.frombuffer(r.ids, np.int64), np.frombuffer(r.known, bool)
                 own = np.frombuffer(r.q_ids, np.int64)
+                if len(floors) > GROUPS:          # thresholds only save work
+                    floors.clear()
                 mat, ask = (np.frombuffer(m, np.float64).reshape(-1, r.d) for m in (r.mat, r.q_mat))
-                q, at, s = best_of_shard(ask, own, mat, ids, k)
+                q, at, s = best_of_shard(ask, own, mat, ids, k, floors.setdefault((r.g, r.d), {}))
                 vec = pd.array(ids[at], "Int64")
                 vec[~known[at]] = pd.NA
                 yield pd.DataFrame({"query_id": own[q], "vec": vec, "score": s})
 
-    found = pairs.repartition(pairs.sparkSession.sparkContext.defaultParallelism * 2, F.xxhash64("g", "b", "d")) \
-        .mapInPandas(search, "query_id long, vec long, score long")
+    found = pairs.mapInPandas(search, "query_id long, vec long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("vec"))
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k) \
         .select("query_id", "rank", F.col("vec").alias(id_col), "score")
