@@ -14,7 +14,7 @@ def test_counts_ignore_null_scores(spark):
 
 
 def test_monthly_counts(spark):
-    r = ratings(spark, [(1, 1, 4.0, 1422316802), (2, 1, 3.0, 1422316802), (1, 1, 2.0, 1420070399)])
+    r = ratings(spark, [(1, 1, 4.0, 1421000000), (2, 1, 3.0, 1421000000), (1, 1, 2.0, 1420070399)])
     got = sorted((x.mid, x.month, x["count"]) for x in st.rate_more_movies_recently(r).collect())
     assert got == [(1, 201412, 1), (1, 201501, 2)]
 
