@@ -12,12 +12,21 @@ are left out.  Every user first meets the block of the largest norms; users
 are then gathered by the norm that an item must have to still matter to
 them, and each gathering meets only the blocks that reach it.
 
+Block pairs meet in cells: both sides are dealt into a few groups, and a task
+gets one group of each side, holds the first and streams the second.  Each
+vector is so moved once per group of the other side, not once per block pair,
+and the groups' number follows from the cluster's cores; it grows only where
+a held group would pass ``HELD_BYTES``.
+
 Only the pivots (a bounded number of vectors) and one norm per block of items
 pass the driver.
 """
 
 from __future__ import annotations
 
+import itertools
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -28,6 +37,8 @@ from marquee.session import scratch_path
 MAX_PIVOTS = 1024
 PAGE_BLOCKS = 512
 SLACK = 1e-7              # of an angle or a norm, far above rounding
+HELD_BYTES = 64 << 20     # of the vectors that a task holds
+ROWS_OUT = 200_000        # rows gathered before they leave a task
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
@@ -68,6 +79,45 @@ def usable(factors: DataFrame, id_col: str, feat_col: str) -> DataFrame:
     return f.filter("id is not null and v is not null and size(v) > 0").filter(~F.exists("v", bad) & F.exists("v", lambda x: x != 0))
 
 
+# ------------------------------------------------------------------- cells
+
+def _cells(blocks: DataFrame) -> int:
+    """Tasks to aim at."""
+    return 4 * blocks.sparkSession.sparkContext.defaultParallelism
+
+
+def _groups(blocks: DataFrame, others: float | None = None) -> int:
+    """Groups that the blocks are dealt into, to meet ``others`` groups
+    (default: as many)."""
+    size = blocks.agg(F.count("*").alias("n"), F.sum(F.length("mat")).alias("bytes")).first()
+    few = math.ceil(math.sqrt(_cells(blocks)) if others is None else _cells(blocks) / others)
+    return max(1, min(size.n, max(few, -(-(size.bytes or 0) // HELD_BYTES))))
+
+
+def _group(groups: int):
+    return F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int")
+
+
+def _dealt(held: DataFrame, met: DataFrame, cells: int, order: str) -> DataFrame:
+    """Both sides by ``cell``, the held one first, the other along ``order``."""
+    rows = held.withColumn("met", F.lit(0)).unionByName(met.withColumn("met", F.lit(1)), allowMissingColumns=True)
+    return rows.repartitionById(cells, "cell").sortWithinPartitions("cell", "met", order)
+
+
+def _by_cell(batches):
+    """(held rows, met rows) of each cell; the met rows are an iterator."""
+    rows = (r for pdf in batches for r in pdf.itertuples())
+    for _, of_cell in itertools.groupby(rows, lambda r: r.cell):
+        held, first = [], None
+        for r in of_cell:
+            if r.met:
+                first = r
+                break
+            held.append(r)
+        if held and first is not None:
+            yield held, itertools.chain([first], of_cell)
+
+
 # -------------------------------------------------------------- similarity
 
 def unit_blocks(factors: DataFrame, block_rows: int, n_items: int) -> DataFrame:
@@ -104,57 +154,82 @@ def unit_blocks(factors: DataFrame, block_rows: int, n_items: int) -> DataFrame:
     return _stored(placed.mapInPandas(cut, "block long, n int, ids binary, mat binary, centroid binary, radius double"), "unit-blocks")
 
 
-def near_pairs(blocks: DataFrame, threshold: float) -> DataFrame:
-    """(bi, bj), bi <= bj, of the blocks that may hold a pair of cosine above
-    the threshold.  Centroids meet in pages; no vector is read."""
-    pages = max(1, -(-blocks.count() // PAGE_BLOCKS))
-    widest = float(np.arccos(np.clip(threshold, -1, 1)))
+def _near(centroids_a, radii_a, centroids_b, radii_b, threshold: float):
+    """Which blocks may hold a pair of cosine above the threshold."""
+    apart = np.arccos(np.clip(centroids_a @ centroids_b.T, -1, 1))
+    return apart <= radii_a[:, None] + radii_b[None, :] + float(np.arccos(np.clip(threshold, -1, 1))) + SLACK
+
 
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame([{"page": int(pdf["page"].iloc[0]), "blocks": pdf["block"].to_numpy(np.int64).tobytes(),
-                              "centroids": b"".join(pdf["centroid"]), "radii": pdf["radius"].to_numpy(np.float64).tobytes()}])
+def _in_pairs(blocks: DataFrame, columns: list[str], order: str) -> DataFrame:
+    """A cell for every two groups of the blocks, and for each with itself."""
+    groups = _groups(blocks)
+    mine = blocks.select("block", *columns, _group(groups).alias("g"))
+    cell = lambda low, high: (F.col(high) * (F.col(high) + 1) / 2 + F.col(low)).cast("int").alias("cell")
+    held = mine.withColumn("o", F.explode(F.sequence("g", F.lit(groups - 1)))).select("block", *columns, cell("g", "o"), (F.col("g") == F.col("o")).alias("same"))
+    met = mine.withColumn("o", F.explode(F.sequence(F.lit(0), "g"))).select("block", *columns, cell("o", "g"), (F.col("g") == F.col("o")).alias("same"))
+    return _dealt(held, met, groups * (groups + 1) // 2, order)
 
-    meta = blocks.select("block", "centroid", "radius").withColumn("page", F.pmod(F.xxhash64("block"), F.lit(pages)).cast("int"))
-    packed = meta.groupBy("page").applyInPandas(pack, "page int, blocks binary, centroids binary, radii binary")
-    every = F.explode(F.sequence(F.lit(0), F.lit(pages - 1)))
-    left = packed.withColumn("other", every)
-    right = packed.select(F.col("page").alias("other"), F.col("blocks").alias("blocks2"), F.col("centroids").alias("centroids2"), F.col("radii").alias("radii2"))
 
+def near_pairs(blocks: DataFrame, threshold: float) -> DataFrame:
+    """(bi, bj), bi <= bj, of the blocks that may hold a pair of cosine above
+    the threshold; no vector is read."""
     def run(batches):
-        for pdf in batches:
-            for r in pdf.itertuples():
-                a, b = np.frombuffer(r.blocks, np.int64), np.frombuffer(r.blocks2, np.int64)
-                ca, cb = (np.frombuffer(c, np.float64).reshape(n, -1) for c, n in ((r.centroids, len(a)), (r.centroids2, len(b))))
-                apart = np.arccos(np.clip(ca @ cb.T, -1, 1))
-                reach = np.frombuffer(r.radii, np.float64)[:, None] + np.frombuffer(r.radii2, np.float64)[None, :] + widest + SLACK
-                i, j = np.nonzero((apart <= reach) & (a[:, None] <= b[None, :]))
-                yield pd.DataFrame({"bi": a[i], "bj": b[j]})
+        for held, met in _by_cell(batches):
+            names, centroids, radii = _rims(held)
+            for r in met:
+                name, centroid, radius = _rims([r])
+                mine = names[_near(centroids, radii, centroid, radius, threshold)[:, 0] & ((names <= name) | (not r.same))]
+                yield pd.DataFrame({"bi": np.minimum(mine, name), "bj": np.maximum(mine, name)})
+
+    return _in_pairs(blocks, ["centroid", "radius"], "block").mapInPandas(run, "bi long, bj long")
+
 
-    return left.join(right, "other").mapInPandas(run, "bi long, bj long")
+def _rims(rows):
+    return (np.array([r.block for r in rows], np.int64), np.stack([np.frombuffer(r.centroid, np.float64) for r in rows]),
+            np.array([r.radius for r in rows]))
 
 
 def similar_pairs(factors: DataFrame, threshold: float, block_rows: int, n_items: int) -> DataFrame:
     """(mid, sim_mid, sim), both ways, of all pairs above the threshold."""
     blocks = unit_blocks(factors, block_rows, n_items)
-    pairs = _stored(near_pairs(blocks, threshold), "near-pairs")
-    a = blocks.select(F.col("block").alias("bi"), F.col("ids").alias("ids_a"), F.col("mat").alias("mat_a"))
-    b = blocks.select(F.col("block").alias("bj"), F.col("ids").alias("ids_b"), F.col("mat").alias("mat_b"))
+
+    def vectors(r):
+        ids = np.frombuffer(r.ids, np.int64)
+        return ids, np.frombuffer(r.mat, np.float64).reshape(len(ids), -1)
 
     def run(batches):
-        for pdf in batches:
-            for r in pdf.itertuples():
-                ia, ib = np.frombuffer(r.ids_a, np.int64), np.frombuffer(r.ids_b, np.int64)
-                cos = np.frombuffer(r.mat_a, np.float64).reshape(len(ia), -1) @ np.frombuffer(r.mat_b, np.float64).reshape(len(ib), -1).T
-                keep = cos > threshold
-                if r.bi == r.bj:
-                    np.fill_diagonal(keep, False)
-                x, y = np.nonzero(keep)
-                out = pd.DataFrame({"mid": ia[x], "sim_mid": ib[y], "sim": cos[x, y]})
-                back = pd.DataFrame({"mid": ib[y], "sim_mid": ia[x], "sim": cos[x, y]}) if r.bi != r.bj else out[:0]
-                yield pd.concat([out, back]).astype({"mid": "int32", "sim_mid": "int32"})
-
-    met = pairs.join(a, "bi").join(b, "bj")
-    return met.repartition(4 * factors.sparkSession.sparkContext.defaultParallelism, "bi", "bj").mapInPandas(run, "mid int, sim_mid int, sim double")
+        for held, met in _by_cell(batches):
+            names, centroids, radii = _rims(held)
+            kept = [vectors(r) for r in held]
+            out, rows = [], 0
+            for r in met:
+                name, centroid, radius = _rims([r])
+                ib, b = vectors(r)
+                for i in np.flatnonzero(_near(centroids, radii, centroid, radius, threshold)[:, 0] & ((names <= name) | (not r.same))):
+                    ia, a = kept[i]
+                    cos = a @ b.T
+                    keep = cos > threshold
+                    one = names[i] == name[0]
+                    if one:
+                        np.fill_diagonal(keep, False)
+                    x, y = np.nonzero(keep)
+                    value = cos[x, y]
+                    out.append((ia[x], ib[y], value))
+                    if not one:
+                        out.append((ib[y], ia[x], value))
+                    rows += len(x) * (2 - one)
+                    if rows >= ROWS_OUT:
+                        yield _pairs(out)
+                        out, rows = [], 0
+            if rows:
+                yield _pairs(out)
+
+    return _in_pairs(blocks, ["ids", "mat", "centroid", "radius"], "block").mapInPandas(run, "mid int, sim_mid int, sim double")
+
+
+def _pairs(parts) -> pd.DataFrame:
+    mid, sim_mid, sim = (np.concatenate(c) for c in zip(*parts))
+    return pd.DataFrame({"mid": mid.astype(np.int32), "sim_mid": sim_mid.astype(np.int32), "sim": sim})
 
 
 # ------------------------------------------------------------------- top-k
