@@ -18,8 +18,8 @@ vector is so moved once per group of the other side, not once per block pair,
 and the groups' number follows from the cluster's cores; it grows only where
 a held group would pass ``HELD_BYTES``.
 
-Only the pivots (a bounded number of vectors) and one norm per block of items
-pass the driver.
+Only the pivots (a bounded number of vectors) and the name of one block pass
+the driver.
 """
 
 from __future__ import annotations
@@ -38,6 +38,7 @@ MAX_PIVOTS = 1024
 PAGE_BLOCKS = 512
 SLACK = 1e-7              # of an angle or a norm, far above rounding
 HELD_BYTES = 64 << 20     # of the vectors that a task holds
+AT_ONCE = 4096            # held rows multiplied at once
 ROWS_OUT = 200_000        # rows gathered before they leave a task
 
 
@@ -234,7 +235,7 @@ def _pairs(parts) -> pd.DataFrame:
 
 # ------------------------------------------------------------------- top-k
 
-PACK = "block long, n int, ids binary, mat binary, least double, most double"
+PACK = "block long, n int, ids binary, mat binary, least double, most double, along binary"
 
 
 def _packed(rows: DataFrame, by: str, block_rows: int, name: str) -> DataFrame:
@@ -243,7 +244,7 @@ def _packed(rows: DataFrame, by: str, block_rows: int, name: str) -> DataFrame:
         first = _named()
         for i, pdf in enumerate(_pieces(batches, None, block_rows)):
             yield pd.DataFrame([{"block": first + i, "n": len(pdf), "ids": pdf["id"].to_numpy(np.int64).tobytes(), "mat": np.stack(pdf["v"].to_numpy()).tobytes(),
-                                 "least": float(pdf[by].min()), "most": float(pdf[by].max())}])
+                                 "least": float(pdf[by].min()), "most": float(pdf[by].max()), "along": pdf[by].to_numpy(np.float64).tobytes()}])
 
     rows = rows.select("id", "v", by)
     return _stored(rows.repartitionByRange(by, "id").sortWithinPartitions(by, "id").mapInPandas(cut, PACK), name)
@@ -253,24 +254,62 @@ def _norm():
     return F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
 
 
-def _products(pairs: DataFrame, k: int, positive_only: bool) -> DataFrame:
+def _best(at, mid, score, k: int):
+    """The k best rows of each ``at``, ties to smaller ids, and each k-th score."""
+    order = np.lexsort((mid, -score, at))
+    at, mid, score = at[order], mid[order], score[order]
+    begin = np.flatnonzero(np.append(True, at[1:] != at[:-1])) if len(at) else np.zeros(0, np.int64)
+    place = np.arange(len(at)) - np.repeat(begin, np.diff(np.append(begin, len(at))))
+    last = place == k - 1
+    return (at[place < k], mid[place < k], score[place < k]), at[last], score[last]
+
+
+def _products(users: DataFrame, items: DataFrame, k: int, positive_only: bool) -> DataFrame:
+    """(uid, mid, score): of every cell, each user's k best items among those
+    whose norm reaches what the user needs (``along`` of the user blocks)."""
+    b = _groups(items)
+    a = _groups(users, b)
+    other = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("o")
+    held = users.select("ids", "mat", "along", _group(a).alias("g"), other(b)).select("ids", "mat", "along", (F.col("g") * b + F.col("o")).alias("cell"))
+    met = items.select("ids", "mat", "most", _group(b).alias("g"), other(a)) \
+        .select("ids", "mat", "most", (-F.col("most")).alias("at"), (F.col("o") * b + F.col("g")).alias("cell"))
+
     def run(batches):
-        for pdf in batches:
-            for r in pdf.itertuples():
-                iu, ii = np.frombuffer(r.u_ids, np.int64), np.frombuffer(r.ids, np.int64)
-                score = np.frombuffer(r.u_mat, np.float64).reshape(len(iu), -1) @ np.frombuffer(r.mat, np.float64).reshape(len(ii), -1).T
-                keep = score > 0 if positive_only else np.ones(score.shape, bool)
-                if score.shape[1] > k:
-                    keep &= score >= np.partition(score, -k, axis=1)[:, -k][:, None]
-                row, col = np.nonzero(keep)
-                value = score[row, col]
-                order = np.lexsort((ii[col], -value, row))
-                row, col, value = row[order], col[order], value[order]
-                begin = np.flatnonzero(np.append(True, row[1:] != row[:-1])) if len(row) else np.zeros(0, np.int64)
-                mine = np.arange(len(row)) - np.repeat(begin, np.diff(np.append(begin, len(row)))) < k
-                yield pd.DataFrame({"uid": iu[row[mine]], "mid": ii[col[mine]], "score": value[mine]}).astype({"uid": "int32", "mid": "int32"})
-
-    return pairs.mapInPandas(run, "uid int, mid int, score double")
+        for held, met in _by_cell(batches):
+            ids = np.concatenate([np.frombuffer(r.ids, np.int64) for r in held])
+            need = np.concatenate([np.frombuffer(r.along, np.float64) for r in held])
+            mat = np.concatenate([np.frombuffer(r.mat, np.float64) for r in held]).reshape(len(ids), -1)
+            held.clear()
+            norm = np.linalg.norm(mat, axis=1)
+            low = need * norm
+            low -= SLACK * np.abs(low)
+            found, new, fresh = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)), [], 0
+            for r in met:
+                mine = np.flatnonzero(r.most > need * (1 - SLACK) - 1e-12)
+                mid = np.frombuffer(r.ids, np.int64)
+                right = np.frombuffer(r.mat, np.float64).reshape(len(mid), -1).T
+                for begin in range(0, len(mine), AT_ONCE):
+                    part = mine[begin:begin + AT_ONCE]
+                    score = mat[part] @ right
+                    keep = score >= low[part][:, None]
+                    if positive_only:
+                        keep &= score > 0
+                    if score.shape[1] > k and np.count_nonzero(keep) > 4 * k * len(part):
+                        keep &= score >= np.partition(score, -k, axis=1)[:, -k][:, None]
+                    row, col = np.nonzero(keep)
+                    if len(row):
+                        new.append((part[row], mid[col], score[row, col]))
+                        fresh += len(row)
+                if fresh > max(ROWS_OUT, len(found[0])):
+                    found, at, kth = _best(*(np.concatenate(c) for c in zip(found, *new)), k)
+                    low[at], need[at] = np.maximum(low[at], kth), np.maximum(need[at], kth / norm[at])
+                    new, fresh = [], 0
+            (at, mid, score), _, _ = _best(*(np.concatenate(c) for c in zip(found, *new)), k)
+            for begin in range(0, len(at), ROWS_OUT):
+                part = slice(begin, begin + ROWS_OUT)
+                yield pd.DataFrame({"uid": ids[at[part]].astype(np.int32), "mid": mid[part].astype(np.int32), "score": score[part]})
+
+    return _dealt(held, met, a * b, "at").mapInPandas(run, "uid int, mid int, score double")
 
 
 def _meet(users: DataFrame, items: DataFrame, norms: list[tuple[int, float]], reach: bool) -> DataFrame:
@@ -300,17 +339,15 @@ def top_products(users: DataFrame, items: DataFrame, k: int, positive_only: bool
     users, items = _stored(users.withColumn("norm", _norm()), "factor-users"), _stored(items.withColumn("norm", _norm()), "factor-items")
     blocks = _packed(items.withColumn("less", -F.col("norm")), "less", block_rows, "factor-blocks")
     blocks = blocks.select("block", "n", "ids", "mat", (-F.col("most")).alias("least"), (-F.col("least")).alias("most"))
-    norms = [(r.block, r.most) for r in blocks.select("block", "most").orderBy(F.desc("most"), "block").collect()]
-    if not norms:
+    first = blocks.orderBy(F.desc("most"), "block").select("block").first()
+    if first is None:
         return spark.createDataFrame([], "uid int, rank int, mid int, score double")
-    groups = _packed(users.withColumn("least", F.lit(0.0)), "least", block_rows, "factor-groups")
-    begin = _stored(_products(_meet(groups, blocks, norms[:1], False), k, positive_only), "factor-first")
-    kth = begin.groupBy(F.col("uid").alias("id")).agg(F.count("*").alias("found"), F.min("score").alias("kth")).filter(F.col("found") >= k)
     floor = F.lit(0.0) if positive_only else F.lit(float("-inf"))
+    groups = _packed(users.withColumn("least", floor), "least", block_rows, "factor-groups")
+    begin = _stored(_products(groups, blocks.filter(F.col("block") == first.block), k, positive_only), "factor-first")
+    kth = begin.groupBy(F.col("uid").alias("id")).agg(F.count("*").alias("found"), F.min("score").alias("kth")).filter(F.col("found") >= k)
     need = users.join(kth.select("id", "kth"), "id", "left").withColumn("need", F.coalesce("kth", floor) / F.col("norm"))
-    found = begin
-    if norms[1:]:
-        groups = _packed(need, "need", block_rows, "factor-groups")
-        found = begin.unionByName(_products(_meet(groups, blocks, norms[1:], True), k, positive_only))
+    groups = _packed(need, "need", block_rows, "factor-groups")
+    found = begin.unionByName(_products(groups, blocks.filter(F.col("block") != first.block), k, positive_only))
     w = Window.partitionBy("uid").orderBy(F.col("score").desc(), F.col("mid").asc())
     return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("uid", F.col("rank").cast("int").alias("rank"), "mid", "score")

@@ -30,3 +30,18 @@ def test_pairs_over_many_cells_come_once(spark):
     unit = {k: v / np.linalg.norm(v) for k, v in vecs.items()}
     want = {(a, b) for a in unit for b in unit if a != b and unit[a] @ unit[b] > 0.5}
     assert len(rows) == len(set(rows)) and set(rows) == want
+
+
+def test_a_cell_gives_k_rows_a_user(spark):
+    """Not k rows for each pair of blocks; ties go to smaller ids."""
+    users, uv = vectors(spark, 60, seed=5)
+    items, iv = vectors(spark, 800, seed=6)
+    items = items.unionByName(items.select((F.col("id") + 1000).alias("id"), "v"))
+    norm = lambda df: df.withColumn("norm", fb._norm()).withColumn("least", F.lit(0.0))
+    u, i = fb._packed(norm(users), "least", 4, "u"), fb._packed(norm(items), "norm", 4, "i")
+    per_user = fb._products(u, i, 3, True).groupBy("uid").count().agg(F.max("count")).first()[0]
+    assert i.count() > 200 and per_user <= 3 * fb._groups(i)
+    got = {(r.uid, r["rank"]): r.mid for r in fb.top_products(users, items, 3, True, 4).collect()}
+    for n, v in uv.items():
+        want = sorted((-(v @ w), m) for i, w in iv.items() for m in (i, i + 1000) if v @ w > 0)[:3]
+        assert [got[(n, r)] for r in (1, 2, 3)] == [m for _, m in want]
