@@ -22,6 +22,7 @@ from marquee.operators.text_index import B, K1, Index, idf, rank_key, scored_top
 MLT_MAX_QUERY_TERMS = 25
 MLT_MIN_TERM_FREQ = 2
 MLT_MIN_DOC_FREQ = 5
+FUZZY_ROWS = 100_000      # movies whose genre tokens one task takes
 
 
 def search(ix: Index, queries: DataFrame, fields: tuple[str, ...], n: int = 100) -> DataFrame:
@@ -92,8 +93,9 @@ def fuzzy_genre(movies: DataFrame, queries: DataFrame, n: int = 100) -> DataFram
     """Movies whose genre tokens are within the allowed edit distance
     of the query text (qid, text) -> (qid, rank, doc, score) where
     score = max over matching tokens of 1 - distance / length(query)."""
-    vocab_docs = (movies.select(F.col("mid").alias("doc"), F.explode(tokens("genres")).alias("token"))
-                  .distinct())
+    texts = movies.select(F.col("mid").alias("doc"), "genres")
+    tasks = max(1, -(-texts.count() // FUZZY_ROWS))
+    vocab_docs = texts.repartition(tasks, "doc").select("doc", F.explode(tokens("genres")).alias("token")).distinct()
     vocab = vocab_docs.select("token").distinct()
     vv = vocab.select("token", F.explode(delete_variants(F.col("token"), 2)).alias("v"))
     q = queries.select("qid", F.lower(F.trim(F.col("text"))).alias("q"))
@@ -101,7 +103,11 @@ def fuzzy_genre(movies: DataFrame, queries: DataFrame, n: int = 100) -> DataFram
     match = (qv.join(vv, "v").select("qid", "q", "token").distinct()
              .withColumn("dist", F.levenshtein("q", "token"))
              .filter(F.col("dist") <= allowed_edits(F.col("q"))))
-    scored = (match.join(vocab_docs, "token")
+    # a token gives all its movies the same score, so none after its n smallest
+    # ids can be among a query's n best
+    w = Window.partitionBy("token").orderBy(F.col("doc").asc())
+    leading = vocab_docs.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n).drop("_r")
+    scored = (match.join(leading, "token")
               .groupBy("qid", "doc")
               .agg(F.max(F.lit(1.0) - F.col("dist") / F.length("q")).alias("score")))
     return top_n(scored, "qid", n)

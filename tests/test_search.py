@@ -161,3 +161,20 @@ def test_empty_index(spark):
     ix = built_index(docs, "doc", ("name",))
     q = spark.createDataFrame([(1, "apple")], "qid long, text string")
     assert ix.postings.count() == 0 and se.search(ix, q, ("name",), 10).count() == 0
+
+
+def test_fuzzy_genre_reads_a_tokens_leading_movies_only(spark):
+    """A token's movies tie, so its n smallest ids are enough; a movie with
+    two tokens keeps the better one's score."""
+    genres = {i: "drama" if i % 3 else "dramas|crime" if i % 2 else "crime" for i in range(1, 400)}
+    movies = spark.createDataFrame(list(genres.items()), "mid int, genres string")
+    q = spark.createDataFrame([(t, t) for t in ("drama", "dramas", "crim", "cramas")], "qid string, text string")
+    out = se.fuzzy_genre(movies, q, 7)
+    got = {(r.qid, r["rank"]): (r.doc, round(r.score, 9)) for r in out.collect()}
+    for (t,) in q.select("text").collect():
+        edits = 1 if len(t) <= 5 else 2
+        score = {m: max((1 - lev(t, x) / len(t) for x in g.split("|") if lev(t, x) <= edits), default=None) for m, g in genres.items()}
+        want = sorted((-round(s, 9), m) for m, s in score.items() if s is not None)[:7]
+        assert [got.get((t, i + 1)) for i in range(7)] == [(m, -s) for s, m in want]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "WindowGroupLimit [token" in plan
