@@ -18,8 +18,13 @@ vector is so moved once per group of the other side, not once per block pair,
 and the groups' number follows from the cluster's cores; it grows only where
 a held group would pass ``HELD_BYTES``.
 
-Only the pivots (a bounded number of vectors) and the name of one block pass
-the driver.
+Where only some movies' pairs are asked for, the held side has their rows
+alone.  Where each movie's pairs are wanted as one list, rows are dealt by
+their id and a task streams all blocks past its rows, so lists are whole when
+they leave it and no pair is moved.
+
+Only the pivots and a sample (bounded numbers of vectors), sizes and the name
+of one block pass the driver.
 """
 
 from __future__ import annotations
@@ -32,6 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marquee.schemas import RECS
 from marquee.session import scratch_path
 
 MAX_PIVOTS = 1024
@@ -40,6 +46,9 @@ SLACK = 1e-7              # of an angle or a norm, far above rounding
 HELD_BYTES = 64 << 20     # of the vectors that a task holds
 AT_ONCE = 4096            # held rows multiplied at once
 ROWS_OUT = 200_000        # rows gathered before they leave a task
+LIST_BYTES = 256 << 20    # of the lists that a task gathers
+TASK_ROWS = 64            # lists that are worth a task
+SAMPLE = 1024             # vectors that tell how many pairs to expect
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
@@ -121,12 +130,16 @@ def _by_cell(batches):
 
 # -------------------------------------------------------------- similarity
 
+BLOCK = "block long, n int, ids binary, mat binary, asked binary, centroid binary, radius double"
+
+
 def unit_blocks(factors: DataFrame, block_rows: int, n_items: int) -> DataFrame:
-    """(block, ids, mat, centroid, radius): unit vectors around pivots."""
+    """(block, ids, mat, asked, centroid, radius): unit vectors around pivots;
+    ``asked`` has a byte for each, of the input's column if there is one."""
     k = max(1, min(MAX_PIVOTS, -(-n_items // block_rows)))
     chosen = factors.orderBy(F.xxhash64("id"), "id").limit(k).collect()
     if not chosen:
-        return factors.sparkSession.createDataFrame([], "block long, n int, ids binary, mat binary, centroid binary, radius double")
+        return factors.sparkSession.createDataFrame([], BLOCK)
     pivots = np.array([r.v for r in chosen])
     pivots /= np.linalg.norm(pivots, axis=1, keepdims=True)
 
@@ -137,7 +150,7 @@ def unit_blocks(factors: DataFrame, block_rows: int, n_items: int) -> DataFrame:
                 unit = unit / np.linalg.norm(unit, axis=1, keepdims=True)
                 cos = unit @ pivots.T
                 at = cos.argmax(axis=1)
-                yield pd.DataFrame({"id": pdf["id"], "unit": list(unit), "pivot": at.astype(np.int32), "far": 1 - cos[np.arange(len(at)), at]})
+                yield pd.DataFrame({"id": pdf["id"], "unit": list(unit), "asked": pdf["asked"], "pivot": at.astype(np.int32), "far": 1 - cos[np.arange(len(at)), at]})
 
     def cut(batches):
         name = _named()
@@ -148,11 +161,12 @@ def unit_blocks(factors: DataFrame, block_rows: int, n_items: int) -> DataFrame:
             centroid = mean / size if size > 1e-12 else mat[0]
             radius = float(np.arccos(np.clip(mat @ centroid, -1, 1)).max())
             yield pd.DataFrame([{"block": name + i, "n": len(mat), "ids": pdf["id"].to_numpy(np.int64).tobytes(), "mat": mat.tobytes(),
-                                 "centroid": centroid.tobytes(), "radius": radius}])
+                                 "asked": pdf["asked"].to_numpy(bool).tobytes(), "centroid": centroid.tobytes(), "radius": radius}])
 
-    placed = factors.mapInPandas(near, "id int, unit array<double>, pivot int, far double")
+    factors = factors if "asked" in factors.columns else factors.withColumn("asked", F.lit(True))
+    placed = factors.mapInPandas(near, "id int, unit array<double>, asked boolean, pivot int, far double")
     placed = placed.repartitionByRange("pivot", "far", "id").sortWithinPartitions("pivot", "far", "id")
-    return _stored(placed.mapInPandas(cut, "block long, n int, ids binary, mat binary, centroid binary, radius double"), "unit-blocks")
+    return _stored(placed.mapInPandas(cut, BLOCK), "unit-blocks")
 
 
 def _near(centroids_a, radii_a, centroids_b, radii_b, threshold: float):
@@ -228,6 +242,151 @@ def similar_pairs(factors: DataFrame, threshold: float, block_rows: int, n_items
     return _in_pairs(blocks, ["ids", "mat", "centroid", "radius"], "block").mapInPandas(run, "mid int, sim_mid int, sim double")
 
 
+def _asked(factors: DataFrame, of: DataFrame | None) -> DataFrame:
+    """``factors`` with ``asked``: whether the id is among those of ``of``
+    (one column; default: all are)."""
+    if of is None:
+        return factors.withColumn("asked", F.lit(True))
+    wanted = of.select(F.col(of.columns[0]).cast("int").alias("id"), F.lit(True).alias("asked")).filter("id is not null").distinct()
+    return factors.join(wanted, "id", "left").withColumn("asked", F.coalesce("asked", F.lit(False)))
+
+
+def _of_rows(blocks: DataFrame, groups: int, others: int, columns: list[str]) -> DataFrame:
+    """Cells of ``groups`` groups of asked rows, dealt by id, and ``others``
+    groups of blocks.  The held rows keep their block's centroid and radius."""
+    def split(batches):
+        for pdf in batches:
+            for r in pdf.itertuples():
+                ids, wanted = np.frombuffer(r.ids, np.int64), np.frombuffer(r.asked, bool)
+                mat = np.frombuffer(r.mat, np.float64).reshape(len(ids), -1)
+                g = _spread(ids) % groups
+                out = []
+                for one in np.unique(g[wanted]).tolist():
+                    at = np.flatnonzero(wanted & (g == one))
+                    out.append({"block": r.block, "g": one, "at": at.tobytes(), "ids": ids[at].tobytes(), "mat": mat[at].tobytes(),
+                                "centroid": r.centroid, "radius": r.radius})
+                if out:
+                    yield pd.DataFrame(out)
+
+    other = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("o")
+    held = blocks.mapInPandas(split, "block long, g int, at binary, ids binary, mat binary, centroid binary, radius double")
+    held = held.select("*", other(others)).withColumn("cell", F.col("g") * others + F.col("o")).drop("g", "o")
+    met = blocks.select("block", *columns, _group(others).alias("g"), other(groups)).withColumn("cell", F.col("o") * others + F.col("g")).drop("g", "o")
+    return _dealt(held, met, groups * others, "block")
+
+
+def _spread(ids: np.ndarray) -> np.ndarray:
+    return (ids.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
+
+
+def _met_rows(held, met, threshold: float):
+    """(first of a run of held rows, row, met block, column, cosine) of the
+    pairs above the threshold; a row does not meet itself."""
+    names, centroids, radii = _rims(held)
+    sizes = np.array([len(r.at) // 8 for r in held])
+    mat = np.concatenate([np.frombuffer(r.mat, np.float64) for r in held]).reshape(int(sizes.sum()), -1)
+    at, name = np.concatenate([np.frombuffer(r.at, np.int64) for r in held]), np.repeat(names, sizes)
+    for r in met:
+        own, centroid, radius = _rims([r])
+        near = np.repeat(_near(centroids, radii, centroid, radius, threshold)[:, 0], sizes)
+        right = np.frombuffer(r.mat, np.float64).reshape(-1, mat.shape[1]).T
+        for begin in range(0, len(mat), AT_ONCE):
+            rows = begin + np.flatnonzero(near[begin:begin + AT_ONCE])
+            if not len(rows):
+                continue
+            cos = (mat[begin:begin + AT_ONCE] if len(rows) == AT_ONCE else mat[rows]) @ right
+            keep = cos > threshold
+            same = np.flatnonzero(name[rows] == own[0])
+            keep[same, at[rows[same]]] = False
+            x, y = np.nonzero(keep)
+            if len(x):
+                yield begin, rows[x], r, y, cos[x, y]
+
+
+def pairs_of(factors: DataFrame, of: DataFrame, threshold: float, block_rows: int, n_items: int) -> DataFrame:
+    """(mid, sim_mid, sim), both ways, of the pairs above the threshold in
+    which a movie of ``of`` is."""
+    factors = _asked(factors, of)
+    blocks = unit_blocks(factors, block_rows, n_items)
+    size = blocks.agg(F.sum(F.length("mat")).alias("bytes"), F.sum("n").alias("n")).first()
+    asked = factors.filter("asked").count()
+    cells, share = _cells(blocks), asked / max(1, size.n or 0)
+    groups = max(1, round(math.sqrt(cells * share)), math.ceil((size.bytes or 0) * share / HELD_BYTES))
+
+    def run(batches):
+        for held, met in _by_cell(batches):
+            ids = np.concatenate([np.frombuffer(r.ids, np.int64) for r in held])
+            out, rows = [], 0
+            for _, row, r, col, value in _met_rows(held, met, threshold):
+                other = np.frombuffer(r.ids, np.int64)[col]
+                out.append((ids[row], other, value))
+                back = ~np.frombuffer(r.asked, bool)[col]       # others are held somewhere
+                out.append((other[back], ids[row[back]], value[back]))
+                rows += len(row) + int(back.sum())
+                if rows >= ROWS_OUT:
+                    yield _pairs(out)
+                    out, rows = [], 0
+            if rows:
+                yield _pairs(out)
+
+    return _of_rows(blocks, groups, max(1, -(-cells // groups)), ["ids", "mat", "asked", "centroid", "radius"]) \
+        .mapInPandas(run, "mid int, sim_mid int, sim double")
+
+
+def whole_lists(factors: DataFrame, of: DataFrame | None, threshold: float, block_rows: int, n_items: int) -> DataFrame:
+    """(mid, recs): every movie's pairs above the threshold, best first
+    (scores equal to 9 decimals are ties, to smaller ids), of the movies in
+    ``of``.  A task has all rows of an id and meets all blocks."""
+    factors = _asked(factors, of)
+    blocks = unit_blocks(factors, block_rows, n_items)
+    asked = factors.filter("asked").count()
+    some = factors.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
+    pairs = 0.0
+    if len(some) > 1:
+        unit = np.array([r.v for r in some])
+        unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+        pairs = (np.count_nonzero(unit @ unit.T > threshold) - len(some)) / (len(some) * (len(some) - 1)) * asked * n_items
+    groups = max(1, min(_cells(blocks), -(-asked // TASK_ROWS)), math.ceil(12 * pairs / LIST_BYTES))
+
+    def run(batches):
+        import pyarrow as pa
+        for held, met in _by_cell(b.to_pandas() for b in batches):
+            ids = np.concatenate([np.frombuffer(r.ids, np.int64) for r in held])
+            found: dict = {}
+            # a movie with several rows has one list
+            names, list_of = np.unique(ids, return_inverse=True)
+            for _, row, r, col, value in _met_rows(held, met, threshold):
+                mine = list_of[row]
+                for part in np.unique(mine // AT_ONCE).tolist():
+                    here = mine // AT_ONCE == part
+                    found.setdefault(part, []).append((mine[here].astype(np.int32), np.frombuffer(r.ids, np.int64)[col[here]].astype(np.int32), value[here]))
+            for part in sorted(found):
+                mine, other, value = (np.concatenate(c) for c in zip(*found.pop(part)))
+                order = np.lexsort((other, -np.round(value, 9), mine))
+                mine, other, value = mine[order], other[order], value[order]
+                begin = np.flatnonzero(np.append(True, mine[1:] != mine[:-1]))
+                stop = np.append(begin[1:], len(mine))
+                for a, b in _runs(stop - begin):
+                    rows = slice(begin[a], stop[b - 1])
+                    recs = pa.StructArray.from_arrays([pa.array(other[rows]), pa.array(value[rows])], names=["mid", "score"])
+                    ends = pa.array(np.append(begin[a:b], stop[b - 1]).astype(np.int64) - begin[a], pa.int32())
+                    yield pa.RecordBatch.from_arrays([pa.array(names[mine[begin[a:b]]].astype(np.int32)), pa.ListArray.from_arrays(ends, recs)], names=["mid", "recs"])
+
+    return _of_rows(blocks, groups, 1, ["ids", "mat", "centroid", "radius"]).mapInArrow(run, f"mid int, recs {RECS.simpleString()}")
+
+
+def _runs(sizes: np.ndarray):
+    """Runs a..b of lists that have at most ``ROWS_OUT`` entries, or of one."""
+    a, total = 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        if i > a and total + n > ROWS_OUT:
+            yield a, i
+            a, total = i, 0
+        total += n
+    if len(sizes):
+        yield a, len(sizes)
+
+
 def _pairs(parts) -> pd.DataFrame:
     mid, sim_mid, sim = (np.concatenate(c) for c in zip(*parts))
     return pd.DataFrame({"mid": mid.astype(np.int32), "sim_mid": sim_mid.astype(np.int32), "sim": sim})

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.functions.columns import sort_recs
-from marquee.operators.factor_blocks import similar_pairs, top_products, usable
+from marquee.operators.factor_blocks import pairs_of, similar_pairs, top_products, usable, whole_lists
 from marquee.schemas import RECS
 
 SIM_SCHEMA = T.StructType([
@@ -126,10 +126,19 @@ def _cosine_pairs(threshold: float):
 
 def item_similarity(factors: DataFrame, threshold: float = 0.6, id_col: str = "mid",
                     feat_col: str = "features", block_rows: int = 2048,
-                    n_items: int | None = None) -> DataFrame:
+                    n_items: int | None = None, of: DataFrame | None = None,
+                    whole: bool = False) -> DataFrame:
     """M5: ordered pairs (mid, sim_mid, sim) with cosine ``sim > threshold``,
-    self pairs removed (P17 strict threshold, R6 zero vectors dropped)."""
+    self pairs removed (P17 strict threshold, R6 zero vectors dropped).
+
+    ``of`` (one column of movie ids): only pairs with one of these movies on
+    either side, the others are not built.  ``whole=True``: a movie's pairs
+    as one row (mid, recs), best first, of the movies in ``of`` or all."""
     n = n_items if n_items is not None else factors.count()
+    if whole:
+        return whole_lists(usable(factors, id_col, feat_col), of, float(threshold), block_rows, n)
+    if of is not None:
+        return pairs_of(usable(factors, id_col, feat_col), of, float(threshold), block_rows, n)
     if n > block_rows:
         # several blocks: gather alike vectors, skip block pairs too far apart
         return similar_pairs(usable(factors, id_col, feat_col), float(threshold), block_rows, n)
@@ -140,7 +149,11 @@ def item_similarity(factors: DataFrame, threshold: float = 0.6, id_col: str = "m
 
 def similar_lists(sims: DataFrame) -> DataFrame:
     """(mid, recs) with every similar movie, best first (sorted on
-    write; the reference leaves the list unsorted and uncapped)."""
+    write; the reference leaves the list unsorted and uncapped).  ``sims``:
+    pairs, or the whole lists of ``item_similarity``, which stay where they
+    are."""
+    if "recs" in sims.columns:
+        return sims.select("mid", F.col("recs").cast(RECS).alias("recs"))
     return (sims.groupBy("mid")
             .agg(sort_recs(F.collect_list(F.struct(F.col("sim_mid").alias("mid"),
                                                     F.col("sim").alias("score"))))

@@ -155,12 +155,12 @@ def x4_fuzzy_genre(spark, sf):
 
 def _hybrid_parts(spark, sf):
     from marquee.operators import scoring as sc
-    from marquee.plans.queries_model import N_CAND, N_RECENT, TEST_THRESHOLD, _sims
+    from marquee.plans.queries_model import N_CAND, N_RECENT, TEST_THRESHOLD, _sims, rated
     ev = si.rating_events(spark, sf)
     w = Window.partitionBy("uid").orderBy(F.col("ts").desc(), F.col("event_id").desc())
     req = (ev.withColumn("_r", F.row_number().over(w)).filter("_r = 1")
            .select("uid", F.col("mid").alias("anchor_mid")))
-    sims = _sims(spark, sf, reused=True)
+    sims = _sims(spark, sf, reused=True, of=rated(spark, sf))
     similar = sims.select(F.col("mid").alias("anchor"), F.col("sim_mid").alias("mid"), F.col("sim").alias("score"))
     docs = _movie_docs(spark, sf).withColumnRenamed("mid", "doc")
     ix = built_index(docs, "doc", MOVIE_FIELDS)

@@ -5,6 +5,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from marquee.operators import factor_blocks as fb
+from marquee.operators import similarity as sim
 
 
 def vectors(spark, n, d=6, seed=4):
@@ -45,3 +46,26 @@ def test_a_cell_gives_k_rows_a_user(spark):
     for n, v in uv.items():
         want = sorted((-(v @ w), m) for i, w in iv.items() for m in (i, i + 1000) if v @ w > 0)[:3]
         assert [got[(n, r)] for r in (1, 2, 3)] == [m for _, m in want]
+
+
+def test_lists_leave_their_task_whole(spark):
+    """No pair is moved, and a movie with two rows has one list; with
+    ``of`` other movies' lists and pairs are not built."""
+    factors, vecs = vectors(spark, 300)
+    twice = factors.select(F.col("id").alias("mid"), F.col("v").alias("features")).unionByName(
+        factors.filter("id = 5").select((F.col("id") + 1).alias("mid"), F.col("v").alias("features")))
+    of = spark.createDataFrame([(5,), (6,), (100,), (None,), (0,)], "mid int")
+    rows = [(k, v / np.linalg.norm(v)) for k, v in vecs.items()]
+    rows.append((6, rows[4][1]))
+    want = [(a, b, round(float(u @ v), 6)) for i, (a, u) in enumerate(rows) for j, (b, v) in enumerate(rows) if i != j and u @ v > 0.5]
+    for only in (None, of):
+        asked = set(vecs) if only is None else {5, 6, 100}
+        lists = sim.similar_lists(sim.item_similarity(twice, 0.5, block_rows=16, of=only, whole=True))
+        plan = lists._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" in plan and "Exchange" not in plan.split("MapInArrow")[0]
+        got = [(r.mid, [(x.mid, round(x.score, 6)) for x in r.recs]) for r in lists.collect()]
+        assert len(got) == len({m for m, _ in got})
+        assert dict(got) == {m: sorted(((b, s) for a, b, s in want if a == m), key=lambda x: (-x[1], x[0])) for m in {a for a, _, _ in want} & asked}
+        if only is not None:
+            pairs = sim.item_similarity(twice, 0.5, block_rows=16, of=only)
+            assert sorted((r.mid, r.sim_mid, round(r.sim, 6)) for r in pairs.collect()) == sorted(w for w in want if asked & {w[0], w[1]})
