@@ -18,8 +18,9 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -35,6 +36,7 @@ from marquee.streaming.change_log import FAN, ChangeLog
 # Fixed values of the reference loop.
 QUEUE_CAP = 40          # recent ratings kept per user
 RECENT_READ = 20        # recent ratings read per event (R3)
+LEAD = 64               # similar movies that travel with an event
 TRIGGER_INTERVAL = "2 seconds"
 
 LOG_SCHEMA = T.StructType([
@@ -138,11 +140,23 @@ RECENT_OUT = T.StructType([
     T.StructField("r_score", T.DoubleType()),
 ])
 
-_QUEUE_SCHEMA = "ts long, event_id long, mid int, score double"
+# A user's queue and set of rated movies are one value each: one call reads
+# or writes them, however many entries there are.
+_QUEUE = np.dtype([("ts", "<i8"), ("event_id", "<i8"), ("mid", "<i4"), ("score", "<f8")])
+_PACKED = "entries binary"
+
+
+def _entries(state, kind) -> list:
+    got = state.get()
+    return np.frombuffer(bytes(got[0]), kind).tolist() if got is not None else []
+
+
+def _keep(state, entries: list, kind) -> None:
+    state.update((np.array(entries, kind).tobytes(),))
 
 
 class RecentRatings(StatefulProcessor):
-    """Per-user queue of the newest ``cap`` ratings (ListState).
+    """Per-user queue of the newest ``cap`` ratings (ValueState).
 
     Each input event is added to the queue in (ts, event_id) order, and one
     row per queue entry up to ``read`` is emitted for that event: pos 0 is
@@ -155,33 +169,26 @@ class RecentRatings(StatefulProcessor):
         self.read = read
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.queue = handle.getListState("queue", _QUEUE_SCHEMA)
-
-    def _load(self):
-        if not self.queue.exists():
-            return []
-        return [tuple(x) for x in self.queue.get()]
+        self.queue = handle.getValueState("queue", _PACKED)
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        q = self._load() + [(int(r.ts), int(r.event_id), int(r.mid), float(r.score))
-                            for r in initialState.itertuples(index=False)]
-        q = sorted(q)[-self.cap:]
-        self.queue.put(q)
+        q = _entries(self.queue, _QUEUE) + [(int(r.ts), int(r.event_id), int(r.mid), float(r.score))
+                                            for r in initialState.itertuples(index=False)]
+        _keep(self.queue, sorted(q)[-self.cap:], _QUEUE)
 
     def handleInputRows(self, key, rows, timerValues):
         uid = int(key[0])
-        q = self._load()
+        q = _entries(self.queue, _QUEUE)
         batch = pd.concat(list(rows), ignore_index=True).sort_values(["ts", "event_id"])
         out = []
-        for r in batch.itertuples(index=False):
-            q.append((int(r.ts), int(r.event_id), int(r.mid), float(r.score)))
+        for eid, mid, score, ts in zip(*(batch[c].tolist() for c in ("event_id", "mid", "score", "ts"))):
+            q.append((ts, eid, mid, score))
             q.sort()
-            me = (int(r.ts), int(r.event_id))
-            older = [e for e in q if (e[0], e[1]) <= me][-self.read:]
+            older = [e for e in q if (e[0], e[1]) <= (ts, eid)][-self.read:]
             for pos, e in enumerate(reversed(older)):
-                out.append((int(r.event_id), uid, int(r.mid), float(r.score), int(r.ts), pos, e[2], e[3]))
+                out.append((eid, uid, mid, score, ts, pos, e[2], e[3]))
             q = q[-self.cap:]
-        self.queue.put(q)
+        _keep(self.queue, q, _QUEUE)
         if out:
             yield pd.DataFrame(out, columns=RECENT_OUT.fieldNames()).astype(
                 {"uid": "int32", "mid": "int32", "pos": "int32", "r_mid": "int32"})
@@ -208,7 +215,7 @@ LOOP_OUT = T.StructType([
     T.StructField("mid", T.IntegerType()),
     T.StructField("score", T.DoubleType()),
     T.StructField("ts", T.LongType()),
-    T.StructField("kind", T.StringType()),      # 'r' recent rating, 'c' candidate
+    T.StructField("kind", T.StringType()),      # 'r' recent rating, 'c' candidate, 's' rated movie
     T.StructField("pos", T.IntegerType()),
     T.StructField("x_mid", T.IntegerType()),
     T.StructField("x_val", T.DoubleType()),
@@ -221,36 +228,34 @@ class OnlineState(StatefulProcessor):
     State per user: the recent queue (newest ``cap`` ratings) and the set of
     movies the user has rated (loaded once from the ratings table through
     ``initialState``, then extended by every event).  Input rows are events
-    already joined with their similar movies (cand, csim).  For each event
-    in (ts, event_id) order it emits the newest ``read`` ratings (kind 'r')
-    and the ``n_cand`` most similar movies not yet rated (kind 'c').  No
-    micro-batch scans the ratings table; a user's state is read only when
-    the user has an event, and the seen set is bounded by the catalogue.
+    with the head of their movie's list of similar movies (``leading_sims``).
+    For each event in (ts, event_id) order it emits the newest ``read``
+    ratings (kind 'r') and the ``n_cand`` most similar movies not yet rated
+    (kind 'c').  Where the head has too few of them and the list goes on, the
+    movies rated so far are emitted instead (kind 's'), and ``score_batch``
+    looks further.  No micro-batch scans the ratings table; a user's state is
+    read only when the user has an event, and the seen set is bounded by the
+    catalogue.
     """
 
     def __init__(self, cap: int = QUEUE_CAP, read: int = RECENT_READ, n_cand: int = 20):
         self.cap, self.read, self.n_cand = cap, read, n_cand
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.queue = handle.getListState("queue", _QUEUE_SCHEMA)
-        self.seen = handle.getListState("seen", "mid int")
+        self.queue = handle.getValueState("queue", _PACKED)
+        self.seen = handle.getValueState("seen", _PACKED)
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
         # called once per user, before any input of the first batch
-        self.seen.put([(m,) for m in sorted(set(int(m) for m in initialState["mid"].tolist()))])
+        _keep(self.seen, sorted(set(initialState["mid"].astype(int).tolist())), "<i4")
 
     def handleInputRows(self, key, rows, timerValues):
         uid = int(key[0])
         pdf = pd.concat(list(rows), ignore_index=True)
         events = pdf.drop_duplicates("event_id").sort_values(["ts", "event_id"])
-        cands = pdf[pdf["cand"].notna()]
-        by_event = {eid: g.sort_values(["csim", "cand"], ascending=[False, True])
-                    for eid, g in cands.groupby("event_id")}
-        q = [tuple(x) for x in self.queue.get()] if self.queue.exists() else []
-        seen = {int(x[0]) for x in self.seen.get()} if self.seen.exists() else set()
-        new_seen, out = [], []
-        for r in events.itertuples(index=False):
-            eid, mid, sc_, ts = int(r.event_id), int(r.mid), float(r.score), int(r.ts)
+        q, seen = _entries(self.queue, _QUEUE), set(_entries(self.seen, "<i4"))
+        known, out = len(seen), []
+        for eid, mid, sc_, ts, cands, csims, more in zip(*(events[c].tolist() for c in ("event_id", "mid", "score", "ts", "cands", "csims", "more"))):
             head = (eid, uid, mid, sc_, ts)
             q.append((ts, eid, mid, sc_))
             q.sort()
@@ -258,23 +263,17 @@ class OnlineState(StatefulProcessor):
             for pos, e in enumerate(reversed(older)):
                 out.append(head + ("r", pos, e[2], e[3]))
             q = q[-self.cap:]
-            if mid not in seen:
-                seen.add(mid)
-                new_seen.append((mid,))
-            g = by_event.get(eid)
-            if g is not None:
-                pos = 0
-                for c in g.itertuples(index=False):
-                    cm = int(c.cand)
-                    if cm in seen:
-                        continue
-                    out.append(head + ("c", pos, cm, float(c.csim)))
-                    pos += 1
-                    if pos >= self.n_cand:
-                        break
-        self.queue.put(q)
-        if new_seen:
-            self.seen.appendList(new_seen)
+            seen.add(mid)
+            if cands is None:
+                continue
+            free = [(int(c), float(s)) for c, s in zip(cands, csims) if c not in seen][:self.n_cand]
+            if len(free) < self.n_cand and more:
+                out.extend(head + ("s", pos, c, None) for pos, c in enumerate(sorted(seen)))
+            else:
+                out.extend(head + ("c", pos, c, s) for pos, (c, s) in enumerate(free))
+        _keep(self.queue, q, _QUEUE)
+        if len(seen) > known:
+            _keep(self.seen, sorted(seen), "<i4")
         if out:
             yield pd.DataFrame(out, columns=LOOP_OUT.fieldNames()).astype(
                 {"uid": "int32", "mid": "int32", "pos": "int32", "x_mid": "int32"})
@@ -283,12 +282,33 @@ class OnlineState(StatefulProcessor):
         pass
 
 
+def leading_sims(sims: DataFrame, lead: int = LEAD) -> DataFrame:
+    """(mid, cands, csims, more): the ``lead`` most similar movies of each
+    movie, best first, and whether its list goes on."""
+    rank = F.row_number().over(Window.partitionBy("mid").orderBy(F.col("sim").desc(), F.col("sim_mid").asc()))
+    first = sims.select("mid", "sim_mid", "sim", rank.alias("n")).filter(F.col("n") <= lead + 1)
+    lists = first.groupBy("mid").agg(F.sort_array(F.collect_list(F.struct("n", "sim_mid", "sim"))).alias("l"))
+    head = F.slice("l", 1, lead)
+    return lists.select("mid", head["sim_mid"].alias("cands"), head["sim"].alias("csims"), (F.size("l") > lead).alias("more"))
+
+
+def further_candidates(batch: DataFrame, sims: DataFrame, n_cand: int) -> DataFrame:
+    """(event_id, uid, cand): the ``n_cand`` most similar movies not yet rated,
+    from the whole lists, of the events whose rated movies (kind 's') are in
+    the batch."""
+    seen = batch.filter(F.col("kind") == "s").select("event_id", "uid", "mid", F.col("x_mid").alias("cand"))
+    events = seen.select("event_id", "uid", "mid").distinct()
+    rows = events.join(sims.select("mid", F.col("sim_mid").alias("cand"), "sim"), "mid").join(seen.select("event_id", "cand"), ["event_id", "cand"], "left_anti")
+    w = Window.partitionBy("event_id").orderBy(F.col("sim").desc(), F.col("cand").asc())
+    return rows.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n_cand).select("event_id", "uid", "cand")
+
+
 def online_state_stream(events: DataFrame, sims: DataFrame, ratings: DataFrame,
                         cap: int = QUEUE_CAP, read: int = RECENT_READ, n_cand: int = 20) -> DataFrame:
-    """Events -> stream-static join with the similarity table -> keyed
-    state -> LOOP_OUT rows.  ``ratings`` seeds the seen sets once."""
-    s = sims.select("mid", F.col("sim_mid").alias("cand"), F.col("sim").alias("csim"))
-    joined = events.join(s, "mid", "left")
+    """Events -> stream-static join with the heads of the similarity lists
+    (``leading_sims``) -> keyed state -> LOOP_OUT rows.  ``ratings`` seeds the
+    seen sets once."""
+    joined = events.join(sims, "mid", "left")
     init = ratings.select("uid", "mid").distinct().groupBy("uid")
     return joined.groupBy("uid").transformWithStateInPandas(
         statefulProcessor=OnlineState(cap, read, n_cand), outputStructType=LOOP_OUT,
@@ -329,7 +349,7 @@ def current_ratings(spark, root: str, base: DataFrame) -> DataFrame:
 # ------------------------------------------------------- the online loop
 
 def score_batch(spark: SparkSession, batch: DataFrame, batch_id: int, sims: DataFrame,
-                out_root: str, threshold: float = 0.6, fan: int = FAN) -> None:
+                out_root: str, threshold: float = 0.6, fan: int = FAN, n_cand: int = 20) -> None:
     """T4 + T5 + T7 for one micro-batch of LOOP_OUT rows: score the
     candidates against the recent ratings (J10 + A8), then append the
     batch's events and its users' new lists as version ``batch_id`` of two
@@ -340,6 +360,8 @@ def score_batch(spark: SparkSession, batch: DataFrame, batch_id: int, sims: Data
         recent = batch.filter(F.col("kind") == "r").select(
             "event_id", "pos", F.col("x_mid").alias("r_mid"), F.col("x_val").alias("r_score"))
         cands = batch.filter(F.col("kind") == "c").select("event_id", "uid", F.col("x_mid").alias("cand"))
+        if not batch.filter(F.col("kind") == "s").isEmpty():
+            cands = cands.unionByName(further_candidates(batch, sims, n_cand))
         scores = sc.score_candidates(cands, recent, sims, threshold)
         latest = sc.latest_recs(events, scores)
         ChangeLog(out_root, "StreamRecs", fan).write(latest, batch_id, newest_per_user)
@@ -351,18 +373,18 @@ def score_batch(spark: SparkSession, batch: DataFrame, batch_id: int, sims: Data
 def partitioned_sims(sims: DataFrame, partitions: int | None = None):
     """The similarity table written once as two bucketed tables in the
     shared checkpoint folder, bucketed on the keys the loop looks up:
-    ``mid`` (candidates of an event) and (``mid``, ``sim_mid``) (similarity
-    of a candidate to a recent rating).  Bucketed scans keep their hash
-    partitioning, so each micro-batch shuffles only its own small side of
-    these joins, never the similarity table."""
+    ``mid`` (the heads of the lists, candidates of an event) and (``mid``,
+    ``sim_mid``) (similarity of a candidate to a recent rating).  Bucketed
+    scans keep their hash partitioning, so each micro-batch shuffles only its
+    own small side of these joins, never the similarity table."""
     import uuid
     from marquee.session import scratch_path
     spark = sims.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     tag = uuid.uuid4().hex[:12]
     out = []
-    for keys, name in ((["mid"], f"sims_by_mid_{tag}"), (["mid", "sim_mid"], f"sims_by_pair_{tag}")):
-        (sims.write.mode("overwrite").bucketBy(n, *keys).sortBy(*keys)
+    for rows, keys, name in ((leading_sims(sims), ["mid"], f"sims_by_mid_{tag}"), (sims, ["mid", "sim_mid"], f"sims_by_pair_{tag}")):
+        (rows.write.mode("overwrite").bucketBy(n, *keys).sortBy(*keys)
          .option("path", scratch_path(spark, name)).saveAsTable(name))
         out.append(spark.table(name))
     return tuple(out)
@@ -382,7 +404,7 @@ def run_online_loop(spark: SparkSession, source: DataFrame, ratings_base: DataFr
         state = online_state_stream(events, by_mid, ratings_base, QUEUE_CAP, n_recent, n_cand)
 
         def each(batch_df, batch_id):
-            score_batch(spark, batch_df, batch_id, by_pair, out_root, threshold, fan)
+            score_batch(spark, batch_df, batch_id, by_pair, out_root, threshold, fan, n_cand)
 
         return (state.writeStream.option("checkpointLocation", checkpoint)
                 .trigger(**(trigger or {"processingTime": TRIGGER_INTERVAL}))

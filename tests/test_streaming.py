@@ -245,3 +245,18 @@ def test_trigger_runs_timed_batches(spark):
     assert [n for _, _, n in batches[:3]] == [100] * 3
     # batches start on the interval of two seconds, or later where one took longer
     assert all(b - a >= 1.0 for a, b in zip(at, at[1:])) and all(abs(x - 2 * round(x / 2)) < 1.0 for x in at[1:])
+
+
+def test_events_carry_the_head_of_a_list_and_the_rest_is_found(spark):
+    """T5: one row a movie goes to the state, however many movies are like it;
+    an event whose head is all rated gets its candidates from the whole list."""
+    sims = spark.createDataFrame([(1, 100 + i, 1.0 - i / 100) for i in range(30)] + [(100 + i, 1, 1.0 - i / 100) for i in range(30)],
+                                 "mid int, sim_mid int, sim double")
+    heads = {r.mid: r for r in pl.leading_sims(sims, 5).collect()}
+    assert len(heads) == 31 and heads[1].cands == [100, 101, 102, 103, 104] and heads[1].more and not heads[100].more
+    assert heads[1].csims == [1.0 - i / 100 for i in range(5)]
+    rated = [1, *range(100, 107)]
+    rows = [(7, 3, 1, 5.0, 200, "r", 0, 1, 5.0)] + [(7, 3, 1, 5.0, 200, "s", i, m, None) for i, m in enumerate(rated)]
+    root = scratch_path(spark, "t-further")
+    pl.score_batch(spark, spark.createDataFrame(rows, pl.LOOP_OUT), 0, sims, root, threshold=0.6, n_cand=4)
+    assert [x.mid for x in pl.current_stream_recs(spark, root).first().recs] == [107, 108, 109, 110]
