@@ -15,16 +15,20 @@ block per shard.  Building moves texts once (to their shard, where terms are
 counted) and blocks once (to their bucket).
 
 A search reads the buckets of its own terms only and joins them with its
-terms, so postings of other terms are not moved.  What is left of each shard
-meets the queries, in groups; a shard's scores are a product of two sparse
-matrices, and n documents per query leave it.  The largest count and smallest
-length bound what a block can add to a score: with many shards, each query
-first visits its best shard, and later only shards whose bounds can still
-reach the n-th score found there.
+terms, so postings of other terms are not moved.  Queries and shards are
+dealt into a few groups each, and a group of queries meets one of shards in a
+cell: a task holds the queries and streams the shards, so each shard is moved
+once per group of queries.  A shard's scores are a product of two sparse
+matrices.  The task keeps each query's n best documents so far; a shard whose
+largest weights cannot lift a query above the n-th is left out, and n
+documents per query leave the cell.  Few queries over many shards first
+visit their best shard alone (by the blocks' largest counts and smallest
+lengths), and start from the n-th score found there.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -32,6 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from marquee.operators.factor_blocks import HELD_BYTES, ROWS_OUT, _by_cell, _dealt
 from marquee.session import scratch_path
 
 # BM25 parameters of the public search-engine documentation.
@@ -46,11 +51,14 @@ MAX_BUCKETS = 4096
 SLOT_SHARDS = 64          # shards of a bucket that share a file
 GROUP_QUERIES = 4096
 CELLS = 4_000_000         # scores held at once
-PRUNE_SHARDS = 64         # from here on a query's best shard is visited first
+QUERIES_AT_ONCE = 1024
+DOCS_AT_ONCE = 2 * CELLS // QUERIES_AT_ONCE
+PRUNE_SHARDS = 64         # from here on few queries visit their best shard first
 
 # Scores equal to this many decimals are ties, broken by the smaller id, so
 # the ranking does not depend on the order in which partial sums were added.
 RANK_DECIMALS = 9
+TIE = 2e-9                # scores further apart are no ties
 
 
 def tokens(col) -> Column:
@@ -176,80 +184,150 @@ def _tf_part(tf, dl, avgdl):
 
 
 def _pack_shard(pdf: pd.DataFrame) -> pd.DataFrame:
+    """A shard's blocks by term: ids once, postings as places among them."""
+    pdf = pdf.sort_values("tid", kind="stable")
     size = np.array([len(d) for d in pdf["docs"]], np.int64)
     tf, dl = (np.concatenate(pdf[c].to_numpy()).astype(np.float64) for c in ("tfs", "dls"))
     w = _tf_part(tf, dl, np.repeat(pdf["avgdl"].to_numpy(), size))
+    ids, at = np.unique(np.concatenate(pdf["docs"].to_numpy()).astype(np.int64), return_inverse=True)
     return pd.DataFrame([{"shard": int(pdf["shard"].iloc[0]), "space": pdf["space"].iloc[0], "d_tids": pdf["tid"].to_numpy(np.int64).tobytes(),
-                          "sizes": size.tobytes(), "docs": np.concatenate(pdf["docs"].to_numpy()).astype(np.int64).tobytes(), "ws": w.tobytes()}])
+                          "sizes": size.tobytes(), "ids": ids.tobytes(), "d_at": at.astype(np.int32).tobytes(), "ws": w.tobytes()}])
 
 
 def _pack_queries(pdf: pd.DataFrame) -> pd.DataFrame:
-    qid, at = np.unique(pdf["qid"].to_numpy(), return_inverse=True)
+    qid, first, at = np.unique(pdf["qid"].to_numpy(), return_index=True, return_inverse=True)
     return pd.DataFrame([{"g": int(pdf["g"].iloc[0]), "space": pdf["space"].iloc[0], "qids": list(qid), "at": at.astype(np.int64).tobytes(),
-                          "q_tids": pdf["tid"].to_numpy(np.int64).tobytes(), "q_ws": pdf["w"].to_numpy(np.float64).tobytes()}])
+                          "q_tids": pdf["tid"].to_numpy(np.int64).tobytes(), "q_ws": pdf["w"].to_numpy(np.float64).tobytes(),
+                          "only": pdf["only"].to_numpy(np.int64)[first].tobytes(), "least": pdf["least"].to_numpy(np.float64)[first].tobytes()}])
 
 
 def products(q_at, q_tid, q_w, d_at, d_tid, d_w, nq: int, nd: int) -> np.ndarray:
-    """Scores (nq x nd) of sparse rows: term by term, or as one dense product
-    where terms are few and common."""
+    """Scores (nq x nd) of sparse rows."""
     terms, d_t = np.unique(d_tid, return_inverse=True)
     q_t = np.minimum(np.searchsorted(terms, q_tid), len(terms) - 1)
-    real = terms[q_t] == q_tid
-    q_at, q_t, q_w = q_at[real], q_t[real], q_w[real]
-    used, q_t = np.unique(q_t, return_inverse=True)
-    place = np.full(len(terms), -1)
-    place[used] = np.arange(len(used))
-    d_t = place[d_t]
-    d_at, d_w, d_t = d_at[d_t >= 0], d_w[d_t >= 0], d_t[d_t >= 0]
-    n_q, n_d = np.bincount(q_t, minlength=len(used)), np.bincount(d_t, minlength=len(used))
+    q = np.flatnonzero(terms[q_t] == q_tid)
+    q, d = q[np.argsort(q_t[q], kind="stable")], np.argsort(d_t, kind="stable")
+    begin = np.append(0, np.cumsum(np.bincount(d_t, minlength=len(terms))))
+    return _summed(q_at[q], q_t[q], q_w[q], begin, d_at[d], d_w[d], nq, nd)
+
+
+def _summed(q_at, q_t, q_w, begin, d_at, d_w, nq: int, nd: int) -> np.ndarray:
+    """Scores (nq x nd) of rows in order of their terms (``begin``: where
+    the documents of each term begin): term by term, or as one dense product
+    where terms are few and common."""
+    used, at = np.unique(q_t, return_index=True)
+    stop = np.append(at[1:], len(q_t))
+    n_q, n_d = stop - at, begin[used + 1] - begin[used]
     if nq * nd * len(used) <= 40 * int((n_q * n_d).sum()) + CELLS and len(used) * max(nq, nd) <= 4 * CELLS:
         left, right = np.zeros((nq, len(used))), np.zeros((len(used), nd))
-        np.add.at(left, (q_at, q_t), q_w)
-        right[d_t, d_at] = d_w
+        np.add.at(left, (q_at, np.repeat(np.arange(len(used)), n_q)), q_w)
+        for i, t in enumerate(used.tolist()):
+            right[i, d_at[begin[t]:begin[t + 1]]] = d_w[begin[t]:begin[t + 1]]
         return left @ right
     out = np.zeros((nq, nd))
-    q_order, d_order = np.argsort(q_t, kind="stable"), np.argsort(d_t, kind="stable")
-    q_end, d_end = np.cumsum(n_q), np.cumsum(n_d)
-    for t in range(len(used)):
-        q, d = q_order[q_end[t] - n_q[t]:q_end[t]], d_order[d_end[t] - n_d[t]:d_end[t]]
-        out[q_at[q][:, None], d_at[d][None, :]] += q_w[q][:, None] * d_w[d][None, :]
+    for t, x, y in zip(used.tolist(), at.tolist(), stop.tolist()):
+        d = slice(begin[t], begin[t + 1])
+        out[q_at[x:y][:, None], d_at[d][None, :]] += q_w[x:y][:, None] * d_w[d][None, :]
     return out
 
 
-def best(score: np.ndarray, allowed: np.ndarray, ids: np.ndarray, n: int):
-    """(row, column) of each row's n best allowed scores, ties (after
-    rounding) to smaller ids."""
-    value = np.where(allowed, np.round(score, RANK_DECIMALS), -np.inf)
-    if value.shape[1] > n:
-        allowed = allowed & (value >= np.partition(value, -n, axis=1)[:, -n][:, None])
-    row, col = np.nonzero(allowed)
-    order = np.lexsort((ids[col], -value[row, col], row))
-    row, col = row[order], col[order]
-    begin = np.flatnonzero(np.append(True, row[1:] != row[:-1])) if len(row) else np.zeros(0, np.int64)
-    place = np.arange(len(row)) - np.repeat(begin, np.diff(np.append(begin, len(row))))
-    return row[place < n], col[place < n]
+def _best(at, doc, score, n: int):
+    """The n best rows of each ``at``, scores equal after rounding are ties,
+    to smaller ids; and each n-th score."""
+    order = np.lexsort((doc, -np.round(score, RANK_DECIMALS), at))
+    at, doc, score = at[order], doc[order], score[order]
+    begin = np.flatnonzero(np.append(True, at[1:] != at[:-1])) if len(at) else np.zeros(0, np.int64)
+    place = np.arange(len(at)) - np.repeat(begin, np.diff(np.append(begin, len(at))))
+    last = place == n - 1
+    return (at[place < n], doc[place < n], score[place < n]), at[last], score[last]
+
+
+class _Asked:
+    """The queries of a cell and space, in runs of ``QUERIES_AT_ONCE``, each
+    run's terms in order."""
+
+    def __init__(self, packs: list):
+        self.qids = np.concatenate([np.asarray(r.qids) for r in packs])
+        base = np.cumsum([0] + [len(r.qids) for r in packs])
+        read = lambda c, kind: np.concatenate([np.frombuffer(getattr(r, c), kind) for r in packs])
+        at = np.concatenate([np.frombuffer(r.at, np.int64) + b for r, b in zip(packs, base)])
+        self.only, self.low = read("only", np.int64), np.maximum(read("least", np.float64) - TIE, np.nextafter(0, 1))
+        self.terms, t = np.unique(read("q_tids", np.int64), return_inverse=True)
+        order = np.lexsort((t, at // QUERIES_AT_ONCE))
+        self.at, self.t, self.w = at[order], t[order], read("q_ws", np.float64)[order]
+        self.runs = np.searchsorted(self.at // QUERIES_AT_ONCE, np.arange(-(-len(self.qids) // QUERIES_AT_ONCE) + 1))
+        self.found, self.new, self.fresh = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)), [], 0
+
+    def settle(self, n: int) -> None:
+        self.found, at, nth = _best(*(np.concatenate(c) for c in zip(self.found, *self.new)), n)
+        self.low[at] = np.maximum(self.low[at], nth - TIE)
+        self.new, self.fresh = [], 0
+
+    def meet(self, r, n: int, exclude_self: bool) -> None:
+        """Score a shard's documents for the queries that its terms' largest
+        weights can still lift above their n-th score."""
+        tids, size = np.frombuffer(r.d_tids, np.int64), np.frombuffer(r.sizes, np.int64)
+        ids, at, w = np.frombuffer(r.ids, np.int64), np.frombuffer(r.d_at, np.int32), np.frombuffer(r.ws, np.float64)
+        place = np.minimum(np.searchsorted(tids, self.terms), len(tids) - 1)
+        known = tids[place] == self.terms
+        stop = np.cumsum(size)
+        most = np.maximum.reduceat(w, stop - size)
+        for lo in range(0, len(ids), DOCS_AT_ONCE):
+            docs, d_at, d_w, begin = ids[lo:lo + DOCS_AT_ONCE], at, w, np.append(0, stop)
+            if len(docs) < len(ids):
+                some = (at >= lo) & (at < lo + len(docs))
+                d_at, d_w, begin = at[some] - lo, w[some], np.append(0, np.cumsum(some))[begin]
+            for run in range(len(self.runs) - 1):
+                rows = slice(self.runs[run], self.runs[run + 1])
+                first = run * QUERIES_AT_ONCE
+                q_at, t, q_w = self.at[rows] - first, self.t[rows], self.w[rows]
+                real = known[t]
+                q_at, t, q_w = q_at[real], place[t[real]], q_w[real]
+                here = slice(first, first + QUERIES_AT_ONCE)
+                low, only, mine = self.low[here], self.only[here], self.qids[here]
+                reach = np.bincount(q_at, q_w * most[t], len(low))
+                go = np.flatnonzero((reach * (1 + 1e-12) >= low) & ((only < 0) | (only == r.shard)))
+                if not len(go):
+                    continue
+                if len(go) < len(low):
+                    to = np.full(len(low), -1)
+                    to[go] = np.arange(len(go))
+                    q_at = to[q_at]
+                    q_at, t, q_w = q_at[q_at >= 0], t[q_at >= 0], q_w[q_at >= 0]
+                    low, mine = low[go], mine[go]
+                score = _summed(q_at, t, q_w, begin, d_at, d_w, len(go), len(docs))
+                if exclude_self:
+                    own = np.minimum(np.searchsorted(docs, mine), len(docs) - 1)
+                    is_own = docs[own] == mine
+                    score[np.flatnonzero(is_own), own[is_own]] = 0
+                keep = score >= low[:, None]
+                if score.shape[1] > n and np.count_nonzero(keep) > 4 * n * len(go):
+                    nth = np.partition(score, -n, axis=1)[:, -n] - TIE
+                    low = np.maximum(low, nth)
+                    self.low[first + go] = low
+                    keep = score >= low[:, None]
+                row, col = np.nonzero(keep)
+                if len(row):
+                    self.new.append((first + go[row], docs[col], score[row, col]))
+                    self.fresh += len(row)
+        if self.fresh > max(ROWS_OUT, len(self.found[0])):
+            self.settle(n)
 
 
 def _score(n: int, exclude_self: bool):
     def run(batches):
-        for pdf in batches:
-            for r in pdf.itertuples():
-                ids, d_at = np.unique(np.frombuffer(r.docs, np.int64), return_inverse=True)
-                d_tid = np.repeat(np.frombuffer(r.d_tids, np.int64), np.frombuffer(r.sizes, np.int64))
-                d_w = np.frombuffer(r.ws, np.float64)
-                at, tid, w = np.frombuffer(r.at, np.int64), np.frombuffer(r.q_tids, np.int64), np.frombuffer(r.q_ws, np.float64)
-                qids = np.asarray(r.qids)
-                step = max(1, CELLS // len(ids))
-                for a in range(0, len(qids), step):
-                    use = (at >= a) & (at < a + step)
-                    mine = qids[a:a + step]
-                    score = products(at[use] - a, tid[use], w[use], d_at, d_tid, d_w, len(mine), len(ids))
-                    allowed = score > 0
-                    if exclude_self:
-                        allowed &= mine[:, None] != ids[None, :]
-                    row, col = best(score, allowed, ids, n)
-                    if len(row):
-                        yield pd.DataFrame({"qid": mine[row], "doc": ids[col], "score": score[row, col]})
+        for held, met in _by_cell(batches):
+            asked = {s: _Asked([r for r in held if r.space == s]) for s in {r.space for r in held}}
+            held.clear()
+            for r in met:
+                if r.space in asked:
+                    asked[r.space].meet(r, n, exclude_self)
+            for a in asked.values():
+                a.settle(n)
+                at, doc, score = a.found
+                for begin in range(0, len(at), ROWS_OUT):
+                    part = slice(begin, begin + ROWS_OUT)
+                    yield pd.DataFrame({"qid": a.qids[at[part]], "doc": doc[part], "score": score[part]})
     return run
 
 
@@ -272,31 +350,28 @@ def _of_terms(ix: Index, asked: DataFrame) -> DataFrame:
     return blocks.join(terms, ["bucket", "field", "term"])
 
 
-def _scored(ix: Index, asked: DataFrame, n: int, exclude_self: bool, space: Column, visits: DataFrame | None = None) -> DataFrame:
-    """(qid, doc, score): n best of every shard (and space) for each query,
-    of the shards in ``visits`` (default: all)."""
+def _scored(ix: Index, asked: DataFrame, n: int, exclude_self: bool, space: Column, starts: DataFrame | None = None) -> DataFrame:
+    """(qid, doc, score): of every cell (and space), n best for each query.
+    ``starts`` (qid, only, least): the one shard that a query visits (-1: it
+    visits all), and a score that n documents are known to reach."""
     hits = _of_terms(ix, asked).select("shard", space.alias("space"), "tid", ix.of_field(1).alias("avgdl"), "docs", "tfs", "dls")
-    if visits is not None:
-        hits = hits.join(visits.select("shard").distinct(), "shard", "left_semi")
-    groups = max(1, -(-asked.select("qid").distinct().count() // GROUP_QUERIES))
-    g = F.pmod(F.xxhash64("qid"), F.lit(groups))
-    mine = asked.select("qid", "tid", "w", space.alias("space"), g.alias("g"))
-    if visits is not None:
-        mine = mine.join(visits.select("qid", "shard"), "qid")
-    else:
-        mine = mine.withColumn("shard", F.lit(-1))
+    shards = hits.groupBy("shard", "space").applyInPandas(_pack_shard, "shard int, space string, d_tids binary, sizes binary, ids binary, d_at binary, ws binary")
+    count = asked.select("qid").distinct().count()
+    groups = max(1, -(-count // GROUP_QUERIES))
+    mine = asked.select("qid", "tid", "w", space.alias("space"), F.pmod(F.xxhash64("qid"), F.lit(groups)).alias("g"))
+    mine = mine.withColumns({"only": F.lit(-1).cast("long"), "least": F.lit(0.0)}) if starts is None else mine.join(starts, "qid")
     qid = asked.schema["qid"].dataType.simpleString()
-    if visits is not None:
-        parts = mine.groupBy("g", "shard", "space").applyInPandas(lambda p: _pack_queries(p).assign(shard=int(p["shard"].iloc[0])),
-                                                                  f"g long, space string, qids array<{qid}>, at binary, q_tids binary, q_ws binary, shard int")
-    else:
-        parts = mine.groupBy("g", "space").applyInPandas(_pack_queries, f"g long, space string, qids array<{qid}>, at binary, q_tids binary, q_ws binary") \
-            .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(ix.shards - 1))))
-    held = hits.groupBy("shard", "space").applyInPandas(_pack_shard, "shard int, space string, d_tids binary, sizes binary, docs binary, ws binary")
-    met = parts.join(held, ["shard", "space"])
-    # few rows in bytes, but each is the work of a task
-    met = met.repartition(max(1, min(2 * groups * ix.shards, 4 * ix.spark.sparkContext.defaultParallelism)), "g", "shard", "space")
-    return met.mapInPandas(_score(n, exclude_self), f"qid {qid}, doc long, score double")
+    queries = mine.groupBy("g", "space").applyInPandas(
+        _pack_queries, f"g long, space string, qids array<{qid}>, at binary, q_tids binary, q_ws binary, only binary, least binary")
+    # a groups of queries meet b groups of shards: each side moves little, and what a cell holds is bounded
+    cells = 4 * ix.spark.sparkContext.defaultParallelism
+    docs = max([1, *(v[0] for v in ix.stats.values())])
+    a = min(groups, max(1, round(math.sqrt(cells * count / docs)), -(-count * (50 * n + 500) // HELD_BYTES)))
+    b = max(1, min(ix.shards, -(-cells // a)))
+    other = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("o")
+    held = queries.select("*", other(b)).withColumn("cell", (F.pmod("g", F.lit(a)) * b + F.col("o")).cast("int")).drop("g", "o")
+    met = shards.select("*", other(a)).withColumn("cell", (F.col("o") * b + F.pmod("shard", F.lit(b))).cast("int")).drop("o")
+    return _dealt(held, met, a * b, "shard").mapInPandas(_score(n, exclude_self), f"qid {qid}, doc long, score double")
 
 
 def top_n(scores: DataFrame, key: str, n: int) -> DataFrame:
@@ -311,18 +386,19 @@ def scored_top(ix: Index, asked: DataFrame, n: int, exclude_self: bool = False,
     the best of the fields' sums."""
     asked = weighted(ix, asked)
     space = F.col("field") if best_field else F.lit("")
-    visits = None
-    if ix.shards >= prune_shards:
+    starts = None
+    if ix.shards >= prune_shards and asked.select("qid").distinct().count() <= GROUP_QUERIES:
+        # few queries and many shards: a cell has few shards to learn a bound from, so each query's best one is visited first;
         # bounds over all fields together hold for each of them, too
-        visits = _visits(ix, asked)
-        one = visits.groupBy("qid").agg(F.max_by("shard", "bound").alias("shard"))
+        one = _visits(ix, asked).groupBy("qid").agg(F.max_by("shard", "bound").cast("long").alias("only")).withColumn("least", F.lit(0.0))
         first = _scored(ix, asked, n, exclude_self, space, one).groupBy("qid", "doc").agg(F.max("score").alias("score"))
         least = top_n(first, "qid", n).filter(F.col("rank") == n).select("qid", F.col("score").alias("least"))
-        visits = visits.join(least, "qid", "left").filter(F.col("least").isNull() | (F.col("bound") >= F.col("least") - 1e-6))
-        path = scratch_path(ix.spark, "visits")
-        visits.select("qid", "shard").write.parquet(path)
-        visits = ix.spark.read.schema(visits.select("qid", "shard").schema).parquet(path)
-    found = _scored(ix, asked, n, exclude_self, space, visits)
+        starts = asked.select("qid").distinct().join(least, "qid", "left") \
+            .select("qid", F.lit(-1).cast("long").alias("only"), F.coalesce("least", F.lit(0.0)).alias("least"))
+        path = scratch_path(ix.spark, "starts")
+        starts.write.parquet(path)
+        starts = ix.spark.read.schema(starts.schema).parquet(path)
+    found = _scored(ix, asked, n, exclude_self, space, starts)
     if best_field:
         found = found.groupBy("qid", "doc").agg(F.max("score").alias("score"))
     return top_n(found.withColumn("doc", F.col("doc").cast(ix.id_type)), "qid", n)
