@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marquee.operators.factor_blocks import HELD_BYTES, ROWS_OUT, _by_cell, _dealt
+from marquee.operators.factor_blocks import HELD_BYTES, ROWS_OUT, _by_cell, _dealt, _runs
 from marquee.session import scratch_path
 
 # BM25 parameters of the public search-engine documentation.
@@ -48,7 +48,7 @@ SHARD_DOCS = 4096
 SHARD_TOKENS = 2_000_000
 BUCKET_TOKENS = 4_000_000
 MAX_BUCKETS = 4096
-SLOT_SHARDS = 64          # shards of a bucket that share a file
+SLOT_SHARDS = 512         # shards of a bucket that share a file, so files grow with the input
 GROUP_QUERIES = 4096
 CELLS = 4_000_000         # scores held at once
 QUERIES_AT_ONCE = 1024
@@ -117,6 +117,54 @@ class Index:
         return F.pmod(F.xxhash64(doc.cast("long")), F.lit(self.shards)).cast("int")
 
 
+BLOCKS = ("shard int, field string, term string, docs array<long>, tfs array<int>, dls array<int>, "
+          "n int, max_tf int, min_dl int, tokens long, share double")
+
+
+def _counted(batches):
+    """The blocks of a task's shards: rows (shard, field, doc, s), all of a
+    shard's in one task, give one block for each of its terms.  Tokens are
+    numbered and counted as arrays; rows that repeat an id are one document,
+    its length is the first row's."""
+    import pyarrow as pa
+    batches = [b for b in batches if b.num_rows]
+    if not batches:
+        return
+    rows = pa.Table.from_batches(batches)
+    del batches
+    seg = rows.select(["shard", "field"]).group_by(["shard", "field"]).aggregate([]).combine_chunks()
+    names = {k: i for i, k in enumerate(zip(seg["shard"].to_pylist(), seg["field"].to_pylist()))}
+    seg_of = np.fromiter((names[k] for k in zip(rows["shard"].to_pylist(), rows["field"].to_pylist())), np.int64, len(rows))
+    doc = rows["doc"].combine_chunks()
+    ids, rank = np.unique(doc.fill_null(0).to_numpy(zero_copy_only=False), return_inverse=True)
+    null = doc.is_null().to_numpy(zero_copy_only=False)
+    rank = np.where(null, 0, rank + 1)                    # a null id is a document, the first
+    n_docs = len(ids) + 1
+    words = pa.chunked_array([c.flatten() for c in rows["s"].chunks]).dictionary_encode().unify_dictionaries().combine_chunks()
+    size = np.concatenate([c.value_lengths().to_numpy(zero_copy_only=False) for c in rows["s"].chunks]).astype(np.int64)
+    at, first = np.unique(seg_of * n_docs + rank, return_index=True)
+    length = size[first]
+    terms, code = words.dictionary, words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    del rows, words
+    key, tf = np.unique((np.repeat(seg_of, size) * len(terms) + code) * n_docs + np.repeat(rank, size), return_counts=True)
+    block, rank = key // n_docs, key % n_docs
+    dl = length[np.searchsorted(at, block // len(terms) * n_docs + rank)]
+    begin = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+    stop = np.append(begin[1:], len(block))
+    sums = lambda f, v: f.reduceat(v, begin)
+    whole = {"n": stop - begin, "max_tf": sums(np.maximum, tf), "min_dl": sums(np.minimum, dl), "tokens": sums(np.add, tf), "share": sums(np.add, tf / dl)}
+    kind = {"n": pa.int32(), "max_tf": pa.int32(), "min_dl": pa.int32(), "tokens": pa.int64(), "share": pa.float64()}
+    for x, y in _runs(whole["n"]):
+        i, part = slice(x, y), slice(begin[x], stop[y - 1])
+        ends = pa.array(np.append(begin[i], stop[y - 1]) - begin[x], pa.int32())
+        of = seg.take(pa.array(block[begin[i]] // len(terms)))
+        lists = [pa.array(ids[np.maximum(rank[part], 1) - 1], pa.int64(), mask=rank[part] == 0), pa.array(tf[part], pa.int32()), pa.array(dl[part], pa.int32())]
+        cols = {"shard": of["shard"].combine_chunks(), "field": of["field"].combine_chunks(), "term": terms.take(pa.array(block[begin[i]] % len(terms)))}
+        cols |= {c: pa.ListArray.from_arrays(ends, v) for c, v in zip(("docs", "tfs", "dls"), lists)}
+        cols |= {c: pa.array(v[i], kind[c]) for c, v in whole.items()}
+        yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
+
+
 def write_index(docs: DataFrame, id_col: str, fields: tuple[str, ...], path: str, shard_docs: int = SHARD_DOCS,
                 shard_tokens: int = SHARD_TOKENS, bucket_tokens: int = BUCKET_TOKENS) -> Index:
     """Index ``fields`` of ``docs`` (whole texts; ids are unique whole
@@ -133,19 +181,13 @@ def write_index(docs: DataFrame, id_col: str, fields: tuple[str, ...], path: str
     rows = rows.repartitionById(ix.shards, "shard")      # each shard is one task's
     texts = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"f{i}").alias("text")) for i, f in enumerate(fields)]))
     rows = rows.select("shard", "doc", texts.alias("x")).select("shard", "doc", "x.field", tokens("x.text").alias("s")).filter(F.size("s") > 0)
-    counted = rows.select("shard", "field", "doc", F.size("s").alias("dl"), F.explode("s").alias("term")) \
-        .groupBy("shard", "field", "term", "doc").agg(F.count("*").cast("int").alias("tf"), F.first("dl").alias("dl"))
-    # the shares that a document's terms have of its length add up to one
-    blocks = counted.groupBy("shard", "field", "term").agg(
-        F.sort_array(F.collect_list(F.struct("doc", "tf", "dl"))).alias("p"), F.count("*").cast("int").alias("n"), F.max("tf").alias("max_tf"),
-        F.min("dl").alias("min_dl"), F.sum("tf").alias("tokens"), F.sum(F.col("tf") / F.col("dl")).alias("share"))
-    blocks = blocks.select("shard", "field", "term", F.col("p.doc").alias("docs"), F.col("p.tf").alias("tfs"), F.col("p.dl").alias("dls"),
-                           "n", "max_tf", "min_dl", "tokens", "share", ix.bucket_of().alias("bucket"))
+    blocks = rows.select("shard", "field", "doc", "s").mapInArrow(_counted, BLOCKS).withColumn("bucket", ix.bucket_of())
     files = ix.buckets * -(-ix.shards // SLOT_SHARDS)
     blocks.repartition(max(files, min(cores, ix.shards)), "bucket", F.floor(F.col("shard") / SLOT_SHARDS), F.pmod(F.xxhash64("term"), F.lit(max(1, cores // files)))) \
         .sortWithinPartitions("bucket", "field", "term", "shard").write.mode("overwrite").partitionBy("bucket").parquet(f"{ix.path}/postings")
     terms = ix.blocks.groupBy("bucket", "field", "term").agg(F.sum("n").alias("df"))
     terms.repartition(max(1, min(ix.buckets, 4 * cores)), "bucket").sortWithinPartitions("bucket", "field", "term").write.mode("overwrite").partitionBy("bucket").parquet(f"{ix.path}/terms")
+    # the shares that a document's terms have of its length add up to one
     per_shard = ix.blocks.groupBy("shard", "field").agg(F.round(F.sum("share")).cast("long").alias("n_docs"), F.sum("tokens").alias("tokens"))
     per_shard.groupBy("field").agg(F.sum("n_docs").alias("n_docs"), F.sum("tokens").alias("tokens")) \
         .withColumns({"shards": F.lit(ix.shards), "buckets": F.lit(ix.buckets), "id_type": F.lit(ix.id_type)}).coalesce(1).write.mode("overwrite").parquet(f"{ix.path}/stats")
