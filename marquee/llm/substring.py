@@ -22,7 +22,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from numpy.lib.stride_tricks import sliding_window_view
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.llm.common import WordHasher, grams, small_batches
@@ -41,8 +41,7 @@ def duplicate_spans(docs: DataFrame, window: int = 13, gram: int = 6, id_col: st
     ``doc_id`` and ``spans``, array<struct<start, stop>> of word positions,
     stop exclusive."""
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), _row(id_col, text_col).alias("row")) \
-        .filter("doc_id is not null")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def seeds(batches):
         hasher = WordHasher()
@@ -52,27 +51,34 @@ def duplicate_spans(docs: DataFrame, window: int = 13, gram: int = 6, id_col: st
             if sum(sizes):
                 yield pd.DataFrame({"g": np.concatenate(found).view(np.int64), "doc_id": np.repeat(pdf["doc_id"].to_numpy(), sizes)})
 
-    grown = rows.mapInPandas(seeds, "g long, doc_id long")
-    shared = grown.groupBy("g").agg(F.count("*").alias("n")).filter("n > 1").select("g")
-    per_doc = grown.join(shared, "g").groupBy("doc_id").agg(F.collect_set("g").alias("gs"))
+    # seeds, and windows below, are made and moved once: a window over them
+    # instead of a join with their own counts
+    grown = rows.filter("doc_id is not null").mapInPandas(seeds, "g long, doc_id long")
+    shared = grown.withColumn("n", F.count("*").over(Window.partitionBy("g"))).filter("n > 1")
+    per_doc = shared.groupBy(F.col("doc_id").alias("__at")).agg(F.collect_set("g").alias("__gs"))
 
     def windows(batches):
         hasher = WordHasher()
         for pdf in batches:
             keys, names, rids, at = [], [], [], []
             for name, rid, text, gs in zip(pdf["doc_id"], pdf["row"], pdf["text"], pdf["gs"]):
+                if gs is None:
+                    continue
                 small, whole = minimizers(hasher.words(text), window, gram)
                 spot = np.flatnonzero(np.isin(small, np.asarray(gs, np.int64).view(np.uint64)))
                 keys.append(whole[spot])
                 names.append(np.full(len(spot), name))
                 rids.append(np.full(len(spot), rid))
                 at.append(spot)
-            yield pd.DataFrame({"w": np.concatenate(keys).view(np.int64), "doc_id": np.concatenate(names),
-                                "row": np.concatenate(rids), "at": np.concatenate(at)})
-
-    cand = rows.join(per_doc, "doc_id").mapInPandas(windows, "w long, doc_id long, row long, at int")
-    index = cand.groupBy("w").agg(F.min("doc_id").alias("first"))
-    hits = cand.join(index, "w").filter("first < doc_id").groupBy("row", "doc_id").agg(F.sort_array(F.collect_set("at")).alias("ats"))
+            if keys:
+                yield pd.DataFrame({"w": np.concatenate(keys).view(np.int64), "doc_id": np.concatenate(names).astype(np.int64),
+                                    "row": np.concatenate(rids), "at": np.concatenate(at)})
+
+    # the same move of the texts serves ``without_spans``, so rows without seeds stay
+    dealt = _dealt(docs, id_col, text_col).join(per_doc, "__at", "left")
+    cand = dealt.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col("__row").alias("row"), F.col("__gs").alias("gs")) \
+        .mapInPandas(windows, "w long, doc_id long, row long, at int")
+    hits = cand.withColumn("first", F.min("doc_id").over(Window.partitionBy("w"))).filter("first < doc_id").groupBy("row", "doc_id").agg(F.sort_array(F.collect_set("at")).alias("ats"))
     return hits.select("row", "doc_id", _factors(F.col("ats"), window).alias("spans"))
 
 
@@ -80,6 +86,12 @@ def _row(id_col: str, text_col: str):
     return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col))
 
 
+def _dealt(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows by ``__at``: their id, or where it is null their hash."""
+    rows = docs.withColumn("__row", _row(id_col, text_col))
+    return rows.withColumn("__at", F.coalesce(F.col(id_col).cast("long"), "__row")).repartition("__at")
+
+
 def _factors(ats, window: int):
     """Greedy factors of sorted window starts: a start that does not follow
     its predecessor directly begins a factor, one that has no direct
@@ -94,9 +106,12 @@ def without_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", tex
     """The input rows with ``n_words``, ``n_removed`` and ``kept_words``
     (the words left, joined by one space)."""
     docs = docs.drop(*[c for c in ("n_words", "n_removed", "kept_words") if c in docs.columns])
-    found = spans.select(F.col("row").alias("__row"), F.transform("spans", lambda s: s["start"]).alias("__a"),
-                         F.transform("spans", lambda s: s["stop"]).alias("__b"))
-    rows = docs.withColumn("__row", _row(id_col, text_col)).join(found, "__row", "left").drop("__row")
+    # rows that share an id may have other texts: each finds its own among their spans
+    found = spans.groupBy(F.col("doc_id").cast("long").alias("__at")).agg(F.collect_list(F.struct("row", "spans")).alias("__all"))
+    mine = F.get(F.filter("__all", lambda s: s["row"] == F.col("__row")), F.lit(0))["spans"]
+    rows = _dealt(docs, id_col, text_col).join(found, "__at", "left").withColumn("__mine", mine)
+    rows = rows.withColumns({"__a": F.transform("__mine", lambda s: s["start"]), "__b": F.transform("__mine", lambda s: s["stop"])}) \
+        .drop("__row", "__at", "__all", "__mine")
     names = [c for c in rows.columns if c not in ("__a", "__b")]
     schema = docs.select(*names).schema.add("n_words", "long").add("n_removed", "long").add("kept_words", "string")
     at = [rows.columns.index(c) for c in (text_col, "__a", "__b")]

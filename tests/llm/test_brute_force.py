@@ -288,3 +288,17 @@ def test_pipeline_stages(spark):
 def test_pipeline_of_nothing_and_of_rejects(spark):
     for rows in ([], [(1, None, None, None, None), (1, "", "en", "a", 0), (None, "few words", None, None, 9)]):
         assert [out.count() for _, out in stages(spark, rows).values()] == [0] * 5
+
+
+def test_substring_seeds_and_windows_are_made_once(spark):
+    """op10: the plan makes seeds and windows once and moves them once; rows
+    that share an id or have none keep their own words."""
+    from marquee.llm.substring import duplicate_spans, without_spans
+    a, b = " ".join(f"w{i}" for i in range(20)), " ".join(f"v{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, a), (2, a + " x"), (2, b + " y"), (3, b), (None, a), (None, b), (4, None), (5, "y " + a)], "doc_id long, text string")
+    out = without_spans(docs, duplicate_spans(docs))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInPandas seeds(") == 1 and plan.count("MapInPandas windows(") == 1
+    got = sorted((r.doc_id or 0, r.text or "", r.n_words, r.n_removed, r.kept_words) for r in out.collect())
+    assert got == sorted([(1, a, 20, 0, a), (2, a + " x", 21, 20, "x"), (2, b + " y", 21, 0, b + " y"), (3, b, 20, 20, ""), (0, a, 20, 0, a),
+                          (0, b, 20, 0, b), (4, "", 0, 0, ""), (5, "y " + a, 21, 20, "y")])
