@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.llm.common import WordHasher, _mix, grams, small_batches, stored
@@ -90,17 +90,16 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, id_col: str = "doc_id"
     classes = rows.filter("n > 0 and doc_id is not null").groupBy("key", "n").agg(F.min("doc_id").alias("doc_id"))
 
     # order 1: enough prefix tokens that other documents' prefixes hold too
-    parts = _prefixes(known, k)
-    again = parts.groupBy("tok").agg(F.count("*").alias("c")).filter("c > 1").select("tok")
-    common = parts.join(again, "tok").groupBy("doc_id").agg(F.count("*").alias("h"))
+    # (counted where they lie, so prefixes are made and moved once)
+    times = F.count("*").over(Window.partitionBy("tok"))
+    common = _prefixes(known, k).withColumn("c", times).filter("c > 1").groupBy("doc_id").agg(F.count("*").alias("h"))
     least = 1 + F.floor(F.ceil(F.col("n") * 4 / 5) / 20)
     alive = stored(classes.join(common, "doc_id").filter(F.col("h") >= least).select("doc_id").distinct(), "ngram-alive")
 
     # order 2: document frequencies among those left
     whole = stored(_whole_sets(known.join(alive, "doc_id", "left_semi"), k), "ngram-sets")
     flat = whole.select("key", "n", F.posexplode("toks").alias("at", "tok"))
-    often = flat.groupBy("tok").agg(F.count("*").alias("c")).filter("c > 1")
-    sets = flat.join(often, "tok").groupBy("key", "n").agg(F.sort_array(F.collect_set(F.struct("c", "tok", "at"))).alias("t"))
+    sets = flat.withColumn("c", times).filter("c > 1").groupBy("key", "n").agg(F.sort_array(F.collect_set(F.struct("c", "tok", "at"))).alias("t"))
     sets = sets.withColumn("s", F.size("t").cast("long")).filter("5 * s >= 4 * n")
     sets = stored(sets.select(F.col("key").alias("rid"), "n", "s", "t", F.aggregate(
         "t", F.lit(0).cast("long"), lambda a, t: a + t["c"]).alias("sum_c")), "ngram-core")

@@ -302,3 +302,16 @@ def test_substring_seeds_and_windows_are_made_once(spark):
     got = sorted((r.doc_id or 0, r.text or "", r.n_words, r.n_removed, r.kept_words) for r in out.collect())
     assert got == sorted([(1, a, 20, 0, a), (2, a + " x", 21, 20, "x"), (2, b + " y", 21, 0, b + " y"), (3, b, 20, 20, ""), (0, a, 20, 0, a),
                           (0, b, 20, 0, b), (4, "", 0, 0, ""), (5, "y " + a, 21, 20, "y")])
+
+
+def test_ngram_prefixes_are_made_once(spark, monkeypatch):
+    """op3: prefix tokens are counted where they lie, not joined with their
+    own counts."""
+    from marquee.llm import ngram_join as ng
+    plans, store = {}, ng.stored
+    monkeypatch.setattr(ng, "stored", lambda df, name: (plans.__setitem__(name, df._jdf.queryExecution().executedPlan().toString()), store(df, name))[1])
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(3, text), (1, text + " x"), (2, "other words " * 9), (4, text)], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in ng.jaccard_components(docs).collect()}
+    assert got == {1: 1, 2: 2, 3: 1, 4: 1}
+    assert plans["ngram-alive"].count("MapInPandas") == 1 and plans["ngram-core"].count("Scan parquet") == 1
