@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.common import WordHasher, _mix, grams, small_batches, stored
+from marquee.llm.common import WordHasher, _mix, among, grams, small_batches, stored
 from marquee.llm.linking import link_buckets
 
 SHINGLE = 5
@@ -71,14 +71,20 @@ def _prefixes(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInPandas(run, "tok long, doc_id long")
 
 
+_SIGN = np.uint64(1 << 63)
+
+
 def _whole_sets(docs: DataFrame, k: int) -> DataFrame:
+    """(key, n, cut, toks): ``cut`` is the last token of the plain hash-order
+    prefix, shifted so that Spark's signed longs have the hashes' order."""
     def run(batches):
         hasher = WordHasher(lower=True)
         for pdf in batches:
             sets = [shingles(hasher, t, k) for t in pdf["text"]]
-            yield pd.DataFrame({"key": [_key(s) for s in sets], "n": [len(s) for s in sets], "toks": [s.view(np.int64) for s in sets]})
+            cuts = [int((s[len(s) // 5] ^ _SIGN).view(np.int64)) if len(s) else 0 for s in sets]
+            yield pd.DataFrame({"key": [_key(s) for s in sets], "n": [len(s) for s in sets], "cut": cuts, "toks": [s.view(np.int64) for s in sets]})
 
-    return docs.mapInPandas(run, "key long, n long, toks array<long>").filter("n > 0")
+    return docs.mapInPandas(run, "key long, n long, cut long, toks array<long>").filter("n > 0")
 
 
 def jaccard_components(docs: DataFrame, k: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -96,12 +102,14 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, id_col: str = "doc_id"
     least = 1 + F.floor(F.ceil(F.col("n") * 4 / 5) / 20)
     alive = stored(classes.join(common, "doc_id").filter(F.col("h") >= least).select("doc_id").distinct(), "ngram-alive")
 
-    # order 2: document frequencies among those left
-    whole = stored(_whole_sets(known.join(alive, "doc_id", "left_semi"), k), "ngram-sets")
-    flat = whole.select("key", "n", F.posexplode("toks").alias("at", "tok"))
-    sets = flat.withColumn("c", times).filter("c > 1").groupBy("key", "n").agg(F.sort_array(F.collect_set(F.struct("c", "tok", "at"))).alias("t"))
+    # order 2: document frequencies among those left (texts stay where they
+    # lie; the few others that come along can link with nothing)
+    whole = stored(_whole_sets(among(known, "doc_id", alive), k), "ngram-sets")
+    flat = whole.select("key", F.explode("toks").alias("tok"))
+    sets = flat.withColumn("c", times).filter("c > 1").groupBy("key").agg(F.sort_array(F.collect_set(F.struct("c", "tok"))).alias("t"))
+    sets = sets.join(whole.select("key", "n", "cut").distinct(), "key")
     sets = sets.withColumn("s", F.size("t").cast("long")).filter("5 * s >= 4 * n")
-    sets = stored(sets.select(F.col("key").alias("rid"), "n", "s", "t", F.aggregate(
+    sets = stored(sets.select(F.col("key").alias("rid"), "n", "cut", "s", "t", F.aggregate(
         "t", F.lit(0).cast("long"), lambda a, t: a + t["c"]).alias("sum_c")), "ngram-core")
     lone = F.col("n") - F.col("s")                      # tokens of no other document come first
     take = F.greatest(F.lit(0).cast("long"), F.floor(F.col("n") / 5) + 1 - lone).cast("int")
@@ -117,11 +125,13 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, id_col: str = "doc_id"
         rest = lambda c: F.col(f"{c}.n") - F.col(f"{c}.pos")
         return size_ok(x, y) & (9 * F.least(rest(x), rest(y)) >= 4 * (F.col(f"{x}.n") + F.col(f"{y}.n")))
 
-    front = F.transform(F.filter("t", lambda t: t["at"] <= F.floor(F.col("n") / 5)), lambda t: t["tok"])
+    front = F.transform(F.filter("t", lambda t: t["tok"].bitwiseXOR(F.lit(-(1 << 63))) <= F.col("cut")), lambda t: t["tok"])
     held = sets.select("rid", "n", F.transform("t", lambda t: t["tok"]).alias("toks"), front.alias("front"))
 
     def verify(pairs):
-        side = lambda c: held.select(F.col("rid").alias(c), *[F.col(v).alias(f"{c}_{v}") for v in ("n", "toks", "front")])
+        ids = pairs.select(F.explode(F.array("x", "y")))
+        few = among(held, "rid", ids)
+        side = lambda c: few.select(F.col("rid").alias(c), *[F.col(v).alias(f"{c}_{v}") for v in ("n", "toks", "front")])
         both = pairs.join(side("x"), "x").join(side("y"), "y").filter(F.arrays_overlap("x_front", "y_front"))
         same = F.size(F.array_intersect("x_toks", "y_toks"))
         return both.withColumn("i", same).filter("100 * i >= 80 * (x_n + y_n - i)").select("x", "y")

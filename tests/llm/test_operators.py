@@ -334,3 +334,19 @@ def test_mix_replaces_clashing_columns(spark):
                                "doc_id long, text string, source string, pass string, shard string, pos string")
     rows = mix(df).select("doc_id", "pass", "shard", "pos").collect()
     assert len(rows) == 6 and all(isinstance(r["pass"], int) and isinstance(r.shard, int) and isinstance(r.pos, int) for r in rows)
+
+
+def test_near_copies_are_sought_where_texts_lie(spark):
+    """Texts and sets are not moved to be joined with ids: a bitmap of the
+    ids goes to them, keeps every wanted row and drops nearly all others."""
+    from marquee.llm.common import among
+    rows = spark.range(-3000, 60000).select("id", F.concat(F.lit("text "), "id").alias("text"))
+    ids = spark.range(-3000, 60000, 30).select(F.col("id").alias("other"))
+    left = among(rows, "id", ids)
+    got = [r.id for r in left.collect()]
+    want = set(range(-3000, 60000, 30))
+    assert want <= set(got) and len(got) == len(set(got)) < 1.15 * 63000 / 30 + 0.1 * 63000
+    assert left.columns == rows.columns and among(rows, "id", ids.limit(0)).count() == 0
+    assert set(range(-3000, 60000, 30)) <= {r.id for r in among(rows, "id", ids, most=1 << 10).collect()}    # a full bitmap drops less
+    plan = left._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan.split("Join Inner")[-1].split("\n")[0] or "rightHint=(strategy=broadcast)" in plan
