@@ -84,6 +84,7 @@ class BpeModel:
         split = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.split = regex.compile(split.replace(r"\s", r"\p{White_Space}"), regex.V0)
         self.path, self.library, self.known = path, None, {}
+        self.assigned: set = set()             # characters found in this Python's Unicode tables
         self.unshown = {c: b for b, c in enumerate(shown)}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
 
@@ -115,8 +116,10 @@ class BpeModel:
             for i, part in enumerate(self.cut.split(word)):
                 out.extend(["\0" + part] if i % 2 else self.pieces(part) if part else [])
             return out
-        if not word.isascii() and any(unicodedata.category(c) == "Cn" for c in word):
-            return self._by_library(word)
+        if not word.isascii() and not self.assigned.issuperset(word):
+            if any(unicodedata.category(c) == "Cn" for c in word):
+                return self._by_library(word)
+            self.assigned.update(word)
         return self._plain(word)
 
     def encode_words(self, words: list[bytes]) -> list[list[int]]:

@@ -50,26 +50,38 @@ class LibraryWords:
         self.model = self.tokenizer.model
         self.shown = byte_symbols()
         self.known: dict = {}
+        # a word's last mark is a piece of its own, unless a special token is within such a word
+        plain = any(not t.strip(".,") or t.rstrip(".,").isalpha() for t in self.cut.special)
+        self.ends = () if plain else (b".", b",")
 
-    def _piece(self, piece: str) -> list[int]:
+    def _piece(self, piece: str) -> tuple[int, ...]:
         got = self.known.get(piece)
         if got is None:
             if piece[0] == "\0" and piece[1:] in self.cut.special:
-                got = [self.cut.special[piece[1:]]]
+                got = (self.cut.special[piece[1:]],)
             else:
                 text = piece if piece.isascii() and piece.isprintable() else \
                     "".join([self.shown[b] for b in piece.encode("utf-8", "surrogatepass")])
-                got = [t.id for t in self.model.tokenize(text)]
-            self.known[piece] = got
+                got = tuple([t.id for t in self.model.tokenize(text)])
+            self.known[piece] = got            # tuples of numbers, which the garbage collector need not walk
         return got
 
-    def __call__(self, words: list[bytes]) -> list[list[int]]:
+    def __call__(self, words: list[bytes]) -> list[tuple[int, ...]]:
         if len(self.known) > KEEP:
             self.known = {}
-        out = []
+        out, get, piece, pieces = [], self.known.get, self._piece, self.cut.pieces
         for w in words:
-            pieces = self.cut.pieces(w.decode("utf-8", "surrogatepass"))
-            out.append(self._piece(pieces[0]) if len(pieces) == 1 else [i for p in pieces for i in self._piece(p)])
+            if w.isalpha():                    # ASCII letters: one piece
+                p = w.lower().decode()
+                out.append(get(p) or piece(p))
+            elif w[-1:] in self.ends and w[:-1].isalpha():
+                p, q = w[:-1].lower().decode(), w[-1:].decode()
+                out.append((get(p) or piece(p)) + (get(q) or piece(q)))
+            else:
+                one = ()
+                for p in pieces(w.decode("utf-8", "surrogatepass")):
+                    one += get(p) or piece(p)
+                out.append(one)
         return out
 
 
@@ -94,7 +106,7 @@ def compress(ids: np.ndarray, last: np.ndarray, least: int = 24):
         pair = sym[at] << 32 | sym[nxt[at]]
         if len(at) >= 1 << 15:        # most rare pairs leave by an upper bound of their counts
             bins = (_mixed(pair) >> np.uint64(64 - BINS)).astype(np.int64)
-            some = np.bincount(bins, minlength=1 << BINS)[bins] >= least
+            some = (np.bincount(bins, minlength=1 << BINS) >= least)[bins]
             at, pair = at[some], pair[some]
         which, name = pd.factorize(pair)
         beside = nxt[at[:-1]] == at[1:]          # overlaps the next position of ``at``

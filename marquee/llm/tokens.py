@@ -47,7 +47,7 @@ class WordMemory:
     def _learn(self) -> None:
         rows = self.encode(self.codes.new)
         size = np.fromiter(map(len, rows), np.int32, len(rows))
-        flat = np.fromiter((i for r in rows for i in r), np.int32, int(size.sum()))
+        flat = np.fromiter(chain.from_iterable(rows), np.int32, int(size.sum()))
         self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(size, dtype=np.int64) - size])
         self.ids = np.concatenate([self.ids, flat])
         self.size = np.concatenate([self.size, size])

@@ -350,3 +350,22 @@ def test_near_copies_are_sought_where_texts_lie(spark):
     assert set(range(-3000, 60000, 30)) <= {r.id for r in among(rows, "id", ids, most=1 << 10).collect()}    # a full bitmap drops less
     plan = left._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=broadcast" in plan.split("Join Inner")[-1].split("\n")[0] or "rightHint=(strategy=broadcast)" in plan
+
+
+def test_plain_words_are_encoded_without_the_splitter():
+    """Letters, with or without a last mark, are cut without a pattern; ids
+    stay those of the library."""
+    from tokenizers import Tokenizer
+
+    from marquee.llm.repair import LibraryWords
+    lib, words = Tokenizer.from_file(path()), LibraryWords(path())
+    ids = lambda w: tuple(lib.encode(w, add_special_tokens=False).ids)
+    odd = ["a.b", "..", ".", "x,.", "don't", "Straße,", "ΣΑΣ.", "é", "͸a", "<|endoftext|>.", "a<|endoftext|>", "12,", "東京."]
+    assert [tuple(x) for x in words([w.encode() for w in odd])] == [ids(w) for w in odd]
+
+    def fail(word):
+        raise AssertionError(word)
+
+    words.cut.pieces = fail
+    plain = ["Plain", "WORD,", "end.", "word", "a", "A.", "Unbelievableness"]
+    assert [tuple(x) for x in words([w.encode() for w in plain])] == [ids(w) for w in plain]
