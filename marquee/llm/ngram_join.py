@@ -105,9 +105,8 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, id_col: str = "doc_id"
     # order 2: document frequencies among those left (texts stay where they
     # lie; the few others that come along can link with nothing)
     whole = stored(_whole_sets(among(known, "doc_id", alive), k), "ngram-sets")
-    flat = whole.select("key", F.explode("toks").alias("tok"))
-    sets = flat.withColumn("c", times).filter("c > 1").groupBy("key").agg(F.sort_array(F.collect_set(F.struct("c", "tok"))).alias("t"))
-    sets = sets.join(whole.select("key", "n", "cut").distinct(), "key")
+    flat = whole.select("key", "n", "cut", F.explode("toks").alias("tok"))
+    sets = flat.withColumn("c", times).filter("c > 1").groupBy("key", "n", "cut").agg(F.sort_array(F.collect_set(F.struct("c", "tok"))).alias("t"))
     sets = sets.withColumn("s", F.size("t").cast("long")).filter("5 * s >= 4 * n")
     sets = stored(sets.select(F.col("key").alias("rid"), "n", "cut", "s", "t", F.aggregate(
         "t", F.lit(0).cast("long"), lambda a, t: a + t["c"]).alias("sum_c")), "ngram-core")
