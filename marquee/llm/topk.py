@@ -17,6 +17,11 @@ the other terms and signs are probed in steps while they stay competitive.
 If no threshold above 0 is known, every row is a candidate.  The shards' k
 best are then merged.
 
+Queries and shards meet in cells: a task holds a group of packed queries and
+streams a group of shards, so a query is moved once per group of shards, not
+once per shard, and nothing is broadcast.  All queries are one group until
+they would pass ``HELD_BYTES``, or where shards are fewer than cores.
+
 Defined results: vectors that are null, empty or hold null or non-finite
 components take no part; scores tie to the smaller id; only vectors of one
 length are compared; a row with a null id can be no query but a candidate
@@ -32,7 +37,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-STEP, HEADS, GROUPS = 16, 8, 64
+from marquee.operators.factor_blocks import HELD_BYTES, _by_cell, _dealt
+
+STEP, HEADS = 16, 8
 LONG = 2**63 - 1
 
 
@@ -114,16 +121,18 @@ def best_of_query(post: Postings, weight: np.ndarray, apart: np.ndarray, k: int,
     return live, reach
 
 
-def best_of_shard(queries: np.ndarray, own: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int, floors: dict | None = None):
+def best_of_shard(queries: np.ndarray, own: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int, floors: dict | None = None,
+                  post: Postings | None = None):
     """The k best of the shard for every query: (query, row, score) arrays.
     ``own``/``ids``: ids of queries and rows; equal ids are never paired.
-    ``floors``: the k-th best score known of each query, kept up to date."""
+    ``floors``: the k-th best score known of each query, kept up to date.
+    ``post``: the postings of ``rows``, if they are there."""
     out_q, out_r, out_s = [], [], []
     floors = {} if floors is None else floors
     safe = np.abs(queries).max(initial=0) * np.abs(rows).max(initial=0) * rows.shape[1] < 2.0**52
     if not safe:
         rows, queries = (np.array([int(x) for x in a.ravel()], object).reshape(a.shape) for a in (rows, queries))
-    post = Postings(rows)
+    post = post if post is not None and safe else Postings(rows)
     for q, weight in enumerate(queries):
         live, score = best_of_query(post, weight, ids == own[q], k, floors.get(q))
         if not len(live):
@@ -146,7 +155,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256,
     first = Window.partitionBy("id").orderBy(F.xxhash64("v"))
     asked = asked.filter("id is not null").withColumn("n", F.row_number().over(first)).filter("n = 1").drop("n")
     shards = max(1, -(-rows.count() // shard_rows))
-    groups = max(1, -(-asked.count() // query_rows))
+    size = asked.agg(F.count("*").alias("n"), F.sum(F.col("d").cast("long")).alias("d")).first()
+    groups = max(1, -(-size.n // query_rows))
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         ids = pdf["id"].to_numpy(dtype=np.float64, na_value=np.nan)
@@ -159,28 +169,33 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256,
 
     block = lambda n: F.pmod(F.xxhash64("id", "v"), F.lit(n))
     kind = "b long, d int, ids binary, known binary, mat binary"
-    # a shard stays where it was packed; the queries, far fewer, go to every shard
-    tasks = max(2 * rows.sparkSession.sparkContext.defaultParallelism, shards // 8)
-    held = rows.withColumn("b", block(shards)).repartition(tasks, "b", "d").groupBy("b", "d").applyInPandas(pack, kind)
-    sets = asked.withColumn("b", block(groups)).groupBy("b", "d").applyInPandas(pack, kind) \
-        .select(F.col("b").alias("g"), "d", F.col("ids").alias("q_ids"), F.col("mat").alias("q_mat"))
-    pairs = held.join(sets.withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))), ["b", "d"])
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    left = max(1, min(groups, max(-(-8 * (size.d or 0) // HELD_BYTES), -(-cores // shards))))      # groups of queries, and of shards
+    right = max(1, min(shards, -(-2 * cores // left)))
+    other = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("o")
+    cell = lambda g, h: (g * right + h).cast("int").alias("cell")
+    sets = asked.withColumn("b", block(groups)).repartition(max(1, min(groups, 2 * cores)), "b", "d").groupBy("b", "d").applyInPandas(pack, kind)
+    sets = sets.select("b", "d", "ids", "known", "mat", other(right)).select("b", "d", "ids", "known", "mat", cell(F.pmod("b", F.lit(left)), F.col("o")))
+    packed = rows.withColumn("b", block(shards)).repartition(max(2 * cores, shards // 8), "b", "d").groupBy("b", "d").applyInPandas(pack, kind)
+    packed = packed.select("b", "d", "ids", "known", "mat", other(left)).select("b", "d", "ids", "known", "mat", cell(F.col("o"), F.pmod("b", F.lit(right))))
 
     def search(batches):
-        floors = {}
-        for pdf in batches:
-            for r in pdf.itertuples():
-                ids, known = np.frombuffer(r.ids, np.int64), np.frombuffer(r.known, bool)
-                own = np.frombuffer(r.q_ids, np.int64)
-                if len(floors) > GROUPS:          # thresholds only save work
-                    floors.clear()
-                mat, ask = (np.frombuffer(m, np.float64).reshape(-1, r.d) for m in (r.mat, r.q_mat))
-                q, at, s = best_of_shard(ask, own, mat, ids, k, floors.setdefault((r.g, r.d), {}))
-                vec = pd.array(ids[at], "Int64")
-                vec[~known[at]] = pd.NA
-                yield pd.DataFrame({"query_id": own[q], "vec": vec, "score": s})
-
-    found = pairs.mapInPandas(search, "query_id long, vec long, score long")
+        matrix = lambda r: np.frombuffer(r.mat, np.float64).reshape(-1, r.d)
+        for held, met in _by_cell(batches):
+            queries = [(r.d, np.frombuffer(r.ids, np.int64), matrix(r), {}) for r in held]
+            held.clear()
+            for r in met:
+                ids, known, mat, post = np.frombuffer(r.ids, np.int64), np.frombuffer(r.known, bool), matrix(r), None
+                for d, own, ask, floors in queries:
+                    if d != r.d:
+                        continue
+                    post = post or Postings(mat)
+                    q, at, s = best_of_shard(ask, own, mat, ids, k, floors, post)
+                    vec = pd.array(ids[at], "Int64")
+                    vec[~known[at]] = pd.NA
+                    yield pd.DataFrame({"query_id": own[q], "vec": vec, "score": s})
+
+    found = _dealt(sets, packed, left * right, "b").mapInPandas(search, "query_id long, vec long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("vec"))
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k) \
         .select("query_id", "rank", F.col("vec").alias(id_col), "score")
