@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.columns import pref_key
 from marquee.operators.search import rank_key
+from marquee.session import written
 
 # The weights of the three sources in the hybrid blend.
 SIMILAR_WEIGHT = 0.3
@@ -57,7 +58,9 @@ def with_fallback(recs: DataFrame, users: DataFrame, top_genres: DataFrame,
                   n: int = 10, seed: int | None = 42) -> DataFrame:
     """Users without recs get the top list of one preference genre ->
     (uid, rank, mid, score, source).  ``top_genres`` is the long form
-    (genre, rank, mid, avg).  Users with no preferences get nothing."""
+    (genre, rank, mid, avg).  Users with no preferences get nothing.  The
+    recs are read twice and so written down once."""
+    recs = written(recs.select("uid", "rank", "mid", "score"), "recs")
     have = recs.select("uid").distinct()
     cold = (users.join(have, "uid", "left_anti").filter(F.size("prefGenres") > 0)
             .select("uid", choose_genre("uid", "prefGenres", seed).alias("genre")))

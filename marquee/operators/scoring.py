@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.columns import sort_recs
 from marquee.schemas import RECS
-from marquee.session import scratch_path
+from marquee.session import scratch_path, written
 
 
 def user_sequence(events: DataFrame, partitions: int | None = None, rows_per_bucket: int = 100_000) -> DataFrame:
@@ -113,8 +113,10 @@ def candidates(events: DataFrame, sims: DataFrame, seen: DataFrame, n_cand: int
 
     A user who has rated s movies finds ``n_cand`` unseen ones among the
     first n_cand + s ranks, so an event reads only the rank buckets up to
-    there, however long the movie's list is.
+    there, however long the movie's list is.  The seen set is read twice and
+    so written down once.
     """
+    seen = written(seen, "seen")
     s = ranked_sims(sims, n_cand)
     buckets = sims.groupBy("mid").agg(F.floor((F.count(F.lit(1)) - 1) / n_cand).cast("int").alias("_last"))
     known = seen.groupBy("uid").agg(F.count(F.lit(1)).alias("_seen"))

@@ -166,7 +166,7 @@ def _hybrid_parts(spark, sf):
     ix = built_index(docs, "doc", MOVIE_FIELDS)
     content = (se.more_like_this(ix, req.select(F.col("anchor_mid").alias("anchor")).distinct(), 10)
                .select("anchor", F.col("doc").alias("mid"), "score"))
-    scores = sc.score_events(ev, si.ratings(spark, sf), sims, N_RECENT, N_CAND, TEST_THRESHOLD)
+    scores = sc.score_events(ev, si.ratings(spark, sf, ev), sims, N_RECENT, N_CAND, TEST_THRESHOLD)
     latest = sc.latest_recs(ev, scores)
     stream = (latest.select("uid", F.explode("recs").alias("r"))
               .select("uid", F.col("r.mid").alias("mid"), F.col("r.score").alias("score")))

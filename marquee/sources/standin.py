@@ -24,17 +24,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ratings(spark: SparkSession, sf_dir: str, of: DataFrame | None = None) -> DataFrame:
     """ratings(uid, mid, score, ts): one row per line item of an order.
+    ``of``: those of the users in its column ``uid`` alone; other users'
+    orders leave before they meet their line items.
 
     score is the quantity on a half-star scale 0.0-5.0, ts the ship date in
     epoch seconds.  Every line item has its order, so the inner join keeps
     all line items; it is a plain equi-join left to Catalyst/AQE.
     """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_shipdate")
-    od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    od = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").cast("int").alias("uid"))
+    if of is not None:
+        od = od.join(of.select("uid").distinct(), "uid", "left_semi")
     return (li.join(od, li.l_orderkey == od.o_orderkey)
-            .select(F.col("o_custkey").cast("int").alias("uid"),
+            .select("uid",
                     F.col("l_partkey").cast("int").alias("mid"),
                     (F.floor(F.col("l_quantity") / 5 + 0.5) / F.lit(2.0)).cast("double").alias("score"),
                     F.unix_seconds(F.col("l_shipdate").cast("timestamp")).alias("ts")))
