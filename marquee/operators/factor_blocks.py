@@ -12,6 +12,9 @@ are left out.  Every user first meets the block of the largest norms; users
 are then gathered by the norm that an item must have to still matter to
 them, and each gathering meets only the blocks that reach it.
 
+Scores are looked at in tiles of single numbers first, and only pairs that
+come near to what the user needs are multiplied in full.
+
 Block pairs meet in cells: both sides are dealt into a few groups, and a task
 gets one group of each side, holds the first and streams the second.  Each
 vector is so moved once per group of the other side, not once per block pair,
@@ -45,6 +48,7 @@ PAGE_BLOCKS = 512
 SLACK = 1e-7              # of an angle or a norm, far above rounding
 HELD_BYTES = 64 << 20     # of the vectors that a task holds
 AT_ONCE = 4096            # held rows multiplied at once
+TILE = 512                # rows and columns of products that stay in a core's cache
 ROWS_OUT = 200_000        # rows gathered before they leave a task
 LIST_BYTES = 256 << 20    # of the lists that a task gathers
 TASK_ROWS = 64            # lists that are worth a task
@@ -423,6 +427,49 @@ def _best(at, mid, score, k: int):
     return (at[place < k], mid[place < k], score[place < k]), at[last], score[last]
 
 
+def _reaching(near: np.ndarray, mine: np.ndarray, need: np.ndarray, right: np.ndarray, most: float, k: int):
+    """(row, column) pairs of the rows ``mine`` that hold all whose product
+    may be among the row's k best: those that come to ``need``, a product
+    with the row's unit vector.  Tiles of rounded unit vectors (``near``) and
+    of vectors over their largest norm are looked at first, and ``slack``
+    covers all their rounding, so only pairs close to what is needed are left
+    to be multiplied in full.  ``need`` rises to what k columns of a tile
+    are sure to reach."""
+    slack = (right.shape[1] + 8) * 2.0**-23
+    small = (right / most).astype(np.float32)
+    rows, cols, pairs = [], [], 0
+    for begin in range(0, len(mine), TILE):
+        part = mine[begin:begin + TILE]
+        left = near[part]
+        for at in range(0, len(small), TILE):
+            score = left @ small[at:at + TILE].T
+            keep = score >= (need[part] / most - slack)[:, None]
+            count = np.count_nonzero(keep)
+            if count > 4 * k * len(part) and score.shape[1] > k:
+                kth = np.partition(score, -k, axis=1)[:, -k].astype(np.float64)
+                need[part] = np.maximum(need[part], (kth - slack) * most)
+                keep = score >= (need[part] / most - slack)[:, None]
+                count = np.count_nonzero(keep)
+            if count:
+                row, col = np.divmod(np.flatnonzero(keep), score.shape[1])
+                rows.append(part[row])
+                cols.append(at + col)
+                pairs += count
+            if pairs >= 8 * AT_ONCE:
+                yield np.concatenate(rows), np.concatenate(cols)
+                rows, cols, pairs = [], [], 0
+    if pairs:
+        yield np.concatenate(rows), np.concatenate(cols)
+
+
+def _all(mine: np.ndarray, columns: int):
+    """Every pair of the rows ``mine`` and the columns, in parts."""
+    at_once = max(1, 8 * AT_ONCE // columns)
+    for begin in range(0, len(mine), at_once):
+        part = mine[begin:begin + at_once]
+        yield np.repeat(part, columns), np.tile(np.arange(columns), len(part))
+
+
 def _products(users: DataFrame, items: DataFrame, k: int, positive_only: bool) -> DataFrame:
     """(uid, mid, score): of every cell, each user's k best items among those
     whose norm reaches what the user needs (``along`` of the user blocks)."""
@@ -440,28 +487,23 @@ def _products(users: DataFrame, items: DataFrame, k: int, positive_only: bool) -
             mat = np.concatenate([np.frombuffer(r.mat, np.float64) for r in held]).reshape(len(ids), -1)
             held.clear()
             norm = np.linalg.norm(mat, axis=1)
-            low = need * norm
-            low -= SLACK * np.abs(low)
+            near = (mat / norm[:, None]).astype(np.float32)
+            plain = bool(np.all((norm > 1e-100) & (norm < 1e100)))
             found, new, fresh = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)), [], 0
             for r in met:
                 mine = np.flatnonzero(r.most > need * (1 - SLACK) - 1e-12)
                 mid = np.frombuffer(r.ids, np.int64)
-                right = np.frombuffer(r.mat, np.float64).reshape(len(mid), -1).T
-                for begin in range(0, len(mine), AT_ONCE):
-                    part = mine[begin:begin + AT_ONCE]
-                    score = mat[part] @ right
-                    keep = score >= low[part][:, None]
+                right = np.frombuffer(r.mat, np.float64).reshape(len(mid), -1)
+                for row, col in _reaching(near, mine, need, right, r.most, k) if plain and 1e-100 < r.most < 1e100 else _all(mine, len(mid)):
+                    score = np.einsum("ij,ij->i", mat[row], right[col])
                     if positive_only:
-                        keep &= score > 0
-                    if score.shape[1] > k and np.count_nonzero(keep) > 4 * k * len(part):
-                        keep &= score >= np.partition(score, -k, axis=1)[:, -k][:, None]
-                    row, col = np.nonzero(keep)
+                        row, col, score = (x[score > 0] for x in (row, col, score))
                     if len(row):
-                        new.append((part[row], mid[col], score[row, col]))
+                        new.append((row, mid[col], score))
                         fresh += len(row)
                 if fresh > max(ROWS_OUT, len(found[0])):
                     found, at, kth = _best(*(np.concatenate(c) for c in zip(found, *new)), k)
-                    low[at], need[at] = np.maximum(low[at], kth), np.maximum(need[at], kth / norm[at])
+                    need[at] = np.maximum(need[at], kth / norm[at])
                     new, fresh = [], 0
             (at, mid, score), _, _ = _best(*(np.concatenate(c) for c in zip(found, *new)), k)
             for begin in range(0, len(at), ROWS_OUT):
