@@ -21,7 +21,9 @@ cell: a task holds the queries and streams the shards, so each shard is moved
 once per group of queries.  A shard's scores are a product of two sparse
 matrices.  The task keeps each query's n best documents so far; a shard whose
 largest weights cannot lift a query above the n-th is left out, and n
-documents per query leave the cell.  Few queries over many shards first
+documents per query leave the cell.  A query that cannot reach its n-th score
+without certain terms is scored only for the documents that have the two
+rarest of them.  Few queries over many shards first
 visit their best shard alone (by the blocks' largest counts and smallest
 lengths), and start from the n-th score found there.
 """
@@ -284,6 +286,33 @@ def _best(at, doc, score, n: int):
     return (at[place < n], doc[place < n], score[place < n]), at[last], score[last]
 
 
+def _spans(start: np.ndarray, size: np.ndarray):
+    """(which span, place) of all places in spans."""
+    of = np.repeat(np.arange(len(size)), size)
+    return of, np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(start, size)
+
+
+def _weights(at, w, size, asked, nd: int):
+    """The weight of a term in a document, 0 where it does not have it, for
+    arrays of documents and of terms among ``asked``."""
+    term = np.repeat(np.arange(len(size)), size)
+    used = np.unique(asked)
+    if len(used) * nd <= 2 * CELLS:
+        local = np.full(len(size), -1)
+        local[used] = np.arange(len(used))
+        table, has = np.zeros((nd, len(used))), local[term] >= 0
+        table[at[has], local[term[has]]] = w[has]
+        return lambda doc, t: table[doc, local[t]]
+    key = term * nd + at
+    order = np.argsort(key, kind="stable")
+    key, w = key[order], w[order]
+
+    def find(doc, t):
+        i = np.minimum(np.searchsorted(key, t * nd + doc), len(key) - 1)
+        return np.where(key[i] == t * nd + doc, w[i], 0.0)
+    return find
+
+
 class _Asked:
     """The queries of a cell and space, in runs of ``QUERIES_AT_ONCE``, each
     run's terms in order."""
@@ -298,13 +327,80 @@ class _Asked:
         order = np.lexsort((t, at // QUERIES_AT_ONCE))
         self.at, self.t, self.w = at[order], t[order], read("q_ws", np.float64)[order]
         self.runs = np.searchsorted(self.at // QUERIES_AT_ONCE, np.arange(-(-len(self.qids) // QUERIES_AT_ONCE) + 1))
+        self.by_query = np.argsort(self.at, kind="stable")
+        # each query's n-th row so far: its rounded score and its document
+        self.nth, self.last = np.full(len(self.qids), -np.inf), np.zeros(len(self.qids), np.int64)
         self.found, self.new, self.fresh = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)), [], 0
 
     def settle(self, n: int) -> None:
         self.found, at, nth = _best(*(np.concatenate(c) for c in zip(self.found, *self.new)), n)
         self.low[at] = np.maximum(self.low[at], nth - TIE)
+        ends = np.flatnonzero(np.append(self.found[0][1:] != self.found[0][:-1], True)) if len(self.found[0]) else np.zeros(0, np.int64)
+        full = ends[np.isin(self.found[0][ends], at, assume_unique=True)]
+        self.nth[at], self.last[at] = np.round(self.found[2][full], RANK_DECIMALS), self.found[1][full]
         self.new, self.fresh = [], 0
 
+    def gather(self, at, doc, score) -> None:
+        """Rows that come before the n-th of their query."""
+        place = np.round(score, RANK_DECIMALS)
+        keep = (place > self.nth[at]) | ((place == self.nth[at]) & (doc < self.last[at]))
+        if keep.any():
+            self.new.append((at[keep], doc[keep], score[keep]))
+            self.fresh += int(np.count_nonzero(keep))
+
+    def narrow(self, r, ids, at, w, size, most, place, known, exclude_self: bool) -> np.ndarray:
+        """Score the queries that need certain terms: without one of them a
+        document cannot reach the n-th score, so only those are scored that
+        have the rarest two.  Returns the queries that are left."""
+        e = self.by_query[known[self.t[self.by_query]]]
+        q_at, t, q_w = self.at[e], place[self.t[e]], self.w[e]
+        reach = np.bincount(q_at, q_w * most[t], len(self.qids))
+        go = (reach * (1 + 1e-12) >= self.low) & ((self.only < 0) | (self.only == r.shard))
+        some = go[q_at]
+        q_at, t, q_w = q_at[some], t[some], q_w[some]
+        needed = np.flatnonzero(reach[q_at] * (1 + 1e-12) - q_w * most[t] < self.low[q_at])
+        if not len(needed):
+            return go
+        needed = needed[np.lexsort((size[t[needed]], q_at[needed]))]
+        of = q_at[needed]
+        first = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+        second = np.minimum(first + 1, len(of) - 1)
+        qs, one = of[first], t[needed[first]]
+        two = np.where((second > first) & (of[second] == qs), t[needed[second]], -1)
+        count = np.bincount(q_at, minlength=len(self.qids))
+        begin = np.cumsum(count) - count
+        few = size[one] * count[qs] <= len(ids)
+        qs, one, two = qs[few], one[few], two[few]
+        if not len(qs):
+            return go
+        weight = _weights(at, w, size, t, len(ids))
+        # the documents of every two terms, then of every query
+        sets, mine = np.unique(one * (len(size) + 1) + two + 1, return_inverse=True)
+        one, two = sets // (len(size) + 1), sets % (len(size) + 1) - 1
+        of, i = _spans(np.cumsum(size)[one] - size[one], size[one])
+        doc = at[i]
+        both = two[of] < 0
+        both[~both] = weight(doc[~both], two[of[~both]]) > 0
+        of, doc = of[both], doc[both]
+        n_docs = np.bincount(of, minlength=len(sets))
+        start, n_docs = (np.cumsum(n_docs) - n_docs)[mine], n_docs[mine]
+        part = np.cumsum(n_docs) // CELLS
+        for x in np.unique(part).tolist():
+            now = part == x
+            of, i = _spans(start[now], n_docs[now])
+            q, d = qs[now][of], doc[i]
+            score, terms = np.zeros(len(q)), count[q]
+            for j in range(int(terms.max(initial=0))):
+                live = np.flatnonzero(terms > j)
+                entry = begin[q[live]] + j
+                score[live] += q_w[entry] * weight(d[live], t[entry])
+            keep = score >= self.low[q]
+            if exclude_self:
+                keep &= ids[d] != self.qids[q]
+            self.gather(q[keep], ids[d[keep]], score[keep])
+        go[qs] = False
+        return go
+
     def meet(self, r, n: int, exclude_self: bool) -> None:
         """Score a shard's documents for the queries that its terms' largest
         weights can still lift above their n-th score."""
@@ -314,6 +410,7 @@ class _Asked:
         known = tids[place] == self.terms
         stop = np.cumsum(size)
         most = np.maximum.reduceat(w, stop - size)
+        left = self.narrow(r, ids, at, w, size, most, place, known, exclude_self)
         for lo in range(0, len(ids), DOCS_AT_ONCE):
             docs, d_at, d_w, begin = ids[lo:lo + DOCS_AT_ONCE], at, w, np.append(0, stop)
             if len(docs) < len(ids):
@@ -326,9 +423,8 @@ class _Asked:
                 real = known[t]
                 q_at, t, q_w = q_at[real], place[t[real]], q_w[real]
                 here = slice(first, first + QUERIES_AT_ONCE)
-                low, only, mine = self.low[here], self.only[here], self.qids[here]
-                reach = np.bincount(q_at, q_w * most[t], len(low))
-                go = np.flatnonzero((reach * (1 + 1e-12) >= low) & ((only < 0) | (only == r.shard)))
+                low, mine = self.low[here], self.qids[here]
+                go = np.flatnonzero(left[here])
                 if not len(go):
                     continue
                 if len(go) < len(low):
@@ -350,8 +446,7 @@ class _Asked:
                     keep = score >= low[:, None]
                 row, col = np.nonzero(keep)
                 if len(row):
-                    self.new.append((first + go[row], docs[col], score[row, col]))
-                    self.fresh += len(row)
+                    self.gather(first + go[row], docs[col], score[row, col])
         if self.fresh > max(ROWS_OUT, len(self.found[0])):
             self.settle(n)
 
