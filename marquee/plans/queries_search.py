@@ -264,7 +264,7 @@ def l6_wish_movies(spark, sf):
     from marquee.operators.model import train_als, user_recommendations
     from marquee.operators.serving import enrich, movies_by_ids
     ratings = si.ratings(spark, sf)
-    recs = user_recommendations(train_als(ratings), si.movies(spark, sf), 10)
+    recs = user_recommendations(train_als(ratings, n_ratings=si.table(spark, sf, "lineitem").count()), si.movies(spark, sf), 10)
     avgs = st.average_movies_score(ratings)
     top = st.ranked_genres(si.movies(spark, sf), avgs, 10)
     out = with_fallback(recs, si.users(spark, sf), top, 10, seed=42)
